@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vitrine.functions.rules import Tag, all_matches, first_match
 from vitrine.schema import FIELDS, TAG_JOIN
+from vitrine.sources import spread
 
 BASE = "https://shop.example.com"
 
@@ -189,7 +190,7 @@ _PAGE_PARTS = {
 def product_pages(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     """``(url, html)``: one product page of the given kind per part."""
     ld, body, variants = _PAGE_PARTS[kind]
-    parts = table(spark, sf_dir, "part").selectExpr(
+    parts = spread(table(spark, sf_dir, "part")).selectExpr(
         "p_partkey AS k", "p_size AS s", "p_name", "p_brand", "p_type", f"p_size % {variants} AS v"
     )
     return parts.selectExpr(
@@ -201,7 +202,7 @@ def product_pages(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
 
 def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(url, html)``: one listing page per order with links to the pages of parts."""
-    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS o", "o_custkey AS k")
+    orders = spread(table(spark, sf_dir, "orders").selectExpr("o_orderkey AS o", "o_custkey AS k"))
     code = "lpad(CAST(k AS STRING), 9, '0')"
     return orders.selectExpr(
         f"concat('{BASE}/liste/', o) AS url",

@@ -22,7 +22,7 @@ from vitrine.plans.report import brand_report
 from vitrine.profiles import PROFILES, RETAIL, STRUCTURED, WIDGET, LinkRules, Profile
 from vitrine.schema import CANONICAL, FEED, FIELDS, RAW, conform, to_canonical
 from vitrine.sources import (
-    feed_products, read_catalog_csv, read_catalogs, read_feed, read_pages, write_catalog_csv,
+    feed_products, read_catalog_csv, read_catalogs, read_feed, read_pages, spread, write_catalog_csv,
 )
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -8,66 +8,133 @@ closing tag. Tags written inside comments or scripts are not told apart.
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, functions as F
 
+from vitrine.functions.once import let, nonblank
 from vitrine.functions.text import BLANK_CHARS, decode_references, strip, visible_text
 
-_ANY_TAG = r"[a-zA-Z][\w-]*"
+_ANY_TAG = r"[a-zA-Z][\w-]*+"
 
 
-def _attribute(name: str, inside_double: str, inside_single: str, bare: str) -> str:
-    return rf"""(?=[^>]*\s{name}\s*=\s*(?:"{inside_double}|'{inside_single}|{bare}))"""
+@dataclass(frozen=True)
+class Attr:
+    """A test on one attribute of an opening tag."""
 
+    name: str
+    value: str
+    mode: str  # "has": part of the value, "word": one of its words, "is": all of it
+    wanted: bool = True
 
-def has(name: str, part: str) -> str:
+    def inside(self, quote: str) -> str:
+        """The value from its opening quote on (``quote`` is empty for a bare value)."""
+        text = re.escape(self.value)
+        others = rf"[^{quote}>]" if quote else r"""[^\s"'>]"""
+        end = rf"[\s{quote}]" if quote else r"[\s/>]"
+        if self.mode == "has":
+            return rf"{others}*?{text}"
+        if self.mode == "word":
+            return rf"(?:{others}*?\s)?{text}{end}"
+        return rf"{text}{quote or end}"
+
+
+@dataclass(frozen=True)
+class Tag:
+    name: str
+    attrs: tuple[Attr, ...]
+    except_all: tuple[Attr, ...] = ()
+
+
+@dataclass(frozen=True)
+class Selector:
+    """A regex for the opening tag and texts of which a page must hold at least one."""
+
+    pattern: str
+    hints: tuple[str, ...]
+
+
+def has(name: str, part: str) -> Attr:
     """The attribute contains ``part`` (CSS ``[name*='part']``)."""
-    part = re.escape(part)
-    return _attribute(name, rf'[^">]*{part}', rf"[^'>]*{part}", rf"""[^\s"'>]*{part}""")
+    return Attr(name, part, "has")
 
 
-def lacks(name: str, part: str) -> str:
+def lacks(name: str, part: str) -> Attr:
     """The attribute does not contain ``part``."""
-    return has(name, part).replace("(?=", "(?!", 1)
+    return Attr(name, part, "has", wanted=False)
 
 
-def equals(name: str, value: str) -> str:
+def equals(name: str, value: str) -> Attr:
     """The attribute is exactly ``value``."""
-    value = re.escape(value)
-    return _attribute(name, rf'{value}"', rf"{value}'", rf"{value}[\s/>]")
+    return Attr(name, value, "is")
 
 
-def word(name: str, value: str) -> str:
+def word(name: str, value: str) -> Attr:
     """One of the blank-separated words of the attribute is ``value`` (CSS ``.value``)."""
-    value = re.escape(value)
-    return _attribute(
-        name, rf'(?:[^">]*\s)?{value}[\s"]', rf"(?:[^'>]*\s)?{value}[\s']", rf"{value}[\s/>]"
-    )
+    return Attr(name, value, "word")
 
 
-def not_all(*conditions: str) -> str:
-    """At least one of the conditions fails."""
-    return f"(?!{''.join(conditions)})"
+def tag(*attrs: Attr, name: str = "", except_all: tuple[Attr, ...] = ()) -> Tag:
+    """An opening tag with a name (any by default) that passes all tests.
 
+    Tags that pass all tests of ``except_all`` are left out.
+    """
+    return Tag(name, attrs, except_all)
 
-def tag(*conditions: str, name: str = "") -> str:
-    """Start of an opening tag with a given name (any by default) and attributes."""
-    name = rf"(?i:{name})(?![\w-])" if name else _ANY_TAG
-    return rf"<{name}{''.join(conditions)}"
 
+def _look(attrs: list[Attr], wanted: bool) -> str:
+    """Look-ahead over the attributes of a tag: one of ``attrs``, which share a name."""
+    inside = {quote: "|".join(a.inside(quote) for a in attrs) for quote in ('"', "'", "")}
+    values = "|".join(f"{quote}(?:{test})" for quote, test in inside.items())
+    return rf"(?{'=' if wanted else '!'}[^>]*?\s{attrs[0].name}\s*+=\s*+(?:{values}))"
 
-def any_of(*tags: str) -> str:
-    """First opening tag, in page order, that fits one of ``tags``."""
-    return rf"(?:{'|'.join(tags)})[^>]*>"
 
+def any_of(*tags: Tag) -> Selector:
+    """The opening tags that fit one of ``tags``.
 
-def first_tag(html: Column, selector: str) -> Column:
+    Tags that differ in the tested value only share one look-ahead, so a tag without
+    the attribute is passed over once.
+    """
+    shared: dict[tuple, list[Attr]] = {}
+    branches = []
+    for t in tags:
+        if len(t.attrs) == 1 and t.attrs[0].wanted and not t.except_all:
+            shared.setdefault((t.name, t.attrs[0].name), []).append(t.attrs[0])
+        else:
+            tests = "".join(_look([a], a.wanted) for a in t.attrs)
+            if t.except_all:
+                tests += f"(?!{''.join(_look([a], a.wanted) for a in t.except_all)})"
+            branches.append(_named(t.name) + tests)
+    branches += [_named(name) + _look(attrs, True) for (name, _), attrs in shared.items()]
+    hints = {next((a.value for a in t.attrs if a.wanted), f"<{t.name}" if t.name else "<") for t in tags}
+    return Selector(rf"<(?:{'|'.join(branches)})[^>]*+>", tuple(sorted(hints)))
+
+
+def _named(name: str) -> str:
+    return rf"(?i:{name})(?![\w-])" if name else _ANY_TAG
+
+
+def hinted(html: Column, selector: Selector) -> Column:
+    """Cheap test that spares most pages the regex; tag names may come in capitals."""
+    texts = [x for h in selector.hints for x in ({h, h.upper()} if h.startswith("<") else {h})]
+    return reduce(or_, [F.contains(html, F.lit(x)) for x in sorted(texts)])
+
+
+def first_tag(html: Column, selector: Selector) -> Column:
     """The first opening tag that fits, or an empty string."""
-    return F.regexp_extract(html, selector, 0)
+    return F.when(hinted(html, selector), F.regexp_extract(html, selector.pattern, 0)).otherwise("")
+
 
+def all_tags(html: Column, selector: Selector) -> Column:
+    """All opening tags that fit, in page order."""
+    found = F.regexp_extract_all(html, F.lit(selector.pattern), F.lit(0))
+    return F.when(hinted(html, selector), found).otherwise(F.array().cast("array<string>"))
 
-def count_tags(html: Column, selector: str) -> Column:
-    return F.size(F.regexp_extract_all(html, F.lit(selector), F.lit(0)))
+
+def count_tags(html: Column, selector: Selector) -> Column:
+    return F.size(all_tags(html, selector))
 
 
 def attribute(opening_tag: Column, name: str) -> Column:
@@ -91,8 +158,6 @@ def balanced(tail: Column) -> Column:
     The pieces between same-named tags are folded with a depth counter; an element
     that is never closed runs to the end.
     """
-    name = F.lower(F.regexp_extract(tail, rf"^<({_ANY_TAG})", 1))
-    pieces = F.split(tail, F.concat(F.lit("(?i)(?=</?"), name, F.lit(r"(?![\w-]))")), -1)
     start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("end"), F.lit(False).alias("closed"))
 
     def step(state: Column, piece: Column) -> Column:
@@ -101,41 +166,48 @@ def balanced(tail: Column) -> Column:
         end = state["end"] + F.when(closed, 0).otherwise(F.length(piece))
         return F.struct(depth.alias("depth"), end.alias("end"), closed.alias("closed"))
 
-    end = F.aggregate(pieces, start, step, lambda state: state["end"])
-    empty = F.rlike(tail, F.lit(r"(?i)^<(?:meta|link|input|img|br|hr)(?![\w-])"))
-    return F.when(empty, first_tag(tail, r"^<[^>]*>")).otherwise(F.substring(tail, F.lit(1), end))
+    def cut(t: Column) -> Column:
+        name = F.lower(F.regexp_extract(t, rf"^<({_ANY_TAG})", 1))
+        pieces = F.split(t, F.concat(F.lit("(?i)(?=</?"), name, F.lit(r"(?![\w-]))")), -1)
+        end = F.aggregate(pieces, start, step, lambda state: state["end"])
+        empty = F.rlike(t, F.lit(r"(?i)^<(?:meta|link|input|img|br|hr)(?![\w-])"))
+        return F.when(empty, F.regexp_extract(t, "^<[^>]*>", 0)).otherwise(F.substring(t, F.lit(1), end))
+
+    return let(tail, cut)
 
 
-def element(html: Column, selector: str) -> Column:
+def element(html: Column, selector: Selector) -> Column:
     """The first element that fits, opening tag included; null when there is none."""
-    at = F.regexp_instr(html, F.lit(selector))
-    return F.when(at > 0, balanced(F.substr(html, at)))
+    tail = nonblank(F.regexp_extract(html, rf"(?s){selector.pattern}.*", 0))
+    return F.when(hinted(html, selector), balanced(tail))
 
 
-def elements(html: Column, selector: str) -> Column:
+def elements(html: Column, selector: Selector) -> Column:
     """Array of all elements that fit; an outer one ends where a nested one starts."""
-    pieces = F.split(html, f"(?={selector})", -1)
-    opened = F.filter(pieces, lambda p: F.rlike(p, F.lit(f"^{selector}")))
-    return F.transform(opened, balanced)
+    # The blank in front keeps the first piece from being an element.
+    pieces = F.split(F.concat(F.lit(" "), html), f"(?={selector.pattern})", -1)
+    opened = let(pieces, lambda p: F.slice(p, F.lit(2), F.size(p)))
+    found = F.transform(opened, balanced)
+    return F.when(hinted(html, selector), found).otherwise(F.array().cast("array<string>"))
 
 
-def zone_text(html: Column, selector: str) -> Column:
+def zone_text(html: Column, selector: Selector) -> Column:
     """Visible text of the first element that fits; null when there is none."""
     return visible_text(element(html, selector))
 
 
-def joined_text(html: Column, selector: str) -> Column:
+def joined_text(html: Column, selector: Selector) -> Column:
     """As ``zone_text`` with the text nodes joined without a space."""
     inner = F.regexp_replace(element(html, selector), r"<!--.*?-->|<[^>]*>", "\u0001")
     nodes = F.transform(F.split(inner, "\u0001", -1), strip)
     return decode_references(F.array_join(nodes, ""))
 
 
-def list_texts(html: Column, zone: str, item: str) -> Column:
+def list_texts(html: Column, zone: Selector, item: str) -> Column:
     """Texts of the ``item`` elements inside all ``zone`` elements, in page order."""
     inside = F.array_join(elements(html, zone), " ")
     found = F.regexp_extract_all(
-        inside, F.lit(rf"(?is)<{item}(?![\w-])[^>]*>(.*?)(?=</{item}\s*>|<{item}(?![\w-])|\z)"), F.lit(1)
+        inside, F.lit(rf"(?is)<{item}(?![\w-])[^>]*+>(.*?)(?=</{item}\s*>|<{item}(?![\w-])|\z)"), F.lit(1)
     )
     return F.transform(found, lambda x: decode_references(_joined(x)))
 

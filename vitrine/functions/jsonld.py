@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from vitrine.functions.html import equals, tag
-from vitrine.functions.text import strip
+from vitrine.functions.html import any_of, equals, tag
+from vitrine.functions.once import keep_if, let, nonblank
+from vitrine.functions.text import BLANK
 
-_SCRIPT = rf"(?s){tag(equals('type', 'application/ld+json'), name='script')}[^>]*>(.*?)</script\s*>"
+_OPENING = any_of(tag(equals("type", "application/ld+json"), name="script"))
+_SCRIPT = rf"(?s){_OPENING.pattern}[{BLANK}]*+(.*?)[{BLANK}]*+</(?i:script)\s*+>"
 
 
 def _is_object(value: Column) -> Column:
@@ -18,27 +20,30 @@ def _only_value(text: Column) -> Column:
     """The one JSON value of a text; null for none, several or trailing characters."""
     # The parser stops behind the first value; the brackets make it read to the end.
     values = F.try_variant_get(
-        F.try_parse_json(F.concat(F.lit("["), strip(text), F.lit("]"))), "$", "array<variant>"
+        F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "$", "array<variant>"
     )
-    return F.when(F.size(values) == 1, F.get(values, F.lit(0)))
+    return F.get(keep_if(values, lambda x: F.size(x) == 1), F.lit(0))
 
 
 def block_array(html: Column, flatten_lists: bool = True) -> Column:
-    """ARRAY<VARIANT> of the JSON-LD objects of a page, in page order.
+    """ARRAY<VARIANT> of the JSON-LD values of a page, in page order.
 
-    Blank and broken blocks are skipped. A block that is a list gives its objects,
-    or nothing with ``flatten_lists=False``.
+    Blank and broken blocks are skipped. A block that is a list gives its entries, or
+    itself with ``flatten_lists=False``; ``of_type`` picks objects only.
     """
     texts = F.regexp_extract_all(html, F.lit(_SCRIPT), F.lit(1))
-    parsed = F.transform(texts, _only_value)
+    parsed = F.filter(F.transform(texts, _only_value), lambda v: v.isNotNull())
     if flatten_lists:
         parsed = F.flatten(
-            F.transform(
-                F.filter(parsed, lambda v: v.isNotNull()),
-                lambda v: F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.array(v)),
-            )
+            F.transform(parsed, lambda v: F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.array(v)))
         )
-    return F.filter(parsed, lambda v: F.coalesce(_is_object(v), F.lit(False)))
+    none = F.array().cast("array<variant>")
+    return F.when(F.contains(html, F.lit("ld+json")), parsed).otherwise(none)
+
+
+def objects(blocks: Column) -> Column:
+    """The blocks that are JSON objects."""
+    return F.filter(blocks, lambda b: F.coalesce(_is_object(b), F.lit(False)))
 
 
 def of_type(blocks: Column, *types: str) -> Column:
@@ -58,13 +63,10 @@ def truthy(block: Column, path: str) -> Column:
 
     The text "0" counts, the number 0 does not.
     """
-    value = F.try_variant_get(block, path, "variant")
-    kind = F.schema_of_variant(value)
-    text = F.nullif(F.try_variant_get(block, path, "string"), F.lit(""))
-    empty = F.when(kind == "STRING", F.lit(False)).otherwise(
-        text.isin("false", "{}", "[]") | (text.try_cast("double") == 0)
-    )
-    return F.when(~F.coalesce(empty, F.lit(False)), text)
+    text = F.try_variant_get(block, path, "string")
+    is_text = F.schema_of_variant(F.try_variant_get(block, path, "variant")) == "STRING"
+    empty = lambda x: x.isin("false", "{}", "[]") | (x.try_cast("double") == 0)
+    return let(nonblank(text), lambda x: F.when(is_text | ~F.coalesce(empty(x), F.lit(False)), x))
 
 
 def kind_of(block: Column, path: str) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from vitrine.functions.once import nonblank
 from vitrine.functions.text import GAP, WORD
 
 # What a price looks like in front of the euro sign.
@@ -13,14 +14,15 @@ CENT_PRICE = r"\d+[.,]\d{2}"
 _NUMBER = r"\d+(?:[.,]\d+)?"
 
 
-def number(text: Column, pattern: str) -> Column:
-    """First captured number with a decimal point, null when absent."""
-    return F.replace(F.nullif(F.regexp_extract(text, pattern, 1), F.lit("")), F.lit(","), F.lit("."))
+def number(text: Column, pattern: str, kind: str = "decimal(12,2)") -> Column:
+    """First captured number, comma or point, as ``kind``; null when absent."""
+    # Casting an empty string to DECIMAL costs a Java exception per row.
+    return F.translate(nonblank(F.regexp_extract(text, pattern, 1)), ",", ".").try_cast(kind)
 
 
 def prices(text: Column, pattern: str = ANY_PRICE, low: float | None = 1, high: float | None = 500) -> Column:
     """Distinct euro prices of the text, highest first, within the open range."""
-    dotted = F.translate(text, ",", ".")
+    dotted = F.translate(text, ",", ".")  # once per text instead of once per price
     found = F.regexp_extract_all(dotted, F.lit(rf"({pattern}){GAP}€"), F.lit(1))
     amounts = F.filter(
         found.try_cast("array<decimal(12,2)>"),
@@ -38,13 +40,19 @@ def price_pair(found: Column) -> tuple[Column, Column]:
     return high, low
 
 
-def volume(
+def volumes(
     text: Column, *, any_case: bool = True, ml_ends_word: bool = False, g_ends: str = f"(?![{WORD}])"
 ) -> tuple[Column, Column]:
-    """(amount, unit) of the first ``n ml``, else of the first ``n g``."""
+    """(millilitres, grams): the first amount of each kind."""
     case = "(?i)" if any_case else ""
     end = f"(?![{WORD}])" if ml_ends_word else ""
-    ml = number(text, rf"{case}({_NUMBER}){GAP}ml{end}")
-    grams = number(text, rf"({_NUMBER}){GAP}g{g_ends}")
+    ml = number(text, rf"{case}({_NUMBER}){GAP}ml{end}", "decimal(8,2)")
+    grams = number(text, rf"({_NUMBER}){GAP}g{g_ends}", "decimal(8,2)")
+    return ml, grams
+
+
+def volume(text: Column, **how) -> tuple[Column, Column]:
+    """(amount, unit) of the first ``n ml``, else of the first ``n g``; see ``volumes``."""
+    ml, grams = volumes(text, **how)
     unit = F.when(ml.isNotNull(), F.lit("ml")).when(grams.isNotNull(), F.lit("g"))
     return F.coalesce(ml, grams), unit

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from vitrine.functions.once import let
+
 # What counts as a blank. Java's \s and Spark's trim() leave the
 # no-break spaces alone, which French price and name texts use all the time.
 BLANK_CHARS = (
@@ -12,10 +14,7 @@ BLANK_CHARS = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 #: The same set as the inside of a regex character class (Java and RE2).
-BLANK = (
-    r"\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
-)
+BLANK = r"\x09-\x0D\x1C-\x20\x{85}\p{Z}"
 #: One optional run of blanks.
 GAP = f"[{BLANK}]*"
 #: A word character; \b differs between regex engines next to accented letters.
@@ -42,14 +41,18 @@ ENTITIES = {
 ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
 PLAIN = "aaaaaaceeeeiiiinooooouuuuyy"
 
-# One tag; a quoted attribute value may hold ">".
-_TAG = r"""</?[a-z](?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+>"""
-_HIDDEN = r"<(script|style|template)\b[^>]*+>.*?(?:</\1\s*+>|\z)"
-_MARKUP = rf"(?:{_HIDDEN}|<!--.*?(?:-->|\z)|<[!?][^>]*+>|{_TAG})"
+# One piece of markup; a quoted attribute value may hold ">".
+_TAG = r"""/?[a-zA-Z](?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+>"""
+_HIDDEN = r"(?i:(script|style|template)\b)[^>]*+>.*?(?:</(?i:\1)\s*+>|\z)"
+_MARKUP = rf"<(?:{_HIDDEN}|!--.*?(?:-->|\z)|[!?][^>]*+>|{_TAG})"
 # All markup between two pieces of text, with the blanks around it. Possessive
 # loops keep the Java matcher iterative, so thousands of tags in a row are safe;
 # the look-behind stops a long blank run from being retried at every position.
-_BETWEEN = rf"(?is)(?<![{BLANK}])(?:[{BLANK}]*+{_MARKUP})++[{BLANK}]*+"
+_BETWEEN = rf"(?s)(?=[<{BLANK}])(?<![{BLANK}])(?:[{BLANK}]*+{_MARKUP})++[{BLANK}]*+"
+
+
+# The references as one SQL map literal: one parsed expression instead of many calls.
+_NAMES = "map(" + ", ".join(f"r'{k}', \"{v}\"" if v == "'" else f"r'{k}', '{v}'" for k, v in ENTITIES.items()) + ")"
 
 
 def strip(text: Column) -> Column:
@@ -75,25 +78,31 @@ def normalise(text: Column) -> Column:
 
 def decode_references(text: Column) -> Column:
     """Decode ``&name;``, ``&#n;`` and ``&#xh;`` in one pass over the text."""
-    names = F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair])
+    names = F.expr(_NAMES)
+
+    def numbered(name: Column) -> Column:
+        code = F.when(
+            F.rlike(name, F.lit(r"^#[xX][0-9A-Fa-f]{1,6}$")), F.conv(F.substr(name, F.lit(3)), 16, 10).try_cast("int")
+        ).when(F.rlike(name, F.lit(r"^#\d{1,7}$")), F.substr(name, F.lit(2)).try_cast("int"))
+        return let(code, lambda c: F.when(
+            c.between(1, 0xD7FF) | c.between(0xE000, 0x10FFFF),
+            F.decode(F.unhex(F.lpad(F.hex(c), 8, "0")), "UTF-32"),
+        ))
 
     def decoded(piece: Column) -> Column:
-        name = F.regexp_extract(piece, r"^&(#?[0-9A-Za-z]{1,8});", 1)
-        code = F.coalesce(
-            F.regexp_extract(name, r"^#(\d{1,7})$", 1).try_cast("int"),
-            F.conv(F.nullif(F.regexp_extract(name, r"^#[xX]([0-9A-Fa-f]{1,6})$", 1), F.lit("")), 16, 10)
-            .try_cast("int"),
-        )
-        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-        char = F.coalesce(
-            F.try_element_at(names, name),
-            F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")),
-        )
-        rest = F.substr(piece, F.length(name) + F.lit(3))
-        return F.coalesce(F.concat(char, rest), piece)
-
-    whole = F.array_join(F.transform(F.split(text, "(?=&)", -1), decoded), "")
-    return F.when(F.contains(text, F.lit("&")), whole).otherwise(text)
+        return let(F.regexp_extract(piece, r"^&(#?[0-9A-Za-z]{1,8});", 1), lambda name: F.coalesce(
+            F.concat(
+                F.coalesce(F.try_element_at(names, name), numbered(name)),
+                F.substr(piece, F.length(name) + F.lit(3)),
+            ),
+            piece,
+        ))
+
+    def whole(t: Column) -> Column:
+        pieces = F.transform(F.split(t, "(?=&)", -1), decoded)
+        return F.when(F.contains(t, F.lit("&")), F.array_join(pieces, "")).otherwise(t)
+
+    return let(text, whole)
 
 
 def visible_text(html: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from vitrine.functions.jsonld import block_array
+from vitrine.functions.jsonld import block_array, objects
 from vitrine.functions.text import visible_text
 
 
@@ -16,7 +16,7 @@ def with_text(pages: DataFrame, html: str = "html") -> DataFrame:
 
 def json_ld_blocks(pages: DataFrame, flatten_lists: bool = True, key: str = "url") -> DataFrame:
     """One row ``(key, block_no, type, block)`` per JSON-LD object of a page."""
-    rows = pages.select(key, F.posexplode(block_array(F.col("html"), flatten_lists)).alias("block_no", "block"))
+    rows = pages.select(key, F.posexplode(objects(block_array(F.col("html"), flatten_lists))).alias("block_no", "block"))
     return rows.select(key, "block_no", F.try_variant_get("block", "$['@type']", "string").alias("type"), "block")
 
 

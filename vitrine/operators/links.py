@@ -6,7 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from vitrine.functions.html import any_of, attribute, elements, tag
+from vitrine.functions.html import Selector, all_tags, any_of, attribute, elements, tag
+from vitrine.functions.once import keep_if
 from vitrine.functions.rules import contains_any
 from vitrine.functions.text import strip
 from vitrine.functions.urls import absolute_url, canonical_url
@@ -17,14 +18,14 @@ _ANCHOR = any_of(tag(name="a"))
 
 def _anchor_tags(html: Column, rules: LinkRules) -> Column:
     """Opening anchor tags of a page that count as candidates, in page order."""
-    every = F.regexp_extract_all(html, F.lit(_ANCHOR), F.lit(0))
+    every = all_tags(html, _ANCHOR)
     if not rules.anchors:
         return every
 
-    def found(zone: str, anchor: str) -> Column:
+    def found(zone: Selector | None, anchor: Selector) -> Column:
         inside = F.array_join(elements(html, zone), "") if zone else html
-        tags = F.regexp_extract_all(inside, F.lit(anchor), F.lit(0))
-        return F.when(F.size(tags) > 0, tags)
+        tags = F.regexp_extract_all(inside, F.lit(anchor.pattern), F.lit(0))
+        return keep_if(tags, lambda x: F.size(x) > 0)
 
     last = F.filter(every, lambda a: F.rlike(attribute(a, "href"), F.lit(rules.fallback)))
     return F.coalesce(*[found(*pair) for pair in rules.anchors], last)

@@ -13,22 +13,24 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from vitrine.functions import html as H
 from vitrine.functions import jsonld as J
-from vitrine.functions.numbers import number, price_pair, prices, volume
+from vitrine.functions.numbers import number, price_pair, prices, volumes
+from vitrine.functions.once import let, nonblank
 from vitrine.functions.rules import all_matches, contains_any, first_match
 from vitrine.functions.text import GAP, collapse, strip, visible_text
 from vitrine.profiles import SHADE_LABEL, SHADE_NAME, SHADE_TEXT, SKIN_ANCHORS, Profile
-from vitrine.schema import CANONICAL, FIELDS, TAG_JOIN, filled
+from vitrine.schema import CANONICAL, FIELDS, TAG_JOIN
 
 _H1_RANKED = (
-    H.tag(H.equals("data-at", "product_name"), name="h1"),
-    H.tag(H.has("class", "product-name"), name="h1"),
-    H.tag(H.has("class", "ProductName"), name="h1"),
-    H.tag(name="h1"),
+    H.any_of(H.tag(H.equals("data-at", "product_name"), name="h1")),
+    H.any_of(H.tag(H.has("class", "product-name"), name="h1")),
+    H.any_of(H.tag(H.has("class", "ProductName"), name="h1")),
+    H.any_of(H.tag(name="h1")),
 )
 _ADD_BUTTON = H.any_of(
     H.tag(H.equals("data-at", "btn_add_to_basket"), name="button"),
     H.tag(H.has("class", "add-to-cart"), name="button"),
 )
+_MONEY = CANONICAL["price"].dataType
 _CRUMB_LINKS = H.any_of(H.tag(H.word("class", "breadcrumb")), H.tag(H.has("class", "breadcrumb"), name="ol"))
 _CRUMB_ITEMS = H.any_of(
     H.tag(H.has("class", "breadcrumb"), name="ol"), H.tag(H.has("aria-label", "breadcrumb"), name="nav")
@@ -47,14 +49,17 @@ def _last(blocks: Column, value: Callable[[Column], Column]) -> Column:
 def _crumb(block: Column, position: int) -> Column:
     """Breadcrumb entry counted from the end, null when there are too few."""
     entries = F.try_variant_get(block, "$.itemListElement", "array<variant>")
-    return F.when(F.size(entries) >= -position, F.try_element_at(entries, F.lit(position)))
+    return F.try_element_at(entries, F.lit(position))
 
 
 def _last_crumb_name(block: Column) -> Column:
-    entry = _crumb(block, -1)
-    missing = F.try_variant_get(entry, "$.item", "variant").isNull() & entry.isNotNull()
-    usable = missing | (J.kind_of(entry, "$.item") == "OBJECT")
-    return F.when(usable, F.coalesce(J.get(entry, "$.item.name"), F.lit("")))
+
+    def named(entry: Column) -> Column:
+        missing = F.try_variant_get(entry, "$.item", "variant").isNull() & entry.isNotNull()
+        usable = missing | (J.kind_of(entry, "$.item") == "OBJECT")
+        return F.when(usable, F.coalesce(J.get(entry, "$.item.name"), F.lit("")))
+
+    return let(_crumb(block, -1), named)
 
 
 # ---- field chains: each returns a column, null when the page does not say ---------
@@ -65,15 +70,15 @@ def _name(profile: Profile) -> Column:
 
     def first_named(block: Column) -> Column:
         is_product = F.try_variant_get(block, "$['@type']", "string") == "Product"
-        return filled(F.when(is_product, J.get(block, "$.name")).otherwise(_last_crumb_name(block)))
+        return nonblank(F.when(is_product, J.get(block, "$.name")).otherwise(_last_crumb_name(block)))
 
     steps = {
-        "ld_product": lambda: filled(strip(_first(products, lambda b: J.get(b, "$.name")))),
-        "ld_last_crumb": lambda: filled(_last(J.of_type(blocks, "BreadcrumbList"), _last_crumb_name)),
+        "ld_product": lambda: nonblank(strip(_first(products, lambda b: J.get(b, "$.name")))),
+        "ld_last_crumb": lambda: nonblank(_last(J.of_type(blocks, "BreadcrumbList"), _last_crumb_name)),
         "ld_first_named": lambda: _first(J.of_type(blocks, "Product", "BreadcrumbList"), first_named),
-        "h1": lambda: filled(H.zone_text(html, H.any_of(_H1_RANKED[-1]))),
-        "h1_ranked": lambda: filled(F.coalesce(*[H.joined_text(html, H.any_of(s)) for s in _H1_RANKED])),
-        "title": lambda: filled(strip(cut)),
+        "h1": lambda: nonblank(H.zone_text(html, _H1_RANKED[-1])),
+        "h1_ranked": lambda: nonblank(F.coalesce(*[H.joined_text(html, s) for s in _H1_RANKED])),
+        "title": lambda: nonblank(strip(cut)),
     }
     name = F.coalesce(*[steps[step]() for step in profile.name], F.lit(""))
     return collapse(name) if profile.collapse_name else name
@@ -87,7 +92,7 @@ def _brand(profile: Profile, default: str) -> Column:
         kind = J.kind_of(block, "$.brand")
         return F.when(kind == "OBJECT", J.get(block, "$.brand.name")).when(kind == "STRING", J.get(block, "$.brand"))
 
-    return filled(_last(F.col("products"), lambda b: filled(named(b))), default)
+    return F.coalesce(_last(F.col("products"), lambda b: nonblank(named(b))), F.lit(default))
 
 
 def _crumbs(profile: Profile) -> tuple[Column, Column]:
@@ -96,14 +101,16 @@ def _crumbs(profile: Profile) -> tuple[Column, Column]:
     if profile.category == "structured":
         crumb = F.get(J.of_type(F.col("blocks"), "BreadcrumbList"), F.lit(0))
         entry = _crumb(crumb, -2)
-        links = H.list_texts(F.col("html"), _CRUMB_LINKS, "a")
         return (
-            F.lower(filled(strip(J.get(entry, "$.item.name")))),
-            F.when(F.size(links) >= 2, filled(F.lower(F.try_element_at(links, F.lit(-1))))),
+            F.lower(nonblank(strip(J.get(entry, "$.item.name")))),
+            let(
+                H.list_texts(F.col("html"), _CRUMB_LINKS, "a"),
+                lambda x: F.when(F.size(x) >= 2, nonblank(F.lower(F.try_element_at(x, F.lit(-1))))),
+            ),
         )
     if profile.category == "retail":
         items = H.list_texts(F.col("html"), _CRUMB_ITEMS, "li")
-        return none, F.when(F.size(items) >= 2, filled(F.try_element_at(items, F.lit(-2))))
+        return none, nonblank(F.try_element_at(items, F.lit(-2)))
     return none, none
 
 
@@ -119,30 +126,31 @@ def _ld_price(block: Column) -> Column:
     )
 
 
-def _price(profile: Profile) -> tuple[Column, Column]:
+def _found_prices(profile: Profile) -> Column:
     zone = F.coalesce("price_zone", F.substring("text", 1, profile.price_window))
-    found = prices(zone, profile.price_pattern, *profile.price_range)
-    high, low = price_pair(found)
+    return prices(zone, profile.price_pattern, *profile.price_range)
+
+
+def _price(profile: Profile) -> tuple[Column, Column]:
+    """(price, promo price) from the columns ``found_prices`` and ``ld_price``."""
+    high, low = price_pair(F.col("found_prices"))
+    ld = F.col("ld_price")
     if profile.price == "zone_then_meta":
-        return F.coalesce(high.cast("string"), H.meta(F.col("html"), "og:price:amount")), low
-    ld = _first(F.col("products"), _ld_price)
+        told = H.meta(F.col("html"), "og:price:amount")
+        return F.coalesce(high, F.translate(nonblank(told), ",", ".").try_cast(_MONEY)), low
     if profile.price == "zone_over_ld":
-        return F.when(low.isNotNull(), high.cast("string")).otherwise(F.coalesce(ld, high.cast("string"))), low
-    return F.coalesce(ld, high.cast("string")), F.when(ld.isNull(), low)
+        return F.when(low.isNotNull(), high).otherwise(F.coalesce(ld, high)), low
+    return F.coalesce(ld, high), F.when(ld.isNull(), low)
 
 
-def _volume(profile: Profile) -> tuple[Column, Column]:
+def _volume_text(profile: Profile) -> Column:
     head = F.substring("text", 1, profile.volume_window)
     named = F.concat_ws(" ", F.col("product_name"), head)
     if profile.volume_zone is None:
-        zone = named
-    elif profile.volume_zone == "price":
-        zone = F.coalesce("price_zone", head)
-    else:
-        zone = F.coalesce(H.zone_text(F.col("html"), profile.volume_zone), named)
-    return volume(
-        zone, any_case=profile.volume_any_case, ml_ends_word=profile.ml_ends_word, g_ends=profile.g_ends
-    )
+        return named
+    if profile.volume_zone == "price":
+        return F.coalesce("price_zone", head)
+    return F.coalesce(H.zone_text(F.col("html"), profile.volume_zone), named)
 
 
 def _sold_out(profile: Profile) -> Column:
@@ -165,40 +173,47 @@ def _sold_out(profile: Profile) -> Column:
     return marked | (told & ~button)
 
 
-def _counted(steps: tuple[tuple[str, str], ...], ld: Callable[[Column], Column], pattern: str, label: bool) -> Column:
+def _counted(
+    steps: tuple[tuple[str, str], ...], ld: Callable[[Column], Column], pattern: str, kind: str, label: bool
+) -> Column:
     """Rating or review count by the profile's steps."""
     html = F.col("html")
 
     def step(where: str, what: str) -> Column:
         if where == "ld":
-            return _first(F.col("products"), ld)
+            return _first(F.col("products"), ld).try_cast(kind)
         if where == "zone":
             shown = H.joined_text(html, what)
             if label:
                 shown = F.concat(H.attribute(H.first_tag(html, what), "aria-label"), shown)
-            return number(shown, pattern)
-        return number(F.col({"text": "text", "lower": "text_lower"}[where]), what)
+            return number(shown, pattern, kind)
+        return number(F.col({"text": "text", "lower": "text_lower"}[where]), what, kind)
 
     return F.coalesce(*[step(*s) for s in steps])
 
 
-def _shades(profile: Profile) -> Column:
+def _shown_shades(profile: Profile) -> Column:
+    """Number of shades the markup shows."""
     html = F.col("html")
     if profile.swatches is None:
-        names = F.regexp_extract_all(F.col("text"), F.lit(SHADE_NAME), F.lit(0))
-        several = F.when(F.size(names) > 3, F.size(F.array_distinct(names)))
-        return F.coalesce(number(F.col("text"), SHADE_LABEL).try_cast("int"), several)
-    told = number(F.col("text_lower"), SHADE_TEXT).try_cast("int")
+        return F.size(F.array_distinct("shade_names"))
     shown = H.count_tags(html, profile.swatches)
     for zone, item in profile.swatch_items:
         shown = shown + H.count_tags(F.array_join(H.elements(html, zone), ""), item)
+    return shown
+
+
+def _shades(profile: Profile) -> Column:
+    shown, told = F.col("shown_shades"), F.col("told_shades")
+    if profile.swatches is None:
+        return F.coalesce(told, F.when(F.size("shade_names") > 3, shown))
     if profile.shades[0] == "text":
         return F.coalesce(told, F.when((shown > 1) & (shown < 100), shown))
     return F.coalesce(F.when(shown > 1, shown), told)
 
 
 def _labelled(text: Column, pattern: str) -> Column:
-    return filled(F.rtrim(strip(F.regexp_extract(text, pattern, 1)), F.lit(",")))
+    return nonblank(F.rtrim(strip(F.regexp_extract(text, pattern, 1)), F.lit(",")))
 
 
 def extract_products(
@@ -228,29 +243,43 @@ def extract_products(
         (F.slice(found, 1, 1) if profile.flatten_lists else found).alias("products"),
         H.zone_text(F.col("html"), profile.price_zone).alias("price_zone"),
     )
-    named = ready.select("*", _name(profile).alias("product_name"))
-
+    text, lower = F.col("text"), F.col("text_lower")
+    by_label = profile.swatches is None
+    named = ready.select(
+        "*",
+        _name(profile).alias("product_name"),
+        _found_prices(profile).alias("found_prices"),
+        F.translate(_first(F.col("products"), _ld_price), ",", ".").try_cast(_MONEY).alias("ld_price"),
+        number(text if by_label else lower, SHADE_LABEL if by_label else SHADE_TEXT, "int").alias("told_shades"),
+        (F.regexp_extract_all(text, F.lit(SHADE_NAME), F.lit(0)) if by_label else F.array()).alias("shade_names"),
+    )
+    zoned = named.select(
+        "*", _volume_text(profile).alias("volume_text"), _shown_shades(profile).alias("shown_shades")
+    )
+    ml, grams = volumes(
+        F.col("volume_text"),
+        any_case=profile.volume_any_case, ml_ends_word=profile.ml_ends_word, g_ends=profile.g_ends,
+    )
     rating_paths = ["$.aggregateRating.ratingValue"] + ["$.aggregateRating.bestRating"] * best_rating
     review_paths = ["$.aggregateRating.reviewCount", "$.aggregateRating.ratingCount"]
     price, promo = _price(profile)
-    amount, unit = _volume(profile)
     crumb_ld, crumb_links = _crumbs(profile)
-    text, lower = F.col("text"), F.col("text_lower")
     values = {
         "brand": _brand(profile, brand),
         "crumb_ld": crumb_ld,
         "crumb_links": crumb_links,
-        "price": F.replace(price, F.lit(","), F.lit(".")).try_cast(CANONICAL["price"].dataType),
-        "promo_price": promo.cast(CANONICAL["promo_price"].dataType),
-        "volume_ml": amount.try_cast(CANONICAL["volume_ml"].dataType),
-        "volume_unit": unit,
+        "price": price,
+        "promo_price": promo,
+        "ml": ml,
+        "grams": grams,
         "sold_out": F.coalesce(_sold_out(profile), F.lit(False)),
         "rating": _counted(
-            profile.rating, lambda b: F.coalesce(*[J.truthy(b, p) for p in rating_paths]), r"(\d+[.,]\d+)", True
-        ).try_cast(CANONICAL["rating"].dataType),
+            profile.rating, lambda b: F.coalesce(*[J.truthy(b, p) for p in rating_paths]), r"(\d+[.,]\d+)",
+            CANONICAL["rating"].dataType.simpleString(), True,
+        ),
         "review_count": _counted(
-            profile.reviews, lambda b: F.coalesce(*[J.truthy(b, p) for p in review_paths]), r"(\d+)", False
-        ).try_cast("bigint"),
+            profile.reviews, lambda b: F.coalesce(*[J.truthy(b, p) for p in review_paths]), r"(\d+)", "bigint", False
+        ),
         "shade_count": _shades(profile),
         "finish_type": _labelled(text, profile.finish_label)
         if profile.finish_label
@@ -260,13 +289,15 @@ def extract_products(
         else first_match(F.substring("text_lower", 1, profile.coverage_window), profile.coverage),
         "skin_types": all_matches(lower, profile.skin, SKIN_ANCHORS),
     }
-    fields = named.select(
+    fields = zoned.select(
         "source_url", "listing_category", "product_name", *[c.alias(n) for n, c in values.items()]
     )
     records = fields.select(
         "*",
         settle_category(profile, F.col("listing_category"), F.col("crumb_ld"), F.col("crumb_links")).alias("category"),
-        filled(F.array_join("skin_types", TAG_JOIN)).alias("skin_type"),
+        F.when(F.size("skin_types") > 0, F.array_join("skin_types", TAG_JOIN)).alias("skin_type"),
+        F.coalesce("ml", "grams").alias("volume_ml"),
+        F.when(F.col("ml").isNotNull(), "ml").when(F.col("grams").isNotNull(), "g").alias("volume_unit"),
         F.when(F.col("sold_out"), profile.out_label).otherwise(profile.in_stock_label).alias("availability"),
         (~F.col("sold_out")).alias("in_stock"),
     )

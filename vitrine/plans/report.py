@@ -16,7 +16,7 @@ def brand_report(catalogues: Mapping[str, DataFrame], category: str | None = Non
 
     The products are read and aggregated once; the ranks run on the brand rows.
     """
-    master = price_direction(build_master({name: conform(df) for name, df in catalogues.items()}))
+    master = price_direction(conform(build_master(catalogues)))
     if category is not None:
         master = master.filter(F.col("category") == category)
     brands = master.groupBy("brand").agg(

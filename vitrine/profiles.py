@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from vitrine.functions.html import any_of, equals, has, lacks, not_all, tag, word
+from vitrine.functions.html import Selector, any_of, equals, has, lacks, tag, word
 from vitrine.functions.numbers import ANY_PRICE, CENT_PRICE
 from vitrine.functions.rules import Tag
 from vitrine.functions.text import BLANK, GAP, WORD
@@ -25,7 +25,7 @@ class LinkRules:
     exclude: tuple[str, ...] = ()       # words no product address may hold
     allow: str | None = None            # passes without a listing keyword
     article: str | None = None          # article code inside the address
-    anchors: tuple[tuple[str, str], ...] = ()   # (zone, anchor) selectors, first that finds any
+    anchors: tuple[tuple[Selector | None, Selector], ...] = ()  # (zone, anchor), first that finds any
     fallback: str | None = None         # href pattern when no selector finds any
 
 
@@ -36,19 +36,19 @@ class Profile:
     name: tuple[str, ...]
     title_cut: str
     price: str
-    price_zone: str
+    price_zone: Selector
     price_pattern: str
     price_range: tuple[float | None, float | None]
     price_window: int
-    volume_zone: str | None
+    volume_zone: Selector | str | None
     volume_window: int
     stock: str
-    rating: tuple[tuple[str, str], ...]      # (where, pattern or selector)
-    reviews: tuple[tuple[str, str], ...]
+    rating: tuple[tuple[str, str | Selector], ...]  # (where, pattern or selector)
+    reviews: tuple[tuple[str, str | Selector], ...]
     shades: tuple[str, ...]
-    swatches: str | None
+    swatches: Selector | None
     skin: tuple[Tag, ...]
-    swatch_items: tuple[tuple[str, str], ...] = ()  # (zone, item) selectors
+    swatch_items: tuple[tuple[Selector, Selector], ...] = ()  # (zone, item)
     finish: tuple[tuple[str, str], ...] = ()
     finish_window: int = 0
     finish_label: str | None = None
@@ -204,8 +204,8 @@ STRUCTURED = Profile(
     swatches=any_of(tag(*_SWATCH)),
     # An item that is a swatch itself has been counted already.
     swatch_items=(
-        (tag(has("data-attr", "color")), any_of(tag(not_all(*_SWATCH), name="button"))),
-        (tag(has("class", "color"), name="ul"), any_of(tag(not_all(*_SWATCH), name="li"))),
+        (any_of(tag(has("data-attr", "color"))), any_of(tag(name="button", except_all=_SWATCH))),
+        (any_of(tag(has("class", "color"), name="ul")), any_of(tag(name="li", except_all=_SWATCH))),
     ),
     finish=STRUCTURED_FINISH,
     finish_window=3000,
@@ -293,9 +293,9 @@ RETAIL = Profile(
     skin=RETAIL_SKIN,
     links=LinkRules(
         anchors=(
-            ("", any_of(tag(equals("data-at", "product_name"), name="a"))),
-            ("", any_of(tag(has("class", "product-item-link"), name="a"))),
-            ("", any_of(tag(has("class", "ProductCard"), name="a"))),
+            (None, any_of(tag(equals("data-at", "product_name"), name="a"))),
+            (None, any_of(tag(has("class", "product-item-link"), name="a"))),
+            (None, any_of(tag(has("class", "ProductCard"), name="a"))),
             (any_of(tag(has("class", "product-card"), name="div")), any_of(tag(has("href", "/p/"), name="a"))),
             (any_of(tag(name="article")), any_of(tag(has("href", "/p/"), name="a"))),
         ),

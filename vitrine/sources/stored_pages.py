@@ -7,4 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """``(url, html)`` of a Parquet table of pages."""
-    return spark.read.parquet(path).select("url", "html")
+    return spread(spark.read.parquet(path).select("url", "html"))
+
+
+def spread(pages: DataFrame) -> DataFrame:
+    """Use all cores for a table whose files give fewer tasks than there are cores.
+
+    Parsing pages costs far more than moving such a small table. A table with enough
+    splits, and so any large one, is left as it is: no shuffle is added.
+    """
+    cores = pages.sparkSession.sparkContext.defaultParallelism
+    return pages.repartition(cores) if pages.rdd.getNumPartitions() < cores else pages

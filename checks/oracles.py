@@ -89,6 +89,16 @@ def ranked(by: str, measure: str, col: str, order: str) -> str:
  FROM (SELECT {by}, {mean(col)} AS {measure} FROM offers GROUP BY {by})""")
 
 
+def report(where: str) -> str:
+    return offers(f"""SELECT *, CAST(RANK() OVER (ORDER BY avg_list_price DESC NULLS LAST) AS INT) AS price_rank,
+ CAST(RANK() OVER (ORDER BY avg_rating DESC NULLS LAST) AS INT) AS rating_rank,
+ CAST(RANK() OVER (ORDER BY avg_reviews ASC NULLS LAST) AS INT) AS fewest_reviews_rank
+ FROM (SELECT brand, COUNT(*) AS n_products, {mean('list_price')} AS avg_list_price,
+ CAST(SUM(CASE WHEN volume_ml > 0 THEN list_price END) AS DOUBLE) / CAST(SUM(CASE WHEN volume_ml > 0 THEN volume_ml END) AS DOUBLE) AS list_price_per_ml,
+ MAX(shade_count) AS max_shades, {mean('rating')} AS avg_rating, {mean('review_count')} AS avg_reviews,
+ CAST(COUNT(*) FILTER (on_promo) AS DOUBLE) / COUNT(*) AS promo_share FROM ({PRICED}) {where} GROUP BY brand)""")
+
+
 def gap(col: str) -> str:
     return offers(f"""SELECT brand, b AS brand_value, m AS market_value, b - m AS gap
  FROM (SELECT brand, {mean(col)} AS b FROM offers GROUP BY brand), (SELECT {mean(col)} AS m FROM offers)""")
@@ -329,14 +339,9 @@ def all_sql() -> dict[str, str]:
     skin_rows = "unnest(string_split(skin_type, ' / '))"
     order_cols = "source, source_url, shade_count, price, promo_price, rating, review_count"
     null_first = ", ".join(f"{c} NULLS FIRST" for c in order_cols.split(", "))
-    rank_cols = """CAST(RANK() OVER (ORDER BY avg_list_price DESC NULLS LAST) AS INT) AS price_rank,
- CAST(RANK() OVER (ORDER BY avg_rating DESC NULLS LAST) AS INT) AS rating_rank,
- CAST(RANK() OVER (ORDER BY avg_reviews ASC NULLS LAST) AS INT) AS fewest_reviews_rank"""
     return {
-        "brand_report": offers(f"""SELECT *, {rank_cols} FROM (SELECT brand, COUNT(*) AS n_products, {mean('list_price')} AS avg_list_price,
- CAST(SUM(CASE WHEN volume_ml > 0 THEN list_price END) AS DOUBLE) / CAST(SUM(CASE WHEN volume_ml > 0 THEN volume_ml END) AS DOUBLE) AS list_price_per_ml,
- MAX(shade_count) AS max_shades, {mean('rating')} AS avg_rating, {mean('review_count')} AS avg_reviews,
- CAST(COUNT(*) FILTER (on_promo) AS DOUBLE) / COUNT(*) AS promo_share FROM ({PRICED}) GROUP BY brand)"""),
+        "brand_report": report(""),
+        "brand_report_promo": report("WHERE category = 'promo'"),
         "master_union": offers(f"SELECT source, {ALL_FIELDS} FROM offers"),
         "master_rows": offers("SELECT COUNT(*) AS n_products FROM offers"),
         "numbered_rows": offers(f"SELECT ROW_NUMBER() OVER (ORDER BY {null_first}) - 1 AS row_no, {order_cols} FROM offers"),

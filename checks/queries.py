@@ -93,6 +93,11 @@ def brand_report(s, d):
     return v.brand_report(I.by_source(s, d))
 
 
+def brand_report_promo(s, d):
+    """The report of one category over the master table, read once."""
+    return v.brand_report(I.catalogue(s, d), category="promo")
+
+
 def count_by_category(s, d):
     return v.count_by(I.catalogue(s, d), ["category"], ordered=True)
 
@@ -437,7 +442,7 @@ def event_props(s, d):
 ALL: dict[str, Query] = {
     f.__name__: f
     for f in (
-        brand_report, master_union, master_rows, numbered_rows, record_with_defaults, csv_round_trip,
+        brand_report, brand_report_promo, master_union, master_rows, numbered_rows, record_with_defaults, csv_round_trip,
         brand_benchmark, brand_benchmark_category, count_by_category, category_split, finish_mix, finish_table,
         coverage_mix, skin_mix, family_rollup, availability_rate, promo_depth, completeness, rank_price,
         rank_reviews, rank_rating_by_shop, market_gap_price, market_gap_rating, harmonised_labels,

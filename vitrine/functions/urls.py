@@ -14,8 +14,8 @@ def absolute_url(href: Column, base: str | Column) -> Column:
 
 
 def canonical_url(url: Column) -> Column:
-    """The address without its query string, on every line it may hold."""
-    return F.regexp_replace(url, r"\?.*", "")
+    """The address without its query string."""
+    return F.substring_index(url, "?", 1)
 
 
 def slug(url: Column, kind: str = "last") -> Column:

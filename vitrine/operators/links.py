@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vitrine.functions.html import Selector, all_tags, any_of, attribute, elements, tag
 from vitrine.functions.once import keep_if
-from vitrine.functions.rules import contains_any
+from vitrine.functions.rules import one_of
 from vitrine.functions.text import strip
 from vitrine.functions.urls import absolute_url, canonical_url
 from vitrine.profiles import LinkRules, Profile
@@ -33,11 +33,22 @@ def _anchor_tags(html: Column, rules: LinkRules) -> Column:
 
 def extract_links(pages: DataFrame, rules: LinkRules = LinkRules(), html: str = "html") -> DataFrame:
     """One row per anchor with an href: the page's other columns, ``pos`` and ``href``."""
+    return _explode_anchors(pages, rules, html, "href", lambda href: href).filter(F.col("href") != "")
+
+
+def _explode_anchors(
+    pages: DataFrame, rules: LinkRules, html: str, name: str, shape: Callable[[Column], Column]
+) -> DataFrame:
+    """One row per anchor: the page's other columns, ``pos`` and the shaped href.
+
+    The href is cut out before the explode. A filter on it then reads a column; below
+    a projection Catalyst would repeat the regex in every filter pushed through.
+    """
     rest = [c for c in pages.columns if c != html]
-    anchors = pages.select(*rest, F.posexplode(_anchor_tags(F.col(html), rules)).alias("pos", "_tag"))
-    return anchors.select(*rest, "pos", strip(attribute(F.col("_tag"), "href")).alias("href")).filter(
-        F.col("href") != ""
+    hrefs = F.transform(
+        _anchor_tags(F.col(html), rules), lambda a: shape(strip(attribute(a, "href")))
     )
+    return pages.select(*rest, F.posexplode(hrefs).alias("pos", name))
 
 
 def keyword_gate(
@@ -56,14 +67,14 @@ def keyword_gate(
     text = F.lower(F.col(col))
     keep = F.lit(True)
     if exclude:
-        keep = ~contains_any(text, exclude)
+        keep = ~one_of(text, exclude)
     if include is not None and len(include):
         if isinstance(include, str):
             words = F.col(include)
             wanted = F.coalesce(F.size(words), F.lit(0)) <= 0
             wanted = wanted | F.exists(words, lambda w: F.contains(text, w))
         else:
-            wanted = contains_any(text, include)
+            wanted = one_of(text, include)
         if allow is not None:
             wanted = wanted | F.contains(text, F.lit(allow))
         keep = keep & wanted
@@ -111,12 +122,9 @@ def product_links(listing_pages: DataFrame, profile: Profile, base: str, domain:
     ``listing_pages`` comes from ``attach_listing``. Every step is row-local.
     """
     rules = profile.links
-    links = extract_links(
-        listing_pages.select("source", "listing_no", "category", "positive", "html"), rules
-    )
-    links = pattern_gate(links, "href", suffix=rules.suffix)
-    links = links.withColumn("url", absolute_url(F.col("href"), base)).filter(F.col("url").isNotNull())
-    links = pattern_gate(links, "url", domain, rules.pattern)
+    pages = listing_pages.select("source", "listing_no", "category", "positive", "html")
+    links = _explode_anchors(pages, rules, "html", "url", lambda href: absolute_url(href, base))
+    links = pattern_gate(links.filter(F.col("url").isNotNull()), "url", domain, rules.pattern, rules.suffix)
     links = links.withColumn("url", canonical_url(F.col("url")))
     links = keyword_gate(links, "url", "positive", rules.exclude, rules.allow)
     return links.select("source", "listing_no", "pos", "url", "category")

@@ -307,4 +307,7 @@ def extract_products(
 
 def named_only(records: DataFrame) -> DataFrame:
     """Drop records without a name."""
-    return records.filter(F.coalesce(F.col("product_name"), F.lit("")) != "")
+    # Catalyst would push a filter below the projections and find every name twice,
+    # JSON and HTML included; it does not push through an explode.
+    named = F.when(F.col("product_name") != "", F.array(F.struct("*")))
+    return records.select(F.explode(named).alias("record")).select("record.*")

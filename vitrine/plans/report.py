@@ -11,12 +11,15 @@ from vitrine.operators.metrics import mean, share
 from vitrine.schema import conform
 
 
-def brand_report(catalogues: Mapping[str, DataFrame], category: str | None = None) -> DataFrame:
+def brand_report(catalogues: Mapping[str, DataFrame] | DataFrame, category: str | None = None) -> DataFrame:
     """One row per brand over all shops: price, range, rating, promotion and three ranks.
 
+    ``catalogues`` holds one table per shop, or is the master table itself.
+
     The products are read and aggregated once; the ranks run on the brand rows.
     """
-    master = price_direction(conform(build_master(catalogues)))
+    master = build_master(catalogues) if isinstance(catalogues, Mapping) else catalogues
+    master = price_direction(conform(master))
     if category is not None:
         master = master.filter(F.col("category") == category)
     brands = master.groupBy("brand").agg(

@@ -30,7 +30,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``source``, the 14 product fields and ``page_text``; one row per line item."""
-    item = table(spark, sf_dir, "lineitem").withColumnRenamed("l_partkey", "p_partkey")
+    item = spread(table(spark, sf_dir, "lineitem")).withColumnRenamed("l_partkey", "p_partkey")
     joined = item.join(table(spark, sf_dir, "part"), "p_partkey")
     price = F.col("l_extendedprice").cast("decimal(12,2)")
     kept = (F.lit(1.0) - F.col("l_discount")).cast("decimal(3,2)")

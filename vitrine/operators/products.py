@@ -8,7 +8,9 @@ is built once per page.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vitrine.functions import html as H
@@ -227,35 +229,46 @@ def extract_products(
     The extras are ``volume_unit`` (ml or g), ``in_stock`` and the ``skin_types`` array.
     """
     listing = F.col("category") if "category" in pages.columns else F.lit(None).cast("string")
+    records = pages.select(F.col("url").alias("source_url"), listing.alias("listing_category"), "html")
+    gateway = id(SparkContext._gateway)
+    for columns in _stages(gateway, profile, brand, best_rating):
+        records = records.select(*columns)
+    more = ["volume_unit", "in_stock", "skin_types", "crumb_ld", "crumb_links"] if extras else []
+    return records.select(*FIELDS, *more)
 
-    read = pages.select(
-        F.col("url").alias("source_url"),
-        listing.alias("listing_category"),
-        "html",
-        J.block_array(F.col("html"), profile.flatten_lists).alias("blocks"),
-        visible_text(F.col("html")).alias("text"),
-    )
+
+@lru_cache(maxsize=64)
+def _stages(gateway: int, profile: Profile, brand: str, best_rating: bool) -> list[list[Column | str]]:
+    """The select lists of ``extract_products``, one after the other.
+
+    Columns do not belong to a table, so they are built once per profile: the many
+    calls into the JVM that build them take longer than planning the query.
+    """
+    html, text, lower = F.col("html"), F.col("text"), F.col("text_lower")
+    read = [
+        "*",
+        J.block_array(html, profile.flatten_lists).alias("blocks"),
+        visible_text(html).alias("text"),
+    ]
     found = J.of_type(F.col("blocks"), "Product")
-    ready = read.select(
+    ready = [
         "*",
         F.lower("text").alias("text_lower"),
         # A structured page is described by its first Product block only.
         (F.slice(found, 1, 1) if profile.flatten_lists else found).alias("products"),
-        H.zone_text(F.col("html"), profile.price_zone).alias("price_zone"),
-    )
-    text, lower = F.col("text"), F.col("text_lower")
+        H.zone_text(html, profile.price_zone).alias("price_zone"),
+    ]
     by_label = profile.swatches is None
-    named = ready.select(
+    named = [
         "*",
         _name(profile).alias("product_name"),
         _found_prices(profile).alias("found_prices"),
         F.translate(_first(F.col("products"), _ld_price), ",", ".").try_cast(_MONEY).alias("ld_price"),
         number(text if by_label else lower, SHADE_LABEL if by_label else SHADE_TEXT, "int").alias("told_shades"),
         (F.regexp_extract_all(text, F.lit(SHADE_NAME), F.lit(0)) if by_label else F.array()).alias("shade_names"),
-    )
-    zoned = named.select(
-        "*", _volume_text(profile).alias("volume_text"), _shown_shades(profile).alias("shown_shades")
-    )
+    ]
+    zoned = ["*", _volume_text(profile).alias("volume_text"), _shown_shades(profile).alias("shown_shades")]
+
     ml, grams = volumes(
         F.col("volume_text"),
         any_case=profile.volume_any_case, ml_ends_word=profile.ml_ends_word, g_ends=profile.g_ends,
@@ -289,10 +302,8 @@ def extract_products(
         else first_match(F.substring("text_lower", 1, profile.coverage_window), profile.coverage),
         "skin_types": all_matches(lower, profile.skin, SKIN_ANCHORS),
     }
-    fields = zoned.select(
-        "source_url", "listing_category", "product_name", *[c.alias(n) for n, c in values.items()]
-    )
-    records = fields.select(
+    fields = ["source_url", "listing_category", "product_name", *[c.alias(n) for n, c in values.items()]]
+    settled = [
         "*",
         settle_category(profile, F.col("listing_category"), F.col("crumb_ld"), F.col("crumb_links")).alias("category"),
         F.when(F.size("skin_types") > 0, F.array_join("skin_types", TAG_JOIN)).alias("skin_type"),
@@ -300,9 +311,8 @@ def extract_products(
         F.when(F.col("ml").isNotNull(), "ml").when(F.col("grams").isNotNull(), "g").alias("volume_unit"),
         F.when(F.col("sold_out"), profile.out_label).otherwise(profile.in_stock_label).alias("availability"),
         (~F.col("sold_out")).alias("in_stock"),
-    )
-    more = ["volume_unit", "in_stock", "skin_types", "crumb_ld", "crumb_links"] if extras else []
-    return records.select(*FIELDS, *more)
+    ]
+    return [read, ready, named, zoned, fields, settled]
 
 
 def named_only(records: DataFrame) -> DataFrame:

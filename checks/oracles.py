@@ -399,7 +399,7 @@ def all_sql() -> dict[str, str]:
         "keyword_gate_rows": f"""SELECT page_id, url FROM pages WHERE NOT {any_word('lower(url)', STRUCTURED_EXCLUDED)}
  AND (page_id % 2 = 1 OR contains(lower(url), 'blog') OR contains(lower(url), '/en/') OR contains(lower(url), '/teint/'))""",
         "keyword_gate_parts": "SELECT p_partkey, p_name FROM part WHERE (p_name LIKE '%red%' OR p_name LIKE '%blue%') AND p_name NOT LIKE '%rod%'",
-        "pattern_gate_pages": r"SELECT page_id, url FROM pages WHERE contains(url, 'example.com/') AND regexp_matches(url, '/\d{4}\.html(?:\?|$)') AND suffix(url, '.html')",
+        "pattern_gate_pages": r"SELECT page_id, url FROM pages WHERE contains(url, 'example.com/') AND regexp_matches(url, '/\d{3,}\.html(?:\?|$)') AND suffix(url, '.html')",
         "first_seen_links": f"""WITH {LINKS} SELECT href, page_id, pos FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY href ORDER BY page_id, pos) AS rn FROM links) WHERE rn = 1""",
         "first_seen_in_page": f"WITH {LINKS} SELECT page_id, href, MIN(pos) AS pos FROM links GROUP BY page_id, href",
         "first_seen_article": offers(r"""SELECT source, source_url, price, shade_count, promo_price, article FROM (

@@ -90,6 +90,12 @@ def test_volume(value):
     assert tuple(value("12 gr", both)) == (None, None)
 
 
+def test_long_digit_runs_are_linear(value):
+    assert value("7" * 300_000 + " x 12 teintes", lambda s: number(s, r"(\d+) teinte", "int")) == 12
+    assert [float(x) for x in value("7" * 300_000 + " 9 €", v.prices)] == [9.0]
+    assert value("12x" + "7" * 20 + " ml", lambda s: v.volume(s)[0]) is None   # too long for the column
+
+
 def test_number_of_blank_is_null(value):
     assert value("none", lambda s: number(s, r"(\d+)")) is None
 

@@ -6,10 +6,10 @@ from pyspark.sql import Column, functions as F
 
 from vitrine.functions.html import any_of, equals, tag
 from vitrine.functions.once import keep_if, let, nonblank
-from vitrine.functions.text import BLANK
+from vitrine.functions.text import strip
 
 _OPENING = any_of(tag(equals("type", "application/ld+json"), name="script"))
-_SCRIPT = rf"(?s){_OPENING.pattern}[{BLANK}]*+(.*?)[{BLANK}]*+</(?i:script)\s*+>"
+_SCRIPT = rf"(?s){_OPENING.pattern}(.*?)</(?i:script)\s*+>"
 
 
 def _is_object(value: Column) -> Column:
@@ -20,7 +20,7 @@ def _only_value(text: Column) -> Column:
     """The one JSON value of a text; null for none, several or trailing characters."""
     # The parser stops behind the first value; the brackets make it read to the end.
     values = F.try_variant_get(
-        F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "$", "array<variant>"
+        F.try_parse_json(F.concat(F.lit("["), strip(text), F.lit("]"))), "$", "array<variant>"
     )
     return F.get(keep_if(values, lambda x: F.size(x) == 1), F.lit(0))
 

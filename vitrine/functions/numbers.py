@@ -14,16 +14,26 @@ CENT_PRICE = r"\d+[.,]\d{2}"
 _NUMBER = r"\d+(?:[.,]\d+)?"
 
 
+def _runs(pattern: str) -> str:
+    """``pattern`` with its leading number tried at the start of a digit run only.
+
+    A match from inside a run could always start earlier, so nothing is lost; without
+    it a text of n digits costs n attempts of up to n steps.
+    """
+    flags, body = (pattern[:4], pattern[4:]) if pattern.startswith("(?i)") else ("", pattern)
+    return flags + r"(?<!\d)" + body if body.startswith(r"(\d+") else pattern
+
+
 def number(text: Column, pattern: str, kind: str = "decimal(12,2)") -> Column:
     """First captured number, comma or point, as ``kind``; null when absent."""
     # Casting an empty string to DECIMAL costs a Java exception per row.
-    return F.translate(nonblank(F.regexp_extract(text, pattern, 1)), ",", ".").try_cast(kind)
+    return F.translate(nonblank(F.regexp_extract(text, _runs(pattern), 1)), ",", ".").try_cast(kind)
 
 
 def prices(text: Column, pattern: str = ANY_PRICE, low: float | None = 1, high: float | None = 500) -> Column:
     """Distinct euro prices of the text, highest first, within the open range."""
     dotted = F.translate(text, ",", ".")  # once per text instead of once per price
-    found = F.regexp_extract_all(dotted, F.lit(rf"({pattern}){GAP}€"), F.lit(1))
+    found = F.regexp_extract_all(dotted, F.lit(_runs(rf"({pattern}){GAP}€")), F.lit(1))
     amounts = F.filter(
         found.try_cast("array<decimal(12,2)>"),
         lambda p: p.isNotNull()

@@ -41,14 +41,14 @@ def test_structured_links(listing):
 
 
 def test_widget_links_by_article(listing):
-    pages, config = listing((1, """<a href="/fr/a-foundation/999NAC01.html">1</a><a href="/fr/b-foundation/999NAC01.html">same article</a>
+    pages, config = listing((1, """<a href="/fr/a-foundation/999ABC01.html">1</a><a href="/fr/b-foundation/999ABC01.html">same article</a>
         <a href="/fr/c-foundation/0123456789.html">2</a><a href="/fr/c-foundation/x.html">3</a><a href="/fr/foundation/y.html?q">no: query</a>
         <a href="/fr/foundation-duo/z.html">no: excluded</a><a href="/fr/blush/z.html">no: keyword</a>""", "fond de teint", ["foundation"]),
-        (2, '<a href="/fr/d-foundation/999NAC01.html">other listing</a>', "correcteur", ["foundation"]))
+        (2, '<a href="/fr/d-foundation/999ABC01.html">other listing</a>', "correcteur", ["foundation"]))
     links = v.collect_links(pages, config, v.WIDGET, BASE)
     assert [u for u, _ in found(links)] == [
-        "/fr/a-foundation/999NAC01.html", "/fr/c-foundation/0123456789.html", "/fr/c-foundation/x.html",
-        "/fr/d-foundation/999NAC01.html",   # articles are compared inside one listing only
+        "/fr/a-foundation/999ABC01.html", "/fr/c-foundation/0123456789.html", "/fr/c-foundation/x.html",
+        "/fr/d-foundation/999ABC01.html",   # articles are compared inside one listing only
     ]
 
 
@@ -64,6 +64,21 @@ def test_retail_selector_chain(listing, html, want):
     assert [u for u, _ in found(v.collect_links(pages, config, v.RETAIL, BASE))] == want
 
 
+def test_large_listing_gives_the_same_links(listing, spark, monkeypatch):
+    pages, _ = listing(
+        (0, '<a href="/x/hd-skin-I00001.html?a">a</a><a href="/x/none-I00002.html">b</a><a href="/x/brush-I00003.html">c</a>', "", []),
+        (1, '<a href="/x/hd-skin-I00001.html">a</a><a href="/x/concealer-I00004.html">d</a>', "", []),
+        (2, '<a href="/x/hd-skin-I00009.html">not listed</a>', "", []),
+    )
+    words = v.LISTING_KEYWORDS["structured"]
+    config = v.listing_table(spark, "s", [("l0", "fond de teint"), ("l1", "correcteur")], words)
+    want = [("/x/hd-skin-I00001.html", "fond de teint"), ("/x/concealer-I00004.html", "correcteur")]
+    small = v.collect_links(pages, config, v.STRUCTURED, BASE)
+    assert found(small) == want and "Broadcast" in small._jdf.queryExecution().toString()
+    monkeypatch.setattr("vitrine.operators.links.SMALL_LISTING", 1)
+    assert found(v.collect_links(pages, config, v.STRUCTURED, BASE)) == want
+
+
 def test_first_seen_is_idempotent_and_partition_free(spark):
     rows = [(i % 7, i % 3, i, f"v{i}") for i in range(200)]
     df = spark.createDataFrame(rows, "key int, listing_no int, pos int, v string")

@@ -7,7 +7,7 @@ from vitrine.functions.urls import absolute_url, canonical_url, slug
 from vitrine.operators.blocks import json_ld_blocks, pick_block, with_text
 from vitrine.operators.links import (
     article_key, attach_listing, attach_pages, extract_links, first_seen, frontier, keyword_gate,
-    pattern_gate, product_links, take_first, unique_links,
+    listing_table, pattern_gate, product_links, take_first, unique_links,
 )
 from vitrine.operators.master import (
     brand_group, build_master, harmonise, number_rows, price_direction, split_family, unmapped,
@@ -19,7 +19,7 @@ from vitrine.operators.metrics import (
 from vitrine.operators.products import extract_products, named_only
 from vitrine.plans.collect import collect_catalogue, collect_links, page_records
 from vitrine.plans.report import brand_report
-from vitrine.profiles import PROFILES, RETAIL, STRUCTURED, WIDGET, LinkRules, Profile
+from vitrine.profiles import LISTING_KEYWORDS, PROFILES, RETAIL, STRUCTURED, WIDGET, LinkRules, Profile
 from vitrine.schema import CANONICAL, FEED, FIELDS, RAW, conform, to_canonical
 from vitrine.sources import (
     feed_products, read_catalog_csv, read_catalogs, read_feed, read_pages, spread, write_catalog_csv,

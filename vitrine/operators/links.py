@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vitrine.functions.html import Selector, all_tags, any_of, attribute, elements, tag
 from vitrine.functions.once import keep_if
@@ -111,23 +111,53 @@ def first_seen(df: DataFrame, key: Sequence[str | Column], order: Sequence[str])
     return best.select("_row.*")
 
 
+def listing_table(
+    spark: SparkSession, source: str, entries: Sequence[tuple[str, str]], keywords: Mapping[str, Sequence[str]] = {}
+) -> DataFrame:
+    """Listing config from ``(url, category)`` pairs in crawl order and keywords per category."""
+    rows = [
+        (source, number, url, category, list(keywords.get(category, [])))
+        for number, (url, category) in enumerate(entries)
+    ]
+    return spark.createDataFrame(
+        rows, "source string, listing_no int, url string, category string, positive array<string>"
+    )
+
+
 def attach_listing(pages: DataFrame, listing: DataFrame) -> DataFrame:
-    """Stored listing pages with the source, number, category and keywords of their listing."""
+    """Rows of stored pages with the source, number, category and keywords of their listing."""
     return pages.join(listing, "url", "inner")
 
 
-def product_links(listing_pages: DataFrame, profile: Profile, base: str, domain: str | None = None) -> DataFrame:
-    """Candidate product links ``(source, listing_no, pos, url, category)``.
+#: Listings up to this many rows, a few hundred bytes each, are broadcast.
+SMALL_LISTING = 20_000
+
+
+def product_links(
+    pages: DataFrame, listing: DataFrame, profile: Profile, base: str, domain: str | None = None
+) -> DataFrame:
+    """Candidate product links ``(source, listing_no, pos, url, category)`` of the listing pages.
 
-    ``listing_pages`` comes from ``attach_listing``. Every step is row-local.
+    A small listing, counted up to its bound, is broadcast and picks its pages before
+    they are parsed. A larger one is joined to the gated links: short rows are
+    shuffled then, not pages.
     """
     rules = profile.links
-    pages = listing_pages.select("source", "listing_no", "category", "positive", "html")
-    links = _explode_anchors(pages, rules, "html", "url", lambda href: absolute_url(href, base))
-    links = pattern_gate(links.filter(F.col("url").isNotNull()), "url", domain, rules.pattern, rules.suffix)
-    links = links.withColumn("url", canonical_url(F.col("url")))
-    links = keyword_gate(links, "url", "positive", rules.exclude, rules.allow)
-    return links.select("source", "listing_no", "pos", "url", "category")
+    stored = pages.select("url", "html")
+    if listing.limit(SMALL_LISTING + 1).count() <= SMALL_LISTING:
+        links = _candidates(attach_listing(stored, F.broadcast(listing)), rules, base, domain)
+    else:
+        links = attach_listing(_candidates(stored, rules, base, domain), listing)
+    links = keyword_gate(links, "link", "positive", allow=rules.allow)
+    return links.select("source", "listing_no", "pos", F.col("link").alias("url"), "category")
+
+
+def _candidates(pages: DataFrame, rules: LinkRules, base: str, domain: str | None) -> DataFrame:
+    """Anchors as ``link`` that pass every gate except the listing's own keywords."""
+    links = _explode_anchors(pages, rules, "html", "link", lambda href: absolute_url(href, base))
+    links = pattern_gate(links.filter(F.col("link").isNotNull()), "link", domain, rules.pattern, rules.suffix)
+    links = links.withColumn("link", canonical_url(F.col("link")))
+    return keyword_gate(links, "link", exclude=rules.exclude)
 
 
 def article_key(url: Column, pattern: str) -> Column:

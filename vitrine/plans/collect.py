@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from vitrine.functions.urls import canonical_url
 from vitrine.operators.links import (
-    attach_listing, first_seen, keyword_gate, pattern_gate, product_links, take_first, unique_links,
+    first_seen, keyword_gate, pattern_gate, product_links, take_first, unique_links,
 )
 from vitrine.operators.products import extract_products, named_only, settle_category
 from vitrine.profiles import Profile
@@ -17,8 +17,7 @@ def collect_links(
     pages: DataFrame, listing: DataFrame, profile: Profile, base: str, domain: str | None = None
 ) -> DataFrame:
     """Unique product links ``(source, listing_no, pos, url, category)`` of the listing pages."""
-    links = product_links(attach_listing(pages, listing), profile, base, domain)
-    return unique_links(links, profile.links.article)
+    return unique_links(product_links(pages, listing, profile, base, domain), profile.links.article)
 
 
 def page_records(

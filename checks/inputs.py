@@ -28,9 +28,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``source``, the 14 product fields and ``page_text``; one row per line item."""
-    item = spread(table(spark, sf_dir, "lineitem")).withColumnRenamed("l_partkey", "p_partkey")
+def offers(spark: SparkSession, sf_dir: str, *, costly: bool = False) -> DataFrame:
+    """``source``, the 14 product fields and ``page_text``; one row per line item.
+
+    ``costly`` says that the caller works hard on each row, so that a table of fewer
+    files than cores is worth spreading first.
+    """
+    item = table(spark, sf_dir, "lineitem")
+    item = (spread(item) if costly else item).withColumnRenamed("l_partkey", "p_partkey")
     joined = item.join(table(spark, sf_dir, "part"), "p_partkey")
     price = F.col("l_extendedprice").cast("decimal(12,2)")
     kept = (F.lit(1.0) - F.col("l_discount")).cast("decimal(3,2)")
@@ -64,8 +69,8 @@ def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.select("source", *FIELDS, page_text.alias("page_text"))
 
 
-def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return offers(spark, sf_dir).select("source", *FIELDS)
+def catalogue(spark: SparkSession, sf_dir: str, *, costly: bool = False) -> DataFrame:
+    return offers(spark, sf_dir, costly=costly).select("source", *FIELDS)
 
 
 def by_source(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

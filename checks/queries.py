@@ -135,7 +135,7 @@ def promo_depth(s, d):
 
 
 def completeness(s, d):
-    return v.completeness(I.catalogue(s, d))
+    return v.completeness(I.catalogue(s, d, costly=True))
 
 
 def rank_price(s, d):
@@ -164,12 +164,12 @@ def market_gap_rating(s, d):
 # ---- harmonisation -------------------------------------------------------------------
 
 def harmonised_labels(s, d):
-    fixed = v.harmonise(I.catalogue(s, d), VOCAB)
+    fixed = v.harmonise(I.catalogue(s, d, costly=True), VOCAB)
     return v.count_by(fixed, ["source", "finish_type", "coverage_level", "availability"])
 
 
 def unmapped_labels(s, d):
-    return v.unmapped(v.harmonise(I.catalogue(s, d), VOCAB), list(VOCAB))
+    return v.unmapped(v.harmonise(I.catalogue(s, d, costly=True), VOCAB), list(VOCAB))
 
 
 def brand_groups(s, d):
@@ -347,7 +347,7 @@ def document_counts(s, d):
 
 
 def offer_prices(s, d):
-    found = I.offers(s, d).select("source_url", "price", v.prices(F.col("page_text"), CENT_PRICE, 1, 50000).alias("found"))
+    found = I.offers(s, d, costly=True).select("source_url", "price", v.prices(F.col("page_text"), CENT_PRICE, 1, 50000).alias("found"))
     high, low = v.price_pair(F.col("found"))
     return found.select(
         "source_url", "price", high.alias("high"), low.alias("low"), F.size("found").alias("n_prices")
@@ -357,7 +357,7 @@ def offer_prices(s, d):
 def offer_text_fields(s, d):
     amount, unit = v.volume(F.col("page_text"), ml_ends_word=True)
     shades = number(F.col("page_text"), SHADE_LABEL, "int")
-    return I.offers(s, d).groupBy(amount.alias("volume"), unit.alias("unit"), shades.alias("shades")).agg(
+    return I.offers(s, d, costly=True).groupBy(amount.alias("volume"), unit.alias("unit"), shades.alias("shades")).agg(
         F.count("*").alias("n")
     )
 

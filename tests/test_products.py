@@ -12,14 +12,23 @@ def ld(*blocks):
 
 
 @pytest.fixture
-def record(spark):
-    def run(kind, html, category=None, **options):
-        pages = spark.createDataFrame([("u", html, category)], "url string, html string, category string")
-        return v.extract_products(pages, v.PROFILES[kind], "Maison", extras=True, **options).first()
+def records(spark):
+    """Records of several pages, each an HTML text or (HTML text, category), in order."""
+
+    def run(kind, *pages, **options):
+        rows = [(f"u{i:03}", *(p if isinstance(p, tuple) else (p, None))) for i, p in enumerate(pages)]
+        table = spark.createDataFrame(rows, "url string, html string, category string").coalesce(1)
+        found = v.extract_products(table, v.PROFILES[kind], "Maison", extras=True, **options)
+        return sorted(found.collect(), key=lambda r: r.source_url)
 
     return run
 
 
+@pytest.fixture
+def record(records):
+    return lambda kind, html, category=None, **options: records(kind, (html, category), **options)[0]
+
+
 def test_structured_ld_wins(record):
     r = record("structured", ld(
         "{broken",
@@ -54,37 +63,39 @@ def test_structured_text_fallbacks(record):
     assert r.availability == "En stock"
 
 
-def test_structured_price_rules(record):
-    price = lambda html: record("structured", html)[3:5]
+def test_structured_price_rules(records):
     offer = ld('{"@type":"Product","offers":{"price":"20"}}')
-    assert price(offer + "<p class='price'>30 €</p>") == (Decimal(20), None)          # one price: JSON-LD stays
-    assert price(offer + "<p class='price'>30 € 25 €</p>") == (Decimal(30), Decimal(25))  # two override it
-    assert price(ld('{"@type":"Product","offers":[{"price":0},{"price":5}]}')) == (None, None)
-    assert price("<p>600 € 1 € 499,5 €</p>") == (Decimal("499.50"), None)             # open range (1, 500)
-    assert price("<p>" + "x" * 2000 + "</p><p>9 €</p>") == (None, None)               # beyond the first 2,000
-    assert price("<p class='price'>gratuit</p><p>9 €</p>") == (None, None)            # an empty zone still counts
+    cases = [
+        (offer + "<p class='price'>30 €</p>", (Decimal(20), None)),            # one price: JSON-LD stays
+        (offer + "<p class='price'>30 € 25 €</p>", (Decimal(30), Decimal(25))),  # two override it
+        (ld('{"@type":"Product","offers":[{"price":0},{"price":5}]}'), (None, None)),
+        ("<p>600 € 1 € 499,5 €</p>", (Decimal("499.50"), None)),               # open range (1, 500)
+        ("<p>" + "x" * 2000 + "</p><p>9 €</p>", (None, None)),                 # beyond the first 2,000
+        ("<p class='price'>gratuit</p><p>9 €</p>", (None, None)),              # an empty zone still counts
+    ]
+    assert [(r.price, r.promo_price) for r in records("structured", *[h for h, _ in cases])] == [w for _, w in cases]
 
 
-def test_structured_stop_phrase_and_button(record):
-    state = lambda html: record("structured", html).availability
-    assert state("<p>Rupture de stock</p>") == "Rupture"
-    assert state("<p>Rupture de stock</p><button>AJOUTER au panier</button>") == "En stock"
-    assert state("<p>Rupture de stock</p><button>Rajouter</button>") == "Rupture"
-    assert state('<p>Rupture de stock</p><button title="Ajouter"></button>') == "Rupture"
-    assert state("<p>Rupture de stock</p><script>t='ajouter'</script>") == "En stock"
+def test_structured_stop_phrase_and_button(records):
+    stop = "<p>Rupture de stock</p>"
+    pages = [stop, stop + "<button>AJOUTER au panier</button>", stop + "<button>Rajouter</button>",
+             stop + '<button title="Ajouter"></button>', stop + "<script>t='ajouter'</script>"]
+    assert [r.in_stock for r in records("structured", *pages)] == [False, True, False, False, True]
 
 
-def test_structured_category_chain(record):
+def test_structured_category_chain(records):
     crumb = ld('{"@type":"BreadcrumbList","itemListElement":[{"item":{"name":"LEVRES"}},{"item":{"name":"x"}}]}')
     links = '<nav class="breadcrumb"><a>a</a><a>Yeux</a></nav>'
-    category = lambda html, listing: record("structured", html, listing).category
-    assert category(crumb + links, "teint") == "levres"
-    assert category(crumb + links, "levres") == "yeux"      # same as the listing: the markup is asked
-    assert category(crumb, "levres") == "levres"
-    assert category("<p>", "teint") == "teint"
-    assert category('<nav class="breadcrumb"><a>a</a></nav>', "teint") == "teint"
-    assert category(ld('{"@type":"BreadcrumbList","itemListElement":[{"item":{"name":"seul"}}]}'), "teint") == "teint"
-    assert category(ld('{"@type":"BreadcrumbList","itemListElement":[{"item":"url"},{"item":{}}]}'), "teint") == "teint"
+    cases = [
+        (crumb + links, "teint", "levres"),
+        (crumb + links, "levres", "yeux"),      # same as the listing: the markup is asked
+        (crumb, "levres", "levres"),
+        ("<p>", "teint", "teint"),
+        ('<nav class="breadcrumb"><a>a</a></nav>', "teint", "teint"),
+        (ld('{"@type":"BreadcrumbList","itemListElement":[{"item":{"name":"seul"}}]}'), "teint", "teint"),
+        (ld('{"@type":"BreadcrumbList","itemListElement":[{"item":"url"},{"item":{}}]}'), "teint", "teint"),
+    ]
+    assert [r.category for r in records("structured", *[c[:2] for c in cases])] == [c[2] for c in cases]
 
 
 def test_best_rating_is_optional(record):
@@ -93,14 +104,16 @@ def test_best_rating_is_optional(record):
     assert record("structured", html, best_rating=False).rating == Decimal("3.5")
 
 
-def test_structured_shades(record):
-    shades = lambda html: record("structured", html).shade_count
-    assert shades("<i class='swatch'></i><i class='swatch'></i><p>12 teintes</p>") == 12
-    assert shades("<i class='swatch'></i>") is None
-    assert shades("<i class='swatch'></i>" * 99) == 99
-    assert shades("<i class='swatch'></i>" * 100) is None
-    assert shades('<div data-attr="color"><button>1</button><button class="swatch">2</button></div><button>x</button>') == 2
-    assert shades('<ul class="colors"><li>1</li><li>2</li></ul><ul><li>3</li></ul>') == 2
+def test_structured_shades(records):
+    cases = [
+        ("<i class='swatch'></i><i class='swatch'></i><p>12 teintes</p>", 12),
+        ("<i class='swatch'></i>", None),
+        ("<i class='swatch'></i>" * 99, 99),
+        ("<i class='swatch'></i>" * 100, None),
+        ('<div data-attr="color"><button>1</button><button class="swatch">2</button></div><button>x</button>', 2),
+        ('<ul class="colors"><li>1</li><li>2</li></ul><ul><li>3</li></ul>', 2),
+    ]
+    assert [r.shade_count for r in records("structured", *[h for h, _ in cases])] == [n for _, n in cases]
 
 
 def test_widget(record):

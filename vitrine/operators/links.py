@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vitrine.functions.html import Selector, all_tags, any_of, attribute, elements, tag
-from vitrine.functions.once import keep_if
+from vitrine.functions.once import keep_if, let
 from vitrine.functions.rules import one_of
 from vitrine.functions.text import strip
 from vitrine.functions.urls import absolute_url, canonical_url
@@ -46,7 +46,7 @@ def _explode_anchors(
     """
     rest = [c for c in pages.columns if c != html]
     hrefs = F.transform(
-        _anchor_tags(F.col(html), rules), lambda a: shape(strip(attribute(a, "href")))
+        _anchor_tags(F.col(html), rules), lambda a: let(strip(attribute(a, "href")), shape)
     )
     return pages.select(*rest, F.posexplode(hrefs).alias("pos", name))
 

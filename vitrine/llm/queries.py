@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vitrine.llm import line_dedup
+from vitrine.llm import line_dedup, quality
 from vitrine.llm.core import table
 
 
@@ -10,5 +10,9 @@ def op3_line_dedup(spark, sf_dir):
     return line_dedup.line_dedup_digest(table(spark, sf_dir, "documents"))
 
 
-ALL = {"op3_line_dedup": op3_line_dedup}
+def op9_quality(spark, sf_dir):
+    return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ALL = {"op3_line_dedup": op3_line_dedup, "op9_quality": op9_quality}
 SQL = {"op3_line_dedup": line_dedup.SQL}

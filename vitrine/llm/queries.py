@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vitrine.llm import line_dedup, quality
+from vitrine.llm import decontam, line_dedup, quality
 from vitrine.llm.core import table
 
 
@@ -10,9 +10,13 @@ def op3_line_dedup(spark, sf_dir):
     return line_dedup.line_dedup_digest(table(spark, sf_dir, "documents"))
 
 
+def op4_decontam(spark, sf_dir):
+    return decontam.decontam_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_quality(spark, sf_dir):
     return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-ALL = {"op3_line_dedup": op3_line_dedup, "op9_quality": op9_quality}
-SQL = {"op3_line_dedup": line_dedup.SQL}
+ALL = {"op3_line_dedup": op3_line_dedup, "op4_decontam": op4_decontam, "op9_quality": op9_quality}
+SQL = {"op3_line_dedup": line_dedup.SQL, "op4_decontam": decontam.SQL}

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from vitrine.functions.once import let
-from vitrine.llm.core import SPACE, ascii_lower
+from vitrine.llm.core import SPACE, ascii_lower, stored
 
 MIN_CHARS, MIN_DOCS = 40, 5
 LEAST_SALTS = 64
@@ -67,7 +67,8 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
     Bit i of word w is set if line 64 w + i is dropped; lines of all other words are kept. ``row`` is a
     hash of the text and tells rows of one doc_id apart; rows that are wholly equal share a bitmap.
     """
-    frequent = frequent_lines(docs, min_chars, min_docs)
+    # Stored, so that the join has nothing but two plain exchanges, which Spark can split at a hot line.
+    frequent = stored(frequent_lines(docs, min_chars, min_docs), "frequent-lines")
     at = docs.select(
         F.col("doc_id"), F.xxhash64("text").alias("row"), F.posexplode(_keys(F.col("text"), min_chars)).alias("pos", "k"),
     ).where("k is not null").select("doc_id", "row", "pos", "k.a", "k.b")

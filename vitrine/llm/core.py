@@ -59,3 +59,10 @@ def pair_up(values: Column, step: int, join) -> Column:
 def worker_cache() -> dict:
     """A dictionary that outlives tasks in a Python worker."""
     return sys.modules.setdefault("_vitrine_llm_cache", types.ModuleType("_vitrine_llm_cache")).__dict__
+
+
+def small_batches(spark: SparkSession, rows: int = 512) -> None:
+    """Rows of whole texts go to Python in small batches, so that a worker holds few of them."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))

@@ -2,9 +2,23 @@
 
 from __future__ import annotations
 
-from vitrine.llm import decontam, line_dedup, quality
+from vitrine.llm import decontam, html_cut, line_dedup, quality, sentence_pieces, token_counts, url_rules
 from vitrine.llm.core import table
 
+MODEL, TOKEN_LIMIT = "piece_bpe_32k.model", 4096
+
+
+def model_file(name: str = MODEL) -> bytes:
+    """A vocabulary file of the installed public tokenizers."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), "rb") as f:
+        return f.read()
+
+
+def op2_html(spark, sf_dir):
+    return html_cut.extract(table(spark, sf_dir, "pages"))
+
 
 def op3_line_dedup(spark, sf_dir):
     return line_dedup.line_dedup_digest(table(spark, sf_dir, "documents"))
@@ -14,9 +28,29 @@ def op4_decontam(spark, sf_dir):
     return decontam.decontam_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_url_rules(spark, sf_dir):
+    return url_rules.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
+def op6_sentence_pieces(spark, sf_dir):
+    return sentence_pieces.encode(table(spark, sf_dir, "documents"), model_file())
+
+
+def op7_token_counts(spark, sf_dir):
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), model_file(), TOKEN_LIMIT)
+
+
 def op9_quality(spark, sf_dir):
     return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-ALL = {"op3_line_dedup": op3_line_dedup, "op4_decontam": op4_decontam, "op9_quality": op9_quality}
+ALL = {
+    "op2_html": op2_html,
+    "op3_line_dedup": op3_line_dedup,
+    "op4_decontam": op4_decontam,
+    "op5_url_rules": op5_url_rules,
+    "op6_sentence_pieces": op6_sentence_pieces,
+    "op7_token_counts": op7_token_counts,
+    "op9_quality": op9_quality,
+}
 SQL = {"op3_line_dedup": line_dedup.SQL, "op4_decontam": decontam.SQL}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vitrine.llm import decontam, html_cut, line_dedup, quality, sentence_pieces, token_counts, url_rules
+from vitrine.llm import decontam, html_cut, jaccard_join, line_dedup, quality, sentence_pieces, token_counts, url_rules
 from vitrine.llm.core import table
 
 MODEL, TOKEN_LIMIT = "piece_bpe_32k.model", 4096
@@ -40,6 +40,10 @@ def op7_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), model_file(), TOKEN_LIMIT)
 
 
+def op8_near_copies(spark, sf_dir):
+    return jaccard_join.near_copies(table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark, sf_dir):
     return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -51,6 +55,7 @@ ALL = {
     "op5_url_rules": op5_url_rules,
     "op6_sentence_pieces": op6_sentence_pieces,
     "op7_token_counts": op7_token_counts,
+    "op8_near_copies": op8_near_copies,
     "op9_quality": op9_quality,
 }
-SQL = {"op3_line_dedup": line_dedup.SQL, "op4_decontam": decontam.SQL}
+SQL = {"op3_line_dedup": line_dedup.SQL, "op4_decontam": decontam.SQL, "op8_near_copies": jaccard_join.SQL}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vitrine.llm import decontam, html_cut, jaccard_join, line_dedup, quality, sentence_pieces, token_counts, url_rules
+from vitrine.llm import decontam, html_cut, jaccard_join, line_dedup, quality, sentence_pieces, suffix_dedup, token_counts, url_rules
 from vitrine.llm.core import table
 
 MODEL, TOKEN_LIMIT = "piece_bpe_32k.model", 4096
@@ -16,6 +16,10 @@ def model_file(name: str = MODEL) -> bytes:
         return f.read()
 
 
+def op1_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.suffix_dedup_digest(table(spark, sf_dir, "documents"))
+
+
 def op2_html(spark, sf_dir):
     return html_cut.extract(table(spark, sf_dir, "pages"))
 
@@ -49,6 +53,7 @@ def op9_quality(spark, sf_dir):
 
 
 ALL = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_html": op2_html,
     "op3_line_dedup": op3_line_dedup,
     "op4_decontam": op4_decontam,

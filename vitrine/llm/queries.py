@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vitrine.llm import decontam, html_cut, jaccard_join, line_dedup, quality, sentence_pieces, suffix_dedup, token_counts, url_rules
+from vitrine.llm import decontam, html_cut, jaccard_join, kneser_ney, line_dedup, quality, sentence_pieces, suffix_dedup, token_counts, url_rules
 from vitrine.llm.core import table
 
 MODEL, TOKEN_LIMIT = "piece_bpe_32k.model", 4096
@@ -52,6 +52,10 @@ def op9_quality(spark, sf_dir):
     return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_kneser_ney(spark, sf_dir):
+    return kneser_ney.held_out_scores(table(spark, sf_dir, "documents"))
+
+
 ALL = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_html": op2_html,
@@ -62,5 +66,6 @@ ALL = {
     "op7_token_counts": op7_token_counts,
     "op8_near_copies": op8_near_copies,
     "op9_quality": op9_quality,
+    "op10_kneser_ney": op10_kneser_ney,
 }
 SQL = {"op3_line_dedup": line_dedup.SQL, "op4_decontam": decontam.SQL, "op8_near_copies": jaccard_join.SQL}

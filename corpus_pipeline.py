@@ -4,8 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vitrine.llm import line_dedup
+from vitrine.llm import decontam, jaccard_join, line_dedup, quality, sentence_pieces
 from vitrine.llm.core import stored, table
+from vitrine.llm.queries import model_file
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    return quality.kept_rows(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,8 +21,34 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
         "n_chars", F.char_length("kept_text").cast("bigint")).select(docs.columns)
 
 
-STAGES = [("line dedup", drop_repeated_lines)]
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest doc_id stays; of wholly equal rows one does."""
+    first = jaccard_join.near_copies(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    first = first.select(F.col("doc_id").alias("first")).distinct()
+    stay = docs.join(first, F.col("doc_id").eqNullSafe(F.col("first")), "left_semi")
+    return stay.withColumn("hash of text", F.xxhash64("text")).dropDuplicates(["doc_id", "hash of text"]).select(docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a passage of the benchmark go."""
+    hits = decontam.with_hits(docs, table(spark, sf_dir, "benchmark"), list(docs.columns))
+    return hits.where("n_hit = 0").select(docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_tokens, ids, round_trip) of what is left."""
+    return sentence_pieces.encode(docs, model_file())
+
+
+STAGES = [
+    ("quality rules", keep_quality),
+    ("line dedup", drop_repeated_lines),
+    ("near copies", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("token identifiers", encode),
+]
 
+# Quality verdicts and identifiers have no SQL; tests/llm compares run() with a brute-force version.
 ORACLE_SQL = None
 
 

@@ -26,8 +26,9 @@ SYMBOLS = "#*$%&|<>"  # fixed value
 
 
 def _with_words(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, words, hashes): words of each text, and a hash of each."""
-    split = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), space_words(F.col("text")).alias("words"))
+    """(own, text, words, hashes): each row as it is, the words of its text, and a hash of each."""
+    split = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own"),
+                        F.coalesce("text", F.lit("")).alias("text"), space_words(F.col("text")).alias("words"))
     return split.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
 
 
@@ -105,12 +106,12 @@ def _repeated(hashes: Column) -> Column:
 
 
 def features(docs: DataFrame, weights: Column) -> DataFrame:
-    """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, score) of every row."""
+    """(own, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, score) of every row."""
     text, words = F.col("text"), F.col("words")
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     split = _with_words(docs).withColumn("pairs", _pairs(F.col("hashes")))
     return split.select(
-        "doc_id", F.size(words).cast("bigint").alias("n_words"),
+        "own", F.size(words).cast("bigint").alias("n_words"),
         F.char_length(F.array_join(words, "")).cast("bigint").alias("word_chars"),
         F.char_length(F.regexp_replace(text, r"[^#*$%&|<>]+", "")).cast("bigint").alias("n_symbols"),
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("n_dup_lines"),
@@ -140,15 +141,26 @@ def threshold(docs: DataFrame, labels: DataFrame, weights: Column) -> float:
     return one.select(F.coalesce((F.col("low") + below) / 2, F.lit(float("-inf")))).first()[0]
 
 
-def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: the base counts, ``base_failed``, ``score`` and ``kept``.
+def with_verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Every row of ``docs`` as the struct ``own``, with the base counts, ``base_failed``, ``score`` and ``kept``.
 
-    Null and empty texts have no words and fail the base rule; repeated rows get equal verdicts; columns other
-    than doc_id and text are not read. An empty table gives an empty result.
+    Null and empty texts have no words and fail the base rule; repeated rows get equal verdicts; other columns
+    are handed on. An empty table gives an empty result.
     """
-    docs = docs.select("doc_id", "text")
-    weights = _weight_array(bucket_weights(docs, labels))
-    least = threshold(docs, labels, weights)
+    read = docs.select("doc_id", "text")
+    weights = _weight_array(bucket_weights(read, labels))
+    least = threshold(read, labels, weights)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     return features(docs, weights).withColumn("base_failed", failed).withColumn(
         "kept", ~F.col("base_failed") & (F.col("score") >= F.lit(least)))
+
+
+def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """One line per row: doc_id and what ``with_verdicts`` adds."""
+    out = with_verdicts(docs.select("doc_id", "text"), labels)
+    return out.select("own.doc_id", *out.columns[1:])
+
+
+def kept_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are kept, as they are."""
+    return with_verdicts(docs, labels).where("kept").select(*[F.col(f"own.`{c}`") for c in docs.columns])

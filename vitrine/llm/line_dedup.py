@@ -97,14 +97,14 @@ def with_kept_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int =
     kept = let(dense, lambda have: F.array_join(F.filter(lines, lambda x, i: F.coalesce(
         F.call_function("shiftrightunsigned", F.get(have, F.shiftright(i, 6)), i.bitwiseAND(63)).bitwiseAND(1) == 0,
         F.lit(True))), "\n"))
-    names = {c for c in docs.columns} - {"kept_text", "n_lines", "n_dropped"}
-    return joined.select(
-        *[F.col(f"own.`{c}`") for c in docs.columns if c in names],
+    worked = joined.select("own", F.struct(
         F.when(words.isNull(), F.coalesce("own.text", F.lit(""))).otherwise(kept).alias("kept_text"),
         F.size(lines).cast("bigint").alias("n_lines"),
         F.coalesce(F.aggregate(words, F.lit(0).cast("bigint"), lambda n, w: n + F.bit_count(w["bits"])), F.lit(0))
-        .cast("bigint").alias("n_dropped"),
-    )
+        .cast("bigint").alias("n_dropped")).alias("result"))
+    added = ["kept_text", "n_lines", "n_dropped"]
+    return worked.select(
+        *[F.col(f"own.`{c}`") for c in docs.columns if c not in added], *[F.col(f"result.{c}") for c in added])
 
 
 def line_dedup_digest(docs: DataFrame) -> DataFrame:

@@ -210,22 +210,21 @@ def maximal_repeats(before: list[bytes], after: list[bytes], length: int):
 
 
 def _covers(excerpts: DataFrame, length: int) -> DataFrame:
-    """(h, e, left, right): parts of excerpts (h, e, lo, hi, text) that repeat, as distances from the anchor."""
+    """(h, e, left, right): how far excerpts (h, e, lo, hi, text) repeat before and after the anchor.
+
+    All repeats of an excerpt hold its anchor, so their union is one range.
+    """
     def scanned(batches):
         import pyarrow as pa
 
         def group(h, rows):
-            out = []
             before = [r[3][:r[2]][::-1] for r in rows]
             after = [r[3][r[2]:] for r in rows]
-            best: dict[tuple[int, int], int] = {}
+            far = [(0, 0)] * len(rows)
             for left, right, members in maximal_repeats(before, after, length):
                 for m in members:
-                    if best.get((m, right), -1) < left:
-                        best[m, right] = left
-            for (m, right), left in best.items():
-                out.append((h, rows[m][0], left, right))
-            return out
+                    far[m] = max(far[m][0], left), max(far[m][1], right)
+            return [(h, rows[m][0], *far[m]) for m in range(len(rows)) if far[m][1]]
 
         now, rows, out = None, [], []
         schema = pa.schema([("h", pa.int64()), ("e", pa.int64()), ("left", pa.int32()), ("right", pa.int32())])
@@ -269,7 +268,8 @@ def _window_covers(excerpts: DataFrame, length: int) -> DataFrame:
 
     all_ = excerpts.mapInArrow(windows, "h bigint, e bigint, x int, w bigint, v bigint")
     many = stored(all_.groupBy("h", "x", "w", "v").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "repeated-windows")
-    return all_.join(many, ["h", "x", "w", "v"]).select("h", "e", F.col("x").alias("left"), (F.lit(length) - F.col("x")).alias("right"))
+    return all_.join(many, ["h", "x", "w", "v"]).groupBy("h", "e").agg(
+        F.max("x").alias("left"), F.max(F.lit(length) - F.col("x")).alias("right"))
 
 
 def _packed_texts(docs: DataFrame) -> DataFrame:
@@ -318,9 +318,9 @@ def repeated_ranges(docs: DataFrame, packed: DataFrame, length: int = LENGTH) ->
         _fetch(length), "h bigint, e bigint, lo int, hi int, text binary"), "excerpt-texts")
     covers = _covers(texts.join(sizes, "h", "left_anti"), length).union(_window_covers(texts.join(sizes, "h", "left_semi"), length))
     covers = covers.union(excerpts.where("twice").select("h", "e", F.col("hi").alias("left"), (length - F.col("lo")).alias("right")))
-    covers = stored(covers.groupBy("h", "e").agg(F.array_sort(F.collect_set(F.struct("left", "right"))).alias("parts")), "covers")
-    found = mixed.join(covers, ["h", "e"]).select("doc_id", "row", "pos", F.explode("parts").alias("p")).select(
-        "doc_id", "row", (F.col("pos") - F.col("p.left")).alias("start"), (F.col("pos") + F.col("p.right")).alias("stop"))
+    covers = stored(covers.groupBy("h", "e").agg(F.max("left").alias("left"), F.max("right").alias("right")), "covers")
+    found = mixed.join(covers, ["h", "e"]).select(
+        "doc_id", "row", (F.col("pos") - F.col("left")).alias("start"), (F.col("pos") + F.col("right")).alias("stop"))
     return sure.union(pure).union(found)
 
 
@@ -361,12 +361,15 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
         press = zstandard.ZstdDecompressor()
         for batch in batches:
-            out = []
-            for z, ranges in zip(batch.column("z").to_pylist(), batch.column("ranges").to_pylist()):
-                text = press.decompress(z)
+            out, ranges = [], batch.column("ranges")
+            ends, valid = ranges.offsets.to_numpy(), ranges.is_valid().to_pylist()
+            start, stop = (ranges.values.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            for i, z in enumerate(batch.column("z")):
+                text = press.decompress(z.as_buffer())
                 n = len(text)
-                if ranges:
-                    lo, hi = _joined(np.array([r["start"] for r in ranges]), np.array([r["stop"] for r in ranges]))
+                if valid[i] and ends[i] < ends[i + 1]:
+                    own = slice(ends[i], ends[i + 1])
+                    lo, hi = _joined(start[own], stop[own])
                     keep = np.ones(n, bool)
                     for a, b in zip(lo, hi):
                         keep[a:b] = False

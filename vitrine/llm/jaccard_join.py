@@ -14,8 +14,9 @@ Equal shingle sets are one class; classes are joined by partitioning the univers
   with all of their bands by sketch, which hashing makes very rare.
 * Pairs are pruned by a sketch of 512 parities (it never exceeds the true difference) and verified on the whole sets.
 
-Groups of near copies aren't turned into all pairs: each probe is first linked with one member of its signatures' groups;
-after the components of these links, only pairs between different components are left to be looked at.
+Groups of near copies aren't turned into all pairs: in ``ROUNDS`` rounds each probe is compared with one member of its
+signatures' groups that is close by sketch and in another component; after that all pairs between different components that
+are left are looked at, so no link that joins two components is lost.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from vitrine.llm.core import small_batches, stored
 
 WIDTH = 5  # words in a shingle
 LARGEST_DELETED = 48  # bands up to this size index one-deletion neighbourhoods
+ROUNDS = 3
 SKETCH = [f"k{i}" for i in range(8)]
 MEMBER = "id bigint, n int, own boolean, band int, seg int, deleted boolean, g bigint, cost bigint, room int"
 
@@ -337,6 +339,12 @@ def _ordered(a: str, b: str) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def _labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """``rows`` with the component of their id under the links so far."""
+    label = components(links).withColumnRenamed("node", "id")
+    return rows.join(label, "id", "left").withColumn("component", F.coalesce("component", "id"))
+
+
 def class_links(docs: DataFrame, sets: DataFrame, classes: DataFrame, width: int = WIDTH) -> DataFrame:
     """(a, b): doc_ids of linked classes, enough links to connect whatever is connected.
 
@@ -345,9 +353,9 @@ def class_links(docs: DataFrame, sets: DataFrame, classes: DataFrame, width: int
     members = stored(shared_signatures(docs, width), "shared-signatures")
     probes = stored(chosen_probes(members), "probes")
     asked = probes.select("g").distinct()
-    around = stored(members.join(asked, "g").select("g", "id", "n", "deleted"), "asked-signatures")
-    short = sets.where("scarce").dropDuplicates(["s1"])
     sketches = sets.select(F.col("s1").alias("id"), *SKETCH).dropDuplicates(["id"])
+    around = stored(members.join(asked, "g").select("g", "id", "n", "deleted").join(sketches, "id"), "asked-signatures")
+    short = sets.where("scarce").dropDuplicates(["s1"])
 
     # The sets that lack filled segments meet all sets of their band and the one below.
     edges = band_edges()
@@ -366,24 +374,25 @@ def class_links(docs: DataFrame, sets: DataFrame, classes: DataFrame, width: int
         classes.select(F.col("s1").alias("id"), "doc_id"), "id")
     whole = stored(shingle_sets(docs, involved, width), "shingle-sets")
 
-    # One link per probing set first: to a member of its groups, the same for all who share them.
-    centre = around.where("NOT deleted").groupBy("g").agg(F.min(F.struct(F.xxhash64("id"), "id", "n")).alias("c"))
-    first = probes.select("id", "n", "g").join(
-        centre.select("g", F.col("c.id").alias("other"), F.col("c.n").alias("m"), F.col("c.col1").alias("h")), "g")
-    first = first.where((F.col("id") != F.col("other")) & _sizes_fit("n", "m")).groupBy("id").agg(
-        F.min(F.struct("h", "other"))["other"].alias("other"))
-    links = stored(verified(first.select(*_ordered("id", "other")).union(rare).distinct(), whole), "first-links")
+    links = stored(verified(rare, whole), "rare-links")
+    for turn in range(ROUNDS):
+        named = stored(_labelled(around, links), "named-signatures")
+        # The same member for all who share a signature, another one in each round.
+        centre = named.where("NOT deleted").groupBy("g").agg(F.min(F.struct(
+            F.xxhash64("id", F.lit(turn)).alias("h"), F.col("id").alias("r"), F.col("n").alias("m"), F.col("component").alias("other"),
+            *[F.col(k).alias(f"q{i}") for i, k in enumerate(SKETCH)])).alias("c")).select("g", "c.*")
+        asking = named.join(probes.select("g", "id").distinct(), ["g", "id"])
+        near = asking.join(centre, "g").where((F.col("component") != F.col("other")) & _sizes_fit("n", "m") & _close("n", "m"))
+        near = near.groupBy("id").agg(F.min(F.struct("h", "r"))["r"].alias("r")).select(*_ordered("id", "r")).distinct()
+        links = links.union(stored(verified(near, whole), "round-links"))
 
     # Then whatever joins two components.
-    label = components(links)
-    named = around.join(label.withColumnRenamed("node", "id"), "id", "left").withColumn(
-        "component", F.coalesce("component", "id"))
-    named = stored(named, "named-signatures")
+    named = stored(_labelled(around, links), "named-signatures")
     counts = named.groupBy("g", "component").agg(F.count(F.lit(1)).alias("c"))
     mixed = counts.groupBy("g").agg(
         F.count(F.lit(1)).alias("components"), F.max_by("component", F.struct("c", "component")).alias("major")).where("components > 1")
     mixed = stored(mixed.select("g", "major"), "mixed-signatures")
-    there = stored(named.join(mixed, "g").join(sketches, "id"), "mixed-members")
+    there = stored(named.join(mixed, "g"), "mixed-members")
     probing = there.join(probes.select("g", "id", "deep"), ["g", "id"]).select(
         "g", "major", F.col("id").alias("r"), F.col("n").alias("m"), F.col("deleted").alias("gone"), "deep",
         F.col("component").alias("own"), *[F.col(k).alias(f"q{i}") for i, k in enumerate(SKETCH)])

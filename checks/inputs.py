@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vitrine.functions.rules import Tag, all_matches, first_match
 from vitrine.schema import FIELDS, TAG_JOIN
-from vitrine.sources import spread
 
 BASE = "https://shop.example.com"
 
@@ -28,14 +27,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def offers(spark: SparkSession, sf_dir: str, *, costly: bool = False) -> DataFrame:
-    """``source``, the 14 product fields and ``page_text``; one row per line item.
-
-    ``costly`` says that the caller works hard on each row, so that a table of fewer
-    files than cores is worth spreading first.
-    """
-    item = table(spark, sf_dir, "lineitem")
-    item = (spread(item) if costly else item).withColumnRenamed("l_partkey", "p_partkey")
+def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``source``, the 14 product fields and ``page_text``; one row per line item."""
+    item = table(spark, sf_dir, "lineitem").withColumnRenamed("l_partkey", "p_partkey")
     joined = item.join(table(spark, sf_dir, "part"), "p_partkey")
     price = F.col("l_extendedprice").cast("decimal(12,2)")
     kept = (F.lit(1.0) - F.col("l_discount")).cast("decimal(3,2)")
@@ -69,8 +63,8 @@ def offers(spark: SparkSession, sf_dir: str, *, costly: bool = False) -> DataFra
     return base.select("source", *FIELDS, page_text.alias("page_text"))
 
 
-def catalogue(spark: SparkSession, sf_dir: str, *, costly: bool = False) -> DataFrame:
-    return offers(spark, sf_dir, costly=costly).select("source", *FIELDS)
+def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return offers(spark, sf_dir).select("source", *FIELDS)
 
 
 def by_source(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -115,7 +109,8 @@ _STRUCTURED_BODY = r"""concat(
  CASE WHEN v IN (2, 3, 4) THEN concat('<p>4,', s % 10, ' sur 5</p><p>', s, ' avis</p>') ELSE '' END,
  CASE s % 3
   WHEN 0 THEN concat('<p>', s, ' teintes</p>')
-  WHEN 1 THEN concat('<ul class="color-list">', repeat('<li class="swatch">c</li>', 1 + s % 4), '<li>d</li></ul><i class="swatch-size">S</i>')
+  WHEN 1 THEN concat('<ul class="color-list">', CASE WHEN k % 2 = 0 THEN '<ul class="color-in">' ELSE '' END,
+   repeat('<li class="swatch">c</li>', 1 + s % 4), CASE WHEN k % 2 = 0 THEN '</ul>' ELSE '' END, '<li>d</li></ul><i class="swatch-size">S</i>')
   ELSE '' END,
  CASE s % 4
   WHEN 0 THEN '<p>Fini mat, Couvrance Moyenne</p>' WHEN 1 THEN '<p>Satiné. Couvrance modulable</p>'
@@ -192,27 +187,66 @@ _PAGE_PARTS = {
 }
 
 
-def product_pages(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    """``(url, html)``: one product page of the given kind per part."""
+# Read on every second page: a comment, a script and an attribute that look like facts.
+_DECOYS = r"""CASE WHEN k % 2 = 0 THEN '' ELSE concat(
+ '<!-- <h1>decoy</h1><h1 data-at="product_name">decoy</h1><div class="price product-info-content product-price">99,99 € 9 ml</div>',
+ '<script type="application/ld+json">{"@type":"Product","name":"decoy","offers":{"price":"99.99"}}</script>',
+ '<script type="application/ld+json">{"@type":"BreadcrumbList","itemListElement":[{"item":{"name":"decoy"}}]}</script>',
+ '<div class="bv_avgRating_component_container">1,1</div><i class="swatch">x</i><meta property="og:title" content="decoy"> -->',
+ '<script>var box = ''<div class="price product-info-content product-price">98,99 €</div><!-- '';</script>',
+ '<div title="5 > 4 <b class=''price''>" data-x=''<i class="swatch shade-swatch">''></div>') END"""
+# On some pages a long text stands before the facts.
+_FILLER = "CASE WHEN k % 11 = 0 THEN concat('<p>', repeat('bla ', 1000), '</p>') ELSE '' END"
+
+
+_CODE = "lpad(CAST(k AS STRING), 9, '0')"
+#: Addresses of the shops whose listing pages are collected.
+_SHOP_URL = {
+    "structured": f"concat('{BASE}/fr/fr/teint/', {_WORD}, '-I', {_CODE}, '.html')",
+    "widget": f"concat('{BASE}/fr/teint/', {_WORD}, '/0', {_CODE}, '.html')",
+    "retail": f"concat('{BASE}/p/', {_WORD}, '-P', CAST(k AS STRING), '.html')",
+}
+
+
+def _pages(spark: SparkSession, sf_dir: str, kind: str, url: str, html: str) -> DataFrame:
+    """One row per part; ``{ld}`` and ``{body}`` stand for the parts of a page of that kind."""
     ld, body, variants = _PAGE_PARTS[kind]
-    parts = spread(table(spark, sf_dir, "part")).selectExpr(
+    parts = table(spark, sf_dir, "part").selectExpr(
         "p_partkey AS k", "p_size AS s", "p_name", "p_brand", "p_type", f"p_size % {variants} AS v"
     )
-    return parts.selectExpr(
-        f"concat('{BASE}/fr/fr/teint/', {_WORD}, '-I', lpad(CAST(k AS STRING), 9, '0'), '.html') AS url",
-        f"""concat('<!DOCTYPE html><html><head><title>Boutique</title><style>.x{{}}</style>', {ld},
-            '</head><body><!-- 7 € 9 ml -->', {body}, '</body></html>') AS html""",
-    )
+    return parts.selectExpr("k", f"{url} AS url", f"{html.replace('{ld}', ld).replace('{body}', body)} AS html")
+
+
+_HTML = f"""concat('<!DOCTYPE html><html><head><title>Boutique</title><style>.x{{}}</style>', {_DECOYS}, {{ld}},
+            '</head><body><!-- 7 € 9 ml -->', {_FILLER}, {{body}}, '</body></html>')""".replace("{{", "{").replace("}}", "}")
+
+
+def product_pages(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """``(url, html)``: one product page of the given kind per part."""
+    return _pages(spark, sf_dir, kind, _SHOP_URL["structured"], _HTML).select("url", "html")
+
+
+def shop_pages(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """``(url, html)``: the stored product pages of one shop, as a crawl leaves them.
+
+    Some are stored under an address with a query string only, some twice, and some have no name.
+    """
+    html = f"CASE WHEN k % 17 = 0 THEN '<html><body><p>9,99 €</p></body></html>' ELSE {_HTML} END"
+    pages = _pages(spark, sf_dir, kind, _SHOP_URL[kind], html)
+    tagged = F.concat("url", F.lit("?src="), F.col("k").cast("string"))
+    once = pages.select(F.when(F.col("k") % 5 == 0, tagged).otherwise(F.col("url")).alias("url"), "html")
+    return once.unionAll(pages.where("k % 7 = 0").select(tagged.alias("url"), "html"))
 
 
 def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(url, html)``: one listing page per order with links to the pages of parts."""
-    orders = spread(table(spark, sf_dir, "orders").selectExpr("o_orderkey AS o", "o_custkey AS k"))
+    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS o", "o_custkey AS k")
     code = "lpad(CAST(k AS STRING), 9, '0')"
     return orders.selectExpr(
         f"concat('{BASE}/liste/', o) AS url",
         f"""concat('<html><body><nav><a name="top">x</a><a href="#top">haut</a><a href="mailto:a@b.example">m</a></nav>',
-            '<a class="tile" href="/fr/fr/teint/', {_WORD}, '-I', {code}, '.html?src=', o, '">un</a>',
+            '<!-- <a href="/fr/fr/teint/foundation-I777777777.html">dead</a> --><script>"<a href=''/fr/fr/teint/foundation-I7777.html''>"</script>',
+            '<a class="tile" title="un > deux" href="/fr/fr/teint/', {_WORD}, '-I', {code}, '.html?src=', o, '">un</a>',
             '<a href=''{BASE}/fr/fr/levres/rouge-I', {code}, '.html''>deux</a>',
             '<a href="/fr/fr/teint/brush-I', {code}, '.html">trois</a>',
             '<a
@@ -233,6 +267,29 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def widget_listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One listing page per order: two addresses of one article, one of another kind, one with a query string."""
+    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS o", "o_custkey AS k")
+    return orders.selectExpr(
+        f"concat('{BASE}/liste/', o) AS url",
+        f"""concat('<a href="/fr/teint/', {_WORD}, '/0', {_CODE}, '.html">un</a><a href="/fr/autre/', {_WORD}, '/0', {_CODE}, '.html">bis</a>',
+            '<a href="/fr/teint/foundation-lip/0', {_CODE}, '.html">lip</a><a href="/fr/teint/', {_WORD}, '/0', {_CODE}, '.html?x=1">x</a>') AS html""",
+    )
+
+
+def retail_listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One listing page per order: marked anchors, anchors in cards, or neither."""
+    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS o", "o_custkey AS k")
+    href = f"/p/', {_WORD}, '-P', CAST(k AS STRING), '.html"
+    return orders.selectExpr(
+        f"concat('{BASE}/liste/', o) AS url",
+        f"""CASE o % 3
+            WHEN 0 THEN concat('<a href="{href}">plain</a><a data-at="product_name" href="{href}?from=', o, '">marked</a>')
+            WHEN 1 THEN concat('<a href="/p/other-P1.html">x</a><div class="product-card"><div><a href="{href}">card</a></div></div><a href="/p/last-P2.html">y</a>')
+            ELSE concat('<a href="/z">z</a><a href="{href}">fallback</a>') END AS html""",
+    )
+
+
 def page_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The driver's pages as listings: number, language as category, no keywords."""
     return table(spark, sf_dir, "pages").selectExpr(

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from checks.inputs import BASE
-from vitrine.functions.text import ACCENTED, BLANK, ENTITIES, GAP, PLAIN, WORD
+from vitrine.functions.text import ACCENTED, BLANK, GAP, PLAIN, WORD
 from vitrine.profiles import (
     SHADE_TEXT, STRUCTURED_COVERAGE, STRUCTURED_EXCLUDED, STRUCTURED_FINISH, STRUCTURED_OUT,
 )
 from vitrine.schema import CANONICAL, FIELDS
 
 
+# References that the driver's pages hold, on their own account.
+ENTITIES = {"lt": "<", "gt": ">", "quot": '"', "copy": "©", "middot": "·", "amp": "&"}
+
+
 def q(text: str) -> str:
     """SQL string literal."""
     return "'" + text.replace("'", "''") + "'"
@@ -177,6 +181,21 @@ shop_links AS (
  SELECT 'boutique', listing_no, 7, '{BASE}/fr/fr/teint/foundation-MI9' || lpad(CAST(k AS VARCHAR), 9, '0') || '.html', category FROM first_order)"""
 
 
+#: Addresses of the three shops, over k.
+CODE = "lpad(CAST(k AS VARCHAR), 9, '0')"
+WIDGET_URL = f"'{BASE}/fr/teint/' || {SHOP_WORD} || '/0' || {CODE} || '.html'"
+RETAIL_URL = f"'{BASE}/p/' || {SHOP_WORD} || '-P' || k || '.html'"
+LISTED = "CASE st WHEN 'F' THEN 'fond de teint' ELSE 'correcteur' END AS category"
+# A widget listing keeps an address if it holds one of its words; the first anchor of an article stays.
+WIDGET_LINKS = f"""widget_links AS (SELECT 'boutique' AS source, listing_no, 0 AS pos, {WIDGET_URL} AS url, category, k FROM (
+  SELECT o_custkey AS k, o_orderkey AS listing_no, o_orderstatus AS st, {LISTED.replace('st', 'o_orderstatus', 1)},
+   ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn FROM orders
+  WHERE (o_orderstatus = 'F') = (o_custkey % 3 <> 1)) WHERE rn = 1)"""
+RETAIL_LINKS = f"""retail_links AS (SELECT 'boutique' AS source, listing_no, 0 AS pos, {RETAIL_URL} AS url,
+  category, k FROM (SELECT o_custkey AS k, o_orderkey AS listing_no, {LISTED.replace('st', 'o_orderstatus', 1)},
+   ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn FROM orders) WHERE rn = 1)"""
+
+
 def record(**fields: str) -> str:
     """Expected product record: typed columns, null where not given."""
     out = []
@@ -254,9 +273,9 @@ def products(fields: dict[str, str], variants: int) -> str:
 
 
 def web_page_products() -> str:
-    head = "substr(text, 1, {})"
-    named = f"(product_name || ' ' || {head.format(1500)})"
+    named = "(product_name || ' ' || text)"
     number = r"(\d+(?:[.,]\d+)?)"
+    # Skin-type rules.
     skin = [
         ("grasse", ("anti-brillance", "matifiant", "controle du sebum", "et grasses", "et grasse"), ("grasse",)),
         ("seche", ("hydratant", "deshydrate", "et seches", "et sèches"), ("seche", "sèche")),
@@ -274,8 +293,8 @@ def web_page_products() -> str:
         rating=f"TRY_CAST({dotted('text', rf'(\d[.,]\d){GAP}(?:sur|/){GAP}5')} AS DECIMAL(6,4))",
         review_count=f"TRY_CAST({extract('low', rf'(\d+){GAP}(?:avis|reviews?|commentaires?)')} AS BIGINT)",
         shade_count=f"TRY_CAST({extract('low', SHADE_TEXT)} AS INT)",
-        finish_type=first_rule("substr(low, 1, 3000)", STRUCTURED_FINISH),
-        coverage_level=first_rule("substr(low, 1, 3000)", STRUCTURED_COVERAGE),
+        finish_type=first_rule("low", STRUCTURED_FINISH),
+        coverage_level=first_rule("low", STRUCTURED_COVERAGE),
         skin_type=f"NULLIF(concat_ws(' / ', {tags}), '')",
         availability=f"CASE WHEN {any_word('low', STRUCTURED_OUT)} AND NOT regexp_matches(html, '(?i)ajouter') THEN 'Rupture' ELSE 'En stock' END",
         source_url="url",
@@ -288,7 +307,7 @@ def web_page_products() -> str:
 
 FEED_BAD = "(s % 10 IN (6, 7, 8, 9))"
 FEED = f"""feed AS (SELECT *, 'feed-' || CAST(k // 8 AS VARCHAR) AS feed, CAST(k % 8 + 1 AS INT) AS page FROM {PART}),
- head AS (SELECT *, MIN(CASE WHEN {FEED_BAD} THEN page END) OVER (PARTITION BY feed) AS stop FROM feed WHERE page <= 5),
+ head AS (SELECT *, MIN(CASE WHEN {FEED_BAD} THEN page END) OVER (PARTITION BY feed) AS stop FROM feed ),
  kept AS (SELECT * FROM head WHERE stop IS NULL OR page < stop)"""
 
 
@@ -317,7 +336,65 @@ def feed_products() -> str:
 def shop_catalogue(select: str = f"source, {ALL_FIELDS}", tail: str = "") -> str:
     fields = record(**{**structured("listed"), "source_url": "url"})
     return f"""WITH {SHOP_LINKS}, joined AS (SELECT l.source, l.url, l.category AS listed, p.*, s % 6 AS v
- FROM (SELECT * FROM shop_links {tail}) l JOIN {PART} p ON l.url = {shop_url()}) SELECT {select} FROM (SELECT source, {fields} FROM joined)"""
+ FROM (SELECT * FROM shop_links {tail}) l JOIN {PART} p ON l.url = {shop_url()} WHERE k % 17 <> 0) SELECT {select} FROM (SELECT source, {fields} FROM joined)"""
+
+
+def other_shop(kind: str) -> str:
+    """Records of the widget or the retail shop, with ``source`` and ``volume_unit``."""
+    fields, links, variants = {"widget": (WIDGET, "widget_links", 5), "retail": (RETAIL, "retail_links", 5)}[kind]
+    own = {k: v for k, v in fields.items() if k != "in_stock"}
+    own["category"] = "CASE WHEN s % 2 = 0 AND k % 17 <> 0 THEN p_type ELSE listed END" if kind == "retail" else "listed"
+    own["source_url"] = "url"
+    if kind == "retail":
+        where = "WHERE k % 17 <> 0"
+    else:  # a page without a name stays, with next to nothing on it
+        blank = {"product_name": "''", "price": "'9.99'", "availability": "'en stock'"}
+        kept = ("brand", "category", "source_url")
+        own = {c: x if c in kept else f"CASE WHEN k % 17 = 0 THEN {blank.get(c, 'NULL')} ELSE {x} END" for c, x in own.items()}
+        where = ""
+    return f"""SELECT source, {record(**own)} FROM (SELECT l.source, l.url, l.category AS listed, p.*, s % {variants} AS v
+ FROM {links} l JOIN {PART} p ON p.k = l.k) {where}"""
+
+
+def common(col: str, labels: dict[str, list[str]]) -> str:
+    """The common label of a column, on the SQL's own account."""
+    key = folded(f"trim({col})")
+    rules = " ".join(f"WHEN {key} IN ({', '.join(q(x) for x in names)}) THEN {q(label)}" for label, names in labels.items())
+    return f"CASE WHEN coalesce(trim({col}), '') = '' THEN NULL {rules} ELSE 'autre' END"
+
+
+FINISHES = {"mat": ["mat", "lisse et mat"], "naturel": ["naturel"], "satiné": ["satine"], "irisé": ["irise"],
+            "lumineux": ["lumineux", "rayonnant"], "transparent": ["transparent"]}
+COVERAGES = {"légère": ["legere", "leger"], "moyenne": ["moyenne", "moyen"], "moyenne à haute": ["moyenne a haute"],
+             "modulable": ["modulable"], "totale": ["totale", "couvrant", "forte"]}
+
+
+def all_shops() -> str:
+    """The master table of the four shops: structured, widget and retail pages, and the feed."""
+    unit = "CASE WHEN s % 2 = 1 THEN 'ml' ELSE 'g' END"
+    first = record(**{**structured("listed"), "source_url": "url", "volume_unit": unit})
+    feed = feed_products().removeprefix(f"WITH {FEED} ")
+    return f"""WITH {SHOP_LINKS}, {WIDGET_LINKS}, {RETAIL_LINKS}, {FEED}, master AS (
+ SELECT 'structured' AS source, {ALL_FIELDS}, volume_unit FROM (SELECT {first} FROM (SELECT l.url, l.category AS listed, p.*, s % 6 AS v
+  FROM shop_links l JOIN {PART} p ON l.url = {shop_url()} WHERE k % 17 <> 0))
+ UNION ALL SELECT 'widget', {ALL_FIELDS}, volume_unit FROM ({other_shop('widget')})
+ UNION ALL SELECT 'retail', {ALL_FIELDS}, volume_unit FROM ({other_shop('retail')})
+ UNION ALL SELECT 'feed', {ALL_FIELDS}, 'ml' FROM ({feed}))"""
+
+
+def all_shops_report() -> str:
+    priced = """SELECT *, greatest(price, promo_price) AS list_price, coalesce(price <> promo_price, false) AS on_promo,
+ CASE WHEN brand IN ('Brand#1', 'Brand#2') THEN 'Groupe' ELSE brand END AS brand_group FROM master"""
+    return f"""{all_shops()} SELECT *, CAST(RANK() OVER (ORDER BY avg_list_price DESC NULLS LAST) AS INT) AS price_rank,
+ CAST(RANK() OVER (ORDER BY avg_rating DESC NULLS LAST) AS INT) AS rating_rank,
+ CAST(RANK() OVER (ORDER BY avg_reviews ASC NULLS LAST) AS INT) AS fewest_reviews_rank
+ FROM (SELECT brand_group, COUNT(*) AS n_products, {mean('list_price')} AS avg_list_price,
+ CAST(SUM(CASE WHEN volume_ml > 0 THEN list_price END) AS DOUBLE) / CAST(SUM(CASE WHEN volume_ml > 0 AND list_price IS NOT NULL THEN volume_ml END) AS DOUBLE) AS list_price_per_ml,
+ MAX(shade_count) AS max_shades, {mean('rating')} AS avg_rating, {mean('review_count')} AS avg_reviews,
+ CAST(COUNT(*) FILTER (on_promo) AS DOUBLE) / COUNT(*) AS promo_share,
+ CAST(SUM(CASE WHEN volume_ml > 0 AND volume_unit = 'ml' THEN list_price END) AS DOUBLE)
+  / CAST(SUM(CASE WHEN volume_ml > 0 AND volume_unit = 'ml' AND list_price IS NOT NULL THEN volume_ml END) AS DOUBLE) AS list_price_per_ml_only
+ FROM ({priced}) GROUP BY brand_group)"""
 
 
 def all_sql() -> dict[str, str]:
@@ -393,7 +470,7 @@ def all_sql() -> dict[str, str]:
  FROM links JOIN (SELECT page_id, regexp_extract(url, '^(https?://[^/]+)', 1) AS base FROM pages) USING (page_id))""",
         "page_slugs": """SELECT page_id, regexp_replace(url, '\\?.*', '', 'g') AS url, substr(regexp_extract(url, '([^/]*)$', 1), 1, 60) AS last_part,
  substr(CASE WHEN contains(url, '/fr/') THEN regexp_extract(url, '^.*/fr/(.*)$', 1) ELSE url END, 1, 50) AS locale_part, right(url, 40) AS product_part FROM pages""",
-        "offer_slugs": offers("SELECT substr(regexp_extract(source_url, '/p/(.*)$', 1), 1, 50) AS slug, COUNT(*) AS n FROM offers GROUP BY 1"),
+        "offer_slugs": offers("SELECT regexp_extract(source_url, '/p/(.*)$', 1) AS slug, COUNT(*) AS n FROM offers GROUP BY 1"),
         "keyword_gate_pages": """SELECT page_id, url FROM pages WHERE NOT (contains(lower(url), 'casino') OR contains(lower(url), '+'))
  AND (contains(lower(url), 'blog') OR contains(lower(url), 'www') OR contains(lower(url), '/fr/'))""",
         "keyword_gate_rows": f"""SELECT page_id, url FROM pages WHERE NOT {any_word('lower(url)', STRUCTURED_EXCLUDED)}
@@ -407,16 +484,16 @@ def all_sql() -> dict[str, str]:
  FROM (SELECT *, coalesce(NULLIF(regexp_extract(source_url, '/p/(\d+)-', 1), ''), source_url) AS article FROM offers)) WHERE rn = 1"""),
         "listing_join": f"""WITH {LINKS} SELECT 'web' AS source, {web_listing} AS category, COUNT(*) AS n_links, COUNT(DISTINCT href) AS n_hrefs
  FROM links JOIN pages USING (page_id) GROUP BY 2""",
-        "supplier_lookup": "SELECT s_nationkey, CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1",
         "shop_links": f"WITH {SHOP_LINKS} SELECT source, listing_no, pos, url, category FROM shop_links",
-        "shop_links_with_page": f"""WITH {SHOP_LINKS} SELECT source, listing_no, pos, url, category, 'Boutique' AS title FROM shop_links
+        "shop_links_with_page": f"""WITH {SHOP_LINKS} SELECT source, listing_no, pos, url, category,
+ CASE WHEN CAST(regexp_extract(url, '-I(\\d+)', 1) AS BIGINT) % 17 = 0 THEN '' ELSE 'Boutique' END AS title FROM shop_links
  WHERE url IN (SELECT {shop_url()} FROM {PART})""",
         "shop_frontier": f"WITH {SHOP_LINKS} SELECT source, listing_no, pos, url, category FROM shop_links WHERE url NOT IN (SELECT {shop_url()} FROM {PART})",
         "first_links": f"WITH {LINKS} SELECT page_id, pos, href FROM links ORDER BY page_id, pos LIMIT 100",
         "visible_text": f"""SELECT page_id, md5(t) AS text_key, md5(lower(t)) AS lower_key, length(t) AS n_chars FROM (SELECT page_id, {visible('html')} AS t FROM pages)""",
         "document_first_match": f"""SELECT doc_id, {first_rule('low', doc_rules)} AS first_rule,
  CASE {' '.join(f"WHEN regexp_matches(low, {whole_word(k)}) THEN {q(v)}" for k, v in doc_rules)} END AS first_word,
- {first_rule('head', doc_rules)} AS first_plain FROM (SELECT doc_id, lower(text) AS low, {folded('substr(lower(text), 1, 300)')} AS head FROM documents)""",
+ {first_rule('head', doc_rules)} AS first_plain FROM (SELECT doc_id, lower(text) AS low, {folded('lower(text)')} AS head FROM documents)""",
         "document_tags": f"""SELECT doc_id, tags, CASE WHEN tags = '' THEN 0 ELSE len(string_split(tags, ' / ')) END AS n_tags FROM (
  SELECT doc_id, CASE WHEN {late} THEN concat_ws(' / ', {doc_tags_late}) ELSE concat_ws(' / ', {doc_tags}) END AS tags
  FROM (SELECT doc_id, lower(text) AS low FROM documents))""",
@@ -425,8 +502,8 @@ def all_sql() -> dict[str, str]:
  CAST(coalesce(ml, g) AS DECIMAL(8,2)) AS volume,
  CASE WHEN ml IS NOT NULL THEN 'ml' WHEN g IS NOT NULL THEN 'g' END AS unit FROM (SELECT doc_id, text,
  {dotted('text', rf'(?i){number}{GAP}ml')} AS ml, {dotted('text', rf'{number}{GAP}g(?:[^{WORD}]|$)')} AS g FROM documents)""",
-        "document_counts": """SELECT doc_id, CASE WHEN len(w) > 1 AND len(w) < 100 THEN CAST(len(list_distinct(w)) AS INT) END AS n_words
- FROM (SELECT doc_id, regexp_extract_all(text, '[A-ZÀ-Ÿ][a-zà-ÿ]+') AS w FROM documents)""",
+        "stored_page_shades": f"""SELECT {shop_url()} AS source_url, CAST(CASE WHEN s % 3 = 0 THEN s
+  WHEN s % 3 = 1 AND 2 + s % 4 BETWEEN 3 AND 4 THEN 2 + s % 4 END AS INT) AS shade_count FROM {PART}""",
         "offer_prices": offers("""SELECT source_url, price, CASE WHEN n > 0 THEN hi END AS high, CASE WHEN n > 1 THEN lo END AS low, n AS n_prices FROM (
  SELECT *, CASE WHEN a AND b AND price <> promo_price THEN 2 WHEN a OR b THEN 1 ELSE 0 END AS n,
   CASE WHEN a THEN price ELSE promo_price END AS hi, promo_price AS lo FROM (
@@ -449,8 +526,14 @@ def all_sql() -> dict[str, str]:
         "shop_catalogue_limited": shop_catalogue(
             "source, source_url, product_name, category, price", "ORDER BY listing_no, pos LIMIT 50"
         ),
+        "shop_links_widget": f"WITH {WIDGET_LINKS} SELECT source, listing_no, pos, url, category FROM widget_links",
+        "shop_links_retail": f"""WITH {RETAIL_LINKS} SELECT source, listing_no, pos, url, category FROM retail_links""",
+        "shop_catalogue_widget": f"WITH {WIDGET_LINKS} SELECT source, {ALL_FIELDS} FROM ({other_shop('widget')})",
+        "shop_catalogue_retail": f"WITH {RETAIL_LINKS} SELECT source, {ALL_FIELDS} FROM ({other_shop('retail')})",
+        "all_shops_report": all_shops_report(),
+        "all_shops_labels": f"""{all_shops()} SELECT source, {common('finish_type', FINISHES)} AS finish_type,
+ {common('coverage_level', COVERAGES)} AS coverage_level, CASE lower(availability) WHEN 'en stock' THEN 'en stock' ELSE 'rupture' END AS availability, COUNT(*) AS n
+ FROM master GROUP BY ALL""",
         "feed_read": f"WITH {FEED} SELECT feed, page, 2 AS n_products FROM kept",
         "feed_products": feed_products(),
-        "event_props": """SELECT event_type, COUNT(*) AS n, CAST(SUM(k) AS BIGINT) AS sum_k, MAX(k) AS max_k
- FROM (SELECT event_type, CAST(regexp_extract(props, '"k": (\\d+)', 1) AS INT) AS k FROM events) GROUP BY event_type""",
     }

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -14,6 +14,7 @@ from vitrine.functions.numbers import CENT_PRICE, number
 from vitrine.functions.rules import Tag
 from vitrine.functions.text import GAP
 from vitrine.profiles import SHADE_LABEL, STRUCTURED_EXCLUDED
+from vitrine.shared import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,11 +34,11 @@ DOC_ANCHORS = ("de", "the")
 
 
 def _pages(s: SparkSession, d: str) -> DataFrame:
-    return v.spread(I.table(s, d, "pages"))
+    return I.table(s, d, "pages")
 
 
 def _documents(s: SparkSession, d: str) -> DataFrame:
-    return v.spread(I.table(s, d, "documents"))
+    return I.table(s, d, "documents")
 
 
 # ---- master table --------------------------------------------------------------------
@@ -70,8 +71,7 @@ def record_with_defaults(s, d):
 
 def csv_round_trip(s, d):
     """Write each shop's offers as CSV to the shared folder and read them back."""
-    shared = s.conf.get("spark.checkpoint.dir", None)
-    folder = f"{shared or tempfile.mkdtemp(prefix='vitrine-')}/csv-{uuid.uuid4().hex}"
+    folder = f"{shared_dir(s)}/csv-{uuid.uuid4().hex}"
     for shop, df in I.by_source(s, d).items():
         v.write_catalog_csv(v.build_master([df.select("*", *[
             F.lit(None).cast("string").alias(c) for c in v.FIELDS if c not in df.columns
@@ -135,7 +135,7 @@ def promo_depth(s, d):
 
 
 def completeness(s, d):
-    return v.completeness(I.catalogue(s, d, costly=True))
+    return v.completeness(I.catalogue(s, d))
 
 
 def rank_price(s, d):
@@ -164,12 +164,12 @@ def market_gap_rating(s, d):
 # ---- harmonisation -------------------------------------------------------------------
 
 def harmonised_labels(s, d):
-    fixed = v.harmonise(I.catalogue(s, d, costly=True), VOCAB)
+    fixed = v.harmonise(I.catalogue(s, d), VOCAB)
     return v.count_by(fixed, ["source", "finish_type", "coverage_level", "availability"])
 
 
 def unmapped_labels(s, d):
-    return v.unmapped(v.harmonise(I.catalogue(s, d, costly=True), VOCAB), list(VOCAB))
+    return v.unmapped(I.catalogue(s, d), VOCAB)
 
 
 def brand_groups(s, d):
@@ -219,7 +219,7 @@ def page_slugs(s, d):
 
 
 def offer_slugs(s, d):
-    return I.catalogue(s, d).groupBy(v.slug(F.col("source_url"), "product").alias("slug")).agg(F.count("*").alias("n"))
+    return I.catalogue(s, d).groupBy(v.slug(F.col("source_url"), "product", 0).alias("slug")).agg(F.count("*").alias("n"))
 
 
 def keyword_gate_pages(s, d):
@@ -248,7 +248,7 @@ def pattern_gate_pages(s, d):
 def first_seen_links(s, d):
     """The first page and position of every href of the web pages."""
     links = v.extract_links(_pages(s, d).select("page_id", "html"))
-    return v.first_seen(links, ["href"], ["page_id", "pos"]).select("href", "page_id", "pos")
+    return v.first_position(links, ["href"], "page_id", "pos")
 
 
 def first_seen_in_page(s, d):
@@ -272,27 +272,33 @@ def listing_join(s, d):
     )
 
 
-def supplier_lookup(s, d):
-    """Line items with the attributes of their supplier."""
-    item = I.table(s, d, "lineitem").select(F.col("l_suppkey").alias("s_suppkey"), "l_quantity")
-    both = item.join(I.table(s, d, "supplier").select("s_suppkey", "s_nationkey"), "s_suppkey")
-    return both.groupBy("s_nationkey").agg(F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"))
-
-
 def shop_links(s, d):
     return v.collect_links(
         I.listing_pages(s, d), I.listings(s, d), v.STRUCTURED, I.BASE, "shop.example.com/fr/fr/"
     )
 
 
+def shop_links_widget(s, d):
+    return v.collect_links(I.widget_listing_pages(s, d), I.listings(s, d), v.WIDGET, I.BASE)
+
+
+def shop_links_retail(s, d):
+    return v.collect_links(I.retail_listing_pages(s, d), _unasked(s, d), v.RETAIL, I.BASE)
+
+
+def _unasked(s, d):
+    """The listings without keywords."""
+    return I.listings(s, d).withColumn("positive", F.array().cast("array<string>"))
+
+
 def shop_links_with_page(s, d):
-    pages = I.product_pages(s, d, "structured")
-    linked = v.attach_pages(shop_links(s, d), pages)
-    return linked.select("source", "listing_no", "pos", "url", "category", F.regexp_extract("html", "<title>([^<]*)<", 1).alias("title"))
+    pages = I.shop_pages(s, d, "structured")
+    titled = pages.select("url", F.regexp_extract("html", "<title>([^<]*)<", 1).alias("title"))
+    return v.attach_pages(shop_links(s, d), titled).select("source", "listing_no", "pos", "url", "category", "title")
 
 
 def shop_frontier(s, d):
-    return v.frontier(shop_links(s, d), I.product_pages(s, d, "structured"))
+    return v.frontier(shop_links(s, d), I.shop_pages(s, d, "structured"))
 
 
 def first_links(s, d):
@@ -315,7 +321,7 @@ def document_first_match(s, d):
     return lower.select(
         "doc_id", v.first_match(F.col("text"), DOC_RULES).alias("first_rule"),
         v.first_match(F.col("text"), DOC_RULES, whole_words=True).alias("first_word"),
-        v.first_match(F.substring("text", 1, 300), DOC_RULES, plain=True).alias("first_plain"),
+        v.first_match(F.col("text"), DOC_RULES, plain=True).alias("first_plain"),
     )
 
 
@@ -337,17 +343,16 @@ def document_numbers(s, d):
     )
 
 
-def document_counts(s, d):
-    """Guarded sizes: capitalised words, all and distinct, only between 1 and 100."""
-    words = F.regexp_extract_all(F.col("text"), F.lit("[A-ZÀ-Ÿ][a-zà-ÿ]+"), F.lit(0))
-    sized = _documents(s, d).select(
-        "doc_id", F.size(words).alias("n"), F.size(F.array_distinct(words)).alias("n_distinct")
-    )
-    return sized.select("doc_id", F.when((F.col("n") > 1) & (F.col("n") < 100), F.col("n_distinct")).alias("n_words"))
+def stored_page_shades(s, d):
+    """Shade counts of stored pages, read back from the shared folder, with the limits of a profile."""
+    path = f"{shared_dir(s)}/pages-{uuid.uuid4().hex}"
+    I.product_pages(s, d, "structured").write.parquet(path)
+    profile = replace(v.STRUCTURED, least_shades=3, most_shades=4)
+    return v.extract_products(v.read_pages(s, path), profile, "Maison").select("source_url", "shade_count")
 
 
 def offer_prices(s, d):
-    found = I.offers(s, d, costly=True).select("source_url", "price", v.prices(F.col("page_text"), CENT_PRICE, 1, 50000).alias("found"))
+    found = I.offers(s, d).select("source_url", "price", v.prices(F.col("page_text"), CENT_PRICE, 1, 50000).alias("found"))
     high, low = v.price_pair(F.col("found"))
     return found.select(
         "source_url", "price", high.alias("high"), low.alias("low"), F.size("found").alias("n_prices")
@@ -357,7 +362,7 @@ def offer_prices(s, d):
 def offer_text_fields(s, d):
     amount, unit = v.volume(F.col("page_text"), ml_ends_word=True)
     shades = number(F.col("page_text"), SHADE_LABEL, "int")
-    return I.offers(s, d, costly=True).groupBy(amount.alias("volume"), unit.alias("unit"), shades.alias("shades")).agg(
+    return I.offers(s, d).groupBy(amount.alias("volume"), unit.alias("unit"), shades.alias("shades")).agg(
         F.count("*").alias("n")
     )
 
@@ -375,12 +380,12 @@ def ld_blocks_unlisted(s, d):
 
 
 def ld_first_product(s, d):
-    block = v.pick_block(v.json_ld_blocks(I.product_pages(s, d, "structured")), "Product")
+    block = v.pick_block(I.product_pages(s, d, "structured"), "Product")
     return block.select("url", F.try_variant_get("block", "$.name", "string").alias("name"))
 
 
 def ld_last_crumb(s, d):
-    block = v.pick_block(v.json_ld_blocks(I.product_pages(s, d, "widget")), "BreadcrumbList", "last")
+    block = v.pick_block(I.product_pages(s, d, "widget"), "BreadcrumbList", "last")
     name = F.try_variant_get("block", "$.itemListElement[0].item.name", "string")
     return block.select("url", name.alias("name"))
 
@@ -408,18 +413,44 @@ def web_page_products(s, d):
     return v.named_only(v.extract_products(pages, v.STRUCTURED, "Maison"))
 
 
-def shop_catalogue(s, d):
-    pages = I.product_pages(s, d, "structured").unionByName(I.listing_pages(s, d))
+def _shop(kind: str, s, d, **how):
+    pages = {"structured": I.listing_pages, "widget": I.widget_listing_pages, "retail": I.retail_listing_pages}[kind](s, d)
+    listing = _unasked(s, d) if kind == "retail" else I.listings(s, d)
+    domain = "shop.example.com/fr/fr/" if kind == "structured" else None
     return v.collect_catalogue(
-        pages, I.listings(s, d), v.STRUCTURED, brand="Maison", base=I.BASE, domain="shop.example.com/fr/fr/"
-    )
+        I.shop_pages(s, d, kind).unionByName(pages), listing, v.PROFILES[kind], brand="Maison", base=I.BASE, domain=domain, **how)
+
+
+def shop_catalogue(s, d):
+    return _shop("structured", s, d)
 
 
 def shop_catalogue_limited(s, d):
-    pages = I.product_pages(s, d, "structured").unionByName(I.listing_pages(s, d))
-    return v.collect_catalogue(
-        pages, I.listings(s, d), v.STRUCTURED, brand="Maison", base=I.BASE, domain="shop.example.com/fr/fr/", limit=50
-    ).select("source", "source_url", "product_name", "category", "price")
+    return _shop("structured", s, d, limit=50).select("source", "source_url", "product_name", "category", "price")
+
+
+def shop_catalogue_widget(s, d):
+    return _shop("widget", s, d)
+
+
+def shop_catalogue_retail(s, d):
+    return _shop("retail", s, d)
+
+
+def all_shops_report(s, d):
+    """Three shops of pages and one of feeds, united, with one vocabulary and brand groups, compared."""
+    shops = [_shop(kind, s, d, extras=("volume_unit",)).withColumn("source", F.lit(kind)) for kind in v.PROFILES]
+    feed = feed_products(s, d).withColumns({"source": F.lit("feed"), "volume_unit": F.lit("ml")})
+    master = v.harmonise(v.build_master([*shops, feed]), v.VOCABULARY)
+    groups = v.group_table(s, {"Brand#1": "Groupe", "Brand#2": "Groupe", "Maison": "Maison"})
+    return v.brand_report(v.brand_group(master, groups), by="brand_group")
+
+
+def all_shops_labels(s, d):
+    """The common labels of the same master table."""
+    shops = [_shop(kind, s, d).withColumn("source", F.lit(kind)) for kind in v.PROFILES]
+    master = v.harmonise(v.build_master([*shops, feed_products(s, d).withColumn("source", F.lit("feed"))]), v.VOCABULARY)
+    return v.count_by(master, ["source", "finish_type", "coverage_level", "availability"])
 
 
 # ---- feeds ---------------------------------------------------------------------------
@@ -432,13 +463,6 @@ def feed_products(s, d):
     return v.feed_products(v.read_feed(I.feed_pages(s, d)), f"{I.BASE}/products/")
 
 
-def event_props(s, d):
-    props = F.from_json("props", "k INT")
-    return I.table(s, d, "events").groupBy("event_type").agg(
-        F.count("*").alias("n"), F.sum(props["k"]).alias("sum_k"), F.max(props["k"]).alias("max_k")
-    )
-
-
 ALL: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -449,10 +473,10 @@ ALL: dict[str, Query] = {
         unmapped_labels, brand_groups, price_direction, families, normalised_text, page_links,
         page_links_resolved, page_slugs, offer_slugs, keyword_gate_pages, keyword_gate_rows, keyword_gate_parts,
         pattern_gate_pages, first_seen_links, first_seen_in_page, first_seen_article, listing_join,
-        supplier_lookup, shop_links, shop_links_with_page, shop_frontier, first_links, visible_text,
-        document_first_match, document_tags, document_numbers, document_counts, offer_prices, offer_text_fields,
+        shop_links, shop_links_widget, shop_links_retail, shop_links_with_page, shop_frontier, first_links, visible_text,
+        document_first_match, document_tags, document_numbers, stored_page_shades, offer_prices, offer_text_fields,
         ld_blocks, ld_blocks_unlisted, ld_first_product, ld_last_crumb, products_structured, products_widget,
-        products_retail, web_page_products, shop_catalogue, shop_catalogue_limited, feed_read, feed_products,
-        event_props,
+        products_retail, web_page_products, shop_catalogue, shop_catalogue_limited, shop_catalogue_widget,
+        shop_catalogue_retail, all_shops_report, all_shops_labels, feed_read, feed_products,
     )
 }

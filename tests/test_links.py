@@ -64,7 +64,7 @@ def test_retail_selector_chain(listing, html, want):
     assert [u for u, _ in found(v.collect_links(pages, config, v.RETAIL, BASE))] == want
 
 
-def test_large_listing_gives_the_same_links(listing, spark, monkeypatch):
+def test_listing_is_joined_by_size(listing, spark):
     pages, _ = listing(
         (0, '<a href="/x/hd-skin-I00001.html?a">a</a><a href="/x/none-I00002.html">b</a><a href="/x/brush-I00003.html">c</a>', "", []),
         (1, '<a href="/x/hd-skin-I00001.html">a</a><a href="/x/concealer-I00004.html">d</a>', "", []),
@@ -73,10 +73,22 @@ def test_large_listing_gives_the_same_links(listing, spark, monkeypatch):
     words = v.LISTING_KEYWORDS["structured"]
     config = v.listing_table(spark, "s", [("l0", "fond de teint"), ("l1", "correcteur")], words)
     want = [("/x/hd-skin-I00001.html", "fond de teint"), ("/x/concealer-I00004.html", "correcteur")]
-    small = v.collect_links(pages, config, v.STRUCTURED, BASE)
-    assert found(small) == want and "Broadcast" in small._jdf.queryExecution().toString()
-    monkeypatch.setattr("vitrine.operators.links.SMALL_LISTING", 1)
     assert found(v.collect_links(pages, config, v.STRUCTURED, BASE)) == want
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "-1")
+        large = v.collect_links(pages, config, v.STRUCTURED, BASE)
+        assert "Broadcast" not in large._jdf.queryExecution().executedPlan().toString() and found(large) == want
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_anchors_in_comments_scripts_and_attributes_are_none(spark):
+    html = ("<!-- <a href='/dead.html'> --><a title=\"x > y\" href=\"/b.html\">b</a><script>'<a href=\"/s.html\">'</script>"
+            "<div data-x='<a href=\"/d.html\">'></div><a title='q=\"1\"' href='/c.html?a=1&amp;b=2'>c</a>")
+    pages = spark.createDataFrame([(html,)], "html string")
+    assert [r.href for r in v.extract_links(pages).orderBy("pos").collect()] == ["/b.html", "/c.html?a=1&b=2"]
 
 
 def test_first_seen_is_idempotent_and_partition_free(spark):

@@ -52,7 +52,7 @@ def test_harmonise(master):
     names = by(fixed, "product_name")
     assert [names[n].finish_type for n in ("Light", "Cream", "Soft — #1", "Soft — #2", "Care")] == ["satiné", "satiné", "autre", "satiné", None]
     assert {r.availability for r in names.values()} == {"en stock", "rupture"}
-    assert {r.field: r.n_unmapped for r in v.unmapped(fixed, list(vocab)).collect()} == {"finish_type": 1, "availability": 0}
+    assert {r.field: r.n_unmapped for r in v.unmapped(master, vocab).collect()} == {"finish_type": 1, "availability": 0}
 
 
 def test_brand_group_never_multiplies_rows(spark, master):

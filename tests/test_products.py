@@ -70,7 +70,10 @@ def test_structured_price_rules(records):
         (offer + "<p class='price'>30 € 25 €</p>", (Decimal(30), Decimal(25))),  # two override it
         (ld('{"@type":"Product","offers":[{"price":0},{"price":5}]}'), (None, None)),
         ("<p>600 € 1 € 499,5 €</p>", (Decimal("499.50"), None)),               # open range (1, 500)
-        ("<p>" + "x" * 2000 + "</p><p>9 €</p>", (None, None)),                 # beyond the first 2,000
+        ("<p>" + "x" * 4000 + "</p><p>9 €</p>", (Decimal(9), None)),           # however late it stands
+        ("<!-- <p class='price'>99 €</p> --><p class='price'>20 €</p>", (Decimal(20), None)),
+        ("<script>'<p class=\"price\">99 €</p>'</script><p class='price'>20 €</p>", (Decimal(20), None)),
+        ("<div title='a > b' class='price'>20 €</div><p>40 €</p>", (Decimal(20), None)),
         ("<p class='price'>gratuit</p><p>9 €</p>", (None, None)),              # an empty zone still counts
     ]
     assert [(r.price, r.promo_price) for r in records("structured", *[h for h, _ in cases])] == [w for _, w in cases]
@@ -109,7 +112,8 @@ def test_structured_shades(records):
         ("<i class='swatch'></i><i class='swatch'></i><p>12 teintes</p>", 12),
         ("<i class='swatch'></i>", None),
         ("<i class='swatch'></i>" * 99, 99),
-        ("<i class='swatch'></i>" * 100, None),
+        ("<i class='swatch'></i>" * 100, 100),
+        ('<ul class="color-a"><ul class="color-b"><li>1</li></ul><li>2</li><li>3</li></ul>', 3),
         ('<div data-attr="color"><button>1</button><button class="swatch">2</button></div><button>x</button>', 2),
         ('<ul class="colors"><li>1</li><li>2</li></ul><ul><li>3</li></ul>', 2),
     ]
@@ -174,7 +178,7 @@ def test_retail_fallbacks(record):
     assert (r.volume_ml, r.volume_unit, r.finish_type) == (Decimal(3), "g", "mat")
     assert r.availability == "En stock"     # an empty disabled attribute does not count
     assert record("retail", '<p aria-label="4.5 étoiles sur 5"></p>').rating == Decimal("4.5")
-    assert record("retail", "<p>" + "x" * 2000 + "</p><p>rupture</p>").availability == "En stock"
+    assert record("retail", "<p>" + "x" * 4000 + "</p><p>rupture</p>").availability == "Rupture"
     assert record("retail", "<p>indisponible</p>").availability == "Rupture"
 
 

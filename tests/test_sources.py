@@ -82,6 +82,9 @@ FEED = [
     ("f", 4, 200, '{"products":[{"title":"after the stop"}]}'),
     ("g", 1, 200, '{"products":[]}'), ("g", 2, 200, '{"products":[{"title":"x"}]}'),
     ("k", 1, 200, "not json"), ("l", 1, 200, None),
+    ("n", 1, 200, '{"products":[{"title":"one"}]}'), ("n", 3, 200, '{"products":[{"title":"behind a gap"}]}'),
+    ("o", 1, 200, '{"products":[{"title":"late","variants":[{"price":"1,234.00"}]}]}'),
+    *[("p", i, 200, '{"products":[{"title":"p"}]}') for i in range(1, 9)],
     ("m", 5, 200, '{"products":[{"title":"five"}]}'), ("m", 6, 200, '{"products":[{"title":"six"}]}'),
 ]
 
@@ -89,7 +92,9 @@ FEED = [
 def test_feed(spark):
     pages = spark.createDataFrame(FEED, "feed string, page int, status int, body string")
     feed = v.read_feed(pages)
-    assert {(r.feed, r.page) for r in feed.collect()} == {("f", 1), ("f", 2), ("m", 5)}
+    assert {(r.feed, r.page) for r in feed.collect()} == {("f", 1), ("f", 2), ("n", 1), ("o", 1), *[("p", i) for i in range(1, 9)]}
+    assert v.read_feed(pages, max_pages=5).filter("feed = 'p'").count() == 5
+    assert v.feed_products(feed.filter("feed = 'o'"), "u").first().price is None
     rows = {r.source_url: r for r in v.feed_products(feed.filter("feed = 'f'"), "http://s/p/").collect()}
     assert set(rows) == {"http://s/p/h1", "http://s/p/h3", "http://s/p/h4"}   # the blocked type is gone, no type passes
     a, b, c = (rows[f"http://s/p/h{i}"] for i in (1, 3, 4))

@@ -75,7 +75,7 @@ def test_one_of_quotes_its_words(value):
 
 def test_prices(value):
     text = "45,90 € puis 39.90 € ou 45.9€ et 1 € 500 € 7,123 € 12"
-    found = [float(x) for x in value(text, v.prices)]
+    found = [float(x) for x in value(text, lambda s: v.prices(s, low=1, high=500))]
     assert found == [123.0, 45.9, 39.9]  # 7,123 has three decimals: only its last part is a price
     assert [float(x) for x in value("3 € 4,50 €", lambda s: v.prices(s, CENT_PRICE, None, None))] == [4.5]
     pair = value("9 € 8 € 7 €", lambda s: F.struct(*[c.alias(n) for c, n in zip(price_pair(v.prices(s)), "hl")]))
@@ -108,3 +108,11 @@ def test_urls(value):
     assert value("http://x/p/abc-P1.html", lambda s: v.slug(s, "product")) == "abc-P1.html"
     assert value("http://x/" + "y" * 80, lambda s: v.slug(s, "product")) == "y" * 40
     assert value("http://x/fr/q/fr/z", lambda s: v.slug(s, "locale")) == "z"
+
+
+def test_every_reference_is_decoded_before_blanks_are_stripped(value):
+    import html
+
+    for text in ("Gr&szlig;e &frac12; &Ouml;l", "&ampx &lt3 &copy2 &notit; &notin; &bogus; &#8364 &#x20AC; &#150; &#0; &hearts", "&NotEqualTilde;"):
+        assert value(text, v.visible_text) == html.unescape(text).replace("\ufffd", "&#0;")
+    assert value("<b>&#160;x&#xA0;</b><i>&nbsp;</i><b>y&ensp;z</b>", v.visible_text) == "x y\u2002z"

@@ -6,7 +6,7 @@ from vitrine.functions.text import normalise, visible_text
 from vitrine.functions.urls import absolute_url, canonical_url, slug
 from vitrine.operators.blocks import json_ld_blocks, pick_block, with_text
 from vitrine.operators.links import (
-    article_key, attach_listing, attach_pages, extract_links, first_seen, frontier, keyword_gate,
+    article_key, attach_listing, attach_pages, extract_links, first_position, first_seen, frontier, keyword_gate, linked_pages,
     listing_table, pattern_gate, product_links, take_first, unique_links,
 )
 from vitrine.operators.master import (
@@ -21,8 +21,9 @@ from vitrine.plans.collect import collect_catalogue, collect_links, page_records
 from vitrine.plans.report import brand_report
 from vitrine.profiles import LISTING_KEYWORDS, PROFILES, RETAIL, STRUCTURED, WIDGET, LinkRules, Profile
 from vitrine.schema import CANONICAL, FEED, FIELDS, RAW, conform, to_canonical
+from vitrine.vocabulary import VOCABULARY, group_table
 from vitrine.sources import (
-    feed_products, read_catalog_csv, read_catalogs, read_feed, read_pages, spread, write_catalog_csv,
+    feed_products, read_catalog_csv, read_catalogs, read_feed, read_pages, write_catalog_csv,
 )
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -2,7 +2,8 @@
 
 There is no DOM here. A selector is a regex for the opening tag of the wanted
 element; ``element()`` then follows the nesting of that tag name up to its own
-closing tag. Tags written inside comments or scripts are not told apart.
+closing tag. The functions expect what ``text.markup`` makes of a page: no comments
+and scripts, and no angle brackets inside attribute values.
 """
 
 from __future__ import annotations
@@ -152,11 +153,10 @@ def meta(html: Column, prop: str) -> Column:
     return attribute(first_tag(html, any_of(tag(equals("property", prop), name="meta"))), "content")
 
 
-def balanced(tail: Column) -> Column:
-    """Cut ``tail``, which starts with an opening tag, at that tag's closing tag.
+def _balanced(tail: Column) -> Column:
+    """(text, closed): ``tail``, which starts with an opening tag, up to that tag's closing tag.
 
-    The pieces between same-named tags are folded with a depth counter; an element
-    that is never closed runs to the end.
+    The pieces between same-named tags are folded with a depth counter; an element that is never closed runs to the end.
     """
     start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("end"), F.lit(False).alias("closed"))
 
@@ -169,13 +169,19 @@ def balanced(tail: Column) -> Column:
     def cut(t: Column) -> Column:
         name = F.lower(F.regexp_extract(t, rf"^<({_ANY_TAG})", 1))
         pieces = F.split(t, F.concat(F.lit("(?i)(?=</?"), name, F.lit(r"(?![\w-]))")), -1)
-        end = F.aggregate(pieces, start, step, lambda state: state["end"])
         empty = F.rlike(t, F.lit(r"(?i)^<(?:meta|link|input|img|br|hr)(?![\w-])"))
-        return F.when(empty, F.regexp_extract(t, "^<[^>]*>", 0)).otherwise(F.substring(t, F.lit(1), end))
+        return F.when(empty, F.struct(F.regexp_extract(t, "^<[^>]*>", 0).alias("text"), F.lit(True).alias("closed"))).otherwise(
+            let(F.aggregate(pieces, start, step), lambda s: F.struct(
+                F.substring(t, F.lit(1), s["end"]).alias("text"), s["closed"].alias("closed"))))
 
     return let(tail, cut)
 
 
+def balanced(tail: Column) -> Column:
+    """Cut ``tail``, which starts with an opening tag, at that tag's closing tag."""
+    return _balanced(tail)["text"]
+
+
 def element(html: Column, selector: Selector) -> Column:
     """The first element that fits, opening tag included; null when there is none."""
     tail = nonblank(F.regexp_extract(html, rf"(?s){selector.pattern}.*", 0))
@@ -183,11 +189,27 @@ def element(html: Column, selector: Selector) -> Column:
 
 
 def elements(html: Column, selector: Selector) -> Column:
-    """Array of all elements that fit; an outer one ends where a nested one starts."""
+    """Array of the elements that fit, the outermost only: what lies inside another one is part of it."""
     # The blank in front keeps the first piece from being an element.
     pieces = F.split(F.concat(F.lit(" "), html), f"(?={selector.pattern})", -1)
-    opened = let(pieces, lambda p: F.slice(p, F.lit(2), F.size(p)))
-    found = F.transform(opened, balanced)
+    first = F.struct(
+        F.array().cast("array<string>").alias("found"), F.lit(0).alias("at"), F.lit(0).alias("end"))
+
+    def step(state: Column, piece: Column) -> Column:
+        """``at``: where the piece starts in the page; ``end``: where the last element ended."""
+        next_at = state["at"] + F.length(piece)
+
+        def opened(own: Column) -> Column:
+            # Most elements close before the next one opens; only others are followed through the rest of the page.
+            text = F.when(own["closed"], own["text"]).otherwise(balanced(F.substr(html, state["at"])))
+            return let(text, lambda t: F.struct(
+                F.array_append(state["found"], t).alias("found"), next_at.alias("at"), (state["at"] + F.length(t)).alias("end")))
+
+        skipped = (state["at"] == 0) | (state["at"] < state["end"])
+        return F.when(skipped, F.struct(
+            state["found"].alias("found"), next_at.alias("at"), state["end"].alias("end"))).otherwise(let(_balanced(piece), opened))
+
+    found = let(pieces, lambda p: F.aggregate(p, first, step, lambda s: s["found"]))
     return F.when(hinted(html, selector), found).otherwise(F.array().cast("array<string>"))
 
 

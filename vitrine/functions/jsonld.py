@@ -6,7 +6,7 @@ from pyspark.sql import Column, functions as F
 
 from vitrine.functions.html import any_of, equals, tag
 from vitrine.functions.once import keep_if, let, nonblank
-from vitrine.functions.text import strip
+from vitrine.functions.text import strip, without_comments
 
 _OPENING = any_of(tag(equals("type", "application/ld+json"), name="script"))
 _SCRIPT = rf"(?s){_OPENING.pattern}(.*?)</(?i:script)\s*+>"
@@ -31,7 +31,7 @@ def block_array(html: Column, flatten_lists: bool = True) -> Column:
     Blank and broken blocks are skipped. A block that is a list gives its entries, or
     itself with ``flatten_lists=False``; ``of_type`` picks objects only.
     """
-    texts = F.regexp_extract_all(html, F.lit(_SCRIPT), F.lit(1))
+    texts = F.regexp_extract_all(without_comments(html), F.lit(_SCRIPT), F.lit(1))
     parsed = F.filter(F.transform(texts, _only_value), lambda v: v.isNotNull())
     if flatten_lists:
         parsed = F.flatten(

@@ -30,7 +30,7 @@ def number(text: Column, pattern: str, kind: str = "decimal(12,2)") -> Column:
     return F.translate(nonblank(F.regexp_extract(text, _runs(pattern), 1)), ",", ".").try_cast(kind)
 
 
-def prices(text: Column, pattern: str = ANY_PRICE, low: float | None = 1, high: float | None = 500) -> Column:
+def prices(text: Column, pattern: str = ANY_PRICE, low: float | None = None, high: float | None = None) -> Column:
     """Distinct euro prices of the text, highest first, within the open range."""
     dotted = F.translate(text, ",", ".")  # once per text instead of once per price
     found = F.regexp_extract_all(dotted, F.lit(_runs(rf"({pattern}){GAP}€")), F.lit(1))

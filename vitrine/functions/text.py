@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from html.entities import html5
+
 from pyspark.sql import Column, functions as F
 
 from vitrine.functions.once import let
@@ -20,22 +23,19 @@ GAP = f"[{BLANK}]*"
 #: A word character; \b differs between regex engines next to accented letters.
 WORD = r"\p{L}\p{N}_"
 
-# Named character references decoded in page text.
-ENTITIES = {
-    "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\xa0",
-    "euro": "€", "pound": "£", "copy": "©", "reg": "®", "trade": "™", "deg": "°", "middot": "·",
-    "agrave": "à", "acirc": "â", "auml": "ä", "aelig": "æ", "ccedil": "ç",
-    "egrave": "è", "eacute": "é", "ecirc": "ê", "euml": "ë",
-    "icirc": "î", "iuml": "ï", "ocirc": "ô", "ouml": "ö", "oelig": "œ",
-    "ugrave": "ù", "ucirc": "û", "uuml": "ü", "yuml": "ÿ", "ntilde": "ñ",
-    "Agrave": "À", "Acirc": "Â", "Ccedil": "Ç", "Egrave": "È", "Eacute": "É", "Ecirc": "Ê",
-    "Icirc": "Î", "Ocirc": "Ô", "OElig": "Œ", "Ugrave": "Ù", "Ucirc": "Û",
-    "laquo": "«", "raquo": "»", "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”",
-    "hellip": "…", "ndash": "–", "mdash": "—", "bull": "•", "times": "×",
-    "ensp": "\u2002", "emsp": "\u2003", "thinsp": "\u2009", "shy": "\xad",
-    "#128": "€", "#133": "…", "#145": "‘", "#146": "’", "#147": "“", "#148": "”",
-    "#150": "–", "#151": "—",
-}
+#: Named references of HTML, without ampersand and semicolon.
+ENTITIES = {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
+#: Those that count without a semicolon too, longest first.
+LOOSE = sorted((name for name in html5 if not name.endswith(";")), key=lambda n: (-len(n), n))
+#: Numbers that stand for a character of the old Windows code page.
+OLD_NUMBERS = {n: bytes([n]).decode("cp1252") for n in range(128, 160) if n not in (129, 141, 143, 144, 157)}
+# References of blanks, which belong to the blanks at the ends of a text node.
+_BLANK_REFERENCES = (
+    ("nbsp|NonBreakingSpace|#0*160|#[xX]0*[aA]0", "\xa0"), ("ensp|#0*8194|#[xX]0*2002", "\u2002"),
+    ("emsp|#0*8195|#[xX]0*2003", "\u2003"), ("thinsp|ThinSpace|#0*8201|#[xX]0*2009", "\u2009"),
+    ("#0*8239|#[xX]0*202[fF]", "\u202f"), ("Tab|#0*9|#[xX]0*9", "\t"),
+    ("NewLine|#0*10|#[xX]0*[aA]", "\n"), ("#0*13|#[xX]0*[dD]", "\r"), ("#0*32|#[xX]0*20", " "),
+)
 
 # Accented letters and their plain forms, position by position.
 ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
@@ -51,8 +51,13 @@ _MARKUP = rf"<(?:{_HIDDEN}|!--.*?(?:-->|\z)|[!?][^>]*+>|{_TAG})"
 _BETWEEN = rf"(?s)(?=[<{BLANK}])(?<![{BLANK}])(?:[{BLANK}]*+{_MARKUP})++[{BLANK}]*+"
 
 
-# The references as one SQL map literal: one parsed expression instead of many calls.
-_NAMES = "map(" + ", ".join(f"r'{k}', \"{v}\"" if v == "'" else f"r'{k}', '{v}'" for k, v in ENTITIES.items()) + ")"
+def _literal(text: str) -> str:
+    return "'" + "".join(f"\\u{ord(c):04X}" if ord(c) < 0x10000 else f"\\U{ord(c):08X}" for c in text) + "'"
+
+
+# The references as SQL map literals: parsed once instead of built by many calls.
+_NAMES = "map(" + ", ".join(f"'{name}', {_literal(text)}" for name, text in ENTITIES.items()) + ")"
+_OLD = "map(" + ", ".join(f"{n}, {_literal(text)}" for n, text in OLD_NUMBERS.items()) + ")"
 
 
 def strip(text: Column) -> Column:
@@ -77,26 +82,30 @@ def normalise(text: Column) -> Column:
 
 
 def decode_references(text: Column) -> Column:
-    """Decode ``&name;``, ``&#n;`` and ``&#xh;`` in one pass over the text."""
-    names = F.expr(_NAMES)
+    """Decode ``&name;``, ``&#n;`` and ``&#xh;`` in one pass, as HTML does: old names and numbers need no semicolon."""
+    names, old = F.expr(_NAMES), F.expr(_OLD)
 
-    def numbered(name: Column) -> Column:
+    def numbered(digits: Column) -> Column:
         code = F.when(
-            F.rlike(name, F.lit(r"^#[xX][0-9A-Fa-f]{1,6}$")), F.conv(F.substr(name, F.lit(3)), 16, 10).try_cast("int")
-        ).when(F.rlike(name, F.lit(r"^#\d{1,7}$")), F.substr(name, F.lit(2)).try_cast("int"))
-        return let(code, lambda c: F.when(
+            F.rlike(digits, F.lit(r"^#[xX]0*[0-9A-Fa-f]{1,6}$")), F.conv(F.substr(digits, F.lit(3)), 16, 10).try_cast("int")
+        ).when(F.rlike(digits, F.lit(r"^#0*\d{1,7}$")), F.substr(digits, F.lit(2)).try_cast("int"))
+        return let(code, lambda c: F.coalesce(F.try_element_at(old, c), F.when(
             c.between(1, 0xD7FF) | c.between(0xE000, 0x10FFFF),
             F.decode(F.unhex(F.lpad(F.hex(c), 8, "0")), "UTF-32"),
-        ))
+        )))
+
+    def replaced(piece: Column, found: Column, value: Callable[[Column], Column]) -> Column:
+        """The piece with the reference in front decoded; null if it is none. ``found``: as written, ampersand included."""
+        return let(found, lambda f: F.concat(
+            value(F.rtrim(F.substr(f, F.lit(2)), F.lit(";"))), F.substr(piece, F.length(f) + F.lit(1))))
 
     def decoded(piece: Column) -> Column:
-        return let(F.regexp_extract(piece, r"^&(#?[0-9A-Za-z]{1,8});", 1), lambda name: F.coalesce(
-            F.concat(
-                F.coalesce(F.try_element_at(names, name), numbered(name)),
-                F.substr(piece, F.length(name) + F.lit(3)),
-            ),
+        return F.coalesce(
+            replaced(piece, F.regexp_extract(piece, r"^&[0-9A-Za-z]{1,31};", 0), lambda n: F.try_element_at(names, n)),
+            replaced(piece, F.regexp_extract(piece, r"^&#(?:[xX][0-9A-Fa-f]+|\d+);?", 0), numbered),
+            replaced(piece, F.regexp_extract(piece, f"^&(?:{'|'.join(LOOSE)})", 0), lambda n: F.try_element_at(names, n)),
             piece,
-        ))
+        )
 
     def whole(t: Column) -> Column:
         pieces = F.transform(F.split(t, "(?=&)", -1), decoded)
@@ -105,11 +114,44 @@ def decode_references(text: Column) -> Column:
     return let(text, whole)
 
 
+def blank_references(html: Column) -> Column:
+    """References of blanks as these blanks, so that they count at the ends of a text node."""
+    for names, blank in _BLANK_REFERENCES:
+        html = F.regexp_replace(html, f"&(?:{names});", blank)
+    return html
+
+
 def visible_text(html: Column) -> Column:
     """Text of the page: every text node stripped, joined by one space.
 
     Scripts, styles, templates and comments are left out. Blanks inside one text
-    node stay as they are.
+    node stay as they are, written out or as references.
+    """
+    blanks = let(html, lambda h: F.when(F.rlike(h, F.lit(
+        "&(?:nbsp|NonBreakingSpace|ensp|emsp|thinsp|ThinSpace|Tab|NewLine|#)")), blank_references(h)).otherwise(h))
+    return decode_references(strip(F.regexp_replace(blanks, _BETWEEN, " ")))
+
+
+# Elements whose content is no markup, and comments; a comment inside such an element is part of it.
+_RAW = r"<(?i:(script|style|template))(?![\w-])(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+>.*?(?:</(?i:\{0})\s*+>|\z)"
+_COMMENT = r"<!--.*?(?:-->|\z)"
+
+
+def without_comments(html: Column) -> Column:
+    """The page without its comments; scripts stay."""
+    pattern = rf"(?s)({_RAW.format(2)})|{_COMMENT}"
+    return F.when(F.contains(html, F.lit("<!--")), F.regexp_replace(html, pattern, "$1")).otherwise(html)
+
+
+def markup(html: Column) -> Column:
+    """The page's own tags and text: no comments, scripts, styles and templates, and no tags inside attributes.
+
+    Angle brackets and equals signs in quoted values become references, so that a tag ends at its first ``>`` and what
+    looks like an attribute is one.
     """
-    spaced = F.replace(html, F.lit("&nbsp;"), F.lit("\xa0"))
-    return decode_references(strip(F.regexp_replace(spaced, _BETWEEN, " ")))
+    bare = F.regexp_replace(html, rf"(?s){_RAW.format(1)}|{_COMMENT}", "")
+    for quote in ('"', "'"):
+        for bracket, reference in (("<", "&lt;"), (">", "&gt;"), ("=", "&#61;")):
+            inside = rf"[^{quote}{bracket}]*+"
+            bare = F.regexp_replace(bare, rf"(\G(?!\A){inside}|=\s*+{quote}{inside}){bracket}", f"$1{reference}")
+    return bare

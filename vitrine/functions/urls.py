@@ -18,18 +18,23 @@ def canonical_url(url: Column) -> Column:
     return F.substring_index(url, "?", 1)
 
 
-def slug(url: Column, kind: str = "last") -> Column:
+def slug(url: Column, kind: str = "last", length: int | None = None) -> Column:
     """Short display name of an address.
 
     ``last``: last path part, 60 characters. ``product``: part behind the last
     ``/p/``, 50 characters, else the last 40 characters. ``locale``: part behind
-    the last ``/fr/``, 50 characters.
+    the last ``/fr/``, 50 characters. ``length`` replaces these numbers; 0 cuts nothing.
     """
+    def cut(part: Column, usual: int) -> Column:
+        n = usual if length is None else length
+        return F.substring(part, 1, n) if n else part
+
     if kind == "last":
-        return F.substring(F.substring_index(url, "/", -1), 1, 60)
+        return cut(F.substring_index(url, "/", -1), 60)
     if kind == "locale":
-        return F.substring(F.substring_index(url, "/fr/", -1), 1, 50)
+        return cut(F.substring_index(url, "/fr/", -1), 50)
     if kind == "product":
-        behind = F.substring(F.substring_index(url, "/p/", -1), 1, 50)
-        return F.when(F.contains(url, F.lit("/p/")), behind).otherwise(F.right(url, F.lit(40)))
+        n = 40 if length is None else length
+        rest = F.right(url, F.lit(n)) if n else url
+        return F.when(F.contains(url, F.lit("/p/")), cut(F.substring_index(url, "/p/", -1), 50)).otherwise(rest)
     raise ValueError(f"unknown slug kind {kind!r}")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from vitrine.functions.jsonld import block_array, objects
+from vitrine.functions.jsonld import block_array, objects, of_type
 from vitrine.functions.text import visible_text
 
 
@@ -20,8 +20,9 @@ def json_ld_blocks(pages: DataFrame, flatten_lists: bool = True, key: str = "url
     return rows.select(key, "block_no", F.try_variant_get("block", "$['@type']", "string").alias("type"), "block")
 
 
-def pick_block(blocks: DataFrame, type: str, which: str = "first", key: str = "url") -> DataFrame:
-    """The first or last block of a type per page."""
-    pick = {"first": F.min_by, "last": F.max_by}[which]
-    chosen = blocks.filter(F.col("type") == type)
-    return chosen.groupBy(key).agg(pick("block", "block_no").alias("block"))
+def pick_block(pages: DataFrame, type: str, which: str = "first", flatten_lists: bool = True, key: str = "url") -> DataFrame:
+    """(key, block) of each page with a block of the type: its first or last one, found in the row."""
+    found = of_type(block_array(F.col("html"), flatten_lists), type)
+    block = F.try_element_at(found, F.lit({"first": 1, "last": -1}[which]))
+    # The explode keeps Catalyst from finding every block once more for the filter.
+    return pages.select(key, F.explode(F.filter(F.array(block), lambda b: b.isNotNull())).alias("block"))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from vitrine.functions.html import Selector, all_tags, any_of, attribute, elements, tag
 from vitrine.functions.once import keep_if, let
 from vitrine.functions.rules import one_of
-from vitrine.functions.text import strip
+from vitrine.functions.text import markup, strip
 from vitrine.functions.urls import absolute_url, canonical_url
 from vitrine.profiles import LinkRules, Profile
 
@@ -45,9 +45,9 @@ def _explode_anchors(
     a projection Catalyst would repeat the regex in every filter pushed through.
     """
     rest = [c for c in pages.columns if c != html]
-    hrefs = F.transform(
-        _anchor_tags(F.col(html), rules), lambda a: let(strip(attribute(a, "href")), shape)
-    )
+    hrefs = let(markup(F.col(html)), lambda page: F.transform(
+        _anchor_tags(page, rules), lambda a: let(strip(attribute(a, "href")), shape)
+    ))
     return pages.select(*rest, F.posexplode(hrefs).alias("pos", name))
 
 
@@ -129,25 +129,16 @@ def attach_listing(pages: DataFrame, listing: DataFrame) -> DataFrame:
     return pages.join(listing, "url", "inner")
 
 
-#: Listings up to this many rows, a few hundred bytes each, are broadcast.
-SMALL_LISTING = 20_000
-
-
 def product_links(
     pages: DataFrame, listing: DataFrame, profile: Profile, base: str, domain: str | None = None
 ) -> DataFrame:
     """Candidate product links ``(source, listing_no, pos, url, category)`` of the listing pages.
 
-    A small listing, counted up to its bound, is broadcast and picks its pages before
-    they are parsed. A larger one is joined to the gated links: short rows are
-    shuffled then, not pages.
+    The gates that need no listing run first, row by row; the short links that pass are then joined to the
+    listing, by broadcast or by shuffle as their sizes in bytes allow.
     """
     rules = profile.links
-    stored = pages.select("url", "html")
-    if listing.limit(SMALL_LISTING + 1).count() <= SMALL_LISTING:
-        links = _candidates(attach_listing(stored, F.broadcast(listing)), rules, base, domain)
-    else:
-        links = attach_listing(_candidates(stored, rules, base, domain), listing)
+    links = attach_listing(_candidates(pages.select("url", "html"), rules, base, domain), listing)
     links = keyword_gate(links, "link", "positive", allow=rules.allow)
     return links.select("source", "listing_no", "pos", F.col("link").alias("url"), "category")
 
@@ -165,26 +156,57 @@ def article_key(url: Column, pattern: str) -> Column:
     return F.coalesce(F.nullif(F.regexp_extract(url, pattern, 1), F.lit("")), url)
 
 
-def unique_links(links: DataFrame, article: str | None = None) -> DataFrame:
+def first_position(df: DataFrame, key: Sequence[str], major: str, minor: str) -> DataFrame:
+    """(key, major, minor): the smallest whole-number pair of each key; ``minor`` from 0 to 2**31.
+
+    Both numbers are packed into one, whose minimum is taken by hash: no row is sorted.
+    """
+    step = F.lit(1 << 32).cast("decimal(10,0)")
+    packed = F.col(major).cast("decimal(19,0)") * step + F.col(minor).cast("decimal(10,0)")
+    low = df.groupBy(*key).agg(F.min(packed).alias("_low"))
+    place = F.pmod(F.col("_low"), step)
+    return low.select(*key, ((F.col("_low") - place) / step).cast(df.schema[major].dataType).alias(major),
+                      place.cast(df.schema[minor].dataType).alias(minor))
+
+
+def unique_links(links: DataFrame, article: str | None = None, listing: DataFrame | None = None) -> DataFrame:
     """First-seen links: by article code inside a listing if asked, then by address.
 
     The first row of an address over all listings is also the first row of its own
-    listing, so without article codes one aggregation does both selections.
+    listing, so without article codes one aggregation does both selections. With ``listing`` the category is
+    looked up there afterwards, and only numbers are aggregated.
     """
-    order = ["listing_no", "pos"]
+    order = ["listing_no", "pos", "url"]
     if article is not None:
         links = first_seen(links, ["source", "listing_no", article_key(F.col("url"), article)], order)
-    return first_seen(links, ["source", "url"], order)
+    if listing is None:
+        return first_seen(links, ["source", "url"], order)
+    names = listing.select("source", "listing_no", "category").distinct()
+    return first_position(links, ["source", "url"], "listing_no", "pos").join(names, ["source", "listing_no"]).select(
+        "source", "listing_no", "pos", "url", "category")
 
 
 def attach_pages(links: DataFrame, pages: DataFrame, url: str = "url") -> DataFrame:
-    """Links with their stored page; a link without a page is left out."""
-    return links.join(pages.withColumnRenamed(url, "url") if url != "url" else pages, "url", "inner")
+    """Links with the columns of their stored page; a link without a page is left out.
+
+    Addresses meet without their query strings. Of several copies of a page the first in the order of its address and
+    its other columns is taken, so take what you need out of the HTML before.
+    """
+    rest = [c for c in pages.columns if c != url]
+    plain = pages.withColumn("_plain", canonical_url(F.col(url)))
+    once = first_seen(plain, ["_plain"], [url, *rest]).select(F.col("_plain").alias("url"), *rest)
+    return links.join(once, "url", "inner")
 
 
 def frontier(links: DataFrame, pages: DataFrame, url: str = "url") -> DataFrame:
-    """Links whose page is not stored yet."""
-    return links.join(pages.select(F.col(url).alias("url")), "url", "left_anti")
+    """Links whose page is not stored yet, whatever the query string it is stored under."""
+    return links.join(pages.select(canonical_url(F.col(url)).alias("url")), "url", "left_anti")
+
+
+def linked_pages(pages: DataFrame, links: DataFrame, url: str = "url") -> DataFrame:
+    """The stored pages that some link leads to, as they are."""
+    wanted = links.select(F.col("url").alias("_link")).distinct()
+    return pages.join(wanted, canonical_url(F.col(url)) == F.col("_link"), "left_semi")
 
 
 def take_first(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:

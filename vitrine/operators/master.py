@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from vitrine.functions.text import normalise
 from vitrine.schema import FIELDS
+from vitrine.shared import stored
 
 #: Between family and shade in a feed product's name.
 FAMILY_MARK = " — "
@@ -32,12 +33,16 @@ def build_master(dfs: Mapping[str, DataFrame] | Sequence[DataFrame]) -> DataFram
 def number_rows(df: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
     """Add ``row_no`` 0..n-1, contiguous, in ``order`` or as the rows come.
 
-    The numbers are given per partition after the partitions have been counted, so
-    no task sees more than its own rows.
+    The rows are range-partitioned and sorted, and written with their partition and place to the shared folder, so that
+    both stay as they are. The partitions' sizes, one row each, are summed up to offsets.
     """
-    if order:
-        df = df.orderBy(*order)
-    return df.pandas_api().to_spark(index_col="row_no")
+    placed = (df.orderBy(*order) if order else df).withColumn("_place", F.monotonically_increasing_id())
+    placed = stored(placed, "placed-rows").withColumns(
+        {"_part": F.shiftright("_place", 33), "_place": F.col("_place").bitwiseAND((1 << 33) - 1)})
+    sizes = placed.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return placed.join(starts, "_part").select((F.col("_start") + F.col("_place")).alias("row_no"), *df.columns)
 
 
 def _lookup(mapping: Mapping[str, str], key: Column) -> Column:
@@ -68,10 +73,14 @@ def _plain(label: str) -> str:
     return text.replace("œ", "oe").replace("æ", "ae")
 
 
-def unmapped(df: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """How many rows of each harmonised column hold a label the vocabulary lacks."""
-    counts = df.agg(*[F.count_if(F.col(f) == OTHER).alias(f) for f in fields])
-    return counts.unpivot([], list(fields), "field", "n_unmapped")
+def unmapped(df: DataFrame, vocab: Mapping[str, Mapping[str, str]]) -> DataFrame:
+    """How many rows of each column hold a label that the vocabulary lacks; ``df`` isn't harmonised yet."""
+    def failed(field: str, mapping: Mapping[str, str]) -> Column:
+        key = normalise(F.col(field))
+        return (F.coalesce(key, F.lit("")) != "") & ~F.coalesce(key, F.lit("")).isin(*[_plain(k) for k in mapping])
+
+    counts = df.agg(*[F.count_if(failed(f, m)).alias(f) for f, m in vocab.items()])
+    return counts.unpivot([], list(vocab), "field", "n_unmapped")
 
 
 def brand_group(df: DataFrame, groups: DataFrame) -> DataFrame:

@@ -153,11 +153,21 @@ def completeness(df: DataFrame, by: str = "source", cols: Sequence[str] = FIELDS
     )
 
 
+#: Columns with so few values that one task may see a row for each.
+BRAND_LIKE = ("brand", "brand_group", "source", "category")
+
+
+def _brand_like(by: str) -> None:
+    if by not in BRAND_LIKE:
+        raise ValueError(f"{by!r} may have as many values as rows; rank or compare one of {BRAND_LIKE}")
+
+
 def rank_brands(bench: DataFrame, measure: str, best: str = "high") -> DataFrame:
     """Add ``rank`` on a measure, ties share a rank, brands without a value come last.
 
-    ``bench`` is aggregated: one row per brand. Ranking streams over these sorted rows.
+    ``bench`` is aggregated: one row per brand, whose column stands first. Ranking streams over these sorted rows.
     """
+    _brand_like(bench.columns[0])
     col = F.col(measure)
     order = {"high": col.desc_nulls_last(), "low": col.asc_nulls_last()}[best]
     return bench.withColumn("rank", F.rank().over(Window.orderBy(order)))
@@ -167,8 +177,9 @@ def market_gap(df: DataFrame, measure: str, by: str = "brand") -> DataFrame:
     """Brand average of a measure against the average of all products.
 
     The market average comes from the brands' own sums and counts, so the products
-    are read once and no join is needed.
+    are read once and no join is needed. ``by`` is one of BRAND_LIKE: these have few values.
     """
+    _brand_like(by)
     sums = df.groupBy(by).agg(F.sum(measure).alias("_sum"), F.count(measure).alias("_n"))
     everyone = Window.partitionBy()
     market = F.sum("_sum").over(everyone).cast("double") / F.nullif(F.sum("_n").over(everyone), F.lit(0))

@@ -8,9 +8,7 @@ is built once per page.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
 
-from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vitrine.functions import html as H
@@ -18,7 +16,7 @@ from vitrine.functions import jsonld as J
 from vitrine.functions.numbers import number, price_pair, prices, volumes
 from vitrine.functions.once import let, nonblank
 from vitrine.functions.rules import all_matches, contains_any, first_match
-from vitrine.functions.text import GAP, collapse, strip, visible_text
+from vitrine.functions.text import GAP, collapse, markup, strip, visible_text
 from vitrine.profiles import SHADE_LABEL, SHADE_NAME, SHADE_TEXT, SKIN_ANCHORS, Profile
 from vitrine.schema import CANONICAL, FIELDS, TAG_JOIN
 
@@ -64,10 +62,14 @@ def _last_crumb_name(block: Column) -> Column:
     return let(_crumb(block, -1), named)
 
 
+def _head(name: str, window: int | None) -> Column:
+    return F.col(name) if window is None else F.substring(name, 1, window)
+
+
 # ---- field chains: each returns a column, null when the page does not say ---------
 
 def _name(profile: Profile) -> Column:
-    html, blocks, products = F.col("html"), F.col("blocks"), F.col("products")
+    html, blocks, products = F.col("markup"), F.col("blocks"), F.col("products")
     cut = F.regexp_replace(H.meta(html, "og:title"), rf"{GAP}{profile.title_cut}.*", "")
 
     def first_named(block: Column) -> Column:
@@ -106,12 +108,12 @@ def _crumbs(profile: Profile) -> tuple[Column, Column]:
         return (
             F.lower(nonblank(strip(J.get(entry, "$.item.name")))),
             let(
-                H.list_texts(F.col("html"), _CRUMB_LINKS, "a"),
+                H.list_texts(F.col("markup"), _CRUMB_LINKS, "a"),
                 lambda x: F.when(F.size(x) >= 2, nonblank(F.lower(F.try_element_at(x, F.lit(-1))))),
             ),
         )
     if profile.category == "retail":
-        items = H.list_texts(F.col("html"), _CRUMB_ITEMS, "li")
+        items = H.list_texts(F.col("markup"), _CRUMB_ITEMS, "li")
         return none, nonblank(F.try_element_at(items, F.lit(-2)))
     return none, none
 
@@ -129,7 +131,7 @@ def _ld_price(block: Column) -> Column:
 
 
 def _found_prices(profile: Profile) -> Column:
-    zone = F.coalesce("price_zone", F.substring("text", 1, profile.price_window))
+    zone = F.coalesce("price_zone", _head("text", profile.price_window))
     return prices(zone, profile.price_pattern, *profile.price_range)
 
 
@@ -138,7 +140,7 @@ def _price(profile: Profile) -> tuple[Column, Column]:
     high, low = price_pair(F.col("found_prices"))
     ld = F.col("ld_price")
     if profile.price == "zone_then_meta":
-        told = H.meta(F.col("html"), "og:price:amount")
+        told = H.meta(F.col("markup"), "og:price:amount")
         return F.coalesce(high, F.translate(nonblank(told), ",", ".").try_cast(_MONEY)), low
     if profile.price == "zone_over_ld":
         return F.when(low.isNotNull(), high).otherwise(F.coalesce(ld, high)), low
@@ -146,21 +148,21 @@ def _price(profile: Profile) -> tuple[Column, Column]:
 
 
 def _volume_text(profile: Profile) -> Column:
-    head = F.substring("text", 1, profile.volume_window)
+    head = _head("text", profile.volume_window)
     named = F.concat_ws(" ", F.col("product_name"), head)
     if profile.volume_zone is None:
         return named
     if profile.volume_zone == "price":
         return F.coalesce("price_zone", head)
-    return F.coalesce(H.zone_text(F.col("html"), profile.volume_zone), named)
+    return F.coalesce(H.zone_text(F.col("markup"), profile.volume_zone), named)
 
 
 def _sold_out(profile: Profile) -> Column:
-    html = F.col("html")
+    html = F.col("markup")
     if profile.stock == "meta":
         return F.contains(F.lower(H.meta(html, "og:availability")), F.lit("out"))
     if profile.stock == "retail":
-        told = contains_any(F.substring("text_lower", 1, 2000), profile.out_phrases)
+        told = contains_any(_head("text_lower", profile.out_window), profile.out_phrases)
         return told | (H.attribute(H.first_tag(html, _ADD_BUTTON), "disabled") != "")
     marked = F.exists(
         "products",
@@ -170,7 +172,7 @@ def _sold_out(profile: Profile) -> Column:
     )
     told = contains_any(F.col("text_lower"), profile.out_phrases)
     # The button text may stand anywhere between tags, scripts and comments included.
-    between = F.regexp_replace(html, r"</?[a-zA-Z][^>]*>", " ")
+    between = F.regexp_replace("html", r"</?[a-zA-Z][^>]*>", " ")
     button = F.rlike(between, F.lit(r"(?iu)(?:^|[^\p{L}\p{N}_])ajouter(?:[^\p{L}\p{N}_]|$)"))
     return marked | (told & ~button)
 
@@ -179,7 +181,7 @@ def _counted(
     steps: tuple[tuple[str, str], ...], ld: Callable[[Column], Column], pattern: str, kind: str, label: bool
 ) -> Column:
     """Rating or review count by the profile's steps."""
-    html = F.col("html")
+    html = F.col("markup")
 
     def step(where: str, what: str) -> Column:
         if where == "ld":
@@ -196,7 +198,7 @@ def _counted(
 
 def _shown_shades(profile: Profile) -> Column:
     """Number of shades the markup shows."""
-    html = F.col("html")
+    html = F.col("markup")
     if profile.swatches is None:
         return F.size(F.array_distinct("shade_names"))
     shown = H.count_tags(html, profile.swatches)
@@ -207,11 +209,13 @@ def _shown_shades(profile: Profile) -> Column:
 
 def _shades(profile: Profile) -> Column:
     shown, told = F.col("shown_shades"), F.col("told_shades")
-    if profile.swatches is None:
-        return F.coalesce(told, F.when(F.size("shade_names") > 3, shown))
-    if profile.shades[0] == "text":
-        return F.coalesce(told, F.when((shown > 1) & (shown < 100), shown))
-    return F.coalesce(F.when(shown > 1, shown), told)
+    counted = F.size("shade_names") if profile.swatches is None else shown
+    enough = counted >= profile.least_shades
+    if profile.most_shades is not None:
+        enough = enough & (counted <= profile.most_shades)
+    if profile.shades[0] == "swatches":
+        return F.coalesce(F.when(enough, shown), told)
+    return F.coalesce(told, F.when(enough, shown))
 
 
 def _labelled(text: Column, pattern: str) -> Column:
@@ -226,28 +230,24 @@ def extract_products(
     ``category`` is the listing's; leave it out to join the listing afterwards, as
     ``collect_catalogue`` does, and take ``crumb_ld`` and ``crumb_links`` from the
     extras. ``best_rating=False`` drops the fallback to the highest possible rating.
-    The extras are ``volume_unit`` (ml or g), ``in_stock`` and the ``skin_types`` array.
+    The extras are ``volume_unit`` (ml or g), ``in_stock``, the ``skin_types`` array and ``content``, a hash of the page.
     """
     listing = F.col("category") if "category" in pages.columns else F.lit(None).cast("string")
-    records = pages.select(F.col("url").alias("source_url"), listing.alias("listing_category"), "html")
-    gateway = id(SparkContext._gateway)
-    for columns in _stages(gateway, profile, brand, best_rating):
+    records = pages.select(F.col("url").alias("source_url"), listing.alias("listing_category"), "html",
+                           F.xxhash64("html").alias("content"))
+    for columns in _stages(profile, brand, best_rating):
         records = records.select(*columns)
-    more = ["volume_unit", "in_stock", "skin_types", "crumb_ld", "crumb_links"] if extras else []
+    more = ["volume_unit", "in_stock", "skin_types", "crumb_ld", "crumb_links", "content"] if extras else []
     return records.select(*FIELDS, *more)
 
 
-@lru_cache(maxsize=64)
-def _stages(gateway: int, profile: Profile, brand: str, best_rating: bool) -> list[list[Column | str]]:
-    """The select lists of ``extract_products``, one after the other.
-
-    Columns do not belong to a table, so they are built once per profile: the many
-    calls into the JVM that build them take longer than planning the query.
-    """
+def _stages(profile: Profile, brand: str, best_rating: bool) -> list[list[Column | str]]:
+    """The select lists of ``extract_products``, one after the other."""
     html, text, lower = F.col("html"), F.col("text"), F.col("text_lower")
     read = [
         "*",
         J.block_array(html, profile.flatten_lists).alias("blocks"),
+        markup(html).alias("markup"),
         visible_text(html).alias("text"),
     ]
     found = J.of_type(F.col("blocks"), "Product")
@@ -256,7 +256,7 @@ def _stages(gateway: int, profile: Profile, brand: str, best_rating: bool) -> li
         F.lower("text").alias("text_lower"),
         # A structured page is described by its first Product block only.
         (F.slice(found, 1, 1) if profile.flatten_lists else found).alias("products"),
-        H.zone_text(html, profile.price_zone).alias("price_zone"),
+        H.zone_text(F.col("markup"), profile.price_zone).alias("price_zone"),
     ]
     by_label = profile.swatches is None
     named = [
@@ -296,13 +296,13 @@ def _stages(gateway: int, profile: Profile, brand: str, best_rating: bool) -> li
         "shade_count": _shades(profile),
         "finish_type": _labelled(text, profile.finish_label)
         if profile.finish_label
-        else first_match(F.substring("text_lower", 1, profile.finish_window), profile.finish),
+        else first_match(_head("text_lower", profile.finish_window), profile.finish),
         "coverage_level": _labelled(text, profile.coverage_label)
         if profile.coverage_label
-        else first_match(F.substring("text_lower", 1, profile.coverage_window), profile.coverage),
+        else first_match(_head("text_lower", profile.coverage_window), profile.coverage),
         "skin_types": all_matches(lower, profile.skin, SKIN_ANCHORS),
     }
-    fields = ["source_url", "listing_category", "product_name", *[c.alias(n) for n, c in values.items()]]
+    fields = ["source_url", "listing_category", "content", "product_name", *[c.alias(n) for n, c in values.items()]]
     settled = [
         "*",
         settle_category(profile, F.col("listing_category"), F.col("crumb_ld"), F.col("crumb_links")).alias("category"),

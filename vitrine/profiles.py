@@ -31,7 +31,11 @@ class LinkRules:
 
 @dataclass(frozen=True)
 class Profile:
-    """Where a page kind keeps each field, in fallback order."""
+    """Where a page kind keeps each field, in fallback order.
+
+    The windows are numbers of characters that are looked at from the start of the text; None looks at all of it.
+    Shade counts taken from the markup count from ``least_shades`` up to ``most_shades``.
+    """
 
     name: tuple[str, ...]
     title_cut: str
@@ -39,9 +43,9 @@ class Profile:
     price_zone: Selector
     price_pattern: str
     price_range: tuple[float | None, float | None]
-    price_window: int
+    price_window: int | None
     volume_zone: Selector | str | None
-    volume_window: int
+    volume_window: int | None
     stock: str
     rating: tuple[tuple[str, str | Selector], ...]  # (where, pattern or selector)
     reviews: tuple[tuple[str, str | Selector], ...]
@@ -50,10 +54,13 @@ class Profile:
     skin: tuple[Tag, ...]
     swatch_items: tuple[tuple[Selector, Selector], ...] = ()  # (zone, item)
     finish: tuple[tuple[str, str], ...] = ()
-    finish_window: int = 0
+    finish_window: int | None = None
     finish_label: str | None = None
     coverage: tuple[tuple[str, str], ...] = ()
-    coverage_window: int = 0
+    coverage_window: int | None = None
+    out_window: int | None = None
+    least_shades: int = 2
+    most_shades: int | None = None
     coverage_label: str | None = None
     out_phrases: tuple[str, ...] = ()
     category: str | None = None
@@ -175,8 +182,8 @@ RETAIL_OUT = ("rupture", "out of stock", "indisponible", "sold out")
 
 # ---- Fixed values: feed rules --------------------------------------------------
 FEED_BLOCKED_TYPES = ("Makeup Sponges", "Makeup Brushes", "Bundle Builder")
-FEED_MAX_PAGES = 5
 
+# ---- Fixed values: selectors, address patterns and fallback orders of the page kinds ----
 _SWATCH = (has("class", "swatch"), lacks("class", "size"))
 
 STRUCTURED = Profile(
@@ -192,9 +199,9 @@ STRUCTURED = Profile(
     ),
     price_pattern=ANY_PRICE,
     price_range=(1, 500),
-    price_window=2000,
+    price_window=None,
     volume_zone=None,
-    volume_window=1500,
+    volume_window=None,
     ml_ends_word=True,
     stock="structured",
     out_phrases=STRUCTURED_OUT,
@@ -208,9 +215,7 @@ STRUCTURED = Profile(
         (any_of(tag(has("class", "color"), name="ul")), any_of(tag(name="li", except_all=_SWATCH))),
     ),
     finish=STRUCTURED_FINISH,
-    finish_window=3000,
     coverage=STRUCTURED_COVERAGE,
-    coverage_window=3000,
     skin=STRUCTURED_SKIN,
     links=LinkRules(
         pattern=r"-M?I\d{5,}\.html(?:\?|$)", exclude=STRUCTURED_EXCLUDED, allow="/teint/",
@@ -224,9 +229,9 @@ WIDGET = Profile(
     price_zone=any_of(tag(word("class", "product-info-content"))),
     price_pattern=CENT_PRICE,
     price_range=(None, None),
-    price_window=2000,
+    price_window=None,
     volume_zone="price",
-    volume_window=500,
+    volume_window=None,
     volume_any_case=False,
     g_ends=rf"(?:[{BLANK}]|$)",
     stock="meta",
@@ -238,6 +243,7 @@ WIDGET = Profile(
     coverage_label=WIDGET_COVERAGE_LABEL,
     shades=("label", "names"),
     swatches=None,
+    least_shades=4,
     skin=WIDGET_SKIN,
     ld_brand=False,
     name_required=False,
@@ -257,12 +263,12 @@ RETAIL = Profile(
     ),
     price_pattern=CENT_PRICE,
     price_range=(1, 500),
-    price_window=1000,
+    price_window=None,
     volume_zone=any_of(
         tag(has("class", "product-format")), tag(has("class", "size")),
         tag(equals("data-at", "product_format")),
     ),
-    volume_window=300,
+    volume_window=None,
     stock="retail",
     out_phrases=RETAIL_OUT,
     rating=(
@@ -287,9 +293,7 @@ RETAIL = Profile(
         tag(has("class", "Swatch")),
     ),
     finish=RETAIL_FINISH,
-    finish_window=1500,
     coverage=RETAIL_COVERAGE,
-    coverage_window=2000,
     skin=RETAIL_SKIN,
     links=LinkRules(
         anchors=(

@@ -2,9 +2,9 @@
 
 from vitrine.sources.catalog_csv import read_catalog_csv, read_catalogs, write_catalog_csv
 from vitrine.sources.feed import feed_products, read_feed
-from vitrine.sources.stored_pages import read_pages, spread
+from vitrine.sources.stored_pages import read_pages
 
 __all__ = [
-    "feed_products", "read_catalog_csv", "read_catalogs", "read_feed", "read_pages", "spread",
+    "feed_products", "read_catalog_csv", "read_catalogs", "read_feed", "read_pages",
     "write_catalog_csv",
 ]

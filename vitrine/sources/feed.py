@@ -6,31 +6,30 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from vitrine.profiles import FEED_BLOCKED_TYPES, FEED_MAX_PAGES
+from vitrine.profiles import FEED_BLOCKED_TYPES
 from vitrine.functions.rules import contains_any
 from vitrine.schema import FEED, FIELDS, conform
 
 
-def read_feed(pages: DataFrame, max_pages: int = FEED_MAX_PAGES) -> DataFrame:
-    """Parsed pages ``(feed, page, products)`` up to the first failed or empty one.
+def read_feed(pages: DataFrame, max_pages: int | None = None, first_page: int = 1) -> DataFrame:
+    """Parsed pages ``(feed, page, products)`` from ``first_page`` up to the first failed, empty or missing one.
 
-    ``pages`` holds ``(feed, page, status, body)``. A page fails when its status is
-    not 200 or its body is no JSON object. Only the page numbers of failed pages are
-    grouped and joined back; the bodies stay where they are when that list is small
-    enough to be broadcast, and its join is split by AQE when it is not.
+    ``pages`` holds ``(feed, page, status, body)``. A page fails when its status is not 200 or its body has no
+    readable list of products. Which pages count is settled on short rows ``(feed, page)``, which are joined back on both
+    columns: a feed that holds a large part of all pages is no hot key there, and each kept body is parsed once.
     """
-    head = pages.filter(F.col("page") <= max_pages).withColumn("parsed", F.from_json("body", FEED))
-    usable = (F.col("status") == 200) & (F.coalesce(F.size("parsed.products"), F.lit(0)) > 0)
-    stops = (
-        head.filter(~F.coalesce(usable, F.lit(False)))
-        .groupBy("feed")
-        .agg(F.min("page").alias("stop_page"))
-    )
-    return (
-        head.join(stops, "feed", "left")
-        .filter(F.col("stop_page").isNull() | (F.col("page") < F.col("stop_page")))
-        .select("feed", "page", F.col("parsed.products").alias("products"))
-    )
+    bounds = F.col("page") >= first_page
+    if max_pages is not None:
+        bounds = bounds & (F.col("page") < first_page + max_pages)
+    listed = F.json_array_length(F.get_json_object("body", "$.products"))
+    usable = pages.filter(bounds & (F.col("status") == 200) & (listed > 0)).select("feed", "page").distinct()
+    # A page whose successor isn't usable is the last of its run; the first run must begin at the first page.
+    before = usable.select("feed", (F.col("page") - 1).alias("page"))
+    last = usable.join(before, ["feed", "page"], "left_anti").groupBy("feed").agg(F.min("page").alias("last"))
+    begun = usable.filter(F.col("page") == first_page).select("feed")
+    kept = usable.join(last.join(begun, "feed", "left_semi"), "feed").filter("page <= last").select("feed", "page")
+    return pages.join(kept, ["feed", "page"], "left_semi").select(
+        "feed", "page", F.from_json("body", FEED)["products"].alias("products"))
 
 
 def _by_title(title: Column, rules: Sequence[tuple[Sequence[str], str]], default: str) -> Column:
@@ -57,7 +56,7 @@ def feed_products(
 ) -> DataFrame:
     """One product record per feed product, from its title and its first variant.
 
-    A product without a type passes the block list; one without variants is kept
+    A price that is no number becomes null. A product without a type passes the block list; one without variants is kept
     with no price and counts as unavailable.
     """
     products = feed.select(F.col("feed").alias("source"), F.explode("products").alias("p"))
@@ -93,4 +92,4 @@ def feed_products(
         "availability": F.when(F.col("v.available"), "en stock").otherwise("rupture"),
         "source_url": F.concat(F.lit(base_url), F.col("p.handle")),
     }
-    return conform(shaped.select("source", *[record[f].alias(f) for f in FIELDS]))
+    return conform(shaped.select("source", *[record[f].alias(f) for f in FIELDS]), strict=False)

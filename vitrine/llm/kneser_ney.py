@@ -9,8 +9,8 @@ Words are 64-bit hashes. Every text begins in one context and ends with one toke
 
 1. Word counts: distinct words of some millions of tokens at a time are packed per shard of the hash range; each shard is
    added up.
-2. Bigram counts, likewise, sharded by their first word. First words above a share of 1 / ``HOT`` of all tokens
-   (fewer than HOT of them, so the list is bounded) are sharded by the bigram instead. Each shard becomes a sorted hash array
+2. Bigram counts, likewise, sharded by their first word. First words with more than a quarter of a shard's mean share of
+   all tokens (fewer than four for each shard, so the list is bounded) are sharded by the bigram instead. Each shard becomes a sorted hash array
    with counts, and sends on what it knows of contexts and continuations.
 3. Word shards join counts, continuations and contexts to sorted arrays.
 
@@ -31,7 +31,7 @@ from vitrine.llm.core import shared_dir, small_batches, stored, worker_cache
 
 BEGIN, END = 0x243F6A8885A308D3, 0x13198A2E03707344  # hashes of the first context and the last token
 FLUSH = 2_500_000  # tokens that are counted together before they are sent
-HOT = 4096
+FREQUENT = 4  # a word is frequent above 1 / (FREQUENT * shards) of all tokens
 FOLDS, HELD_OUT = 5, 1
 
 
@@ -145,7 +145,7 @@ def _flushed(batches, most: int):
 
 
 def _word_counts(texts: DataFrame, folder: str, shards: int) -> DataFrame:
-    """Writes sorted (word, c) arrays per shard; (n, tokens, hot) per shard, hot: [(word, c)] that may be frequent."""
+    """Writes sorted (word, c) arrays per shard; (n, tokens) per shard."""
     def counted(batches):
         import numpy as np
         import pyarrow as pa
@@ -169,13 +169,26 @@ def _word_counts(texts: DataFrame, folder: str, shards: int) -> DataFrame:
         if keys:
             keys, (c,), _ = _tally(np.concatenate(keys), [np.concatenate(counts)])
             _write(folder, f"count-{shard}", k=keys, c=c)
-            often = np.argsort(-c, kind="stable")[:HOT]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([len(keys)]), pa.array([int(c.sum())]), pa.array([[int(x) for x in keys[often].view(np.int64)]]),
-                 pa.array([[int(x) for x in c[often]]])], ["n", "tokens", "words", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array([len(keys)]), pa.array([int(c.sum())])], ["n", "tokens"])
 
     return texts.mapInArrow(counted, "shard int, k binary, c binary").repartitionById(shards, F.col("shard")).mapInArrow(
-        added, "n bigint, tokens bigint, words array<bigint>, counts array<bigint>")
+        added, "n bigint, tokens bigint")
+
+
+def _frequent_words(spark, folder: str, shards: int, tokens: int) -> list[int]:
+    """Words above 1 / (FREQUENT * shards) of all tokens; so there are fewer than FREQUENT * shards."""
+    def picked(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for shard in batch.column("id").to_pylist():
+                k, c = _open(folder, f"count-{shard}", "k"), _open(folder, f"count-{shard}", "c")
+                if k is not None:
+                    often = k[c * (FREQUENT * shards) > tokens]
+                    yield pa.RecordBatch.from_arrays([pa.array(often.view("int64"))], ["word"])
+
+    rows = spark.range(0, shards, 1, min(shards, 64)).mapInArrow(picked, "word bigint").collect()
+    return [row.word & 0xFFFFFFFFFFFFFFFF for row in rows]
 
 
 def _bigram_counts(texts: DataFrame, folder: str, shards: int, hot_words: list[int]) -> DataFrame:
@@ -319,8 +332,7 @@ def train(texts: DataFrame, name: str = "kneser-ney") -> Model:
     os.makedirs(folder)
     counted = stored(_word_counts(texts.select("text"), folder, shards), f"{name}-words")
     n, v = counted.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    hot = counted.select(F.explode(F.arrays_zip("words", "counts")).alias("x")).where(F.col("x.counts") * HOT > n).select("x.words")
-    hot = [row[0] & 0xFFFFFFFFFFFFFFFF for row in hot.collect()] + [BEGIN]
+    hot = _frequent_words(spark, folder, shards, n) + [BEGIN]
     known = stored(_bigram_counts(texts.select("text"), folder, shards, hot), f"{name}-bigrams")
     of = known.agg(*[F.coalesce(F.sum(f"n{i}"), F.lit(0)) for i in (1, 2, 3, 4)]).first()
     names = ["m1", "m2", "m3", "m4", "m3up", "total"]

@@ -352,7 +352,7 @@ def class_links(docs: DataFrame, sets: DataFrame, classes: DataFrame, width: int
     """
     members = stored(shared_signatures(docs, width), "shared-signatures")
     probes = stored(chosen_probes(members), "probes")
-    asked = probes.select("g").distinct()
+    asked = stored(probes.select("g").distinct(), "asked")
     sketches = sets.select(F.col("s1").alias("id"), *SKETCH).dropDuplicates(["id"])
     around = stored(members.join(asked, "g").select("g", "id", "n", "deleted").join(sketches, "id"), "asked-signatures")
     short = sets.where("scarce").dropDuplicates(["s1"])
@@ -375,13 +375,16 @@ def class_links(docs: DataFrame, sets: DataFrame, classes: DataFrame, width: int
     whole = stored(shingle_sets(docs, involved, width), "shingle-sets")
 
     links = stored(verified(rare, whole), "rare-links")
+    # Joins on a signature read stored tables on both sides, so that Spark can split one that very many sets share.
+    asked_by = stored(probes.select("g", "id").distinct(), "asked-by")
     for turn in range(ROUNDS):
         named = stored(_labelled(around, links), "named-signatures")
         # The same member for all who share a signature, another one in each round.
         centre = named.where("NOT deleted").groupBy("g").agg(F.min(F.struct(
             F.xxhash64("id", F.lit(turn)).alias("h"), F.col("id").alias("r"), F.col("n").alias("m"), F.col("component").alias("other"),
             *[F.col(k).alias(f"q{i}") for i, k in enumerate(SKETCH)])).alias("c")).select("g", "c.*")
-        asking = named.join(probes.select("g", "id").distinct(), ["g", "id"])
+        centre = stored(centre, "centres")
+        asking = named.join(asked_by, ["g", "id"])
         near = asking.join(centre, "g").where((F.col("component") != F.col("other")) & _sizes_fit("n", "m") & _close("n", "m"))
         near = near.groupBy("id").agg(F.min(F.struct("h", "r"))["r"].alias("r")).select(*_ordered("id", "r")).distinct()
         links = links.union(stored(verified(near, whole), "round-links"))

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from vitrine.functions.once import let
 from vitrine.llm.core import pair_up, space_words
 
-BUCKETS, PRIOR, MAX_LABELLED, SPARE = 1 << 14, 20, 10_000, 0.002
+BUCKETS, PRIOR, MAX_LABELLED, SPARE = 1 << 14, 20, 10_000, 0.0005
 MIN_WORDS, REPEAT_WINDOW, REPEAT_PERCENT = 20, 8, 30
 SYMBOLS = "#*$%&|<>"  # fixed value
 

@@ -129,28 +129,27 @@ def promo_depth(df: DataFrame, by: str = "brand") -> DataFrame:
 def completeness(df: DataFrame, by: str = "source", cols: Sequence[str] = FIELDS) -> DataFrame:
     """Rows, blanks, distinct values, smallest and largest value of each column per source.
 
-    The table is turned long and counted by value first, so the distinct count of a
-    column is spread over all its values and nothing but the final counts meets in
-    one group. Numbers are compared as numbers.
+    Rows, blanks and the range of numbers come from one hash aggregation of the table as it is. Only for distinct
+    values and the range of texts it is turned long, without blanks, and each value is sent once per task; nothing but the
+    final counts meets in one group.
     """
-    numeric = {c for c, t in df.dtypes if t in ("int", "bigint", "double") or t.startswith("decimal")}
-    entries = []
-    for c in cols:
-        rank = F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")
-        entries.append(F.struct(
-            F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"), rank.alias("rank")
-        ))
-    long = df.select(by, F.inline(F.array(*entries)))
-    values = long.groupBy(by, "column_name", "value", "rank").agg(F.count("*").alias("n"))
-    low = F.coalesce(F.min_by("value", "rank"), F.min("value"))
-    high = F.coalesce(F.max_by("value", "rank"), F.max("value"))
-    return values.groupBy(by, "column_name").agg(
-        F.sum("n").alias("n_rows"),
-        F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("n_null"),
-        F.count("value").alias("n_distinct"),
-        low.alias("min_value"),
-        high.alias("max_value"),
-    )
+    kinds = dict(df.dtypes)
+    numeric = [c for c in cols if kinds[c] in ("int", "bigint", "double") or kinds[c].startswith("decimal")]
+    ends = [f(c).alias(f"{end} {c}") for c in numeric for end, f in (("low", F.min), ("high", F.max))]
+    wide = df.groupBy(by).agg(F.count("*").alias("rows"), *[F.count(c).alias(f"n {c}") for c in cols], *ends)
+    shown = lambda end, c: (F.col(f"{end} {c}") if c in numeric else F.lit(None)).cast("string")
+    table = wide.select(by, F.inline(F.array(*[F.struct(
+        F.lit(c).alias("column_name"), F.col("rows").alias("n_rows"), (F.col("rows") - F.col(f"n {c}")).alias("n_null"),
+        shown("low", c).alias("low"), shown("high", c).alias("high")) for c in cols])))
+    long = df.select(by, F.inline(F.filter(F.array(*[F.struct(
+        F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in cols]), lambda x: x["value"].isNotNull())))
+    texts = F.when(~F.col("column_name").isin(*numeric) if numeric else F.lit(True), F.col("value"))
+    values = long.distinct().groupBy(F.col(by).alias("_by"), F.col("column_name").alias("_column")).agg(
+        F.count("*").alias("distinct"), F.min(texts).alias("first"), F.max(texts).alias("last"))
+    both = table.join(values, F.col(by).eqNullSafe(F.col("_by")) & (F.col("column_name") == F.col("_column")), "left")
+    return both.select(
+        by, "column_name", "n_rows", "n_null", F.coalesce("distinct", F.lit(0)).alias("n_distinct"),
+        F.coalesce("low", "first").alias("min_value"), F.coalesce("high", "last").alias("max_value"))
 
 
 #: Columns with so few values that one task may see a row for each.

@@ -211,3 +211,20 @@ def test_pipeline(spark, docs, labels, items, tmp_path):
     sp = sentencepiece.SentencePieceProcessor(model_proto=model_file())
     assert [(r.doc_id, r.ids) for r in got] == [(d, sp.encode(t)) for d, t in rows] and len(got) > 10
     assert all(r.round_trip and r.n_tokens == len(r.ids) for r in got)
+
+
+def test_components_of_chains_stars_and_random_links(spark):
+    from vitrine.llm.components import components
+
+    rnd = random.Random(9)
+    links = [(i, i + 1) for i in range(100, 160)] + [(200, i) for i in range(201, 260)] + [(5, 5), (7, 3), (3, 7)]
+    links += [(rnd.randint(300, 500), rnd.randint(300, 500)) for _ in range(110)]
+    rnd.shuffle(links)
+    got = {r.node: r.component for r in components(spark.createDataFrame(links, "a bigint, b bigint").repartition(3)).collect()}
+    low = {n: n for pair in links for n in pair if pair[0] != pair[1]}
+    for _ in range(len(low)):
+        for a, b in links:
+            if a != b:
+                low[a] = low[b] = min(low[a], low[b])
+    assert got == low
+    assert components(spark.createDataFrame([(1, 1)], "a bigint, b bigint")).count() == 0

@@ -16,11 +16,12 @@ def components(links: DataFrame) -> DataFrame:
     """(node, component) of every node that has a link (a, b); component: the smallest node reachable.
 
     Each round turns the links of a node towards its smallest neighbour: first those to larger neighbours, then those
-    to smaller ones. Rounds are written to the shared folder and end when nothing changes; a component of n nodes takes
-    in the order of log n rounds. Minima are taken before rows move, so a node with very many links is no hot spot.
+    to smaller ones. Rounds are written to the shared folder and end when both ends of every link bear one name; a component
+    of n nodes takes in the order of log n rounds. Minima are taken before rows move, so a node with very many links is no
+    hot spot.
     """
-    now = stored(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    seen = None
+    links = stored(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    now = links
     while True:
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = stored(_smallest(both), "large-star")
@@ -29,9 +30,10 @@ def components(links: DataFrame) -> DataFrame:
         low = stored(_smallest(large), "small-star")
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).union(low.select("a", F.col("low").alias("b")))
         now = stored(small.where("a <> b").distinct(), "links")
-        state = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())
-        if state == seen:
-            break
-        seen = state
-    return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
-        now.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()
+        names = now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
+            now.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()
+        # A node that still points to two others has two names, of which one differs from its neighbour's.
+        one = links.join(names.withColumnRenamed("component", "x"), F.col("a") == F.col("node")).select("a", "b", "x")
+        two = one.join(names.withColumnRenamed("component", "y"), F.col("b") == F.col("node")).where("x <> y")
+        if two.isEmpty():
+            return names

@@ -163,4 +163,7 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def kept_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, as they are."""
-    return with_verdicts(docs, labels).where("kept").select(*[F.col(f"own.`{c}`") for c in docs.columns])
+    # A filter would be pushed below the projections and split and hash every text once for each mention of its
+    # words; it isn't pushed through an explode.
+    stay = F.when(F.col("kept"), F.array("own"))
+    return with_verdicts(docs, labels).select(F.explode(stay).alias("own")).select(*[F.col(f"own.`{c}`") for c in docs.columns])

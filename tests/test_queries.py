@@ -6,10 +6,11 @@ import re
 import pytest
 
 import __spark_entry__ as entry_point
+from checks import oracles, queries
 from checks.compare import as_text_frame, duck, rows, spark_frame
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
+QUERIES, ORACLES = queries.ALL, oracles.all_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables are not here")
 
@@ -21,6 +22,7 @@ def con():
 
 def test_every_query_has_its_sql():
     assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(entry_point.queries()) and set(ORACLES) <= set(entry_point.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -48,3 +50,13 @@ def test_no_filter_repeats_the_extraction(spark):
     plan = QUERIES["web_page_products"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("regexp") > 5
     assert not [line for line in plan.splitlines() if " Filter " in line and "regexp" in line]
+
+
+def test_only_linked_pages_are_parsed(spark):
+    plan = QUERIES["shop_catalogue"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan
+
+
+def test_links_are_first_seen_by_hash(spark):
+    for name in ("shop_links", "first_seen_links"):
+        assert "SortAggregate" not in QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()

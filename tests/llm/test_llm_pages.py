@@ -24,6 +24,8 @@ PAGES = {
     f"<article><p>{P1}</p></article><div style='display: none'><p>{P2}</p></div><p hidden>{P2}</p>": P1,
     f"<article><p>{P1}<table><tr><td>cell a<td>cell b</table></article>": f"{P1}\ncell a\ncell b",
     f"<p>{P1}</p><p>{P2}</p>": f"{P1}\n{P2}",
+    f"<div class='content-with-sidebar'><div class=sidebar>{P2}</div><p>{P1}</p></div>": P1,
+    f"<form id=aspnet><div class=menu>{P2}</div><main><p>{P1}</p><div role=alert>{P2}</div></main></form>": P1,
     "": "", "<html><body></body></html>": "", "<nav>x</nav>": "",
 }
 

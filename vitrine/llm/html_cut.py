@@ -51,6 +51,7 @@ BAD_ARTICLES = re.compile(
 HEAD_NAMES = re.compile(r"header\w*|topbar|branding|logo")
 GOOD_NAMES = re.compile(r"article\w*|content|main|post|entry|story|body|text|prose|blogpost")
 LISTS = frozenset("ul ol menu dir dl".split())
+LAYOUT = frozenset("has no with without is layout".split())  # names that tell of a part elsewhere, as has-sidebar
 TIE, FAR_TIE = 24, 8  # capacity of an edge to the next and to the next but one, for blocks of one parent
 
 TOKEN = re.compile(
@@ -79,6 +80,8 @@ class Element:
             self.bad = NEVER
         elif tag in ("article", "main"):
             self.good = max(self.good, 16)
+            if tag == "main":
+                self.bad = 0
         if attributes and not attributes.isspace() and tag not in ("html", "body"):
             self._attributes(attributes)
 
@@ -94,7 +97,7 @@ class Element:
         whole = self.tag in ("article", "main")
         for name in f"{got.get('class', '')} {got.get('id', '')}".split():
             parts = [p.lower() for p in NAME_PARTS.findall(name)]
-            if not parts or parts[0] in ("has", "no", "with", "without", "is"):
+            if not parts or not LAYOUT.isdisjoint(parts):
                 continue
             good = any(GOOD_NAMES.fullmatch(p) for p in parts)
             if BAD_ARTICLES.fullmatch(parts[0]) if whole else any(BAD_NAMES.fullmatch(p) for p in parts):

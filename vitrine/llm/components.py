@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from vitrine.llm.core import stored
+from vitrine.llm.core import discard, stored
 
 
 def _smallest(links: DataFrame) -> DataFrame:
@@ -15,6 +15,8 @@ def _smallest(links: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of every node that has a link (a, b); component: the smallest node reachable.
 
+    The result is read from one stored table, which ``discard`` deletes.
+
     Each round turns the links of a node towards its smallest neighbour: first those to larger neighbours, then those
     to smaller ones. Rounds are written to the shared folder and end when both ends of every link bear one name; a component
     of n nodes takes in the order of log n rounds. Minima are taken before rows move, so a node with very many links is no
@@ -27,13 +29,17 @@ def components(links: DataFrame) -> DataFrame:
         low = stored(_smallest(both), "large-star")
         large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).where("a <> b").distinct()
         large = stored(large, "links")
+        before, wide = now, low
         low = stored(_smallest(large), "small-star")
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).union(low.select("a", F.col("low").alias("b")))
         now = stored(small.where("a <> b").distinct(), "links")
+        discard(wide, large, low, *[before] * (before is not links))
         names = now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
             now.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()
         # A node that still points to two others has two names, of which one differs from its neighbour's.
         one = links.join(names.withColumnRenamed("component", "x"), F.col("a") == F.col("node")).select("a", "b", "x")
         two = one.join(names.withColumnRenamed("component", "y"), F.col("b") == F.col("node")).where("x <> y")
         if two.isEmpty():
+            discard(links)
+            names.stored_at = now.stored_at
             return names

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from vitrine.llm.components import components
-from vitrine.llm.core import small_batches, stored
+from vitrine.llm.core import discard, small_batches, stored
 
 WIDTH = 5  # words in a shingle
 LARGEST_DELETED = 48  # bands up to this size index one-deletion neighbourhoods
@@ -340,9 +340,12 @@ def _ordered(a: str, b: str) -> list:
 
 
 def _labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
-    """``rows`` with the component of their id under the links so far."""
-    label = components(links).withColumnRenamed("node", "id")
-    return rows.join(label, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    """``rows`` with the component of their id under the links so far, stored."""
+    label = components(links)
+    named = rows.join(label.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    named = stored(named, "named-signatures")
+    discard(label)
+    return named
 
 
 def class_links(docs: DataFrame, sets: DataFrame, classes: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -378,7 +381,7 @@ def class_links(docs: DataFrame, sets: DataFrame, classes: DataFrame, width: int
     # Joins on a signature read stored tables on both sides, so that Spark can split one that very many sets share.
     asked_by = stored(probes.select("g", "id").distinct(), "asked-by")
     for turn in range(ROUNDS):
-        named = stored(_labelled(around, links), "named-signatures")
+        named = _labelled(around, links)
         # The same member for all who share a signature, another one in each round.
         centre = named.where("NOT deleted").groupBy("g").agg(F.min(F.struct(
             F.xxhash64("id", F.lit(turn)).alias("h"), F.col("id").alias("r"), F.col("n").alias("m"), F.col("component").alias("other"),
@@ -388,9 +391,10 @@ def class_links(docs: DataFrame, sets: DataFrame, classes: DataFrame, width: int
         near = asking.join(centre, "g").where((F.col("component") != F.col("other")) & _sizes_fit("n", "m") & _close("n", "m"))
         near = near.groupBy("id").agg(F.min(F.struct("h", "r"))["r"].alias("r")).select(*_ordered("id", "r")).distinct()
         links = links.union(stored(verified(near, whole), "round-links"))
+        discard(named, centre)
 
     # Then whatever joins two components.
-    named = stored(_labelled(around, links), "named-signatures")
+    named = _labelled(around, links)
     counts = named.groupBy("g", "component").agg(F.count(F.lit(1)).alias("c"))
     mixed = counts.groupBy("g").agg(
         F.count(F.lit(1)).alias("components"), F.max_by("component", F.struct("c", "component")).alias("major")).where("components > 1")
@@ -400,7 +404,7 @@ def class_links(docs: DataFrame, sets: DataFrame, classes: DataFrame, width: int
         "g", "major", F.col("id").alias("r"), F.col("n").alias("m"), F.col("deleted").alias("gone"), "deep",
         F.col("component").alias("own"), *[F.col(k).alias(f"q{i}") for i, k in enumerate(SKETCH)])
     probing = stored(probing, "mixed-probes")
-    there = there.drop("major")
+    mixed_members, there = there, there.drop("major")
 
     def crossing(left: DataFrame, right: DataFrame) -> DataFrame:
         smaller = (F.col("n") < F.col("m")) | ((F.col("n") == F.col("m")) & (F.col("id") < F.col("r")))
@@ -411,6 +415,7 @@ def class_links(docs: DataFrame, sets: DataFrame, classes: DataFrame, width: int
     across = crossing(probing.where("own <> major"), there).union(
         crossing(probing.where("own = major"), there.join(mixed, "g").where("component <> major").drop("major"))).distinct()
     links = links.union(stored(verified(across, whole), "later-links"))
+    discard(members, probes, asked, asked_by, around, rare, whole, named, mixed, mixed_members, probing)
     to_doc = classes.select(F.col("s1").alias("s"), "doc_id")
     return links.join(to_doc, F.col("a") == F.col("s")).select(F.col("doc_id").alias("a"), "b").join(
         to_doc, F.col("b") == F.col("s")).select("a", F.col("doc_id").alias("b"))
@@ -427,9 +432,10 @@ def near_copies(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     sets = stored(set_table(docs, width), "shingle-names")
     classes = stored(sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("s1", "s2").agg(F.min("doc_id").alias("doc_id")), "classes")
     known = sets.where("doc_id IS NOT NULL")
-    label = stored(components(class_links(docs.where("doc_id IS NOT NULL"), known, classes, width)), "components")
+    label = components(class_links(docs.where("doc_id IS NOT NULL"), known, classes, width))
     named = stored(classes.join(label, F.col("doc_id") == F.col("node"), "left").select(
         "s1", "s2", F.coalesce("component", "doc_id").alias("component_id")), "class-components")
+    discard(label, classes)
     own = sets.select("doc_id", "n", "s1", "s2").where("n > 0 AND doc_id IS NOT NULL").join(named, ["s1", "s2"])
     rest = sets.where("n = 0 OR doc_id IS NULL")
     return own.select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), "component_id").union(

@@ -169,6 +169,65 @@ def test_quality_tells_junk_from_text(spark):
     assert quality.judged(framed(spark, rows), labels.where("false")).where("NOT kept").count() == 0
 
 
+def test_quality_scores_trusted_documents_as_if_outside_the_fit(spark):
+    rnd = random.Random(4)
+    rows = [(i, " ".join(f"w{rnd.randrange(40)}" for _ in range(30))) for i in range(24)]
+    labels = [(i, 1, 0) for i in range(12)]
+    docs, schema = framed(spark, rows), "doc_id bigint, quality int, toxic int"
+
+    def fit(some):
+        labelled = quality.labelled_grams(docs, spark.createDataFrame(some, schema))
+        return labelled, *quality._arrays(quality.bucket_weights(docs, labelled))
+
+    got = [r.s for r in quality.outside_scores(*fit(labels)).where("good").collect()]
+    want = []
+    for i in (0, 7):
+        _, weights, _, _ = fit(labels[:i] + labels[i + 1:])
+        want += [r.score for r in quality.features(docs.where(F.col("doc_id") == i), weights).collect()]
+    assert len(got) == 12
+    for x in want:
+        assert min(abs(x - y) for y in got) < 1e-7
+
+
+def test_quality_fit_takes_every_labelled_row(spark):
+    """Negative and far ids, two labels for one document, repeated and null ids, and more labels than 10,000."""
+    ids = [-(1 << 63), -65, -64, -1, 0, 63, 64, 1 << 40, (1 << 63) - 1, 5, 5, None] + list(range(1000, 12000))
+    docs = spark.createDataFrame([(i, "a b a") for i in ids], "doc_id bigint, text string")
+    labels = spark.createDataFrame(
+        [(i, int(i % 3 > 0), 0) for i in ids if i is not None and i != 64] + [(0, 1, 0), (None, 1, 0), (64, 1, 1), (77, 1, 0)],
+        "doc_id bigint, quality int, toxic int")
+    got = quality.labelled_grams(docs, labels).groupBy("good", "bad").count().collect()
+    named = [i for i in ids if i is not None and i != 64]
+    want = {(True, False): sum(i % 3 > 0 for i in named), (False, True): sum(i % 3 == 0 and i != 0 for i in named), (True, True): 1}
+    assert {(r.good, r.bad): r["count"] for r in got} == want
+
+
+def test_quality_keeps_documents_of_a_rare_language_outside_the_fit(spark):
+    """Rare documents have words of their own, and one in two has a label, as all common ones have; junk is spread over all scores beneath."""
+    rnd = random.Random(5)
+
+    def text(share, rare, common):
+        return " ".join(rare() if rnd.random() < share else common() for _ in range(40))
+
+    rows = [(i, text(0, None, lambda: f"c{rnd.randrange(50)}")) for i in range(300)]
+    rows += [(i, text(0.8, lambda: f"r{rnd.randrange(4000)}", lambda: f"r{rnd.randrange(20)}")) for i in range(300, 400)]
+    rows += [(i, text(i % 100 / 100, lambda: f"j{rnd.randrange(50)}", lambda: f"c{rnd.randrange(50)}")) for i in range(400, 600)]
+    labels = spark.createDataFrame(
+        [(i, int(i < 400), 0) for i in range(600) if i < 300 or i % 2 == 0], "doc_id bigint, quality int, toxic int")
+    kept = {r.doc_id for r in quality.judged(framed(spark, rows), labels).where("kept").collect()}
+    assert sum(i not in kept for i in range(301, 400, 2)) <= 3
+    assert sum(i not in kept for i in range(400, 600)) > 50
+
+
+def test_quality_threshold_is_an_exact_percentile(spark):
+    rnd = random.Random(6)
+    values = [rnd.randrange(-3 * 10**9, 3 * 10**9) for _ in range(3000)] + [-3 * 10**9] * 3
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v bigint")
+    for share in (0.0, 0.0005, 0.01, 0.5, 1.0):
+        assert quality.value_at(df, share) == sorted(values)[int(share * (len(values) - 1))]
+    assert quality.value_at(df.where("false"), 0.5) is None
+
+
 def test_kneser_ney(docs):
     got = sorted(map(tuple, kneser_ney.held_out_scores(docs).collect()))
     want = sorted(brute.kneser_ney(ROWS, kneser_ney.discounts))

@@ -8,19 +8,22 @@ and toxic 0). A document's verdict compares
 
 with one threshold; equal documents always get equal verdicts.
 
-Bounds (parameters): the target and the threshold are fitted on at most ``MAX_LABELLED`` trusted and as
-many rejected labels, the ones with the smallest hash of doc_id. Counts of the raw corpus, scores and
-verdicts cover all documents. The bucket weights are one array of ``BUCKETS`` doubles in the plan.
+The target and the threshold are fitted on all labelled documents; for the threshold a trusted one is scored
+against the target without its own n-grams, as a document outside the target is. The bucket weights and the
+target's counts are arrays of ``BUCKETS`` numbers in the plan.
 """
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from vitrine.functions.once import let
-from vitrine.llm.core import pair_up, space_words
+from vitrine.llm.core import discard, pair_up, space_words, stored
 
-BUCKETS, PRIOR, MAX_LABELLED, SPARE = 1 << 14, 20, 10_000, 0.0005
+BUCKETS, PRIOR, SPARE = 1 << 14, 20, 0.0005
+SCORE_DIGITS = 9
 MIN_WORDS, REPEAT_WINDOW, REPEAT_PERCENT = 20, 8, 30
 SYMBOLS = "#*$%&|<>"  # fixed value
 
@@ -41,10 +44,31 @@ def _pairs(hashes: Column) -> Column:
     return pair_up(hashes, 1, lambda a, b: F.xxhash64(a, b))
 
 
-def _labelled(labels: DataFrame, test: Column) -> DataFrame:
-    """At most MAX_LABELLED doc_ids: few enough to be broadcast."""
-    ids = labels.where(test & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("labelled")).distinct()
-    return F.broadcast(ids.orderBy(F.xxhash64("labelled"), "labelled").limit(MAX_LABELLED))
+def labelled_grams(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(good, bad, n_words, grams) of every row with a trusted or a rejected label; grams: buckets with their counts.
+
+    ``doc_id`` is a bigint.
+    """
+    good, bad = (F.col("quality") == 1) & (F.col("toxic") == 0), F.col("quality") == 0
+    # Texts are shuffled only where the labels are too many to broadcast: 64 neighbouring ids are one row of two
+    # bitmaps, and stored they are planned by their size.
+    word, bit = F.shiftright("doc_id", 6), F.expr("shiftleft(1L, CAST(doc_id & 63 AS INT))")
+    marks = stored(labels.where(F.col("doc_id").isNotNull() & (good | bad)).groupBy(word.alias("word")).agg(
+        F.bit_or(F.when(good, bit).otherwise(0)).alias("goods"), F.bit_or(F.when(bad, bit).otherwise(0)).alias("bads")),
+        "label-bits")
+    some = docs.join(marks, word == F.col("word")).select(
+        (F.col("goods").bitwiseAND(bit) != 0).alias("good"), (F.col("bads").bitwiseAND(bit) != 0).alias("bad"), "text")
+    split = _with_words(some.where("good OR bad")).withColumn("pairs", _pairs(F.col("hashes")))
+
+    def runs(order: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(order) - 1),
+                          lambda i: (i == 0) | (F.get(order, i) != F.get(order, i - 1)))
+        return F.when(F.size(order) > 0, let(starts, lambda p: F.zip_with(
+            p, F.concat(F.slice(p, F.lit(2), F.size(p)), F.array(F.size(order))),
+            lambda i, end: F.struct(F.get(order, i).alias("bucket"), (end - i).alias("n")))))
+
+    return split.select("own.good", "own.bad", F.size("words").alias("n_words"), let(
+        F.sort_array(_buckets(F.col("hashes"), F.col("pairs"))), runs).alias("grams"))
 
 
 def bucket_counts(docs: DataFrame) -> DataFrame:
@@ -54,34 +78,39 @@ def bucket_counts(docs: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"))
 
 
-def bucket_weights(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(bucket, weight): ln(target / raw) of every bucket seen, both with one added; 0 elsewhere.
+def bucket_weights(docs: DataFrame, labelled: DataFrame) -> DataFrame:
+    """(bucket, weight, trusted): ln(target / raw) of every bucket seen, both with one added, and the target's count.
 
     With no trusted document all weights are 0.
     """
-    trusted = _labelled(labels, (F.col("quality") == 1) & (F.col("toxic") == 0))
-    target = bucket_counts(docs.join(trusted, F.col("doc_id") == F.col("labelled"), "left_semi"))
-    both = bucket_counts(docs).withColumnRenamed("n", "raw").join(target.withColumnRenamed("n", "trusted"), "bucket", "left")
+    target = labelled.where("good").select(F.explode("grams").alias("g")).groupBy(F.col("g.bucket").alias("bucket")).agg(
+        F.sum("g.n").alias("trusted"))
+    both = bucket_counts(docs).withColumnRenamed("n", "raw").join(target, "bucket", "left")
     # One row per bucket, at most BUCKETS: the totals may be taken in one task.
     whole = Window.partitionBy(F.lit(1))
     t, r = F.coalesce("trusted", F.lit(0)), F.col("raw")
     sum_t, sum_r = F.sum(t).over(whole), F.sum(r).over(whole)
     return both.select("bucket", F.when(sum_t > 0, F.round(
-        F.log((t + 1) / (sum_t + BUCKETS)) - F.log((r + 1) / (sum_r + BUCKETS)), 9)).otherwise(F.lit(0.0)).alias("weight"))
+        F.log((t + 1) / (sum_t + BUCKETS)) - F.log((r + 1) / (sum_r + BUCKETS)), 9)).otherwise(F.lit(0.0)).alias("weight"),
+        t.alias("trusted"))
 
 
-def _weight_array(weights: DataFrame) -> Column:
-    """The weights, position = bucket, as a constant: BUCKETS numbers at most come to the driver."""
-    values = ["0.0"] * BUCKETS
-    for bucket, weight in weights.collect():
-        values[bucket] = repr(weight)
-    return F.split(F.lit(",".join(values)), ",").cast("array<double>")
+def _arrays(weights: DataFrame) -> tuple[Column, Column, int]:
+    """Weights and target counts, position = bucket, as constants, and the total of the target.
+
+    BUCKETS rows at most come to the driver.
+    """
+    values, counts = ["0.0"] * BUCKETS, [0] * BUCKETS
+    for bucket, weight, trusted in weights.collect():
+        values[bucket], counts[bucket] = repr(weight), trusted
+    return (F.split(F.lit(",".join(values)), ",").cast("array<double>"),
+            F.split(F.lit(",".join(map(str, counts))), ",").cast("array<bigint>"), sum(counts))
 
 
 def _score(hashes: Column, pairs: Column, weights: Column) -> Column:
     total = F.aggregate(
         _buckets(hashes, pairs), F.lit(0.0), lambda s, b: s + F.coalesce(F.get(weights, b), F.lit(0.0)))
-    return F.round(total / (F.size(hashes) + F.size(pairs) + PRIOR), 9)
+    return F.round(total / (F.size(hashes) + F.size(pairs) + PRIOR), SCORE_DIGITS)
 
 
 def _repeated(hashes: Column) -> Column:
@@ -120,25 +149,63 @@ def features(docs: DataFrame, weights: Column) -> DataFrame:
     )
 
 
-def threshold(docs: DataFrame, labels: DataFrame, weights: Column) -> float:
-    """The score below which a document goes.
+def outside_scores(labelled: DataFrame, weights: Column, counts: Column, total: int) -> DataFrame:
+    """(good, bad, s) of rows with MIN_WORDS or more: the score, of a trusted row against the target without that row."""
+    def sum_of(term) -> Column:
+        return F.aggregate("grams", F.lit(0.0), lambda s, g: s + g["n"] * term(g))
+
+    weight = lambda g: F.coalesce(F.get(weights, g["bucket"]), F.lit(0.0))
+    n = F.aggregate("grams", F.lit(0), lambda s, g: s + g["n"])
+    left_out = sum_of(lambda g: weight(g) + F.log(
+        (F.get(counts, g["bucket"]) - g["n"] + 1) / (F.get(counts, g["bucket"]) + 1)))
+    score = F.when(F.col("good"), left_out + F.col("size") * F.log(F.lit(float(total + BUCKETS)) / (total + BUCKETS - F.col("size")))
+                   ).otherwise(sum_of(weight))
+    return labelled.where(F.col("n_words") >= MIN_WORDS).withColumn("size", n).select(
+        "good", "bad", F.round(score / (F.col("size") + PRIOR), SCORE_DIGITS).alias("s"))
+
+
+def value_at(values: DataFrame, share: float) -> int | None:
+    """Of the integers ``v`` the one at position ``share`` from the smallest; None without any.
+
+    Counted in ever narrower ranges, each about a thousand times narrower; only counts of ranges come to the driver.
+    """
+    rank, within = None, values.where(F.col("v").isNotNull())
+    for width in (10**6, 10**3, 1):
+        ranges = sorted(tuple(x) for x in within.groupBy(F.floor(F.col("v") / width).alias("r")).count().collect())
+        if not ranges:
+            return None
+        if rank is None:
+            rank = int(share * (sum(c for _, c in ranges) - 1))
+        ends = list(accumulate(c for _, c in ranges))
+        i = next(i for i, end in enumerate(ends) if end > rank)
+        rank -= ends[i] - ranges[i][1]
+        first = ranges[i][0] * width
+        within = within.where(F.col("v").between(first, first + width - 1))
+    return first
+
+
+def threshold(scores: DataFrame) -> float:
+    """The score below which a document goes, from ``outside_scores``.
 
     At most the share SPARE of trusted documents lies below it; it is halfway from there to the best rejected
     score beneath, if there is one. With no trusted or no rejected label nothing lies below.
     """
-    def scores(test: Column) -> DataFrame:
-        some = docs.join(_labelled(labels, test), F.col("doc_id") == F.col("labelled"), "left_semi")
-        split = _with_words(some).withColumn("pairs", _pairs(F.col("hashes")))
-        return split.where(F.size("words") >= MIN_WORDS).select(
-            _score(F.col("hashes"), F.col("pairs"), weights).alias("s"))
+    low = value_at(scores.where("good").select(F.round(F.col("s") * 10**SCORE_DIGITS).cast("bigint").alias("v")), SPARE)
+    if low is None:
+        return float("-inf")
+    low /= 10**SCORE_DIGITS
+    below = scores.where("bad").where(F.col("s") < low).agg(F.max("s")).first()[0]
+    return float("-inf") if below is None else (low + below) / 2
+
 
-    good = scores((F.col("quality") == 1) & (F.col("toxic") == 0)).select("s", F.lit(1).alias("good"))
-    bad = scores(F.col("quality") == 0).select("s", F.lit(0).alias("good"))
-    both = good.union(bad)
-    low = F.expr(f"percentile(s, {SPARE}) FILTER (WHERE good = 1)")
-    one = both.agg(low.alias("low"), F.array_agg(F.when(F.col("good") == 0, F.col("s"))).alias("bad"))
-    below = F.array_max(F.filter("bad", lambda s: s < F.col("low")))
-    return one.select(F.coalesce((F.col("low") + below) / 2, F.lit(float("-inf")))).first()[0]
+def fitted(docs: DataFrame, labels: DataFrame) -> tuple[Column, float]:
+    """The bucket weights as a constant, and the threshold."""
+    labelled = stored(labelled_grams(docs, labels), "labelled-grams")
+    weights, counts, total = _arrays(bucket_weights(docs, labelled))
+    scores = stored(outside_scores(labelled, weights, counts, total), "labelled-scores")
+    least = threshold(scores)
+    discard(labelled, scores)
+    return weights, least
 
 
 def with_verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -148,8 +215,7 @@ def with_verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     are handed on. An empty table gives an empty result.
     """
     read = docs.select("doc_id", "text")
-    weights = _weight_array(bucket_weights(read, labels))
-    least = threshold(read, labels, weights)
+    weights, least = fitted(read, labels)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     return features(docs, weights).withColumn("base_failed", failed).withColumn(
         "kept", ~F.col("base_failed") & (F.col("score") >= F.lit(least)))

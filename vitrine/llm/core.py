@@ -29,10 +29,10 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
     """``df`` written to the shared folder and read back: lineage ends there, lost executors cost nothing."""
     path = f"{shared_dir(df.sparkSession)}/vitrine-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options or {}).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.stored_at = path
     return out

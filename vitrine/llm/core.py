@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import sys
 import tempfile
 import types
@@ -70,6 +71,18 @@ def worker_cache() -> dict:
     return sys.modules.setdefault("_vitrine_llm_cache", types.ModuleType("_vitrine_llm_cache")).__dict__
 
 
+@contextlib.contextmanager
+def batches_of(spark: SparkSession, rows: int):
+    """Jobs run inside hand at most ``rows`` rows at a time to Python; the session's setting comes back afterwards."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def small_batches(spark: SparkSession, rows: int = 512) -> None:
     """Rows of whole texts go to Python in small batches, so that a worker holds few of them."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

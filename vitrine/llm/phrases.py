@@ -25,16 +25,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from vitrine.llm.core import discard, stored
+from vitrine.llm.core import batches_of, discard, stored
 from vitrine.llm.hashing import U, _tables, mix
 
 # What ends a piece, and what parts words within one.
 BREAKS, GAPS = b".,;:!?\n\x0b\x0c\r", b" \t"
 
 LONGEST = 5
-CHUNK = 8 << 20  # bytes of text
-SEGMENT = 2 << 20  # bytes hashed at once
-PART_MASS = 1 << 24  # runs of words per hash partition
+CHUNK = 4 << 20  # bytes of text
+SEGMENT = 1 << 20  # bytes hashed at once
+PART_MASS = 1 << 23  # runs of words per hash partition
 LEAST_PARTS = 64
 SLACK = 4  # counters per summary over mass / threshold
 FILTER_BITS = 24
@@ -151,7 +151,7 @@ class MisraGries:
     def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
         self._new.append((keys, counts))
         self._size += len(keys)
-        if self._size >= max(1 << 20, self.capacity):
+        if self._size >= max(1 << 19, self.capacity):
             self.settle()
 
     def settle(self) -> None:
@@ -219,7 +219,7 @@ def surviving(parts: DataFrame, threshold: int, mass: int, longest: int = LONGES
 
     def summaries(batches):
         for batch in batches:
-            for chunk, lang, body, own in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            for chunk, lang, body in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 start, end, piece = word_bounds(body)
                 words = word_hashes(body, start, end)
                 short = [h >> U(64 - bits) for _, _, h in runs_of_words(lang, words, piece, longest)]
@@ -240,13 +240,13 @@ def surviving(parts: DataFrame, threshold: int, mass: int, longest: int = LONGES
                                          for p in full], pa.binary())})
 
     def merged(table: pa.Table) -> pa.Table:
-        local = [unpacked(x) for x in table["summary"].to_pylist()]
         summary = MisraGries(SLACK * (sum(table["own"].to_pylist()) // threshold + 1))
-        for keys, counts in local:
-            summary.add(keys, counts)
+        for x in table["summary"]:
+            summary.add(*unpacked(x.as_buffer()))
         frequent = summary.at_least(threshold)
         own, hits = [], []
-        for chunk, p, (keys, _) in zip(table["chunk"].to_pylist(), table["p"].to_pylist(), local):
+        for chunk, p, x in zip(table["chunk"].to_pylist(), table["p"].to_pylist(), table["summary"]):
+            keys = unpacked(x.as_buffer())[0]
             at = np.minimum(np.searchsorted(keys, frequent), len(keys) - 1)
             both = frequent[keys[at] == frequent]
             if len(both):
@@ -255,7 +255,7 @@ def surviving(parts: DataFrame, threshold: int, mass: int, longest: int = LONGES
         return pa.table({"chunk": pa.array([c for c, _ in own], pa.int64()), "p": pa.array([p for _, p in own], pa.int64()),
                          "hits": pa.array(hits, pa.binary())})
 
-    local = parts.select("chunk", "lang", "body", "mass").mapInArrow(summaries, "p long, chunk long, own long, summary binary")
+    local = parts.select("chunk", "lang", "body").mapInArrow(summaries, "p long, chunk long, own long, summary binary")
     found = local.groupBy("p").applyInArrow(merged, "chunk long, p long, hits binary")
     return found.withColumn("hits", F.struct("p", "hits")), (bits, int(shift))
 
@@ -302,8 +302,9 @@ def frequent_phrases(docs: DataFrame, threshold: int, longest: int = LONGEST) ->
     parts = stored(chunks(docs, longest), "phrase-chunks", {"parquet.block.size": str(4 * CHUNK)})
     mass = parts.agg(F.sum("mass")).first()[0] or 0
     hits, hashing = surviving(parts, threshold, mass, longest)
-    hits = stored(hits, "phrase-hits")
-    counts = stored(exact_counts(parts, hits, hashing, longest).where(F.col("f") >= threshold), "phrase-counts")
+    with batches_of(docs.sparkSession, 1):
+        hits = stored(hits, "phrase-hits")
+        counts = stored(exact_counts(parts, hits, hashing, longest).where(F.col("f") >= threshold), "phrase-counts")
     totals = stored(parts.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
     discard(parts, hits)
     return counts, totals

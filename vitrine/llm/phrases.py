@@ -23,6 +23,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from vitrine.llm.core import batches_of, discard, stored
@@ -260,8 +261,11 @@ def surviving(parts: DataFrame, threshold: int, mass: int, longest: int = LONGES
     return found.withColumn("hits", F.struct("p", "hits")), (bits, int(shift))
 
 
-def exact_counts(parts: DataFrame, hits: DataFrame, hashing: tuple[int, int], longest: int = LONGEST) -> DataFrame:
-    """(lang, size, phrase, f): exact counts of the runs of words whose hashes survived."""
+def exact_counts(parts: DataFrame, hits: DataFrame, hashing: tuple[int, int], threshold: int, longest: int = LONGEST) -> DataFrame:
+    """(lang, size, phrase, f) of the runs of words with f >= ``threshold``, counted by their words.
+
+    A chunk's counts travel like its summaries: one packed row for each hash partition.
+    """
     bits, shift = hashing
 
     def count(batches):
@@ -274,27 +278,41 @@ def exact_counts(parts: DataFrame, hits: DataFrame, hashing: tuple[int, int], lo
                 table[keep & low] = True
                 start, end, piece = word_bounds(body)
                 letters = np.r_[0, np.cumsum(end - start)]
+                found = [(np.zeros(0, np.int64),) * 4]
                 for order, at, keys in runs_of_words(lang, word_hashes(body, start, end), piece, longest):
                     short = keys >> U(64 - bits)
                     some = np.flatnonzero(table[short & low])
                     own = short[some]
                     some = some[keep[np.minimum(np.searchsorted(keep, own), len(keep) - 1)] == own]
-                    if not len(some):
-                        continue
                     _, first, f = np.unique(keys[some], return_index=True, return_counts=True)
-                    first = at[some[first]]
-                    a, b = start[first], end[first + order - 1]
-                    plain = b - a == letters[first + order] - letters[first] + order - 1
-                    text = [body[i:j] if one else b" ".join(body[i:j].split())
-                            for i, j, one in zip(a.tolist(), b.tolist(), plain.tolist())]
-                    yield pa.record_batch({
-                        "lang": pa.array([lang] * len(text), pa.string()), "size": pa.array([order] * len(text), pa.int32()),
-                        "phrase": pa.array(text, pa.binary()).cast(pa.string()), "f": pa.array(f, pa.int64())})
+                    first = some[first]
+                    found.append(((short[first] >> U(shift)).astype(np.int64), at[first], f, np.full(len(f), order)))
+                p, first, f, order = (np.concatenate(x) for x in zip(*found))
+                by = np.argsort(p, kind="stable")
+                p, first, f, order = p[by], first[by], f[by], order[by]
+                a, b = start[first], end[first + order - 1]
+                plain = b - a == letters[first + order] - letters[first] + order - 1
+                text = pa.array([body[i:j] if one else b" ".join(body[i:j].split())
+                                 for i, j, one in zip(a.tolist(), b.tolist(), plain.tolist())], pa.binary()).cast(pa.string())
+                full, edges = np.unique(p, return_index=True)
+                edges = pa.array(np.r_[edges, len(p)], pa.int32())
+                lists = {n: pa.ListArray.from_arrays(edges, x) for n, x in (
+                    ("sizes", pa.array(order, pa.int32())), ("phrases", text), ("counts", pa.array(f, pa.int64())))}
+                yield pa.record_batch({"p": pa.array(full, pa.int64()), "lang": pa.array([lang] * len(full), pa.string()), **lists})
+
+    def total(table: pa.Table) -> pa.Table:
+        each = pa.table({
+            "lang": table["lang"].combine_chunks().take(pc.list_parent_indices(table["phrases"].combine_chunks())),
+            **{one: pc.list_flatten(table[many].combine_chunks())
+               for one, many in (("size", "sizes"), ("phrase", "phrases"), ("f", "counts"))}})
+        sums = each.group_by(["lang", "size", "phrase"]).aggregate([("f", "sum")])
+        sums = sums.select(["lang", "size", "phrase", "f_sum"]).rename_columns(["lang", "size", "phrase", "f"])
+        return sums.filter(pc.greater_equal(sums["f"], threshold))
 
     grouped = hits.groupBy("chunk").agg(F.collect_list("hits").alias("hits"))
-    counted = parts.join(grouped, "chunk").select("lang", "body", "hits").mapInArrow(
-        count, "lang string, size int, phrase string, f long")
-    return counted.groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f"))
+    local = parts.join(grouped, "chunk").select("lang", "body", "hits").mapInArrow(
+        count, "p long, lang string, sizes array<int>, phrases array<string>, counts array<long>")
+    return local.groupBy("p").applyInArrow(total, "lang string, size int, phrase string, f long")
 
 
 def frequent_phrases(docs: DataFrame, threshold: int, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
@@ -304,7 +322,7 @@ def frequent_phrases(docs: DataFrame, threshold: int, longest: int = LONGEST) ->
     hits, hashing = surviving(parts, threshold, mass, longest)
     with batches_of(docs.sparkSession, 1):
         hits = stored(hits, "phrase-hits")
-        counts = stored(exact_counts(parts, hits, hashing, longest).where(F.col("f") >= threshold), "phrase-counts")
+        counts = stored(exact_counts(parts, hits, hashing, threshold, longest), "phrase-counts")
     totals = stored(parts.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
     discard(parts, hits)
     return counts, totals

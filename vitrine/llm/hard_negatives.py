@@ -218,7 +218,8 @@ def matches(parts: DataFrame, asked: DataFrame, best: int, positive: bool) -> Da
         pack, "breadth int, asking binary, queries binary, anchors binary, own binary, low binary, high binary")
     sent = packed.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(GROUPS - 1))))
     pairs = parts.withColumn("g", (F.xxhash64("block") % GROUPS + GROUPS) % GROUPS).withColumn("g", F.col("g").cast("int"))
-    found = pairs.join(sent, "g").drop("g", "block").mapInArrow(join, "query long, score long, vec_id long")
+    # Spark would take the copies of an anchor block for one of them and broadcast all.
+    found = pairs.join(sent.hint("merge"), "g").drop("g", "block").mapInArrow(join, "query long, score long, vec_id long")
     order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= best)
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from vitrine.llm import decontam, hard_negatives, html_cut, jaccard_join, kneser_ney, line_dedup, phrases, quality, sentence_pieces, suffix_dedup, token_counts, url_rules
+from vitrine.llm import (
+    decontam, hard_negatives, html_cut, jaccard_join, kneser_ney, line_dedup, personal_data, phrases, quality, sentence_pieces,
+    suffix_dedup, token_counts, url_rules)
 from vitrine.llm.core import table
 
 MODEL, TOKEN_LIMIT = "piece_bpe_32k.model", 4096
@@ -56,6 +58,10 @@ def op10_kneser_ney(spark, sf_dir):
     return kneser_ney.held_out_scores(table(spark, sf_dir, "documents"))
 
 
+def op11_personal_data(spark, sf_dir):
+    return personal_data.personal_data_digest(table(spark, sf_dir, "documents"))
+
+
 def op12_hard_negatives(spark, sf_dir):
     return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
 
@@ -75,6 +81,7 @@ ALL = {
     "op8_near_copies": op8_near_copies,
     "op9_quality": op9_quality,
     "op10_kneser_ney": op10_kneser_ney,
+    "op11_personal_data": op11_personal_data,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_phrases": op13_phrases,
 }

@@ -27,6 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Narrow rows of which wide pages are made, dealt over sixteen times the tasks that read them."""
+    return rows.repartition(16 * rows.rdd.getNumPartitions())
+
+
 def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``source``, the 14 product fields and ``page_text``; one row per line item."""
     item = table(spark, sf_dir, "lineitem").withColumnRenamed("l_partkey", "p_partkey")
@@ -214,7 +219,7 @@ def _pages(spark: SparkSession, sf_dir: str, kind: str, url: str, html: str) ->
     parts = table(spark, sf_dir, "part").selectExpr(
         "p_partkey AS k", "p_size AS s", "p_name", "p_brand", "p_type", f"p_size % {variants} AS v"
     )
-    return parts.selectExpr("k", f"{url} AS url", f"{html.replace('{ld}', ld).replace('{body}', body)} AS html")
+    return spread(parts).selectExpr("k", f"{url} AS url", f"{html.replace('{ld}', ld).replace('{body}', body)} AS html")
 
 
 _HTML = f"""concat('<!DOCTYPE html><html><head><title>Boutique</title><style>.x{{}}</style>', {_DECOYS}, {{ld}},
@@ -240,7 +245,7 @@ def shop_pages(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
 
 def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(url, html)``: one listing page per order with links to the pages of parts."""
-    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS o", "o_custkey AS k")
+    orders = spread(table(spark, sf_dir, "orders").selectExpr("o_orderkey AS o", "o_custkey AS k"))
     code = "lpad(CAST(k AS STRING), 9, '0')"
     return orders.selectExpr(
         f"concat('{BASE}/liste/', o) AS url",
@@ -269,7 +274,7 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def widget_listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One listing page per order: two addresses of one article, one of another kind, one with a query string."""
-    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS o", "o_custkey AS k")
+    orders = spread(table(spark, sf_dir, "orders").selectExpr("o_orderkey AS o", "o_custkey AS k"))
     return orders.selectExpr(
         f"concat('{BASE}/liste/', o) AS url",
         f"""concat('<a href="/fr/teint/', {_WORD}, '/0', {_CODE}, '.html">un</a><a href="/fr/autre/', {_WORD}, '/0', {_CODE}, '.html">bis</a>',
@@ -279,7 +284,7 @@ def widget_listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def retail_listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One listing page per order: marked anchors, anchors in cards, or neither."""
-    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS o", "o_custkey AS k")
+    orders = spread(table(spark, sf_dir, "orders").selectExpr("o_orderkey AS o", "o_custkey AS k"))
     href = f"/p/', {_WORD}, '-P', CAST(k AS STRING), '.html"
     return orders.selectExpr(
         f"concat('{BASE}/liste/', o) AS url",

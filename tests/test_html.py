@@ -1,59 +1,72 @@
+import pytest
 from pyspark.sql import functions as F
 
 import vitrine as v
 from vitrine.functions import html as H
 from vitrine.functions import jsonld as J
 
+
+@pytest.fixture
+def page(spark):
+    """Evaluate one expression over the page table of a text."""
+
+    def run(html, read):
+        table = spark.createDataFrame([(html,)], "html string").select(H.page_table(F.col("html")).alias("page"))
+        return table.select(read(F.col("page")).alias("x")).first()["x"]
+
+    return run
+
+
 PRICE = H.any_of(H.tag(H.word("class", "price")), H.tag(H.has("class", "price-box")))
 
 
-def test_element_follows_nesting(value):
+def test_element_follows_nesting(page):
     html = "<div><DIV class='a price'><div>1</div><div>2<div>3</div></div></DIV><div>4</div></div>"
-    assert value(html, lambda s: H.zone_text(s, PRICE)) == "1 2 3"
+    assert page(html, lambda s: H.zone_text(s, PRICE)) == "1 2 3"
 
 
-def test_element_absent_unclosed_and_empty(value):
-    assert value("<p class='prices'>1</p>", lambda s: H.zone_text(s, PRICE)) is None
-    assert value("<p class=price>1 <b>2</b>", lambda s: H.zone_text(s, PRICE)) == "1 2"
-    assert value('<meta class="price"><p>1</p>', lambda s: H.zone_text(s, PRICE)) == ""
+def test_element_absent_unclosed_and_empty(page):
+    assert page("<p class='prices'>1</p>", lambda s: H.zone_text(s, PRICE)) is None
+    assert page("<p class=price>1 <b>2</b>", lambda s: H.zone_text(s, PRICE)) == "1 2"
+    assert page('<meta class="price"><p>1</p>', lambda s: H.zone_text(s, PRICE)) == ""
 
 
-def test_first_in_page_order_whatever_the_branch(value):
-    assert value('<i class="my-price-box">a</i><i class="price">b</i>', lambda s: H.zone_text(s, PRICE)) == "a"
+def test_first_in_page_order_whatever_the_branch(page):
+    assert page('<i class="my-price-box">a</i><i class="price">b</i>', lambda s: H.zone_text(s, PRICE)) == "a"
 
 
-def test_attribute_forms(value):
-    read = lambda s: H.attribute(s, "href")
-    assert value('<a href="/x?a=1&amp;b=2" class="c">', read) == "/x?a=1&b=2"
-    assert value("<a class='c' href = '/it\"s'>", read) == '/it"s'
-    assert value("<a href=/x/y>", read) == "/x/y"
-    assert value('<a data-href="/n">', read) == ""
-    assert value('<a href="">', read) == ""
+def test_attribute_forms(page):
+    read = lambda s: H.attribute(F.get(s["elements"], F.lit(0)), "href")
+    assert page('<a href="/x?a=1&amp;b=2" class="c">', read) == "/x?a=1&b=2"
+    assert page("<a class='c' href = '/it\"s'>", read) == '/it"s'
+    assert page("<a href=/x/y>", read) == "/x/y"
+    assert page('<a data-href="/n">', read) == ""
+    assert page('<a href="">', read) == ""
 
 
-def test_swatch_counting(value):
+def test_swatch_counting(page):
     swatch = (H.has("class", "swatch"), H.lacks("class", "size"))
-    count = lambda s: H.count_tags(s, H.any_of(H.tag(*swatch)))
-    assert value('<i class="swatch"></i><i class="swatch size"></i><b class="x-swatch-y">', count) == 2
+    count = lambda s: H.count(s, H.any_of(H.tag(*swatch)))
+    assert page('<i class="swatch"></i><i class="swatch size"></i><b class="x-swatch-y">', count) == 2
     others = H.any_of(H.tag(name="li", except_all=swatch))
-    assert value('<li><li class="swatch"><li class="swatch-size"><LI>', lambda s: H.count_tags(s, others)) == 3
+    assert page('<li><li class="swatch"><li class="swatch-size"><LI>', lambda s: H.count(s, others)) == 3
 
 
-def test_elements_of_two_zones(value):
+def test_elements_of_two_zones(page):
     zone = H.any_of(H.tag(H.has("data-attr", "color")))
     html = '<div data-attr="color"><b>1</b></div><b>2</b><div data-attr="color"><b>3</b></div>'
-    texts = value(html, lambda s: F.transform(H.elements(s, zone), v.visible_text))
+    texts = page(html, lambda s: F.transform(H.elements(s, zone), lambda e: H.text_of(s, e, " ")))
     assert texts == ["1", "3"]
 
 
-def test_list_texts_without_closing_tags(value):
+def test_list_texts_without_closing_tags(page):
     zone = H.any_of(H.tag(H.has("class", "crumb"), name="ol"))
-    assert value('<ol class="crumbs"><li>a<li><b>c</b> d</ol><li>e', lambda s: H.list_texts(s, zone, "li")) == ["a", "cd"]
+    assert page('<ol class="crumbs"><li>a<li><b>c</b> d</ol><li>e', lambda s: H.list_texts(s, zone, "li")) == ["a", "cd"]
 
 
-def test_meta(value):
+def test_meta(page):
     html = "<meta content='A &amp; B | C' property=\"og:title\"><meta property='og:title' content='second'>"
-    assert value(html, lambda s: H.meta(s, "og:title")) == "A & B | C"
+    assert page(html, lambda s: H.meta(s, "og:title")) == "A & B | C"
 
 
 def ld(*blocks):

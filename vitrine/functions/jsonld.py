@@ -4,12 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from vitrine.functions.html import any_of, equals, tag
 from vitrine.functions.once import keep_if, let, nonblank
-from vitrine.functions.text import strip, without_comments
-
-_OPENING = any_of(tag(equals("type", "application/ld+json"), name="script"))
-_SCRIPT = rf"(?s){_OPENING.pattern}(.*?)</(?i:script)\s*+>"
+from vitrine.functions.text import strip
 
 
 def _is_object(value: Column) -> Column:
@@ -25,20 +21,19 @@ def _only_value(text: Column) -> Column:
     return F.get(keep_if(values, lambda x: F.size(x) == 1), F.lit(0))
 
 
-def block_array(html: Column, flatten_lists: bool = True) -> Column:
-    """ARRAY<VARIANT> of the JSON-LD values of a page, in page order.
+def block_array(page: Column, flatten_lists: bool = True) -> Column:
+    """ARRAY<VARIANT> of the JSON-LD values of a page table, in page order.
 
     Blank and broken blocks are skipped. A block that is a list gives its entries, or
     itself with ``flatten_lists=False``; ``of_type`` picks objects only.
     """
-    texts = F.regexp_extract_all(without_comments(html), F.lit(_SCRIPT), F.lit(1))
-    parsed = F.filter(F.transform(texts, _only_value), lambda v: v.isNotNull())
+    scripts = F.filter(page["scripts"], lambda x: x["type"] == "application/ld+json")
+    parsed = F.filter(F.transform(scripts, lambda x: _only_value(x["text"])), lambda v: v.isNotNull())
     if flatten_lists:
         parsed = F.flatten(
             F.transform(parsed, lambda v: F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.array(v)))
         )
-    none = F.array().cast("array<variant>")
-    return F.when(F.contains(html, F.lit("ld+json")), parsed).otherwise(none)
+    return parsed
 
 
 def objects(blocks: Column) -> Column:

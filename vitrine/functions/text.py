@@ -130,28 +130,3 @@ def visible_text(html: Column) -> Column:
     blanks = let(html, lambda h: F.when(F.rlike(h, F.lit(
         "&(?:nbsp|NonBreakingSpace|ensp|emsp|thinsp|ThinSpace|Tab|NewLine|#)")), blank_references(h)).otherwise(h))
     return decode_references(strip(F.regexp_replace(blanks, _BETWEEN, " ")))
-
-
-# Elements whose content is no markup, and comments; a comment inside such an element is part of it.
-_RAW = r"<(?i:(script|style|template))(?![\w-])(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+>.*?(?:</(?i:\{0})\s*+>|\z)"
-_COMMENT = r"<!--.*?(?:-->|\z)"
-
-
-def without_comments(html: Column) -> Column:
-    """The page without its comments; scripts stay."""
-    pattern = rf"(?s)({_RAW.format(2)})|{_COMMENT}"
-    return F.when(F.contains(html, F.lit("<!--")), F.regexp_replace(html, pattern, "$1")).otherwise(html)
-
-
-def markup(html: Column) -> Column:
-    """The page's own tags and text: no comments, scripts, styles and templates, and no tags inside attributes.
-
-    Angle brackets and equals signs in quoted values become references, so that a tag ends at its first ``>`` and what
-    looks like an attribute is one.
-    """
-    bare = F.regexp_replace(html, rf"(?s){_RAW.format(1)}|{_COMMENT}", "")
-    for quote in ('"', "'"):
-        for bracket, reference in (("<", "&lt;"), (">", "&gt;"), ("=", "&#61;")):
-            inside = rf"[^{quote}{bracket}]*+"
-            bare = F.regexp_replace(bare, rf"(\G(?!\A){inside}|=\s*+{quote}{inside}){bracket}", f"$1{reference}")
-    return bare

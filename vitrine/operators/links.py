@@ -6,29 +6,23 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from vitrine.functions.html import Selector, all_tags, any_of, attribute, elements, tag
+from vitrine.functions.html import any_of, attribute, elements, page_table, tag
 from vitrine.functions.once import keep_if, let
 from vitrine.functions.rules import one_of
-from vitrine.functions.text import markup, strip
+from vitrine.functions.text import strip
 from vitrine.functions.urls import absolute_url, canonical_url
 from vitrine.profiles import LinkRules, Profile
 
 _ANCHOR = any_of(tag(name="a"))
 
 
-def _anchor_tags(html: Column, rules: LinkRules) -> Column:
-    """Opening anchor tags of a page that count as candidates, in page order."""
-    every = all_tags(html, _ANCHOR)
+def _anchors(page: Column, rules: LinkRules) -> Column:
+    """Anchors of a page table that count as candidates, in page order."""
+    every = elements(page, _ANCHOR)
     if not rules.anchors:
         return every
-
-    def found(zone: Selector | None, anchor: Selector) -> Column:
-        inside = F.array_join(elements(html, zone), "") if zone else html
-        tags = F.regexp_extract_all(inside, F.lit(anchor.pattern), F.lit(0))
-        return keep_if(tags, lambda x: F.size(x) > 0)
-
-    last = F.filter(every, lambda a: F.rlike(attribute(a, "href"), F.lit(rules.fallback)))
-    return F.coalesce(*[found(*pair) for pair in rules.anchors], last)
+    found = [keep_if(elements(page, anchor, zone), lambda x: F.size(x) > 0) for zone, anchor in rules.anchors]
+    return F.coalesce(*found, F.filter(every, lambda a: F.rlike(attribute(a, "href"), F.lit(rules.fallback))))
 
 
 def extract_links(pages: DataFrame, rules: LinkRules = LinkRules(), html: str = "html") -> DataFrame:
@@ -45,10 +39,9 @@ def _explode_anchors(
     a projection Catalyst would repeat the regex in every filter pushed through.
     """
     rest = [c for c in pages.columns if c != html]
-    hrefs = let(markup(F.col(html)), lambda page: F.transform(
-        _anchor_tags(page, rules), lambda a: let(strip(attribute(a, "href")), shape)
-    ))
-    return pages.select(*rest, F.posexplode(hrefs).alias("pos", name))
+    scanned = pages.select(*rest, page_table(F.col(html)).alias("_page"))
+    hrefs = F.transform(_anchors(F.col("_page"), rules), lambda a: let(strip(attribute(a, "href")), shape))
+    return scanned.select(*rest, F.posexplode(hrefs).alias("pos", name))
 
 
 def keyword_gate(

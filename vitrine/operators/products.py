@@ -1,8 +1,8 @@
 """One product record per stored page.
 
-Every field is a column expression over the whole table: no shuffle, no Python
-worker. Each stage adds the columns the next one shares, so the tag-stripped text
-is built once per page.
+Every field is a column expression over the page table, which one scan of the HTML
+makes: no shuffle. Each stage adds the columns the next one shares, so the text is
+built once per page.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from vitrine.functions import jsonld as J
 from vitrine.functions.numbers import number, price_pair, prices, volumes
 from vitrine.functions.once import let, nonblank
 from vitrine.functions.rules import all_matches, contains_any, first_match
-from vitrine.functions.text import GAP, collapse, markup, strip, visible_text
+from vitrine.functions.text import GAP, collapse, strip
 from vitrine.profiles import SHADE_LABEL, SHADE_NAME, SHADE_TEXT, SKIN_ANCHORS, Profile
 from vitrine.schema import CANONICAL, FIELDS, TAG_JOIN
 
@@ -69,8 +69,8 @@ def _head(name: str, window: int | None) -> Column:
 # ---- field chains: each returns a column, null when the page does not say ---------
 
 def _name(profile: Profile) -> Column:
-    html, blocks, products = F.col("markup"), F.col("blocks"), F.col("products")
-    cut = F.regexp_replace(H.meta(html, "og:title"), rf"{GAP}{profile.title_cut}.*", "")
+    page, blocks, products = F.col("page"), F.col("blocks"), F.col("products")
+    cut = F.regexp_replace(H.meta(page, "og:title"), rf"{GAP}{profile.title_cut}.*", "")
 
     def first_named(block: Column) -> Column:
         is_product = F.try_variant_get(block, "$['@type']", "string") == "Product"
@@ -80,8 +80,8 @@ def _name(profile: Profile) -> Column:
         "ld_product": lambda: nonblank(strip(_first(products, lambda b: J.get(b, "$.name")))),
         "ld_last_crumb": lambda: nonblank(_last(J.of_type(blocks, "BreadcrumbList"), _last_crumb_name)),
         "ld_first_named": lambda: _first(J.of_type(blocks, "Product", "BreadcrumbList"), first_named),
-        "h1": lambda: nonblank(H.zone_text(html, _H1_RANKED[-1])),
-        "h1_ranked": lambda: nonblank(F.coalesce(*[H.joined_text(html, s) for s in _H1_RANKED])),
+        "h1": lambda: nonblank(H.zone_text(page, _H1_RANKED[-1])),
+        "h1_ranked": lambda: nonblank(F.coalesce(*[H.joined_text(page, s) for s in _H1_RANKED])),
         "title": lambda: nonblank(strip(cut)),
     }
     name = F.coalesce(*[steps[step]() for step in profile.name], F.lit(""))
@@ -108,12 +108,12 @@ def _crumbs(profile: Profile) -> tuple[Column, Column]:
         return (
             F.lower(nonblank(strip(J.get(entry, "$.item.name")))),
             let(
-                H.list_texts(F.col("markup"), _CRUMB_LINKS, "a"),
+                H.list_texts(F.col("page"), _CRUMB_LINKS, "a"),
                 lambda x: F.when(F.size(x) >= 2, nonblank(F.lower(F.try_element_at(x, F.lit(-1))))),
             ),
         )
     if profile.category == "retail":
-        items = H.list_texts(F.col("markup"), _CRUMB_ITEMS, "li")
+        items = H.list_texts(F.col("page"), _CRUMB_ITEMS, "li")
         return none, nonblank(F.try_element_at(items, F.lit(-2)))
     return none, none
 
@@ -140,7 +140,7 @@ def _price(profile: Profile) -> tuple[Column, Column]:
     high, low = price_pair(F.col("found_prices"))
     ld = F.col("ld_price")
     if profile.price == "zone_then_meta":
-        told = H.meta(F.col("markup"), "og:price:amount")
+        told = H.meta(F.col("page"), "og:price:amount")
         return F.coalesce(high, F.translate(nonblank(told), ",", ".").try_cast(_MONEY)), low
     if profile.price == "zone_over_ld":
         return F.when(low.isNotNull(), high).otherwise(F.coalesce(ld, high)), low
@@ -154,16 +154,16 @@ def _volume_text(profile: Profile) -> Column:
         return named
     if profile.volume_zone == "price":
         return F.coalesce("price_zone", head)
-    return F.coalesce(H.zone_text(F.col("markup"), profile.volume_zone), named)
+    return F.coalesce(H.zone_text(F.col("page"), profile.volume_zone), named)
 
 
 def _sold_out(profile: Profile) -> Column:
-    html = F.col("markup")
+    page = F.col("page")
     if profile.stock == "meta":
-        return F.contains(F.lower(H.meta(html, "og:availability")), F.lit("out"))
+        return F.contains(F.lower(H.meta(page, "og:availability")), F.lit("out"))
     if profile.stock == "retail":
         told = contains_any(_head("text_lower", profile.out_window), profile.out_phrases)
-        return told | (H.attribute(H.first_tag(html, _ADD_BUTTON), "disabled") != "")
+        return told | (let(H.first(page, _ADD_BUTTON), lambda e: H.attribute(e, "disabled")) != "")
     marked = F.exists(
         "products",
         lambda b: F.coalesce(
@@ -181,15 +181,15 @@ def _counted(
     steps: tuple[tuple[str, str], ...], ld: Callable[[Column], Column], pattern: str, kind: str, label: bool
 ) -> Column:
     """Rating or review count by the profile's steps."""
-    html = F.col("markup")
+    page = F.col("page")
 
     def step(where: str, what: str) -> Column:
         if where == "ld":
             return _first(F.col("products"), ld).try_cast(kind)
         if where == "zone":
-            shown = H.joined_text(html, what)
+            shown = H.joined_text(page, what)
             if label:
-                shown = F.concat(H.attribute(H.first_tag(html, what), "aria-label"), shown)
+                shown = F.concat(let(H.first(page, what), lambda e: H.attribute(e, "aria-label")), shown)
             return number(shown, pattern, kind)
         return number(F.col({"text": "text", "lower": "text_lower"}[where]), what, kind)
 
@@ -198,12 +198,12 @@ def _counted(
 
 def _shown_shades(profile: Profile) -> Column:
     """Number of shades the markup shows."""
-    html = F.col("markup")
+    page = F.col("page")
     if profile.swatches is None:
         return F.size(F.array_distinct("shade_names"))
-    shown = H.count_tags(html, profile.swatches)
+    shown = H.count(page, profile.swatches)
     for zone, item in profile.swatch_items:
-        shown = shown + H.count_tags(F.array_join(H.elements(html, zone), ""), item)
+        shown = shown + H.count(page, item, zone)
     return shown
 
 
@@ -243,20 +243,16 @@ def extract_products(
 
 def _stages(profile: Profile, brand: str, best_rating: bool) -> list[list[Column | str]]:
     """The select lists of ``extract_products``, one after the other."""
-    html, text, lower = F.col("html"), F.col("text"), F.col("text_lower")
-    read = [
-        "*",
-        J.block_array(html, profile.flatten_lists).alias("blocks"),
-        markup(html).alias("markup"),
-        visible_text(html).alias("text"),
-    ]
+    text, lower = F.col("text"), F.col("text_lower")
+    scanned = ["*", H.page_table(F.col("html")).alias("page")]
+    read = ["*", J.block_array(F.col("page"), profile.flatten_lists).alias("blocks"), H.all_text(F.col("page")).alias("text")]
     found = J.of_type(F.col("blocks"), "Product")
     ready = [
         "*",
         F.lower("text").alias("text_lower"),
         # A structured page is described by its first Product block only.
         (F.slice(found, 1, 1) if profile.flatten_lists else found).alias("products"),
-        H.zone_text(F.col("markup"), profile.price_zone).alias("price_zone"),
+        H.zone_text(F.col("page"), profile.price_zone).alias("price_zone"),
     ]
     by_label = profile.swatches is None
     named = [
@@ -312,7 +308,7 @@ def _stages(profile: Profile, brand: str, best_rating: bool) -> list[list[Column
         F.when(F.col("sold_out"), profile.out_label).otherwise(profile.in_stock_label).alias("availability"),
         (~F.col("sold_out")).alias("in_stock"),
     ]
-    return [read, ready, named, zoned, fields, settled]
+    return [scanned, read, ready, named, zoned, fields, settled]
 
 
 def named_only(records: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import product
+
 from checks.inputs import BASE
 from vitrine.functions.text import ACCENTED, BLANK, GAP, PLAIN, WORD
 from vitrine.profiles import (
@@ -413,10 +415,12 @@ def all_sql() -> dict[str, str]:
         f"CASE WHEN {near('low', ('de', 'the'), 'que')} THEN 'proche' END, "
         f"CASE WHEN {any_word('low', '123')} THEN 'nombre' END, 'cote'"
     )
+    syllables = ("th", "on", "er", "an", "re", "es", "nd", "ti", "eau", "que")
+    many = [(a + b + c, f"g{i % 37}") for i, (c, b, a) in enumerate(product(syllables, repeat=3))]
     skin_rows = "unnest(string_split(skin_type, ' / '))"
     order_cols = "source, source_url, shade_count, price, promo_price, rating, review_count"
     null_first = ", ".join(f"{c} NULLS FIRST" for c in order_cols.split(", "))
-    return {
+    sql = {
         "brand_report": report(""),
         "brand_report_promo": report("WHERE category = 'promo'"),
         "master_union": offers(f"SELECT source, {ALL_FIELDS} FROM offers"),
@@ -447,6 +451,12 @@ def all_sql() -> dict[str, str]:
  CAST(SUM(CASE WHEN on_promo THEN 1 - CAST(sale_price / list_price AS DECIMAL(18,9)) END) AS DOUBLE) / NULLIF(COUNT(*) FILTER (on_promo), 0) AS avg_discount
  FROM ({PRICED}) GROUP BY brand"""),
         "completeness": completeness(),
+        "csv_rejected_rows": offers("""SELECT source, COUNT(*) FILTER (shade_count NOT IN (6, 7)) AS n_good,
+ COUNT(*) FILTER (shade_count IN (6, 7)) AS n_rejected FROM offers GROUP BY source"""),
+        "rank_products": ranked("product_name", "avg_price", "price", "DESC"),
+        "rank_shade_counts": offers("""SELECT product_name, max_shades, CAST(RANK() OVER (ORDER BY max_shades NULLS LAST) AS INT) AS rank
+ FROM (SELECT product_name, MAX(shade_count) AS max_shades FROM offers GROUP BY product_name)"""),
+        "document_first_of_many": f"SELECT doc_id, {first_rule('low', many)} AS first_rule FROM (SELECT doc_id, lower(text) AS low FROM documents)",
         "rank_price": ranked("brand", "avg_price", "price", "DESC"),
         "rank_reviews": ranked("brand", "avg_reviews", "review_count", "ASC"),
         "rank_rating_by_shop": ranked("source", "avg_rating", "rating", "DESC"),
@@ -537,3 +547,5 @@ def all_sql() -> dict[str, str]:
         "feed_read": f"WITH {FEED} SELECT feed, page, 2 AS n_products FROM kept",
         "feed_products": feed_products(),
     }
+    # The same result, another way.
+    return sql | {"harmonised_from_table": sql["harmonised_labels"], "shop_links_with_page_store": sql["shop_links_with_page"]}

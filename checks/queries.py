@@ -5,6 +5,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
+from itertools import product
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -13,6 +15,7 @@ from checks import inputs as I
 from vitrine.functions.numbers import CENT_PRICE, number
 from vitrine.functions.rules import Tag
 from vitrine.functions.text import GAP
+from vitrine.functions.urls import PLAIN_URL
 from vitrine.profiles import SHADE_LABEL, STRUCTURED_EXCLUDED
 from vitrine.shared import shared_dir
 
@@ -31,6 +34,9 @@ DOC_TAGS = [
     Tag("cote", ("license", "copyright")),
 ]
 DOC_ANCHORS = ("de", "the")
+# A thousand rules: three syllables each, 37 labels.
+SYLLABLES = ("th", "on", "er", "an", "re", "es", "nd", "ti", "eau", "que")
+MANY_RULES = [(a + b + c, f"g{i % 37}") for i, (c, b, a) in enumerate(product(SYLLABLES, repeat=3))]
 
 
 def _pages(s: SparkSession, d: str) -> DataFrame:
@@ -79,6 +85,22 @@ def csv_round_trip(s, d):
     return v.read_catalogs(s, {shop: f"{folder}/{shop}" for shop in ("A", "N", "R")})
 
 
+def csv_rejected_rows(s, d):
+    """Each shop's offers as CSV with words for numbers in some rows: records read and rows set aside."""
+    folder = f"{shared_dir(s)}/csv-{uuid.uuid4().hex}"
+    out = []
+    for shop in ("A", "N", "R"):
+        rows = I.catalogue(s, d).where(F.col("source") == shop)
+        rows = rows.select(*[F.col(c).cast("string").alias(c) for c in v.FIELDS]).withColumns({
+            "price": F.when(F.col("shade_count") == 7, "cher").otherwise(F.col("price")),
+            "review_count": F.when(F.col("shade_count") == 6, "beaucoup").otherwise(F.col("review_count"))})
+        rows.write.csv(f"{folder}/{shop}", header=True, escape='"')
+        good, bad = v.read_catalog_csv_checked(s, f"{folder}/{shop}")
+        out += [good.select(F.lit(shop).alias("source"), F.lit(True).alias("good")), bad.select(F.lit(shop), F.lit(False))]
+    return reduce(DataFrame.unionAll, out).groupBy("source").agg(
+        F.count_if("good").alias("n_good"), F.count_if(~F.col("good")).alias("n_rejected"))
+
+
 # ---- brand figures -------------------------------------------------------------------
 
 def brand_benchmark(s, d):
@@ -153,6 +175,18 @@ def rank_rating_by_shop(s, d):
     return v.rank_brands(bench, "avg_rating")
 
 
+def rank_products(s, d):
+    """Products by their average price: as many groups as names."""
+    bench = v.brand_benchmark(I.catalogue(s, d), by="product_name").select("product_name", "avg_price")
+    return v.rank_rows(bench, "avg_price", ["product_name"])
+
+
+def rank_shade_counts(s, d):
+    """Products by their largest number of shades: most share a rank."""
+    bench = v.brand_benchmark(I.catalogue(s, d), by="product_name").select("product_name", "max_shades")
+    return v.rank_rows(bench, "max_shades", ["product_name"], best="low")
+
+
 def market_gap_price(s, d):
     return v.market_gap(I.catalogue(s, d), "price")
 
@@ -168,6 +202,12 @@ def harmonised_labels(s, d):
     return v.count_by(fixed, ["source", "finish_type", "coverage_level", "availability"])
 
 
+def harmonised_from_table(s, d):
+    """As ``harmonised_labels``, with the vocabulary as a table."""
+    fixed = v.harmonise(I.catalogue(s, d), v.vocabulary_table(s, VOCAB), list(VOCAB))
+    return v.count_by(fixed, ["source", "finish_type", "coverage_level", "availability"])
+
+
 def unmapped_labels(s, d):
     return v.unmapped(I.catalogue(s, d), VOCAB)
 
@@ -297,6 +337,15 @@ def shop_links_with_page(s, d):
     return v.attach_pages(shop_links(s, d), titled).select("source", "listing_no", "pos", "url", "category", "title")
 
 
+def shop_links_with_page_store(s, d):
+    """As ``shop_links_with_page``, from a page store bucketed by address."""
+    store = v.bucket_pages(I.shop_pages(s, d, "structured"), f"pages_{uuid.uuid4().hex}", 8)
+    links = shop_links(s, d)
+    found = v.linked_pages(store, links)
+    titled = found.select("url", PLAIN_URL, F.regexp_extract("html", "<title>([^<]*)<", 1).alias("title"))
+    return v.attach_pages(links, titled).select("source", "listing_no", "pos", "url", "category", "title")
+
+
 def shop_frontier(s, d):
     return v.frontier(shop_links(s, d), I.shop_pages(s, d, "structured"))
 
@@ -325,6 +374,12 @@ def document_first_match(s, d):
     )
 
 
+def document_first_of_many(s, d):
+    """The first of a thousand rules."""
+    lower = _documents(s, d).select("doc_id", F.lower("text").alias("text"))
+    return lower.select("doc_id", v.first_match(F.col("text"), MANY_RULES).alias("first_rule"))
+
+
 def document_tags(s, d):
     lower = _documents(s, d).select("doc_id", F.lower("text").alias("text"))
     tags = v.all_matches(F.col("text"), DOC_TAGS, DOC_ANCHORS)
@@ -467,6 +522,7 @@ ALL: dict[str, Query] = {
     f.__name__: f
     for f in (
         brand_report, brand_report_promo, master_union, master_rows, numbered_rows, record_with_defaults, csv_round_trip,
+        csv_rejected_rows, rank_products, rank_shade_counts, harmonised_from_table, shop_links_with_page_store, document_first_of_many,
         brand_benchmark, brand_benchmark_category, count_by_category, category_split, finish_mix, finish_table,
         coverage_mix, skin_mix, family_rollup, availability_rate, promo_depth, completeness, rank_price,
         rank_reviews, rank_rating_by_shop, market_gap_price, market_gap_rating, harmonised_labels,

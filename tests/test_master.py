@@ -141,3 +141,24 @@ def test_brand_report(master):
 
 def test_figures_do_not_depend_on_partitioning(master):
     assert sorted(v.brand_benchmark(master.repartition(4)).collect()) == sorted(v.brand_benchmark(master.coalesce(1)).collect())
+
+
+def test_harmonise_from_a_table(spark, master):
+    vocab = {"finish_type": {"Mat": "mat", "SATINÉ": "satiné"}, "availability": {"en stock": "en stock"}}
+    table = v.vocabulary_table(spark, vocab).unionAll(spark.createDataFrame(
+        [("finish_type", " mat ", "zzz"), ("finish_type", None, "x"), ("finish_type", "naturel", None), ("brand", "A", "B")], "field string, label string, common string"))
+    want = v.harmonise(master, vocab)
+    got = v.harmonise(master, table, list(vocab))
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_rank_rows_equals_the_window(spark):
+    rows = [(i, [None, 1.0, 2.5, 2.5, 7.0][i % 5] if i < 300 else 3.0, i % 3) for i in range(500)]
+    df = spark.createDataFrame(rows, "id int, m double, _value int").repartition(7)
+    for best, order in (("high", "m DESC NULLS LAST"), ("low", "m NULLS LAST")):
+        want = {r.id: r.r for r in df.selectExpr("id", f"rank() over (order by {order}) r").collect()}
+        got = v.rank_rows(df.drop("_value"), "m", ["id"], best).collect()
+        assert {r.id: r["rank"] for r in got} == want and len(got) == 500
+    plan = v.rank_rows(df.drop("_value"), "m", ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and v.rank_rows(df.drop("_value").where("id < 0"), "m", ["id"]).count() == 0

@@ -109,3 +109,18 @@ def test_to_canonical_defaults(spark):
     df = spark.createDataFrame([("a", "", "9,9"), ("b", "B", None)], "product_name string, brand string, finish_type string")
     rows = v.to_canonical(df, "s", {"brand": "Maison", "availability": "En stock"}).orderBy("product_name").collect()
     assert [(r.source, r.brand, r.availability, r.price) for r in rows] == [("s", "Maison", "En stock", None), ("s", "B", "En stock", None)]
+
+
+def test_checked_csv_sets_broken_rows_aside(spark, csv):
+    path = csv("c.csv", HEADER, ROW_A, ROW_A.replace("42.0", "cher"), ROW_B, ROW_B + ",more", "too,few")
+    good, bad = v.read_catalog_csv_checked(spark, path)
+    want = v.read_catalog_csv(spark, csv("ok.csv", HEADER, ROW_A, ROW_B))
+    assert sorted(map(str, good.collect())) == sorted(map(str, want.collect())) and good.schema == want.schema
+    rows = bad.collect()
+    assert sorted(r.rejected_row for r in rows) == sorted([ROW_A.replace("42.0", "cher"), ROW_B + ",more", "too,few"])
+    assert all(r.file.endswith("c.csv") for r in rows)
+
+
+def test_checked_csv_of_no_rows(spark, csv):
+    good, bad = v.read_catalog_csv_checked(spark, csv("e.csv", HEADER))
+    assert good.count() == bad.count() == 0

@@ -1,3 +1,8 @@
+import random
+import re
+import time
+
+import pytest
 from pyspark.sql import functions as F
 
 import vitrine as v
@@ -116,3 +121,61 @@ def test_every_reference_is_decoded_before_blanks_are_stripped(value):
     for text in ("Gr&szlig;e &frac12; &Ouml;l", "&ampx &lt3 &copy2 &notit; &notin; &bogus; &#8364 &#x20AC; &#150; &#0; &hearts", "&NotEqualTilde;"):
         assert value(text, v.visible_text) == html.unescape(text).replace("\ufffd", "&#0;")
     assert value("<b>&#160;x&#xA0;</b><i>&nbsp;</i><b>y&ensp;z</b>", v.visible_text) == "x y\u2002z"
+
+
+def test_many_rules_equal_one_scan_per_rule(spark):
+    rnd = random.Random(6)
+    words = sorted({"".join(rnd.choice("ab -+é") for _ in range(rnd.randint(1, 5))) for _ in range(200)}, key=lambda w: rnd.random())
+    rules = [(w, f"v{i % 11}") for i, w in enumerate(words) if w.strip()]
+    texts = ["".join(rnd.choice("abc -+é.") for _ in range(rnd.randint(0, 40))) for _ in range(300)] + ["", None]
+    table = spark.createDataFrame([(t,) for t in texts], "s string")
+    few = lambda **how: F.coalesce(*[v.first_match(F.col("s"), [r], **how) for r in rules])
+    for how in ({}, {"whole_words": True}):
+        assert table.where(~v.first_match(F.col("s"), rules, **how).eqNullSafe(few(**how))).count() == 0
+
+
+def test_many_rules_take_the_time_of_one_scan(spark):
+    rnd = random.Random(1)
+    words = ["".join(rnd.choice("abcdefgh") for _ in range(9)) for _ in range(4000)]
+    table = spark.createDataFrame([(" ".join("".join(rnd.choice("abcdefgh") for _ in range(8)) for _ in range(20_000)),)], "s string").cache()
+
+    def seconds(n):
+        best = 99.0
+        for _ in range(2):
+            start = time.time()
+            table.select(v.first_match(F.col("s"), [(w, "x") for w in words[:n]])).collect()
+            best = min(best, time.time() - start)
+        return best
+
+    assert seconds(4000) < 8 * seconds(100) + 2
+
+
+def test_an_empty_keyword_is_in_every_text(value):
+    rules = [(f"k{i}", str(i)) for i in range(40)]
+    assert value("x", lambda s: v.first_match(s, [*rules[:5], ("", "all"), *rules[5:]])) == "all"
+    assert value("k2 k7", lambda s: v.first_match(s, [*rules[:5], ("", "all"), *rules[5:]])) == "2"
+    assert value("k7", lambda s: v.first_match(s, [*rules[:5], ("", "all"), *rules[5:]])) == "all"
+
+
+def test_one_of_many_words(value):
+    words = [f"w{i}+" for i in range(50)]
+    assert value("a w49+ b", lambda s: one_of(s, words)) and not value("a w49 w5", lambda s: one_of(s, words))
+
+
+def test_near_word_equals_the_pattern_that_retries_at_every_anchor(spark):
+    rnd = random.Random(3)
+    parts = ["peau", "peaux", "grasse", " ", ".", "x", "-", "é", "gras", "peaugrasse", " grasse", " peau ", "grasse"]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(1, 14))) + " " * rnd.choice([0, 0, 3, 118, 119, 120, 121]) + rnd.choice(parts)
+             for _ in range(3000)]
+    word = r"[^\W]"
+    plain = re.compile(rf"(?:^|(?!{word})[\s\S])(?:peau|peaux)[^.]{{0,119}}(?!{word})[^.]grasse")
+    table = spark.createDataFrame([(t, bool(plain.search(t))) for t in texts], "s string, want boolean")
+    assert table.where(near_word(F.col("s"), ("peau", "peaux"), "grasse") != F.col("want")).count() == 0
+
+
+@pytest.mark.parametrize("unit", ["peau ", "peau grass ", " grasse peau."])
+def test_near_word_on_a_million_anchors(spark, unit):
+    table = spark.createDataFrame([(unit * 1_000_000,)], "s string")
+    start = time.time()
+    assert not table.select(near_word(F.col("s"), ("peau", "peaux"), "grasse").alias("x")).first()["x"]
+    assert time.time() - start < 20

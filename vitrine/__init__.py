@@ -14,16 +14,16 @@ from vitrine.operators.master import (
 )
 from vitrine.operators.metrics import (
     availability_rate, brand_benchmark, completeness, count_by, count_where, explode_tags, family_rollup,
-    finish_mix, finish_table, in_stock, market_gap, master_size, promo_depth, rank_brands, tag_mix,
+    finish_mix, finish_table, in_stock, market_gap, master_size, promo_depth, rank_brands, rank_rows, tag_mix,
 )
 from vitrine.operators.products import extract_products, named_only
 from vitrine.plans.collect import collect_catalogue, collect_links, page_records
 from vitrine.plans.report import brand_report
 from vitrine.profiles import LISTING_KEYWORDS, PROFILES, RETAIL, STRUCTURED, WIDGET, LinkRules, Profile
 from vitrine.schema import CANONICAL, FEED, FIELDS, RAW, conform, to_canonical
-from vitrine.vocabulary import VOCABULARY, group_table
+from vitrine.vocabulary import VOCABULARY, group_table, vocabulary_table
 from vitrine.sources import (
-    feed_products, read_catalog_csv, read_catalogs, read_feed, read_pages, write_catalog_csv,
+    bucket_pages, feed_products, read_catalog_csv, read_catalog_csv_checked, read_catalogs, read_feed, read_pages, write_catalog_csv,
 )
 
 __all__ = [name for name in dir() if not name.startswith("_")]

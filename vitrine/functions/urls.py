@@ -13,6 +13,10 @@ def absolute_url(href: Column, base: str | Column) -> Column:
     )
 
 
+#: Column of a bucketed page store with the canonical address.
+PLAIN_URL = "_plain_url"
+
+
 def canonical_url(url: Column) -> Column:
     """The address without its query string."""
     return F.substring_index(url, "?", 1)

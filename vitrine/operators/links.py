@@ -10,7 +10,7 @@ from vitrine.functions.html import any_of, attribute, elements, page_table, tag
 from vitrine.functions.once import keep_if, let
 from vitrine.functions.rules import one_of
 from vitrine.functions.text import strip
-from vitrine.functions.urls import absolute_url, canonical_url
+from vitrine.functions.urls import PLAIN_URL, absolute_url, canonical_url
 from vitrine.profiles import LinkRules, Profile
 
 _ANCHOR = any_of(tag(name="a"))
@@ -179,27 +179,32 @@ def unique_links(links: DataFrame, article: str | None = None, listing: DataFram
         "source", "listing_no", "pos", "url", "category")
 
 
+def _plain_url(pages: DataFrame, url: str) -> Column:
+    """The pages' canonical address: a bucketed store holds it, else it is made here."""
+    return F.col(PLAIN_URL) if PLAIN_URL in pages.columns else canonical_url(F.col(url))
+
+
 def attach_pages(links: DataFrame, pages: DataFrame, url: str = "url") -> DataFrame:
     """Links with the columns of their stored page; a link without a page is left out.
 
     Addresses meet without their query strings. Of several copies of a page the first in the order of its address and
     its other columns is taken, so take what you need out of the HTML before.
     """
-    rest = [c for c in pages.columns if c != url]
-    plain = pages.withColumn("_plain", canonical_url(F.col(url)))
+    rest = [c for c in pages.columns if c not in (url, PLAIN_URL)]
+    plain = pages.select(url, *rest, _plain_url(pages, url).alias("_plain"))
     once = first_seen(plain, ["_plain"], [url, *rest]).select(F.col("_plain").alias("url"), *rest)
     return links.join(once, "url", "inner")
 
 
 def frontier(links: DataFrame, pages: DataFrame, url: str = "url") -> DataFrame:
     """Links whose page is not stored yet, whatever the query string it is stored under."""
-    return links.join(pages.select(canonical_url(F.col(url)).alias("url")), "url", "left_anti")
+    return links.join(pages.select(_plain_url(pages, url).alias("url")), "url", "left_anti")
 
 
 def linked_pages(pages: DataFrame, links: DataFrame, url: str = "url") -> DataFrame:
     """The stored pages that some link leads to, as they are."""
     wanted = links.select(F.col("url").alias("_link")).distinct()
-    return pages.join(wanted, canonical_url(F.col(url)) == F.col("_link"), "left_semi")
+    return pages.join(wanted, _plain_url(pages, url) == F.col("_link"), "left_semi")
 
 
 def take_first(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:

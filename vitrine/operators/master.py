@@ -17,6 +17,9 @@ FAMILY_MARK = " — "
 #: Label of a value the vocabulary does not know.
 OTHER = "autre"
 
+#: Columns of the record whose labels a vocabulary table may replace.
+VOCABULARY_FIELDS = ("category", "finish_type", "coverage_level", "availability")
+
 
 def build_master(dfs: Mapping[str, DataFrame] | Sequence[DataFrame]) -> DataFrame:
     """Union by column name; missing columns become null, duplicates stay.
@@ -30,7 +33,7 @@ def build_master(dfs: Mapping[str, DataFrame] | Sequence[DataFrame]) -> DataFram
     return union.select(*lead, *[c for c in FIELDS if c in union.columns])
 
 
-def number_rows(df: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
+def number_rows(df: DataFrame, order: Sequence[str | Column] | None = None) -> DataFrame:
     """Add ``row_no`` 0..n-1, contiguous, in ``order`` or as the rows come.
 
     The rows are range-partitioned and sorted, and written with their partition and place to the shared folder, so that
@@ -50,13 +53,18 @@ def _lookup(mapping: Mapping[str, str], key: Column) -> Column:
     return F.try_element_at(pairs, key)
 
 
-def harmonise(df: DataFrame, vocab: Mapping[str, Mapping[str, str]]) -> DataFrame:
+def harmonise(
+    df: DataFrame, vocab: Mapping[str, Mapping[str, str]] | DataFrame, fields: Sequence[str] | None = None
+) -> DataFrame:
     """Replace labels by the common vocabulary.
 
-    ``vocab`` maps a column to ``{label: common label}``. Labels are compared without
+    ``vocab`` maps a column to ``{label: common label}`` or is a table ``(field, label, common)``, of which the
+    ``fields`` are used (those of the record with a vocabulary by default). Labels are compared without
     case, accents and extra blanks. An unknown label becomes ``autre``; blank stays
-    blank. The vocabulary travels inside the plan, so there is no join.
+    blank. A mapping travels inside the plan; a table is joined, see ``_harmonise_from``.
     """
+    if isinstance(vocab, DataFrame):
+        return _harmonise_from(df, vocab, VOCABULARY_FIELDS if fields is None else fields)
     changed = {}
     for field, mapping in vocab.items():
         keys = {_plain(k): v for k, v in mapping.items()}
@@ -65,6 +73,21 @@ def harmonise(df: DataFrame, vocab: Mapping[str, Mapping[str, str]]) -> DataFram
     return df.withColumns(changed)
 
 
+def _harmonise_from(df: DataFrame, vocab: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """One equi-join a field on the compared label, broadcast or shuffled as the measured size of the vocabulary asks.
+
+    Of labels that are compared alike the smallest common one counts. Rows are neither dropped nor repeated.
+    """
+    out = df
+    for field in fields:
+        own = vocab.where((F.col("field") == field) & F.col("common").isNotNull())
+        own = own.groupBy(normalise(F.col("label")).alias("_key")).agg(F.min("common").alias("_common")).where("_key != ''")
+        keyed = out.withColumn("_label", normalise(F.col(field))).join(own, F.col("_label") == F.col("_key"), "left")
+        told = F.when(F.coalesce("_label", F.lit("")) != "", F.coalesce("_common", F.lit(OTHER)))
+        out = keyed.withColumn(field, told).select(*df.columns)
+    return out
+
+
 def _plain(label: str) -> str:
     """Python twin of ``normalise`` for the few labels of a vocabulary."""
     from vitrine.functions.text import ACCENTED, PLAIN

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from vitrine.operators.master import OTHER, split_family
+from vitrine.operators.master import OTHER, number_rows, split_family
 from vitrine.schema import FIELDS, TAG_JOIN
 
 _RATIO = "decimal(18,9)"
@@ -172,6 +172,19 @@ def rank_brands(bench: DataFrame, measure: str, best: str = "high") -> DataFrame
     return bench.withColumn("rank", F.rank().over(Window.orderBy(order)))
 
 
+def rank_rows(df: DataFrame, measure: str, by: Sequence[str], best: str = "high") -> DataFrame:
+    """Add ``rank`` on a measure over any number of rows; ties share a rank, rows without a value come last.
+
+    ``by`` makes the order total. Rows are range-partitioned and numbered across the partitions; a value's rank is its
+    first number, found by a hash aggregation. No window spans the table, and ties of any number stay spread.
+    """
+    col = F.col(measure)
+    order = [{"high": col.desc_nulls_last(), "low": col.asc_nulls_last()}[best], *by]
+    numbered = number_rows(df, order)
+    firsts = numbered.groupBy(F.col(measure).alias("_value")).agg((F.min("row_no") + 1).cast("int").alias("rank"))
+    return numbered.join(firsts, col.eqNullSafe(F.col("_value"))).select(*df.columns, "rank")
+
+
 def market_gap(df: DataFrame, measure: str, by: str = "brand") -> DataFrame:
     """Brand average of a measure against the average of all products.
 

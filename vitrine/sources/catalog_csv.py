@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from vitrine.operators.master import build_master
 from vitrine.schema import FIELDS, RAW, conform
+from vitrine.shared import stored
+
+#: Column with the text of a row that does not fit the record.
+REJECTED = "rejected_row"
 
 
 def read_catalog_csv(spark: SparkSession, path: str | list[str], *, multi_line: bool = False) -> DataFrame:
@@ -21,6 +25,23 @@ def read_catalog_csv(spark: SparkSession, path: str | list[str], *, multi_line:
     return conform(raw)
 
 
+def read_catalog_csv_checked(
+    spark: SparkSession, path: str | list[str], *, multi_line: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """(records, rejected rows): as ``read_catalog_csv``, but broken rows are set aside instead of ending the job.
+
+    A row with too few or too many fields or a value that does not fit its type is no record; its text stands in
+    ``rejected_row`` beside the file it came from. The files are read once: both tables come from one stored result.
+    """
+    raw = spark.read.csv(
+        path, schema=T.StructType([*RAW.fields, T.StructField(REJECTED, T.StringType())]), header=True, enforceSchema=False, mode="PERMISSIVE",
+        columnNameOfCorruptRecord=REJECTED, encoding="UTF-8", escape='"', multiLine=multi_line,
+    )
+    rows = stored(raw.withColumn("file", F.col("_metadata.file_path")), "checked-csv")
+    good = conform(rows.where(F.col(REJECTED).isNull()).drop(REJECTED, "file"))
+    return good, rows.where(F.col(REJECTED).isNotNull()).select("file", REJECTED)
+
+
 def read_catalogs(spark: SparkSession, sources: dict[str, str]) -> DataFrame:
     """Read the CSV of each source, in order, into one table with a ``source`` column."""
     return build_master({name: read_catalog_csv(spark, path) for name, path in sources.items()})

@@ -30,3 +30,9 @@ VOCABULARY: dict[str, dict[str, str]] = {
 def group_table(spark: SparkSession, groups: Mapping[str, str]) -> DataFrame:
     """``(brand, brand_group)`` rows for ``brand_group``."""
     return spark.createDataFrame(sorted(groups.items()), "brand string, brand_group string")
+
+
+def vocabulary_table(spark: SparkSession, vocab: Mapping[str, Mapping[str, str]] = VOCABULARY) -> DataFrame:
+    """``(field, label, common)`` rows for ``harmonise``."""
+    rows = [(field, label, common) for field, labels in vocab.items() for label, common in labels.items()]
+    return spark.createDataFrame(rows, "field string, label string, common string")

@@ -256,7 +256,9 @@ def test_pipeline(spark, docs, labels, items, tmp_path):
     """Stage by stage against plain Python; verdicts and identifiers come from the operators' own tests."""
     import sentencepiece
 
-    docs.drop(*brute.CLASHES).write.parquet(f"{tmp_path}/documents.parquet")
+    clashes = ["n_hit", "own_d", "own_r", "hit_d", "hit_n", "hit_i", "hit_r", "kept_text", "n_dropped", "carried", "a.b"]
+    docs = docs.select("*", *[F.lit(7).alias(c) for c in clashes])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
     labels.write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     kept = {r.doc_id for r in quality.judged(docs, labels).where("kept").collect()}
@@ -272,6 +274,18 @@ def test_pipeline(spark, docs, labels, items, tmp_path):
     assert all(r.round_trip and r.n_tokens == len(r.ids) for r in got)
 
 
+def test_pipeline_stages_keep_columns_and_empty_tables(spark, docs, labels, items, tmp_path):
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for rows in (docs, docs.where("false")):
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, rows, str(tmp_path))
+            assert out.columns == docs.columns and out.schema.simpleString() == docs.schema.simpleString()
+            assert {r.own for r in out.select("own").collect()} <= {r.own for r in rows.select("own").collect()}
+    docs.where("false").write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 def test_components_of_chains_stars_and_random_links(spark):
     from vitrine.llm.components import components
 

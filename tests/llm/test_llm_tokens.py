@@ -68,6 +68,23 @@ def test_unigram_models_take_the_best_path():
     assert codec.decode_batch([[1, 4, 3]]) == ["abb"]
 
 
+@pytest.mark.parametrize("most", [1, 40, 10**6])
+def test_remembered_words_change_nothing(library, monkeypatch, most):
+    monkeypatch.setattr(sentence_pieces, "KNOWN_WORDS", most)
+    codec = sentence_pieces.Codec(parse_model(model_file()))
+    for i in range(0, 600, 50):
+        batch = texts()[i:i + 50]
+        ids, same = codec.encode_checked(batch)
+        assert ids == library.encode(batch) and same == [a == b for a, b in zip(batch, codec.decode_batch(ids))]
+        assert len(codec.known) <= max(most, len({w for t in batch for w in t.split(" ")}) * 3)
+
+
+def test_special_piece_types_are_refused():
+    for kind in (4, 5):
+        with pytest.raises(ValueError):
+            PieceModel(["<unk>", "a", "b"], [0.0, 0.0, 0.0], [2, 1, kind])
+
+
 def test_unknown_normalisers_are_refused():
     data = model_file()
     model = parse_model(data)

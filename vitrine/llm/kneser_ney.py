@@ -28,6 +28,7 @@ from urllib.parse import urlparse
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vitrine.llm.core import shared_dir, small_batches, stored, worker_cache
+from vitrine.llm.hashing import U, mix, parts, words
 
 BEGIN, END = 0x243F6A8885A308D3, 0x13198A2E03707344  # hashes of the first context and the last token
 FLUSH = 2_500_000  # tokens that are counted together before they are sent
@@ -44,8 +45,6 @@ def _stream(column):
     """(token, context, row) of all texts of a column, end tokens included, in pieces of some megabytes."""
     import numpy as np
 
-    from vitrine.llm.hashing import parts, words
-
     for first, offsets, data in parts(column):
         hashes, row = words(offsets, data)
         n = len(offsets) - 1
@@ -63,22 +62,16 @@ def _stream(column):
 
 def _shard(hashes, shards: int):
     """The part of the hash range that each hash lies in."""
-    from vitrine.llm.hashing import U
-
     return ((hashes >> U(32)) * U(shards)) >> U(32)
 
 
 def _pair(context, token):
-    from vitrine.llm.hashing import U, mix
-
     return mix(context * U(0x9E3779B97F4A7C15) + (token ^ (token >> U(29))))
 
 
 def _pair_shard(context, pair, hot, shards: int):
     import numpy as np
 
-    from vitrine.llm.hashing import mix
-
     by = mix(context)
     if len(hot):
         often = hot[np.minimum(np.searchsorted(hot, context), len(hot) - 1)] == context

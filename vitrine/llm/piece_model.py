@@ -37,7 +37,9 @@ class PieceModel:
 
     def __post_init__(self):
         for i, (piece, kind) in enumerate(zip(self.pieces, self.types)):
-            if kind in (NORMAL, USER_DEFINED, UNUSED):
+            if kind in (USER_DEFINED, UNUSED):
+                raise ValueError(f"piece {piece!r}: user-defined and unused pieces are not handled")
+            if kind == NORMAL:
                 self.ids[piece] = i
                 self.rank[piece] = -self.scores[i]
             elif kind == UNKNOWN:

@@ -15,9 +15,11 @@ import re
 from pyspark.sql import DataFrame
 
 from vitrine.llm.core import small_batches, worker_cache
-from vitrine.llm.piece_model import BPE, MARK, NORMAL, PieceModel, encode_word, normalised, parse_model
+from vitrine.llm.piece_model import BPE, MARK, NORMAL, WORD, PieceModel, encode_word, normalised, parse_model
 
 RUN = re.compile(f"{MARK}{{2,}}[^{MARK}]*")
+#: Distinct words whose identifiers a worker keeps, and the longest word it keeps.
+KNOWN_WORDS, KEPT_LENGTH = 200_000, 48
 
 
 class Codec:
@@ -27,6 +29,7 @@ class Codec:
         from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
 
         self.model = model
+        self.known: dict[str, tuple[list[int], bool]] = {}
         vocab = {piece: i for i, piece in enumerate(model.pieces)}
         unk = model.pieces[model.unk]
         if model.kind == BPE:
@@ -49,30 +52,51 @@ class Codec:
         self.tokenizer.decoder = decoders.Sequence(
             [decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()])
 
+    def _learn(self, words: set[str]) -> dict[str, tuple[list[int], bool]]:
+        """Identifiers of words, and whether they decode to the word, in one batch of the library.
+
+        Words that the library can't express are merged here.
+        """
+        words = list(words)
+        plain = [w for w in words if not RUN.match(w)]
+        ids = dict(zip(plain, (e.ids for e in self.tokenizer.encode_batch_fast(plain, add_special_tokens=False))))
+        ids |= {w: encode_word(self.model, w) for w in words if w not in ids}
+        back = self.tokenizer.decode_batch([ids[w] for w in words], skip_special_tokens=False)
+        return {w: (ids[w], text == w.replace(MARK, " ")) for w, text in zip(words, back)}
+
+    def encode_checked(self, texts: list[str]) -> tuple[list[list[int]], list[bool]]:
+        """Identifiers of each text, without begin and end, and whether they decode to the text.
+
+        Where no piece spans a cut between words, each distinct word is encoded and decoded once and remembered.
+        """
+        marked = [normalised(self.model, t) for t in texts]
+        if self.model.kind != BPE or not self.model.cuttable:
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(marked, add_special_tokens=False)]
+            return ids, [a == b for a, b in zip(texts, self.decode_batch(ids))]
+        split = [WORD.findall(t) for t in marked]
+        known = self.known
+        new = {w for words in split for w in words if w not in known}
+        if len(known) + len(new) > KNOWN_WORDS:
+            known.clear()
+            new = {w for words in split for w in words}
+        fresh = self._learn(new)
+        known |= {w: x for w, x in fresh.items() if len(w) <= KEPT_LENGTH}
+        out, same = [], []
+        for text, mark, words in zip(texts, marked, split):
+            own: list[int] = []
+            whole = True
+            for w in words:
+                ids, good = known.get(w) or fresh[w]
+                own += ids
+                whole &= good
+            plain = mark.replace(MARK, " ")
+            out.append(own)
+            same.append(whole and (plain[1:] if self.model.add_prefix and mark else plain) == text)
+        return out, same
+
     def encode_batch(self, texts: list[str]) -> list[list[int]]:
         """Identifiers of each text, without begin and end."""
-        texts = [normalised(self.model, t) for t in texts]
-        if self.model.kind != BPE or not self.model.cuttable:
-            return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        pieces, plan = [], []
-        for text in texts:
-            own, at = [], 0
-            for run in RUN.finditer(text):
-                if run.start() > at:
-                    own.append(len(pieces))
-                    pieces.append(text[at:run.start()])
-                own.append(run.group())
-                at = run.end()
-            if at < len(text):
-                own.append(len(pieces))
-                pieces.append(text[at:])
-            plan.append(own)
-        done = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        return [
-            done[own[0]] if len(own) == 1 and isinstance(own[0], int)
-            else [i for part in own for i in (done[part] if isinstance(part, int) else encode_word(self.model, part))]
-            for own in plan
-        ]
+        return self.encode_checked(texts)[0]
 
     def decode_batch(self, ids: list[list[int]]) -> list[str]:
         texts = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
@@ -91,7 +115,7 @@ def _codec(model_bytes: bytes, threads: int) -> Codec:
 def encode(docs: DataFrame, model_bytes: bytes, threads: int | None = None) -> DataFrame:
     """(doc_id, n_tokens, ids, round_trip) of every row; ``round_trip``: decoding gives the text back.
 
-    Null counts as empty, an empty text has no ids. Texts of any length are encoded whole; only a text that holds
+    Null counts as empty, an empty text has no ids, repeated rows are encoded each. Texts of any length are encoded whole; only a text that holds
     the space mark itself doesn't come back. ``threads`` of a task: spark.task.cpus unless given.
     """
     spark = docs.sparkSession
@@ -104,8 +128,7 @@ def encode(docs: DataFrame, model_bytes: bytes, threads: int | None = None) -> D
         codec = _codec(model_bytes, threads)
         for batch in batches:
             texts = [x or "" for x in batch.column("text").to_pylist()]
-            ids = codec.encode_batch(texts)
-            same = [a == b for a, b in zip(texts, codec.decode_batch(ids))]
+            ids, same = codec.encode_checked(texts)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32())),
                  pa.array(same, pa.bool_())], ["doc_id", "n_tokens", "ids", "round_trip"])

@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from vitrine.llm.core import small_batches, stored
+from vitrine.llm.hashing import U, _tables, mix, parts
 
 LENGTH, GRAM = 400, 64
 MOST_EXCERPTS = 500
@@ -32,8 +33,6 @@ def _anchors(data, offsets, length: int):
     """(row, pos, lo, hi, anchor, excerpt) of the runs in texts laid end to end; windows at pos - hi .. pos - lo."""
     import numpy as np
 
-    from vitrine.llm.hashing import U, _tables, mix
-
     n = len(data)
     windows = n - length + 1
     if windows <= 0:
@@ -104,8 +103,6 @@ def occurrences(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         import numpy as np
         import pyarrow as pa
 
-        from vitrine.llm.hashing import parts
-
         names = ["doc_id", "row", "pos", "lo", "hi", "h", "e", "n", "start", "stop"]
         whole = [pa.int32()] * 3 + [pa.int64()] * 2 + [pa.int32()] * 3
         for batch in batches:
@@ -253,8 +250,6 @@ def _window_covers(excerpts: DataFrame, length: int) -> DataFrame:
         import numpy as np
         import pyarrow as pa
 
-        from vitrine.llm.hashing import U, _tables, mix
-
         for batch in batches:
             for h, e, hi, text in zip(*(batch.column(c).to_pylist() for c in ("h", "e", "hi", "text"))):
                 data = np.frombuffer(text, np.uint8)

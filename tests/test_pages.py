@@ -1,4 +1,4 @@
-"""The page table: intervals, implied end tags, text nodes, scripts; time; one scan in the plan; the bucketed store."""
+"""The page table: intervals, implied end tags, text nodes, scripts; time; selectors; the bucketed store."""
 
 import random
 import time
@@ -8,8 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import vitrine as v
+from vitrine.functions import elements as E
 from vitrine.functions import page_parser as P
-from vitrine.operators.products import extract_products
 
 
 def parsed(html):
@@ -93,17 +93,18 @@ def test_time_is_linear(html):
     assert time.time() - start < 12
 
 
-@pytest.mark.parametrize("kind", sorted(v.PROFILES))
-def test_one_scan_in_the_plan(spark, kind):
-    pages = spark.createDataFrame([("u", "<p>")], "url string, html string")
-    plan = extract_products(pages, v.PROFILES[kind], "M")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("ArrowEvalPython") == 1
-
-
-def test_price_zone_of_untidy_lists(spark):
-    html = '<ul><li class="price">10,90 €<li>99,90 €</ul><h1>n'
-    pages = spark.createDataFrame([("u", html)], "url string, html string")
-    assert str(extract_products(pages, v.STRUCTURED, "M").first()["price"]) == "10.90"
+def test_selectors_over_elements(spark):
+    html = ('<ul><li class="price">10,90 €<li class="x price y">99,90 €</ul><h1 class="t">n<b>m</b></h1><meta property="og:title" content="A &amp; B">'
+            '<ol class="crumbs"><li>a<li><b>c</b> d</ol><i class="swatch size"></i><i class="swatch"></i>')
+    page = spark.createDataFrame([(html,)], "html string").select(E.page_table(F.col("html")).alias("page"))
+    col, price = F.col("page"), E.any_of(E.tag(E.word("class", "price")))
+    got = page.select(
+        E.zone_text(col, price), E.count(col, price), E.joined_text(col, E.any_of(E.tag(name="h1"))), E.meta(col, "og:title"),
+        E.list_texts(col, E.any_of(E.tag(E.has("class", "crumb"), name="ol")), "li"),
+        E.count(col, E.any_of(E.tag(E.has("class", "swatch"), E.lacks("class", "size")))),
+        E.zone_text(col, E.any_of(E.tag(E.equals("class", "none")))), E.all_text(col)).first()
+    assert tuple(got) == ("10,90 €", 2, "nm", "A & B", ["a", "cd"], 1, None, "10,90 € 99,90 € n m a c d")
+    assert page._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
 
 
 def test_page_store_is_joined_bucket_by_bucket(spark):

@@ -103,11 +103,11 @@ def test_mined_rules_are_all_and_only_those_with_support_and_confidence(spark):
             labels.append((i, 0 if bad and i % 3 else 1, int(bad and i % 3 == 0)))
     pages = spark.createDataFrame(rows, "page_id bigint, url string")
     table = spark.createDataFrame(labels + [(9999, 0, 1), (None, 0, 0)], "doc_id bigint, quality int, toxic int")
-    got = {(tuple(r.tokens), round(r.confidence, 6)) for r in url_rules.mined_rules(pages, table, 0.01, 0.9, 5).collect()}
+    got = {(tuple(r.tokens), round(r.confidence, 6)) for r in url_rules.mined_rules(pages, table, 0.9, 5).collect()}
     tokens = {r.page_id: set(r.t) for r in pages.select("page_id", url_rules.tokens_of(F.col("url")).alias("t")).collect()}
     marked = [(tokens[i], q == 0 or t == 1) for i, q, t in labels]
     found, every = {}, sorted(set().union(*tokens.values()))
-    least = max(0.01, 5 / len(marked)) * len(marked)
+    least = 5
     for size in range(1, 8):
         for combo in itertools.combinations([t for t in every if sum(t in x for x, _ in marked) >= least], size):
             both = [bad for x, bad in marked if x.issuperset(combo)]
@@ -116,7 +116,15 @@ def test_mined_rules_are_all_and_only_those_with_support_and_confidence(spark):
     kept = {(c, round(p, 6)) for c, p in found.items() if not any(set(o) < set(c) and q >= p for o, q in found.items())}
     assert got == kept and len(got) >= 2
     verdicts = {r.page_id: r.verdict for r in url_rules.judge(pages, table).collect()}
-    index = [set(c) for c, _ in kept]
-    if url_rules.LEAST_ROWS <= 20:
-        strong = [set(c) for c, p in found.items() if p * 0 + sum(bad for x, bad in marked if x.issuperset(c)) >= 20]
-        assert verdicts == {i: "block" if any(s <= t for s in strong) else "allow" for i, t in tokens.items()} and index
+    strong = [set(c) for c in found if sum(bad for x, bad in marked if x.issuperset(c)) >= url_rules.LEAST_ROWS]
+    assert strong and verdicts == {i: "block" if any(s <= t for s in strong) else "allow" for i, t in tokens.items()}
+
+
+@pytest.mark.parametrize("labelled", [1_000, 100_000])
+def test_the_same_evidence_gives_a_rule_at_every_size(spark, labelled):
+    url = "CASE WHEN id < 25 THEN concat('http://spam.org/p', id) ELSE concat('http://site', id % 40, '.org/a/', id) END"
+    pages = spark.range(labelled + 1).selectExpr("id AS page_id", f"{url} AS url")
+    pages = pages.union(spark.createDataFrame([(-1, "http://www.spam.org/new"), (-2, "http://other.org/")], pages.schema))
+    labels = spark.range(labelled).selectExpr("id AS doc_id", "IF(id < 25 OR id % 9 = 0, 0, 1) AS quality", "0 AS toxic")
+    verdicts = {r.page_id: r.verdict for r in url_rules.judge(pages, labels).where("page_id < 25").collect()}
+    assert verdicts == {-2: "allow"} | {i: "block" for i in [-1, *range(25)]}

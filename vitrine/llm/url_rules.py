@@ -3,6 +3,10 @@
 FP-growth over the tokens of labelled URLs finds combinations that go with the label "block". Rules below a support
 or a confidence are pruned, and so are rules with a shorter one inside that is as sure. What is left is an inverted
 index from each rule's rarest token to the rule; a URL is blocked if it holds all tokens of some rule.
+
+The support is a number of blocked pages, so the same evidence gives the same rule in a table of any size. Rules of one
+token are found by counting. Tokens that are no part of a longer rule are taken out before mining: those with too few
+blocked pages, those that all labelled pages hold, and those that no other token can make surer.
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ RULES = [
     ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
     ("net", "/es/", "block"), ("net", "/fr/", "block"),
 ]
-SUPPORT, LEAST_ROWS, CONFIDENCE = 0.002, 20, 0.9
+LEAST_ROWS, CONFIDENCE = 20, 0.9
 BLOCK = "=block"
 
 
@@ -61,29 +65,41 @@ def tokens_of(url: Column) -> Column:
     ), lambda t: (host != "") & t.isNotNull()))
 
 
-def mined_rules(pages: DataFrame, labels: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE,
-                least_rows: int = LEAST_ROWS) -> DataFrame:
+def mined_rules(pages: DataFrame, labels: DataFrame, confidence: float = CONFIDENCE, least_rows: int = LEAST_ROWS) -> DataFrame:
     """(anchor, tokens, confidence): token combinations that mean "block".
 
     A label belongs to the page of its doc_id and says "block" with quality 0 or toxic 1; all labelled pages are
-    mined. ``support`` is a share of them, ``least_rows`` a number of them, both at least.
+    mined. Labels of one page that disagree count as a page each, equal ones once. A rule holds for ``least_rows``
+    blocked pages or more, and these are the share ``confidence`` of the labelled pages that it fits, or more.
     """
     marks = labels.select(F.col("doc_id").alias("page_id"), (
         (F.coalesce("quality", F.lit(1)) == 0) | (F.coalesce("toxic", F.lit(0)) == 1)).alias("bad")).distinct()
     known = pages.select("page_id", tokens_of(F.col("url")).alias("t")).where(F.size("t") > 0).join(marks, "page_id")
-    known = stored(known.select(F.when(F.col("bad"), F.concat("t", F.array(F.lit(BLOCK)))).otherwise(F.col("t")).alias("items")),
-                   "url-baskets")
+    known = stored(known.select(F.monotonically_increasing_id().alias("b"), "bad", "t"), "url-baskets")
     rows = known.count()
-    empty = known.sparkSession.createDataFrame([], "anchor string, tokens array<string>, confidence double")
     if not rows:
-        return empty
-    model = FPGrowth(
-        itemsCol="items", minSupport=min(1.0, max(support, least_rows / rows)), minConfidence=confidence).fit(known)
-    rules = model.associationRules.where(F.col("consequent")[0] == BLOCK).select(
-        F.array_sort("antecedent").alias("tokens"), "confidence")
-    counts = known.select(F.explode("items").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    ranked = rules.select("*", F.explode("tokens").alias("token")).join(counts, "token").groupBy("tokens", "confidence").agg(
-        F.min(F.struct("n", "token"))["token"].alias("anchor"))
+        return known.sparkSession.createDataFrame([], "anchor string, tokens array<string>, confidence double")
+    bad = F.col("bad").cast("bigint")
+    counts = stored(known.select("bad", F.explode("t").alias("token")).groupBy("token").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(bad).alias("n_bad")).where(F.col("n_bad") >= least_rows), "url-tokens")
+    sure = F.col("n_bad") >= confidence * F.col("n")
+    single = counts.where(sure).select(F.array("token").alias("tokens"), (F.col("n_bad") / F.col("n")).alias("confidence"))
+    # A token of all pages changes no count; one whose pages are all blocked leaves no longer rule surer.
+    useful = counts.where((F.col("n") < rows) & (F.col("n_bad") < F.col("n"))).select("token")
+    baskets = known.select("b", "bad", F.explode("t").alias("token")).join(useful, "token").groupBy("b", "bad").agg(
+        F.collect_list("token").alias("t"))
+    baskets = stored(baskets.select(F.when(F.col("bad"), F.concat("t", F.array(F.lit(BLOCK)))).otherwise(F.col("t")).alias(
+        "items")), "url-useful")
+    n = max(baskets.count(), 1)
+    # Half a row less, so that rounding the share back to rows gives least_rows.
+    found = FPGrowth(itemsCol="items", minSupport=min(1.0, max(0.0, (least_rows - 0.5) / n))).fit(baskets).freqItemsets
+    found = stored(found.select(F.array_sort("items").alias("items"), "freq"), "url-itemsets")
+    blocked = found.where(F.array_contains("items", BLOCK) & (F.size("items") > 2)).select(
+        F.array_remove("items", BLOCK).alias("tokens"), F.col("freq").alias("n_bad"))
+    longer = blocked.join(found.withColumnRenamed("items", "tokens"), "tokens").where(
+        F.col("n_bad") >= confidence * F.col("freq")).select("tokens", (F.col("n_bad") / F.col("freq")).alias("confidence"))
+    ranked = single.union(longer).select("*", F.explode("tokens").alias("token")).join(counts, "token").groupBy(
+        "tokens", "confidence").agg(F.min(F.struct("n", "token"))["token"].alias("anchor"))
     ranked = stored(ranked.select("anchor", "tokens", "confidence"), "url-rules")
     # A rule goes if one with fewer tokens, all among its own, is as sure.
     inner = ranked.select(F.col("anchor").alias("a"), F.col("tokens").alias("fewer"), F.col("confidence").alias("c"))

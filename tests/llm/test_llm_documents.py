@@ -173,7 +173,7 @@ def test_quality_scores_trusted_documents_as_if_outside_the_fit(spark):
     rnd = random.Random(4)
     rows = [(i, " ".join(f"w{rnd.randrange(40)}" for _ in range(30))) for i in range(24)]
     labels = [(i, 1, 0) for i in range(12)]
-    docs, schema = framed(spark, rows), "doc_id bigint, quality int, toxic int"
+    docs, schema = quality.described(framed(spark, rows), ["doc_id"]), "doc_id bigint, quality int, toxic int"
 
     def fit(some):
         labelled = quality.labelled_grams(docs, spark.createDataFrame(some, schema))
@@ -183,7 +183,7 @@ def test_quality_scores_trusted_documents_as_if_outside_the_fit(spark):
     want = []
     for i in (0, 7):
         _, weights, _, _ = fit(labels[:i] + labels[i + 1:])
-        want += [r.score for r in quality.features(docs.where(F.col("doc_id") == i), weights).collect()]
+        want += [r.score for r in quality.verdicts(docs.where(F.col("own.doc_id") == i), weights, 0.0).collect()]
     assert len(got) == 12
     for x in want:
         assert min(abs(x - y) for y in got) < 1e-7
@@ -196,7 +196,7 @@ def test_quality_fit_takes_every_labelled_row(spark):
     labels = spark.createDataFrame(
         [(i, int(i % 3 > 0), 0) for i in ids if i is not None and i != 64] + [(0, 1, 0), (None, 1, 0), (64, 1, 1), (77, 1, 0)],
         "doc_id bigint, quality int, toxic int")
-    got = quality.labelled_grams(docs, labels).groupBy("good", "bad").count().collect()
+    got = quality.labelled_grams(quality.described(docs, ["doc_id"]), labels).groupBy("good", "bad").count().collect()
     named = [i for i in ids if i is not None and i != 64]
     want = {(True, False): sum(i % 3 > 0 for i in named), (False, True): sum(i % 3 == 0 and i != 0 for i in named), (True, True): 1}
     assert {(r.good, r.bad): r["count"] for r in got} == want

@@ -28,37 +28,41 @@ MIN_WORDS, REPEAT_WINDOW, REPEAT_PERCENT = 20, 8, 30
 SYMBOLS = "#*$%&|<>"  # fixed value
 
 
-def _with_words(docs: DataFrame) -> DataFrame:
-    """(own, text, words, hashes): each row as it is, the words of its text, and a hash of each."""
-    split = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own"),
-                        F.coalesce("text", F.lit("")).alias("text"), space_words(F.col("text")).alias("words"))
-    return split.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
-
-
-def _buckets(hashes: Column, pairs: Column) -> Column:
-    """Bucket numbers of all words and word pairs."""
-    return F.transform(F.concat(hashes, pairs), lambda h: F.pmod(h, F.lit(BUCKETS)).cast("int"))
-
-
-def _pairs(hashes: Column) -> Column:
-    return pair_up(hashes, 1, lambda a, b: F.xxhash64(a, b))
+def described(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """One row per document: its columns ``keep`` as the struct ``own``, the base counts, and ``buckets``, those of all
+    its words, then of all its word pairs. The text is split and hashed here and nowhere else."""
+    own = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("own")
+    split = docs.select(own, F.coalesce("text", F.lit("")).alias("text"), space_words(F.col("text")).alias("words"))
+    split = split.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
+    words = F.col("words")
+    lines = F.filter(F.split("text", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    return split.select(
+        "own", F.size(words).cast("bigint").alias("n_words"),
+        F.char_length(F.array_join(words, "")).cast("bigint").alias("word_chars"),
+        F.char_length(F.regexp_replace("text", r"[^#*$%&|<>]+", "")).cast("bigint").alias("n_symbols"),
+        let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("n_dup_lines"),
+        _repeated(F.col("hashes")).cast("bigint").alias("n_repeat_words"),
+        F.transform(F.concat(F.col("hashes"), pair_up(F.col("hashes"), 1, lambda x, y: F.xxhash64(x, y))),
+                    lambda h: F.pmod(h, F.lit(BUCKETS)).cast("smallint")).alias("buckets"),
+    )
 
 
-def labelled_grams(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(good, bad, n_words, grams) of every row with a trusted or a rejected label; grams: buckets with their counts.
+def labelled_grams(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """(good, bad, n_words, grams) of every described row with a trusted or a rejected label; grams: buckets with counts.
 
     ``doc_id`` is a bigint.
     """
     good, bad = (F.col("quality") == 1) & (F.col("toxic") == 0), F.col("quality") == 0
-    # Texts are shuffled only where the labels are too many to broadcast: 64 neighbouring ids are one row of two
+    # Buckets are shuffled only where the labels are too many to broadcast: 64 neighbouring ids are one row of two
     # bitmaps, and stored they are planned by their size.
     word, bit = F.shiftright("doc_id", 6), F.expr("shiftleft(1L, CAST(doc_id & 63 AS INT))")
     marks = stored(labels.where(F.col("doc_id").isNotNull() & (good | bad)).groupBy(word.alias("word")).agg(
         F.bit_or(F.when(good, bit).otherwise(0)).alias("goods"), F.bit_or(F.when(bad, bit).otherwise(0)).alias("bads")),
         "label-bits")
-    some = docs.join(marks, word == F.col("word")).select(
-        (F.col("goods").bitwiseAND(bit) != 0).alias("good"), (F.col("bads").bitwiseAND(bit) != 0).alias("bad"), "text")
-    split = _with_words(some.where("good OR bad")).withColumn("pairs", _pairs(F.col("hashes")))
+    rows = rows.select(F.col("own.doc_id").alias("doc_id"), "n_words", "buckets")
+    some = rows.join(marks, word == F.col("word")).select(
+        (F.col("goods").bitwiseAND(bit) != 0).alias("good"), (F.col("bads").bitwiseAND(bit) != 0).alias("bad"),
+        "n_words", "buckets")
 
     def runs(order: Column) -> Column:
         starts = F.filter(F.sequence(F.lit(0), F.size(order) - 1),
@@ -67,25 +71,23 @@ def labelled_grams(docs: DataFrame, labels: DataFrame) -> DataFrame:
             p, F.concat(F.slice(p, F.lit(2), F.size(p)), F.array(F.size(order))),
             lambda i, end: F.struct(F.get(order, i).alias("bucket"), (end - i).alias("n")))))
 
-    return split.select("own.good", "own.bad", F.size("words").alias("n_words"), let(
-        F.sort_array(_buckets(F.col("hashes"), F.col("pairs"))), runs).alias("grams"))
+    return some.where("good OR bad").select(
+        "good", "bad", "n_words", let(F.sort_array("buckets"), runs).alias("grams"))
 
 
-def bucket_counts(docs: DataFrame) -> DataFrame:
-    """(bucket, n): n-grams of all rows."""
-    split = _with_words(docs).select("hashes").withColumn("pairs", _pairs(F.col("hashes")))
-    return split.select(F.explode(_buckets(F.col("hashes"), F.col("pairs"))).alias("bucket")).groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("n"))
+def bucket_counts(rows: DataFrame) -> DataFrame:
+    """(bucket, n): n-grams of all described rows."""
+    return rows.select(F.explode("buckets").alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
 
 
-def bucket_weights(docs: DataFrame, labelled: DataFrame) -> DataFrame:
+def bucket_weights(rows: DataFrame, labelled: DataFrame) -> DataFrame:
     """(bucket, weight, trusted): ln(target / raw) of every bucket seen, both with one added, and the target's count.
 
     With no trusted document all weights are 0.
     """
     target = labelled.where("good").select(F.explode("grams").alias("g")).groupBy(F.col("g.bucket").alias("bucket")).agg(
         F.sum("g.n").alias("trusted"))
-    both = bucket_counts(docs).withColumnRenamed("n", "raw").join(target, "bucket", "left")
+    both = bucket_counts(rows).withColumnRenamed("n", "raw").join(target, "bucket", "left")
     # One row per bucket, at most BUCKETS: the totals may be taken in one task.
     whole = Window.partitionBy(F.lit(1))
     t, r = F.coalesce("trusted", F.lit(0)), F.col("raw")
@@ -107,10 +109,9 @@ def _arrays(weights: DataFrame) -> tuple[Column, Column, int]:
             F.split(F.lit(",".join(map(str, counts))), ",").cast("array<bigint>"), sum(counts))
 
 
-def _score(hashes: Column, pairs: Column, weights: Column) -> Column:
-    total = F.aggregate(
-        _buckets(hashes, pairs), F.lit(0.0), lambda s, b: s + F.coalesce(F.get(weights, b), F.lit(0.0)))
-    return F.round(total / (F.size(hashes) + F.size(pairs) + PRIOR), SCORE_DIGITS)
+def _score(buckets: Column, weights: Column) -> Column:
+    total = F.aggregate(buckets, F.lit(0.0), lambda s, b: s + F.coalesce(F.get(weights, b.cast("int")), F.lit(0.0)))
+    return F.round(total / (F.size(buckets) + PRIOR), SCORE_DIGITS)
 
 
 def _repeated(hashes: Column) -> Column:
@@ -134,30 +135,15 @@ def _repeated(hashes: Column) -> Column:
         F.size(F.array_distinct(windows)) < F.size(windows), covered(windows)).otherwise(F.lit(0)))
 
 
-def features(docs: DataFrame, weights: Column) -> DataFrame:
-    """(own, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, score) of every row."""
-    text, words = F.col("text"), F.col("words")
-    lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    split = _with_words(docs).withColumn("pairs", _pairs(F.col("hashes")))
-    return split.select(
-        "own", F.size(words).cast("bigint").alias("n_words"),
-        F.char_length(F.array_join(words, "")).cast("bigint").alias("word_chars"),
-        F.char_length(F.regexp_replace(text, r"[^#*$%&|<>]+", "")).cast("bigint").alias("n_symbols"),
-        let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("n_dup_lines"),
-        _repeated(F.col("hashes")).cast("bigint").alias("n_repeat_words"),
-        _score(F.col("hashes"), F.col("pairs"), weights).alias("score"),
-    )
-
-
 def outside_scores(labelled: DataFrame, weights: Column, counts: Column, total: int) -> DataFrame:
     """(good, bad, s) of rows with MIN_WORDS or more: the score, of a trusted row against the target without that row."""
     def sum_of(term) -> Column:
         return F.aggregate("grams", F.lit(0.0), lambda s, g: s + g["n"] * term(g))
 
-    weight = lambda g: F.coalesce(F.get(weights, g["bucket"]), F.lit(0.0))
+    weight = lambda g: F.coalesce(F.get(weights, g["bucket"].cast("int")), F.lit(0.0))
     n = F.aggregate("grams", F.lit(0), lambda s, g: s + g["n"])
     left_out = sum_of(lambda g: weight(g) + F.log(
-        (F.get(counts, g["bucket"]) - g["n"] + 1) / (F.get(counts, g["bucket"]) + 1)))
+        (F.get(counts, g["bucket"].cast("int")) - g["n"] + 1) / (F.get(counts, g["bucket"].cast("int")) + 1)))
     score = F.when(F.col("good"), left_out + F.col("size") * F.log(F.lit(float(total + BUCKETS)) / (total + BUCKETS - F.col("size")))
                    ).otherwise(sum_of(weight))
     return labelled.where(F.col("n_words") >= MIN_WORDS).withColumn("size", n).select(
@@ -198,38 +184,44 @@ def threshold(scores: DataFrame) -> float:
     return float("-inf") if below is None else (low + below) / 2
 
 
-def fitted(docs: DataFrame, labels: DataFrame) -> tuple[Column, float]:
-    """The bucket weights as a constant, and the threshold."""
-    labelled = stored(labelled_grams(docs, labels), "labelled-grams")
-    weights, counts, total = _arrays(bucket_weights(docs, labelled))
+def fitted(rows: DataFrame, labels: DataFrame) -> tuple[Column, float]:
+    """The bucket weights as a constant, and the threshold, from described rows."""
+    labelled = stored(labelled_grams(rows, labels), "labelled-grams")
+    weights, counts, total = _arrays(bucket_weights(rows, labelled))
     scores = stored(outside_scores(labelled, weights, counts, total), "labelled-scores")
     least = threshold(scores)
     discard(labelled, scores)
     return weights, least
 
 
-def with_verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Every row of ``docs`` as the struct ``own``, with the base counts, ``base_failed``, ``score`` and ``kept``.
-
-    Null and empty texts have no words and fail the base rule; repeated rows get equal verdicts; other columns
-    are handed on. An empty table gives an empty result.
-    """
-    read = docs.select("doc_id", "text")
-    weights, least = fitted(read, labels)
+def verdicts(rows: DataFrame, weights: Column, least: float) -> DataFrame:
+    """Described rows with ``base_failed``, ``score`` and ``kept`` in place of their buckets."""
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
-    return features(docs, weights).withColumn("base_failed", failed).withColumn(
-        "kept", ~F.col("base_failed") & (F.col("score") >= F.lit(least)))
+    scored = rows.withColumn("score", _score(F.col("buckets"), weights)).withColumn("base_failed", failed)
+    return scored.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= F.lit(least))).drop("buckets")
 
 
 def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """One line per row: doc_id and what ``with_verdicts`` adds."""
-    out = with_verdicts(docs.select("doc_id", "text"), labels)
+    """One line per row: doc_id, the base counts, ``score``, ``base_failed`` and ``kept``.
+
+    Null and empty texts have no words and fail the base rule; repeated rows get equal verdicts; other columns are
+    not read. An empty table gives an empty result. Buckets are written once, and counts, fit and scores read those.
+    """
+    rows = stored(described(docs, ["doc_id"]), "buckets")
+    out = verdicts(rows, *fitted(rows, labels))
     return out.select("own.doc_id", *out.columns[1:])
 
 
 def kept_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are kept, as they are."""
+    """The rows of ``docs`` that are kept, as they are; edge cases as in ``judged``.
+
+    The written buckets serve the fit and go after it; whole rows are described again instead of being written with them.
+    """
+    rows = stored(described(docs, ["doc_id"]).select("own", "n_words", "buckets"), "buckets")
+    weights, least = fitted(rows, labels)
+    discard(rows)
     # A filter would be pushed below the projections and split and hash every text once for each mention of its
     # words; it isn't pushed through an explode.
     stay = F.when(F.col("kept"), F.array("own"))
-    return with_verdicts(docs, labels).select(F.explode(stay).alias("own")).select(*[F.col(f"own.`{c}`") for c in docs.columns])
+    out = verdicts(described(docs, docs.columns), weights, least)
+    return out.select(F.explode(stay).alias("own")).select(*[F.col(f"own.`{c}`") for c in docs.columns])

@@ -113,9 +113,9 @@ def test_decontamination(spark, docs, items):
     assert none.where("contaminated OR n_hit > 0 OR n_items > 0").count() == 0 and none.count() == len(ROWS)
 
 
-@pytest.mark.parametrize("most", [1, 500])
-def test_suffix_dedup(spark, docs, most, monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "MOST_EXCERPTS", most)
+@pytest.mark.parametrize("wide", [1, 4, 500])
+def test_suffix_dedup(spark, docs, wide, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "WIDE", wide)
     rnd = random.Random(6)
     base = ["".join(rnd.choice("ab \né") for _ in range(1800)) for _ in range(3)]
     rows = list(ROWS) + [(500 + i, "".join(

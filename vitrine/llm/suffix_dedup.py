@@ -10,8 +10,11 @@ equal anchors at equal places, wherever they stand. Suffixes are sorted per anch
    prefixes; a stack scan gives the intervals of the prefix tree. Within an interval the texts before the anchor are sorted and
    scanned likewise: where they differ (left-extension diversity) a group of occurrences is a maximal repeat, and if it is at
    least ``length`` long all its occurrences are covered.
-4. Anchors with more than ``MOST_EXCERPTS`` distinct excerpts go window by window instead: hashes of all windows
-   are counted, which has no group to gather and gives the same cover.
+4. An anchor with more than ``WIDE`` distinct excerpts is cut into parts first. Texts that share the window x bytes before
+   the anchor agree in x bytes before it and ``length`` - x from it on; for any x in [low, high] that is at least low
+   and ``length`` - high. So a wide part is halved by x, and each half is cut by the text that is shared in it, until all
+   parts are narrow enough to sort. In a half only the text of its windows counts: excerpts equal in that repeat wholly
+   there, and one of them goes on for all.
 
 Covers are united per document, and what is left is hashed.
 """
@@ -20,11 +23,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from vitrine.llm.core import small_batches, stored
+from vitrine.llm.core import discard, small_batches, stored
 from vitrine.llm.hashing import U, _tables, mix, parts
 
 LENGTH, GRAM = 400, 64
-MOST_EXCERPTS = 500
+WIDE = 500  # excerpts sorted together; more are cut into parts, which changes no result
 SLICE = 1 << 21  # bytes looked at together
 POSITIONS = 22  # bits of a position within a slice
 
@@ -207,64 +210,106 @@ def maximal_repeats(before: list[bytes], after: list[bytes], length: int):
 
 
 def _covers(excerpts: DataFrame, length: int) -> DataFrame:
-    """(h, e, left, right): how far excerpts (h, e, lo, hi, text) repeat before and after the anchor.
+    """(id, left, right): how far excerpts (part, id, lo, hi, text) repeat before and after the anchor in their part.
 
     All repeats of an excerpt hold its anchor, so their union is one range.
     """
     def scanned(batches):
         import pyarrow as pa
 
-        def group(h, rows):
-            before = [r[3][:r[2]][::-1] for r in rows]
-            after = [r[3][r[2]:] for r in rows]
+        def group(rows):
+            before = [text[:hi][::-1] for _, hi, text in rows]
+            after = [text[hi:] for _, hi, text in rows]
             far = [(0, 0)] * len(rows)
             for left, right, members in maximal_repeats(before, after, length):
                 for m in members:
                     far[m] = max(far[m][0], left), max(far[m][1], right)
-            return [(h, rows[m][0], *far[m]) for m in range(len(rows)) if far[m][1]]
+            return [(rows[m][0], *far[m]) for m in range(len(rows)) if far[m][1]]
 
         now, rows, out = None, [], []
-        schema = pa.schema([("h", pa.int64()), ("e", pa.int64()), ("left", pa.int32()), ("right", pa.int32())])
+        schema = pa.schema([("id", pa.string()), ("left", pa.int32()), ("right", pa.int32())])
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("h", "e", "lo", "hi", "text")]
-            for h, e, lo, hi, text in zip(*cols):
-                if h != now:
+            for part, *row in zip(*(batch.column(c).to_pylist() for c in ("part", "id", "hi", "text"))):
+                if part != now:
                     if len(rows) > 1:
-                        out += group(now, rows)
-                    now, rows = h, []
-                rows.append((e, lo, hi, text))
+                        out += group(rows)
+                    now, rows = part, []
+                rows.append(row)
             if len(out) > 20_000:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k.type) for c, k in zip(zip(*out), schema)], schema=schema)
                 out = []
         if len(rows) > 1:
-            out += group(now, rows)
+            out += group(rows)
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, k.type) for c, k in zip(zip(*out), schema)], schema=schema)
 
-    return excerpts.repartition("h").sortWithinPartitions("h").mapInArrow(scanned, "h bigint, e bigint, left int, right int")
+    return excerpts.repartition("part").sortWithinPartitions("part").mapInArrow(scanned, "id string, left int, right int")
 
 
-def _window_covers(excerpts: DataFrame, length: int) -> DataFrame:
-    """As ``_covers``, by counting all windows: for anchors whose excerpts are too many to gather."""
-    def windows(batches):
-        import numpy as np
+def _halved(wide: DataFrame, length: int) -> DataFrame:
+    """(src, id, part, lo, hi, low, high, text): rows of wide parts in each half of the range that has windows of theirs.
+
+    ``text`` and its ``lo`` and ``hi`` are cut to the windows of the half; rows equal in all of these have one ``id``.
+    """
+    names = ["src", "id", "part", "lo", "hi", "low", "high", "text"]
+
+    def halves(batches):
+        import hashlib
+
         import pyarrow as pa
 
+        kinds = [pa.string()] * 3 + [pa.int32()] * 4 + [pa.binary()]
+        digest = lambda *of: hashlib.blake2b(b"\0".join(of), digest_size=16).hexdigest()
         for batch in batches:
-            for h, e, hi, text in zip(*(batch.column(c).to_pylist() for c in ("h", "e", "hi", "text"))):
-                data = np.frombuffer(text, np.uint8)
-                t = _tables(len(data))
-                out = [pa.array([h] * (len(data) - length + 1)), pa.array([e] * (len(data) - length + 1)),
-                       pa.array((hi - np.arange(len(data) - length + 1)).astype(np.int32))]
-                for seed in (77, 78):
-                    sums = np.append(U(0), np.cumsum(mix(data.astype(np.uint64) + U(seed)) * t["up"][:len(data)]))
-                    out.append(pa.array(mix((sums[length:] - sums[:-length]) * t["down"][:len(data) - length + 1]).view(np.int64)))
-                yield pa.RecordBatch.from_arrays(out, ["h", "e", "x", "w", "v"])
-
-    all_ = excerpts.mapInArrow(windows, "h bigint, e bigint, x int, w bigint, v bigint")
-    many = stored(all_.groupBy("h", "x", "w", "v").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "repeated-windows")
-    return all_.join(many, ["h", "x", "w", "v"]).groupBy("h", "e").agg(
-        F.max("x").alias("left"), F.max(F.lit(length) - F.col("x")).alias("right"))
+            out = []
+            for src, part, lo, hi, low, high, text in zip(*(
+                    batch.column(c).to_pylist() for c in ("id", "part", "lo", "hi", "low", "high", "text"))):
+                mid = (low + high) // 2
+                for a, b in ((low, mid), (mid + 1, high)):
+                    first, last = max(a, lo), min(b, hi)
+                    if first > last:
+                        continue
+                    shared = digest(f"{part} {a} {b}".encode(), text[hi - a:hi + length - b])
+                    own = text[hi - last:hi + length - first]
+                    out.append((src, digest(f"{shared} {first} {last}".encode(), own), shared, first, last, a, b, own))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+
+    return wide.mapInArrow(
+        halves, "src string, id string, part string, lo int, hi int, low int, high int, text binary")
+
+
+def _all_covers(texts: DataFrame, length: int) -> DataFrame:
+    """(h, e, left, right), stored, of all excerpts (h, e, lo, hi, text) that repeat; wide parts are halved first.
+
+    A range of ``length`` + 1 windows can be halved some ten times; then a part is one window and all in it is equal.
+    """
+    level = texts.select(
+        F.col("h").cast("string").alias("part"), F.concat_ws(" ", "h", "e").alias("id"), "lo", "hi", "text",
+        F.lit(0).alias("low"), F.lit(length).alias("high"))
+    equal, found, steps, used = None, [], [], []
+    while True:
+        wide = stored(level.groupBy("part").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > WIDE).select("part"),
+                      "wide-parts")
+        used.append(wide)
+        covers = _covers(level.join(wide, "part", "left_anti"), length)
+        found.append(stored(covers.union(equal) if equal else covers, "part-covers"))
+        if wide.isEmpty():
+            break
+        rows = stored(_halved(level.join(wide, "part", "left_semi"), length), "halves")
+        level = stored(rows.groupBy("id").agg(
+            F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("part", "lo", "hi", "low", "high", "text")]), "parts")
+        equal = level.where("n > 1").select("id", F.col("hi").alias("left"), (length - F.col("lo")).alias("right"))
+        steps.append(rows.select("src", "id"))
+        used += [rows, level]
+    covers = found[-1]
+    for step, own in zip(reversed(steps), reversed(found[:-1])):
+        covers = own.union(step.join(covers, "id").groupBy(F.col("src").alias("id")).agg(
+            F.max("left").alias("left"), F.max("right").alias("right")))
+    h, e = (F.split("id", " ")[i].cast("bigint") for i in (0, 1))
+    covers = stored(covers.select(h.alias("h"), e.alias("e"), "left", "right"), "excerpt-covers")
+    discard(*used, *found)
+    return covers
 
 
 def _packed_texts(docs: DataFrame) -> DataFrame:
@@ -304,14 +349,13 @@ def repeated_ranges(docs: DataFrame, packed: DataFrame, length: int = LENGTH) ->
     excerpts = mixed.groupBy("h", "e").agg(
         F.sum("n").alias("n"), F.min(F.struct("doc_id", "row", "pos", "lo", "hi")).alias("at"))
     excerpts = stored(excerpts.select("h", "e", (F.col("n") > 1).alias("twice"), "at.*"), "excerpts")
-    sizes = stored(excerpts.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > MOST_EXCERPTS).select("h"), "wide-anchors")
     wanted = excerpts.groupBy(F.col("doc_id").alias("d"), F.col("row").alias("r")).agg(
         F.collect_list(F.struct("h", "e", "pos", "lo", "hi")).alias("runs"))
     texts = stored(packed.join(
         wanted.hint("shuffle_hash"), (F.col("row") == F.col("r")) & F.col("doc_id").eqNullSafe(F.col("d"))
     ).select("doc_id", "row", "z", "runs").dropDuplicates(["doc_id", "row"]).select("z", "runs").mapInArrow(
         _fetch(length), "h bigint, e bigint, lo int, hi int, text binary"), "excerpt-texts")
-    covers = _covers(texts.join(sizes, "h", "left_anti"), length).union(_window_covers(texts.join(sizes, "h", "left_semi"), length))
+    covers = _all_covers(texts, length)
     covers = covers.union(excerpts.where("twice").select("h", "e", F.col("hi").alias("left"), (length - F.col("lo")).alias("right")))
     covers = stored(covers.groupBy("h", "e").agg(F.max("left").alias("left"), F.max("right").alias("right")), "covers")
     found = mixed.join(covers, ["h", "e"]).select(

@@ -11,6 +11,9 @@ from vitrine.llm import html_cut, url_rules
 P1 = "The first paragraph of the article is long enough to look like text, with a comma and a full stop."
 P2 = "A second one follows, which goes on for a while as well so that nobody takes it for a menu."
 PAGES = {
+    f'<article><p>{P1} <a title="5" tall">lnk</a> mid text</p><p>{P2} A "quoted" word.</p></article>':
+        f'{P1} lnk mid text\n{P2} A "quoted" word.',
+    f"<article><p>{P1} <i class='a'b'>it's</i> so</p><p data-x = 'a > b'>{P2}</p></article>": f"{P1} it's so\n{P2}",
     f"<article><h1>Head &amp; tail</h1><p>{P1}</p><p>Ok.</p><p>{P2}</p></article>": f"Head & tail\n{P1}\nOk.\n{P2}",
     f"<nav><ul><li><a href=/a>A<li><a href=/b>B</ul></nav><main><h1>T</h1><p>{P1}<p>{P2}</main><footer>© me</footer>": f"T\n{P1}\n{P2}",
     f"<header><a href=/>Site</a></header><article><header><h1>T</h1></header><p>{P1}</p></article>": f"T\n{P1}",

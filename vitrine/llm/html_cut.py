@@ -54,9 +54,10 @@ LISTS = frozenset("ul ol menu dir dl".split())
 LAYOUT = frozenset("has no with without is layout".split())  # names that tell of a part elsewhere, as has-sidebar
 TIE, FAR_TIE = 24, 8  # capacity of an edge to the next and to the next but one, for blocks of one parent
 
+# A quote delimits a value after an equals sign only; any other doesn't keep a tag open.
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|\Z)", re.S)
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*?)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 SENTENCE = re.compile(r"[.!?…。]['\"»”)]*$")

@@ -131,3 +131,9 @@ def test_the_same_evidence_gives_a_rule_at_every_size(spark, labelled):
     labels = spark.range(labelled).selectExpr("id AS doc_id", "IF(id < 25 OR id % 9 = 0, 0, 1) AS quality", "0 AS toxic")
     verdicts = {r.page_id: r.verdict for r in url_rules.judge(pages, labels).where("page_id < 25").collect()}
     assert verdicts == {-2: "allow"} | {i: "block" for i in [-1, *range(25)]}
+
+
+def test_end_tags_without_an_element_are_passed_over():
+    """Ten thousands of them in one page, as many elements open: linear, and the text around them is one block."""
+    page = "<div>" * 50_000 + P1 + "</section></span></nav>" * 50_000 + " " + P2 + "</div>" * 60_000
+    assert [b.text for b in html_cut.blocks_of(page)] == [f"{P1} {P2}"]

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import deque
+from collections import Counter, deque
 
 from pyspark.sql import DataFrame
 
@@ -121,6 +121,7 @@ def blocks_of(page: str) -> list[Block]:
     blocks: list[Block] = []
     top = Element("", None, "")
     open_: list[Element] = [top]
+    named: Counter[str] = Counter()  # open elements by tag: an end tag without one costs nothing
     parts: list[str] = []
     linked = at = 0
     link_depth = -1  # open elements when the current link began; -1 outside links
@@ -143,6 +144,7 @@ def blocks_of(page: str) -> list[Block]:
 
     def close(k: int) -> None:
         nonlocal link_depth
+        named.subtract(e.tag for e in open_[k:])
         del open_[k:]
         if link_depth > len(open_):
             link_depth = -1
@@ -163,10 +165,10 @@ def blocks_of(page: str) -> list[Block]:
         tag = m[3].lower()
         if m[2]:
             if tag in BLOCK:
-                k = len(open_) - 1
-                while k and open_[k].tag != tag:
-                    k -= 1
-                if k:
+                if named[tag]:
+                    k = len(open_) - 1
+                    while open_[k].tag != tag:
+                        k -= 1
                     flush()
                     close(k)
                 elif tag == "p":
@@ -205,6 +207,7 @@ def blocks_of(page: str) -> list[Block]:
                 k -= 1
         if not m[4].rstrip().endswith("/") or tag not in ("svg", "math"):
             open_.append(Element(tag, open_[-1], m[4]))
+            named[tag] += 1
     flush()
     return blocks
 

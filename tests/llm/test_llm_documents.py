@@ -70,6 +70,24 @@ def test_near_copies(docs, width):
     assert got == want and sum(a != c for a, _, c in got) > 10
 
 
+@pytest.mark.parametrize("rounds, firsts", [(0, 1), (0, 16), (1, 2)])
+def test_near_copies_left_to_the_last_join(spark, monkeypatch, rounds, firsts):
+    """Variants of one text, some linked and some just not, that share many signatures."""
+    monkeypatch.setattr(jaccard_join, "ROUNDS", rounds)
+    monkeypatch.setattr(jaccard_join, "FIRSTS", firsts)
+    rnd = random.Random(11)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(60):
+        words = list(base)
+        for k in rnd.sample(range(150), rnd.randint(1, 7)):
+            words[k] = f"v{i}x{k}"
+        rows.append((i, " ".join(words)))
+    got = sorted_rows(jaccard_join.near_copies(framed(spark, rows)), "doc_id", "n_shingles", "component_id")
+    assert got == sorted(brute.near_copies(rows))
+    assert 1 < len({c for _, _, c in got}) < 60
+
+
 def test_near_copies_around_the_threshold(spark):
     """Chains of edits of sets of all small sizes, so every band, deletion and threshold is met."""
     rnd, rows = random.Random(11), []

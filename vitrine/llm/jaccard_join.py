@@ -15,8 +15,9 @@ Equal shingle sets are one class; classes are joined by partitioning the univers
 * Pairs are pruned by a sketch of 512 parities (it never exceeds the true difference) and verified on the whole sets.
 
 Groups of near copies aren't turned into all pairs: in ``ROUNDS`` rounds each probe is compared with one member of its
-signatures' groups that is close by sketch and in another component; after that all pairs between different components that
-are left are looked at, so no link that joins two components is lost.
+signatures' groups that is close by sketch and in another component, the first time with one member for each set, then with
+one for each signature; after that all pairs between different components that are left are looked at, each where the
+two sets first meet, so no link that joins two components is lost.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from vitrine.llm.hashing import U, mix, shingles
 WIDTH = 5  # words in a shingle
 LARGEST_DELETED = 48  # bands up to this size index one-deletion neighbourhoods
 ROUNDS = 3
+FIRSTS = 16  # signatures that a set carries to tell where a pair meets; changes cost, not results
 SKETCH = [f"k{i}" for i in range(8)]
 MEMBER = "id bigint, n int, own boolean, band int, seg int, deleted boolean, g bigint, cost bigint, room int"
 
@@ -330,6 +332,13 @@ def _ordered(a: str, b: str) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def _first_names(rows: DataFrame, of: str, name: str) -> DataFrame:
+    """(of, name): the ``FIRSTS`` smallest signatures of each set in ``rows``."""
+    w = Window.partitionBy(of).orderBy("g")
+    first = rows.select(of, "g").distinct().withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= FIRSTS)
+    return first.groupBy(of).agg(F.collect_list("g").alias(name))
+
+
 def _labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
     """``rows`` with the component of their id under the links so far, stored."""
     label = components(links)
@@ -373,14 +382,18 @@ def class_links(docs: DataFrame, sets: DataFrame, classes: DataFrame, width: int
     asked_by = stored(probes.select("g", "id").distinct(), "asked-by")
     for turn in range(ROUNDS):
         named = _labelled(around, links)
-        # The same member for all who share a signature, another one in each round.
+        # First one member for all who share a signature, the same for signatures that go together. Then one of each signature's
+        # own, so that a set meets about as many different members as it has probes.
+        drawn = F.xxhash64("id", F.lit(turn)) if turn == 0 else F.xxhash64("id", "g", F.lit(turn))
         centre = named.where("NOT deleted").groupBy("g").agg(F.min(F.struct(
-            F.xxhash64("id", F.lit(turn)).alias("h"), F.col("id").alias("r"), F.col("n").alias("m"), F.col("component").alias("other"),
+            drawn.alias("h"), F.col("id").alias("r"), F.col("n").alias("m"), F.col("component").alias("other"),
             *[F.col(k).alias(f"q{i}") for i, k in enumerate(SKETCH)])).alias("c")).select("g", "c.*")
         centre = stored(centre, "centres")
         asking = named.join(asked_by, ["g", "id"])
         near = asking.join(centre, "g").where((F.col("component") != F.col("other")) & _sizes_fit("n", "m") & _close("n", "m"))
-        near = near.groupBy("id").agg(F.min(F.struct("h", "r"))["r"].alias("r")).select(*_ordered("id", "r")).distinct()
+        if turn == 0:
+            near = near.groupBy("id").agg(F.min(F.struct("h", "r"))["r"].alias("r"))
+        near = near.select(*_ordered("id", "r")).distinct()
         links = links.union(stored(verified(near, whole), "round-links"))
         discard(named, centre)
 
@@ -395,18 +408,24 @@ def class_links(docs: DataFrame, sets: DataFrame, classes: DataFrame, width: int
         "g", "major", F.col("id").alias("r"), F.col("n").alias("m"), F.col("deleted").alias("gone"), "deep",
         F.col("component").alias("own"), *[F.col(k).alias(f"q{i}") for i, k in enumerate(SKETCH)])
     probing = stored(probing, "mixed-probes")
-    mixed_members, there = there, there.drop("major")
+    mixed_members = there
+    # Two sets that share many signatures meet at the first that stands among the first few of both; a row that is no
+    # deletion meets every probe, so the pair is surely looked at there. Without such a one they meet at each they share.
+    there = stored(there.join(_first_names(there.where("NOT deleted"), "id", "firsts"), "id", "left"), "mixed-members")
+    probing = stored(probing.join(_first_names(probing, "r", "asks"), "r"), "mixed-probes")
 
     def crossing(left: DataFrame, right: DataFrame) -> DataFrame:
         smaller = (F.col("n") < F.col("m")) | ((F.col("n") == F.col("m")) & (F.col("id") < F.col("r")))
         met = F.when(F.col("gone"), ~F.col("deleted")).otherwise(F.col("deep") | ~F.col("deleted"))
+        here = F.coalesce(F.array_min(F.array_intersect("asks", "firsts")), F.col("g")) == F.col("g")
         return left.join(right, "g").where(
-            (F.col("component") != F.col("own")) & smaller & met & _sizes_fit("n", "m") & _close("n", "m")).select(*_ordered("id", "r"))
+            (F.col("component") != F.col("own")) & smaller & met & _sizes_fit("n", "m") & _close("n", "m") & here
+        ).select(*_ordered("id", "r"))
 
-    across = crossing(probing.where("own <> major"), there).union(
-        crossing(probing.where("own = major"), there.join(mixed, "g").where("component <> major").drop("major"))).distinct()
+    across = crossing(probing.where("own <> major"), there.drop("major")).union(
+        crossing(probing.where("own = major"), there.where("component <> major").drop("major"))).distinct()
     links = links.union(stored(verified(across, whole), "later-links"))
-    discard(members, probes, asked, asked_by, around, rare, whole, named, mixed, mixed_members, probing)
+    discard(members, probes, asked, asked_by, around, rare, whole, named, mixed, mixed_members, there, probing)
     to_doc = classes.select(F.col("s1").alias("s"), "doc_id")
     return links.join(to_doc, F.col("a") == F.col("s")).select(F.col("doc_id").alias("a"), "b").join(
         to_doc, F.col("b") == F.col("s")).select("a", F.col("doc_id").alias("b"))

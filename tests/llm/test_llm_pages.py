@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -29,6 +30,15 @@ PAGES = {
     f"<p>{P1}</p><p>{P2}</p>": f"{P1}\n{P2}",
     f"<div class='content-with-sidebar'><div class=sidebar>{P2}</div><p>{P1}</p></div>": P1,
     f"<form id=aspnet><div class=menu>{P2}</div><main><p>{P1}</p><div role=alert>{P2}</div></main></form>": P1,
+    # Wrappers: names and forms around the article say nothing, those beside it and inside it do.
+    f"<form id=aspnetForm><div class=menu>{P2}</div><h1>T</h1><p>{P1}</p><p>{P2}</p><div class=comments>{P1}</div></form>": f"T\n{P1}\n{P2}",
+    f"<div class='site navbar-top'><nav>{P2}</nav><article><h1>T</h1><p>{P1}</p></article><div class=sidebar>{P2}</div></div>": f"T\n{P1}",
+    f"<div class='article share-enabled'><h1>T</h1><p>{P1}</p><div class=share>{P2}</div></div><div class=related>{P2}</div>": f"T\n{P1}",
+    f"<h1>T</h1><div id=content class=popular-science><p>{P1}</p><p>{P2}</p><form><p>{P2}</p></form></div>": f"T\n{P1}\n{P2}",
+    f"<form><div class='page modal-open'><div class='post ad-free'><p>{P1}</p></div><div class=comments><article><p>{P2}</p>"
+    f"<p>{P2}</p></article></div></div></form>": P1,
+    f"<article><p>{P1}</p></article><div class=comments>" + f"<article><p>{P2}</p></article>" * 20 + "</div>": P1,
+    f"<div><h1>T</h1><p>{P1}</p></div><div class='comments'>" + f"<div class=content><p>{P2}</p></div>" * 20 + "</div>": f"T\n{P1}",
     "": "", "<html><body></body></html>": "", "<nav>x</nav>": "",
 }
 
@@ -46,6 +56,37 @@ def test_odd_markup_ends():
     assert html_cut.main_text("<article><p>" + "word " * 200_000 + ".</p></article>").count("word") == 200_000
 
 
+def test_deep_trees_take_linear_time():
+    began = time.monotonic()
+    html_cut.main_text("<div>" * 50_000 + "<li>x" * 50_000)
+    html_cut.main_text("<div class='nav post'><p>" * 30_000 + P1)
+    html_cut.main_text("<article>" + f"<p>{P1}</p>{'<div>' * 20_000}{P1}{'</div>' * 20_000}" * 4)
+    assert time.monotonic() - began < 20
+
+
+PARTS = {  # beside the article
+    "nav": f"<nav>{P2}</nav>", "menu": f"<ul class='menu'><li><a href=/>Home</a></ul>", "ad": f"<div class='ad-slot'>{P2}</div>",
+    "notice": f"<div class='cookie-notice'><p>{P2}</p></div>", "footer": f"<footer>{P2}</footer>", "side": f"<aside>{P2}</aside>",
+    "comments": f"<section id=comments><div class=comment-body><p>{P2} {P2}</p></div></section>", "form": f"<form><p>{P2}</p></form>",
+}
+WRAPPERS = ["<form id=f{}>", "<div class='site nav-top{}'>", "<div class='page-{} modal-ready'>", "<div class='wrap{}'>", "<section class='search-open{}'>"]
+
+
+def test_articles_in_any_wrappers():
+    """Generated pages: the text is exactly the article, whatever elements with misleading names are around it."""
+    rnd = random.Random(8)
+    for k in range(400):
+        words = lambda: " ".join(f"w{rnd.randrange(900)}" for _ in range(rnd.randint(14, 60))).capitalize() + "."
+        lines = [f"Title {k}", *[words() for _ in range(rnd.randint(4, 9))]]
+        beside = [PARTS[p] for p in rnd.sample(sorted(PARTS), rnd.randint(0, 5))]
+        at = rnd.randint(0, len(beside))
+        holder = rnd.choice(["article", "div class='post share-ready'", "div id=content class=trending", "main", "div class=entry"])
+        inner = f"<{holder}><h1>{lines[0]}</h1>" + "".join(f"<p>{x}" for x in lines[1:]) + f"</{holder.split()[0]}>"
+        around = [rnd.choice(WRAPPERS).format(i) for i in range(rnd.randint(0, 3))]
+        page = "".join(around) + "".join(beside[:at]) + inner + "".join(beside[at:]) + "".join(f"</{w[1:].split()[0]}>" for w in reversed(around))
+        assert html_cut.main_text(page) == "\n".join(lines), page
+
+
 def test_minimum_cut_is_the_smallest():
     rnd = random.Random(2)
     for _ in range(300):

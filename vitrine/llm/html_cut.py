@@ -4,10 +4,14 @@ A page becomes a row of text blocks, each with the chain of elements around it.
 block a log-odds for content, which becomes its capacity from the source (content) or to the sink (boilerplate);
 blocks next to each other are tied by edges whose capacity falls with their distance in the element tree. The blocks
 on the source's side of the minimum cut are the text. Capacities are integers, so results don't depend on the machine.
+
+Names and forms speak against what is inside them, but not if that is most of the page's running text: see
+``void_wrappers``.
 """
 
 from __future__ import annotations
 
+import heapq
 import html
 import re
 from collections import Counter, deque
@@ -35,7 +39,7 @@ CLOSES = {
 
 # The classifier: log-odds in quarters. Element, role and name evidence counts once for a chain, the strongest first.
 NEVER = -80
-DROPPED = frozenset("nav aside form noscript template svg math button select option fieldset dialog menu footer object"
+DROPPED = frozenset("nav aside noscript template svg math button select option fieldset dialog menu footer object"
                     " video audio canvas search".split())
 DROPPED_ROLES = frozenset(
     "navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar tablist toolbar"
@@ -52,6 +56,9 @@ HEAD_NAMES = re.compile(r"header\w*|topbar|branding|logo")
 GOOD_NAMES = re.compile(r"article\w*|content|main|post|entry|story|body|text|prose|blogpost")
 LISTS = frozenset("ul ol menu dir dl".split())
 LAYOUT = frozenset("has no with without is layout".split())  # names that tell of a part elsewhere, as has-sidebar
+PROSE = 40  # code points of a block that counts as running text
+WHOLE_FORM = 400  # running text of a form that holds a page
+SHARE = 4  # a wrapper has this many times the running text that nothing speaks against
 TIE, FAR_TIE = 24, 8  # capacity of an edge to the next and to the next but one, for blocks of one parent
 
 # A quote delimits a value after an equals sign only; any other doesn't keep a tag open.
@@ -64,9 +71,15 @@ SENTENCE = re.compile(r"[.!?…。]['\"»”)]*$")
 
 
 class Element:
-    """An open element: its evidence joined with that of its ancestors."""
+    """An open element: its evidence joined with that of its ancestors.
+
+    ``doubt``: the nearest element, this one included, that a name or being a form speaks against. Of such an element:
+    ``above``, the next one around it; ``named``, another name speaks for it; ``title``, the page's first h1 or a void named
+    one is in it; ``marked``, an article element is; ``prose``, its running text; ``void``, it is a wrapper and no longer counts.
+    """
 
-    __slots__ = ("tag", "parent", "depth", "bad", "good", "listed", "heading", "inside")
+    __slots__ = ("tag", "parent", "depth", "bad", "good", "listed", "heading", "inside", "doubt", "above", "named", "title",
+                 "marked", "prose", "void")
 
     def __init__(self, tag: str, parent: Element | None, attributes: str):
         self.tag, self.parent = tag, parent
@@ -75,16 +88,23 @@ class Element:
         self.listed = tag in LISTS or bool(parent and parent.listed)
         self.heading = tag in HEADING or bool(parent and parent.heading)
         self.inside = tag in ("article", "main") or bool(parent and parent.inside)
+        self.doubt = self.above = parent.doubt if parent else None
+        self.named = self.title = self.marked = self.void = False
+        self.prose = 0
         if tag in DROPPED:
             self.bad = NEVER
+        elif tag == "form":
+            self.doubt = self
         elif tag == "header" and not (parent and parent.inside):
             self.bad = NEVER
         elif tag in ("article", "main"):
             self.good = max(self.good, 16)
             if tag == "main":
-                self.bad = 0
+                self.bad, self.doubt = 0, None
         if attributes and not attributes.isspace() and tag not in ("html", "body"):
             self._attributes(attributes)
+        if self.doubt and self.doubt is not self and tag == "article":
+            self.doubt.marked = True
 
     def _attributes(self, text: str) -> None:
         got = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(text)}
@@ -102,11 +122,11 @@ class Element:
                 continue
             good = any(GOOD_NAMES.fullmatch(p) for p in parts)
             if BAD_ARTICLES.fullmatch(parts[0]) if whole else any(BAD_NAMES.fullmatch(p) for p in parts):
-                self.bad = NEVER
+                self.doubt = self
             elif not whole and not self.inside and any(HEAD_NAMES.fullmatch(p) for p in parts) and not self.heading and not good:
-                self.bad = NEVER
+                self.doubt = self
             elif good:
-                self.good = max(self.good, 10)
+                self.good, self.named = max(self.good, 10), True
 
 
 class Block:
@@ -192,10 +212,10 @@ def blocks_of(page: str) -> list[Block]:
         k = len(open_) - 1
         if tag in CLOSES:
             which, bounds = CLOSES[tag]
-            lowest = None
-            while k and open_[k].tag not in bounds:
+            lowest, left = None, sum(named[t] for t in which)
+            while left and open_[k].tag not in bounds:
                 if open_[k].tag in which:
-                    lowest = k
+                    lowest, left = k, left - 1
                 k -= 1
             if lowest:
                 close(lowest)
@@ -212,11 +232,74 @@ def blocks_of(page: str) -> list[Block]:
     return blocks
 
 
+def void_wrappers(blocks: list[Block]) -> None:
+    """Makes names and forms void that are around the article rather than beside it.
+
+    Such an element has most of the page's running text, and it bears a second name that speaks for it, holds the page's
+    title or, if nothing outside is marked as article or title, an article element; or it is a form of some length.
+    What speaks against elements inside it stands. Named and titled ones are looked at first, those with most text before others.
+    """
+    clean = article = 0
+    first, titled, doubted = True, False, {}
+    for b in blocks:
+        e, n = b.element, len(b.text)
+        if e.bad <= NEVER:
+            continue
+        if first and e.tag == "h1":
+            first = False
+            if e.doubt:
+                e.doubt.title = True
+                doubted.setdefault(e.doubt, len(doubted))
+            else:
+                titled = True
+        if n >= PROSE and 4 * b.linked <= n:
+            if e.doubt:
+                e.doubt.prose += n
+                doubted.setdefault(e.doubt, len(doubted))
+            else:
+                clean += n
+                if e.inside or e.good >= 10:
+                    article += n
+
+    def turn(d: Element) -> tuple:
+        return not (d.named or d.title), -d.prose, doubted.setdefault(d, len(doubted)), d
+
+    waiting = [turn(d) for d in doubted]
+    heapq.heapify(waiting)
+    while waiting:
+        weak, prose, _, d = heapq.heappop(waiting)
+        if d.void or -prose != d.prose or not d.prose or SHARE * clean > d.prose:
+            continue
+        if weak and not (d.marked and not article and not titled or d.tag == "form" and d.prose >= WHOLE_FORM):
+            continue
+        d.void = True
+        if d.above is None:
+            clean += d.prose
+            article += d.prose
+            titled = titled or d.title
+        else:
+            up = d.above
+            up.prose += d.prose
+            up.title, up.marked = up.title or d.title or d.named, up.marked or d.marked
+            heapq.heappush(waiting, turn(up))
+
+
+def doubtful(e: Element) -> bool:
+    """Something stands that speaks against the element or one around it."""
+    d, passed = e.doubt, []
+    while d is not None and d.void:
+        passed.append(d)
+        d = d.above
+    for x in passed:
+        x.above = d
+    return d is not None or e.bad <= NEVER
+
+
 def log_odds(block: Block, marked: bool) -> int:
     """Evidence for content in quarters; ``marked``: the page says elsewhere which part is the article."""
     e, text = block.element, block.text
     n = len(text)
-    if e.bad <= NEVER:
+    if doubtful(e):
         return NEVER
     x = e.good
     if marked and not e.inside and e.good < 10:
@@ -239,9 +322,9 @@ def log_odds(block: Block, marked: bool) -> int:
 
 
 def distance(a: Element, b: Element) -> int:
-    """Steps between two elements of the tree."""
+    """Steps between two elements of the tree; ``TIE`` or more is too far for an edge, however far."""
     steps = 0
-    while a is not b:
+    while a is not b and steps < TIE:
         if a.depth >= b.depth:
             a = a.parent
         else:
@@ -343,7 +426,8 @@ def main_text(page: str | None) -> str:
     blocks = blocks_of(page) if page else []
     if not blocks:
         return ""
-    marked = any(b.element.inside and b.element.bad > NEVER for b in blocks)
+    void_wrappers(blocks)
+    marked = any(b.element.inside and not doubtful(b.element) for b in blocks)
     odds = [log_odds(b, marked) for b in blocks]
     edges = []
     for i in range(len(blocks) - 1):

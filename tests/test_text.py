@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import vitrine as v
 from vitrine.functions.numbers import CENT_PRICE, number, price_pair
 from vitrine.functions.rules import Tag, contains_any, near_word, one_of
-from vitrine.functions.text import collapse, decode_references, strip
+from vitrine.functions.text import collapse, decode_references, markup, strip
 
 
 def test_visible_text_joins_stripped_nodes(value):
@@ -179,3 +179,14 @@ def test_near_word_on_a_million_anchors(spark, unit):
     start = time.time()
     assert not table.select(near_word(F.col("s"), ("peau", "peaux"), "grasse").alias("x")).first()["x"]
     assert time.time() - start < 20
+
+
+def test_markup_turns_each_sign_of_a_quoted_value(spark):
+    pages = {
+        """<a title="1 < 2 = x > 0" b='p="q">' c=d>e = f</a>""":
+            """<a title="1 &lt; 2 &#61; x &gt; 0" b='p&#61;"q"&gt;' c=d>e = f</a>""",
+        """<a b = "<<>>" c="">x = "y"</a>""": """<a b = "&lt;&lt;&gt;&gt;" c="">x = "y"</a>""",
+        """<!-- <a b="<"> --><p>"a < b"</p>""": """<p>"a < b"</p>""",
+    }
+    df = spark.createDataFrame([(p,) for p in pages], "html string")
+    assert [r[0] for r in df.select(markup(F.col("html"))).collect()] == list(pages.values())

@@ -135,6 +135,7 @@ def visible_text(html: Column) -> Column:
 # Elements whose content is no markup, and comments; a comment inside such an element is part of it.
 _RAW = r"<(?i:(script|style|template))(?![\w-])(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+>.*?(?:</(?i:\{0})\s*+>|\z)"
 _COMMENT = r"<!--.*?(?:-->|\z)"
+_MARK = "\ufdd0\ufdd1"  # noncharacters, which no text may contain
 
 
 def without_comments(html: Column) -> Column:
@@ -150,8 +151,10 @@ def markup(html: Column) -> Column:
     looks like an attribute is one.
     """
     bare = F.regexp_replace(html, rf"(?s){_RAW.format(1)}|{_COMMENT}", "")
+    # One pass a kind of quote puts a mark before each such character, the marks become references without a regex.
     for quote in ('"', "'"):
-        for bracket, reference in (("<", "&lt;"), (">", "&gt;"), ("=", "&#61;")):
-            inside = rf"[^{quote}{bracket}]*+"
-            bare = F.regexp_replace(bare, rf"(\G(?!\A){inside}|=\s*+{quote}{inside}){bracket}", f"$1{reference}")
+        inside = rf"[^{quote}<>=]*+"
+        bare = F.regexp_replace(bare, rf"(\G(?!\A){inside}|=\s*+{quote}{inside})([<>=])", f"$1{_MARK}$2")
+    for sign, reference in (("<", "&lt;"), (">", "&gt;"), ("=", "&#61;")):
+        bare = F.replace(bare, F.lit(_MARK + sign), F.lit(reference))
     return bare

@@ -63,6 +63,20 @@ def test_null_document_ids(spark):
     assert {tuple(r) for r in near} == {(None, 2, None), (4, 2, 4), (9, 2, 4)}
 
 
+def test_hits_beside_columns_of_any_name(spark):
+    clashes = ["n_hit", "items", "own", "own_d", "own_r", "hit_d", "hit_r", "hit_n", "hit_i", "row", "a.b", "w"]
+    item = "one two three four five six seven eight nine ten"
+    rows = [(1, f"x {item} y"), (None, item), (None, "clean"), (2, None), (1, f"x {item} y")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").select("*", *[F.lit(7).alias(c) for c in clashes])
+    bench = spark.createDataFrame([(4, item)], "item_id bigint, text string")
+    got = decontam.with_hits(docs, bench, [F.col(f"`{c}`") for c in docs.columns])
+    assert got.columns == ["doc_id", "text", *clashes[2:], "n_hit", "items"]
+    assert sorted((r.n_hit, r.hit_n, r["a.b"], r.items) for r in got.collect() if r.n_hit) == [(10, 7, 7, ["4"])] * 3
+    assert got.count() == 5
+    none = decontam.with_hits(docs, bench.where("false"), ["doc_id", "text"])
+    assert [r.n_hit for r in none.collect()] == [0] * 5
+
+
 @pytest.mark.parametrize("width", [5])
 def test_near_copies(docs, width):
     got = sorted_rows(jaccard_join.near_copies(docs, width), "doc_id", "n_shingles", "component_id")

@@ -142,12 +142,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def with_hits(docs: DataFrame, benchmark: DataFrame, columns: list) -> DataFrame:
-    """Every row of ``docs`` as ``columns`` (over its own columns) plus n_hit (0 if clean) and items (null if clean)."""
+    """Every row of ``docs`` as ``columns`` (over its own columns) plus n_hit (0 if clean) and items (null if clean).
+
+    Columns of ``docs`` may have any names; those called n_hit or items are replaced. Rows that are repeated, or share a
+    null doc_id, are judged by their own text. An empty table gives an empty one, an empty benchmark leaves all clean.
+    """
     hits = contamination(docs, benchmark).withColumnsRenamed({"doc_id": "hit_d", "row": "hit_r", "n_hit": "hit_n", "items": "hit_i"})
-    own = docs.select(*columns, F.col("doc_id").alias("own_d"), F.xxhash64("text").alias("own_r"))
+    own = docs.select(F.struct(*columns).alias("own"), F.col("doc_id").alias("own_d"), F.xxhash64("text").alias("own_r"))
     joined = own.join(hits.hint("shuffle_hash"), (F.col("own_r") == F.col("hit_r")) & F.col("own_d").eqNullSafe(F.col("hit_d")), "left")
-    n = len(columns)
-    return joined.select(*[F.col(c) for c in own.columns[:n]], F.coalesce("hit_n", F.lit(0)).alias("n_hit"), F.col("hit_i").alias("items"))
+    kept = [c for c in own.schema["own"].dataType.names if c not in ("n_hit", "items")]
+    return joined.select(*[F.col("own").getField(c).alias(c) for c in kept], F.coalesce("hit_n", F.lit(0)).alias("n_hit"),
+                         F.col("hit_i").alias("items"))
 
 
 def decontam_digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -19,6 +19,7 @@ from vitrine.functions.once import let, nonblank
 from vitrine.functions.text import BLANK_CHARS, decode_references, strip, visible_text
 
 _ANY_TAG = r"[a-zA-Z][\w-]*+"
+_TAG_END = "[^>]*+>"
 
 
 @dataclass(frozen=True)
@@ -110,7 +111,7 @@ def any_of(*tags: Tag) -> Selector:
             branches.append(_named(t.name) + tests)
     branches += [_named(name) + _look(attrs, True) for (name, _), attrs in shared.items()]
     hints = {next((a.value for a in t.attrs if a.wanted), f"<{t.name}" if t.name else "<") for t in tags}
-    return Selector(rf"<(?:{'|'.join(branches)})[^>]*+>", tuple(sorted(hints)))
+    return Selector(rf"<(?:{'|'.join(branches)}){_TAG_END}", tuple(sorted(hints)))
 
 
 def _named(name: str) -> str:
@@ -148,6 +149,16 @@ def attribute(opening_tag: Column, name: str) -> Column:
     return decode_references(value)
 
 
+def attributes(html: Column, selector: Selector, name: str) -> Column:
+    """``attribute`` of all opening tags that fit, in page order, from one scan of the page."""
+    # A value whose quote is never closed ends with its tag.
+    value = rf"""\s{name}\s*=\s*["']?((?<=")[^">]*+>?|(?<=')[^'>]*+>?|(?<=[=\s])[^\s"'>]+)"""
+    body = selector.pattern.removesuffix(_TAG_END)
+    found = F.regexp_extract_all(html, F.lit(rf"{body}(?:(?=[^>]*?{value})|){_TAG_END}"), F.lit(1))
+    return F.transform(
+        F.when(hinted(html, selector), found).otherwise(F.array().cast("array<string>")), decode_references)
+
+
 def meta(html: Column, prop: str) -> Column:
     """``content`` of the first ``<meta property=...>``."""
     return attribute(first_tag(html, any_of(tag(equals("property", prop), name="meta"))), "content")

@@ -2,7 +2,8 @@
 
 Catalyst shares repeated expressions of one projection, but not inside lambdas or
 the later branches of CASE and COALESCE, where a repeated regex would run again
-for every mention. A one-element array carries the value instead.
+for every mention. An aggregation over no elements carries the value instead: an element taken out of a
+one-element array would work out the type of the whole body again for every row.
 """
 
 from __future__ import annotations
@@ -14,12 +15,12 @@ from pyspark.sql import Column, functions as F
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    return F.aggregate(F.array().cast("array<int>"), value, lambda kept, _: kept, body)
 
 
 def keep_if(value: Column, test: Callable[[Column], Column]) -> Column:
     """``value`` where ``test(value)`` holds, else null; ``value`` is evaluated once."""
-    return F.get(F.filter(F.array(value), test), F.lit(0))
+    return let(value, lambda x: F.when(test(x), x))
 
 
 def nonblank(value: Column) -> Column:

@@ -132,15 +132,15 @@ def visible_text(html: Column) -> Column:
     return decode_references(strip(F.regexp_replace(blanks, _BETWEEN, " ")))
 
 
-# Elements whose content is no markup, and comments; a comment inside such an element is part of it.
-_RAW = r"<(?i:(script|style|template))(?![\w-])(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+>.*?(?:</(?i:\{0})\s*+>|\z)"
-_COMMENT = r"<!--.*?(?:-->|\z)"
+# Behind the "<": elements whose content is no markup, and comments; a comment inside such an element is part of it.
+_RAW = r"(?i:(script|style|template))(?![\w-])(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+>.*?(?:</(?i:\{0})\s*+>|\z)"
+_COMMENT = r"!--.*?(?:-->|\z)"
 _MARK = "\ufdd0\ufdd1"  # noncharacters, which no text may contain
 
 
 def without_comments(html: Column) -> Column:
     """The page without its comments; scripts stay."""
-    pattern = rf"(?s)({_RAW.format(2)})|{_COMMENT}"
+    pattern = rf"(?s)(?=<)(?:(<{_RAW.format(2)})|<{_COMMENT})"
     return F.when(F.contains(html, F.lit("<!--")), F.regexp_replace(html, pattern, "$1")).otherwise(html)
 
 
@@ -150,11 +150,14 @@ def markup(html: Column) -> Column:
     Angle brackets and equals signs in quoted values become references, so that a tag ends at its first ``>`` and what
     looks like an attribute is one.
     """
-    bare = F.regexp_replace(html, rf"(?s){_RAW.format(1)}|{_COMMENT}", "")
+    bare = F.regexp_replace(html, rf"(?s)<(?:{_RAW.format(1)}|{_COMMENT})", "")
     # One pass a kind of quote puts a mark before each such character, the marks become references without a regex.
+    # A match takes all text since the last one in possessive loops, so a page costs one step of them, not a try a place.
     for quote in ('"', "'"):
         inside = rf"[^{quote}<>=]*+"
-        bare = F.regexp_replace(bare, rf"(\G(?!\A){inside}|=\s*+{quote}{inside})([<>=])", f"$1{_MARK}$2")
+        value = rf"=\s*+{quote}{inside}"
+        passed = rf"[^=]*+(?:(?!{value}[<>=])=[^=]*+)*+"
+        bare = F.regexp_replace(bare, rf"\G((?!\A){inside}|{passed}{value})([<>=])", f"$1{_MARK}$2")
     for sign, reference in (("<", "&lt;"), (">", "&gt;"), ("=", "&#61;")):
         bare = F.replace(bare, F.lit(_MARK + sign), F.lit(reference))
     return bare

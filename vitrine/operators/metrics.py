@@ -129,27 +129,29 @@ def promo_depth(df: DataFrame, by: str = "brand") -> DataFrame:
 def completeness(df: DataFrame, by: str = "source", cols: Sequence[str] = FIELDS) -> DataFrame:
     """Rows, blanks, distinct values, smallest and largest value of each column per source.
 
-    Rows, blanks and the range of numbers come from one hash aggregation of the table as it is. Only for distinct
-    values and the range of texts it is turned long, without blanks, and each value is sent once per task; nothing but the
-    final counts meets in one group.
+    The table is read once and turned long, without blanks; each value is sent once per task, with the number of its rows. All
+    figures come from these counts, numbers being compared as numbers; nothing but final counts meets in one group.
     """
     kinds = dict(df.dtypes)
     numeric = [c for c in cols if kinds[c] in ("int", "bigint", "double") or kinds[c].startswith("decimal")]
-    ends = [f(c).alias(f"{end} {c}") for c in numeric for end, f in (("low", F.min), ("high", F.max))]
-    wide = df.groupBy(by).agg(F.count("*").alias("rows"), *[F.count(c).alias(f"n {c}") for c in cols], *ends)
-    shown = lambda end, c: (F.col(f"{end} {c}") if c in numeric else F.lit(None)).cast("string")
-    table = wide.select(by, F.inline(F.array(*[F.struct(
-        F.lit(c).alias("column_name"), F.col("rows").alias("n_rows"), (F.col("rows") - F.col(f"n {c}")).alias("n_null"),
-        shown("low", c).alias("low"), shown("high", c).alias("high")) for c in cols])))
-    long = df.select(by, F.inline(F.filter(F.array(*[F.struct(
-        F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in cols]), lambda x: x["value"].isNotNull())))
-    texts = F.when(~F.col("column_name").isin(*numeric) if numeric else F.lit(True), F.col("value"))
-    values = long.distinct().groupBy(F.col(by).alias("_by"), F.col("column_name").alias("_column")).agg(
-        F.count("*").alias("distinct"), F.min(texts).alias("first"), F.max(texts).alias("last"))
-    both = table.join(values, F.col(by).eqNullSafe(F.col("_by")) & (F.col("column_name") == F.col("_column")), "left")
-    return both.select(
-        by, "column_name", "n_rows", "n_null", F.coalesce("distinct", F.lit(0)).alias("n_distinct"),
-        F.coalesce("low", "first").alias("min_value"), F.coalesce("high", "last").alias("max_value"))
+    every = "_" + max(cols, key=len)  # no column's name; stands for the rows as such
+    texts = df.select(F.col(by).alias("_by"), F.lit("").alias(every), *[F.col(c).cast("string").alias(c) for c in cols])
+    long = texts.unpivot(["_by"], [every, *cols], "_column", "_value").where(F.col("_value").isNotNull())
+    counted = long.groupBy("_by", "_column", "_value").agg(F.count("*").alias("_n"))
+    is_one = lambda c: F.col("_column") == c
+    number = lambda c: F.when(is_one(c), F.col("_value").try_cast(kinds[c]))
+    worded = F.when(~F.col("_column").isin(*numeric) if numeric else F.lit(True), F.col("_value"))
+    end = lambda f: F.coalesce(f(worded), *[f(number(c)).cast("string") for c in numeric])
+    found = counted.groupBy("_by", "_column").agg(
+        F.sum("_n").alias("n"), F.count("*").alias("distinct"), end(F.min).alias("low"), end(F.max).alias("high"))
+    each = found.groupBy("_by").agg(F.map_from_entries(F.collect_list(F.struct(
+        "_column", F.struct("n", "distinct", "low", "high")))).alias("of"))
+    of = lambda c: F.try_element_at("of", F.lit(c))
+    n_rows = of(every)["n"]
+    return each.select(F.col("_by").alias(by), F.inline(F.array(*[F.struct(
+        F.lit(c).alias("column_name"), n_rows.alias("n_rows"), (n_rows - F.coalesce(of(c)["n"], F.lit(0))).alias("n_null"),
+        F.coalesce(of(c)["distinct"], F.lit(0)).alias("n_distinct"), of(c)["low"].alias("min_value"),
+        of(c)["high"].alias("max_value")) for c in cols])))
 
 
 #: Columns with so few values that one task may see a row for each.

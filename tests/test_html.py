@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 import vitrine as v
 from vitrine.functions import html as H
 from vitrine.functions import jsonld as J
+from vitrine.functions.once import let, nonblank
 
 PRICE = H.any_of(H.tag(H.word("class", "price")), H.tag(H.has("class", "price-box")))
 
@@ -85,3 +86,24 @@ def test_truthy_follows_the_json_type(value):
         ('{"p":""}', None), ('{"p":null}', None), ('{"p":false}', None), ('{"p":"false"}', "false"), ("{}", None),
     ):
         assert value(text, read) == want, text
+
+
+def test_attributes_in_one_scan_are_those_of_each_tag(spark):
+    pages = ['<a href="/a?x&amp;y" class=z>', "<A\n class='q'\thref = '/b'>x</A><a>", "<a href=/c/d><a HREF='/e'><a hrefx='1' href=''>",
+             "<a data-href='/n' href='/f'>", '<a href="/open>text<a href="/g">', "<a href=><a href='/it\"s'>", "<area href='/h'><a  href>", None, ""]
+    anchor = H.any_of(H.tag(name="a"))
+    df = spark.createDataFrame([(p,) for p in pages], "html string")
+    rows = df.select(
+        H.attributes(F.col("html"), anchor, "href").alias("once"),
+        F.transform(H.all_tags(F.col("html"), anchor), lambda t: H.attribute(t, "href")).alias("each"))
+    got = rows.collect()
+    assert [r.once for r in got] == [r.each for r in got]
+    assert got[0].once == ["/a?x&y"] and got[2].once == ["/c/d", "", ""] and got[4].once == ["/open>", "/g"]
+
+
+def test_let_is_no_element_of_an_array(spark):
+    """Such an element works out the type of its whole body for every row."""
+    df = spark.range(3).select(let(F.col("id"), lambda x: x + x).alias("twice"), nonblank(F.col("id").cast("string")).alias("text"))
+    assert [(r.twice, r.text) for r in df.collect()] == [(0, "0"), (2, "1"), (4, "2")]
+    plan = df._jdf.queryExecution().analyzed().toString()
+    assert "transform(" not in plan and "filter(" not in plan

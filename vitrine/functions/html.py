@@ -155,8 +155,9 @@ def attributes(html: Column, selector: Selector, name: str) -> Column:
     value = rf"""\s{name}\s*=\s*["']?((?<=")[^">]*+>?|(?<=')[^'>]*+>?|(?<=[=\s])[^\s"'>]+)"""
     body = selector.pattern.removesuffix(_TAG_END)
     found = F.regexp_extract_all(html, F.lit(rf"{body}(?:(?=[^>]*?{value})|){_TAG_END}"), F.lit(1))
-    return F.transform(
-        F.when(hinted(html, selector), found).otherwise(F.array().cast("array<string>")), decode_references)
+    values = F.when(hinted(html, selector), found).otherwise(F.array().cast("array<string>"))
+    return let(values, lambda v: F.when(
+        F.exists(v, lambda x: F.contains(x, F.lit("&"))), F.transform(v, decode_references)).otherwise(v))
 
 
 def meta(html: Column, prop: str) -> Column:

@@ -144,3 +144,12 @@ def test_collect_catalogue(listing, spark):
         ("s", "A", "fond de teint", f"{BASE}/fr/fr/teint/a-I00001.html")
     ]
     assert v.conform(got).columns == ["source", *v.FIELDS]
+
+
+def test_first_seen_carries_each_column_once(spark):
+    rows = spark.createDataFrame([("k", "u2", 1, "x"), ("k", "u1", 2, "y"), (None, "u3", 3, None), ("k", "u1", 1, "z")],
+                                 "article string, url string, n int, more string")
+    first = v.first_seen(rows, ["article"], ["url", "n"])
+    assert first.columns == rows.columns
+    assert {tuple(r) for r in first.collect()} == {("k", "u1", 1, "z"), (None, "u3", 3, None)}
+    assert "min_by" not in first._jdf.queryExecution().optimizedPlan().toString()

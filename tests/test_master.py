@@ -162,3 +162,12 @@ def test_rank_rows_equals_the_window(spark):
         assert {r.id: r["rank"] for r in got} == want and len(got) == 500
     plan = v.rank_rows(df.drop("_value"), "m", ["id"])._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and v.rank_rows(df.drop("_value").where("id < 0"), "m", ["id"]).count() == 0
+
+
+def test_completeness_reads_the_table_once(spark):
+    rows = spark.createDataFrame([(None, 1, "10"), ("a", None, "9"), ("a", 10, "9"), ("a", 9, None), ("b", None, None)], "s string, n int, t string")
+    done = v.completeness(rows, "s", ["n", "t"])
+    assert {tuple(r) for r in done.collect()} == {
+        (None, "n", 1, 0, 1, "1", "1"), (None, "t", 1, 0, 1, "10", "10"), ("a", "n", 3, 1, 2, "9", "10"), ("a", "t", 3, 1, 1, "9", "9"),
+        ("b", "n", 1, 1, 0, None, None), ("b", "t", 1, 1, 0, None, None)}
+    assert done._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1

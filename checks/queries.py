@@ -17,7 +17,7 @@ from vitrine.functions.rules import Tag
 from vitrine.functions.text import GAP
 from vitrine.functions.urls import PLAIN_URL
 from vitrine.profiles import SHADE_LABEL, STRUCTURED_EXCLUDED
-from vitrine.shared import shared_dir
+from vitrine.shared import shared_dir, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -504,7 +504,9 @@ def all_shops_report(s, d):
 def all_shops_labels(s, d):
     """The common labels of the same master table."""
     shops = [_shop(kind, s, d).withColumn("source", F.lit(kind)) for kind in v.PROFILES]
-    master = v.harmonise(v.build_master([*shops, feed_products(s, d).withColumn("source", F.lit("feed"))]), v.VOCABULARY)
+    feed = feed_products(s, d).withColumn("source", F.lit("feed"))
+    # Written before it is counted: the plans that parse the pages are analysed and run once, not with every step on top.
+    master = v.harmonise(stored(v.build_master([*shops, feed]), "master"), v.VOCABULARY)
     return v.count_by(master, ["source", "finish_type", "coverage_level", "availability"])
 
 

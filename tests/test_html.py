@@ -4,6 +4,7 @@ import vitrine as v
 from vitrine.functions import html as H
 from vitrine.functions import jsonld as J
 from vitrine.functions.once import let, nonblank
+from vitrine.functions.text import markup
 
 PRICE = H.any_of(H.tag(H.word("class", "price")), H.tag(H.has("class", "price-box")))
 
@@ -107,3 +108,29 @@ def test_let_is_no_element_of_an_array(spark):
     assert [(r.twice, r.text) for r in df.collect()] == [(0, "0"), (2, "1"), (4, "2")]
     plan = df._jdf.queryExecution().analyzed().toString()
     assert "transform(" not in plan and "filter(" not in plan
+
+
+ANCHOR = H.any_of(H.tag(name="a"))
+TIDY = [
+    "", "text = 1", "<p>no anchor</p>", '<a>x</a><a name="top">y</a><a title="un > deux" href="/x?a=1&amp;b=2">z</a>',
+    "<!-- <a href='dead'> --><script>var x = \"<a href='s'>\"; // =\"</script><A\nHREF=u href = v>t</A>",
+    '<b title="a href=n"><a data-href="n" href=\'it"s\'><a-b href=x><a href=>w</a><a href="">', "<a href=foo=\"b>r\"><a x= href=y>",
+    "<style>a>b{}</style ><section><a href=1><!DOCTYPE html><!-- never ends <a href=2>",
+]
+UNTIDY = ['<a title="<b>" href=x>', "<a href=\"never ends>", "a < b <a href=x>", "<b x='y=\"z>'><a href=1>", 'text ="<a href=x>"', "<a href=x"]
+
+
+def test_tidy_pages_are_read_in_one_pass(spark):
+    """The same values as from the prepared page; what isn't tidy is told."""
+    rows = spark.createDataFrame([(x, x in TIDY) for x in TIDY + UNTIDY], "s string, tidy boolean")
+    got = rows.select("s", "tidy", H.tidy_attributes(F.col("s"), "a", "href").alias("one"),
+                      H.attributes(markup(F.col("s")), ANCHOR, "href").alias("old")).collect()
+    assert [r.s for r in got if (r.one is not None) != r.tidy] == []
+    assert [(r.s, r.one, r.old) for r in got if r.tidy and r.one != r.old] == []
+
+
+def test_tidy_pages_of_many_tags(spark):
+    many = 100_000
+    pages = ['<a href="x">' * many, "<p>" * many, "<p " * many, "<!--" * many, '<a href="' * many, "=" * many, "<a href=" * many]
+    read = spark.createDataFrame([(x,) for x in pages], "s string").select(F.size(H.tidy_attributes(F.col("s"), "a", "href")))
+    assert [r[0] for r in read.collect()] == [many, 0, None, 0, None, 0, None]

@@ -153,3 +153,9 @@ def test_first_seen_carries_each_column_once(spark):
     assert first.columns == rows.columns
     assert {tuple(r) for r in first.collect()} == {("k", "u1", 1, "z"), (None, "u3", 3, None)}
     assert "min_by" not in first._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_links_of_untidy_pages_and_pages_without_any(spark):
+    pages = ['<a href="/a">1</a><a>2</a><a href="/b?x=1&amp;y=2">3</a>', '<b title="<a href=n>"><a>1</a><a href=" /c ">2</a>', "<a>1</a>", None]
+    links = v.extract_links(spark.createDataFrame(list(enumerate(pages)), "id int, html string"))
+    assert sorted(tuple(r) for r in links.collect()) == [(0, 0, "/a"), (0, 2, "/b?x=1&y=2"), (1, 1, "/c")]

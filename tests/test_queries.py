@@ -60,3 +60,9 @@ def test_only_linked_pages_are_parsed(spark):
 def test_links_are_first_seen_by_hash(spark):
     for name in ("shop_links", "first_seen_links"):
         assert "SortAggregate" not in QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["all_shops_labels"])
+def test_pages_are_parsed_before_shops_are_compared(spark, name):
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "regexp_extract_all" not in plan and "LeftSemi" not in plan

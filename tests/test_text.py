@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import vitrine as v
 from vitrine.functions.numbers import CENT_PRICE, number, price_pair
 from vitrine.functions.rules import Tag, contains_any, near_word, one_of
-from vitrine.functions.text import collapse, decode_references, markup, strip
+from vitrine.functions.text import ENTITIES, collapse, decode_references, markup, strip
 
 
 def test_visible_text_joins_stripped_nodes(value):
@@ -190,3 +190,13 @@ def test_markup_turns_each_sign_of_a_quoted_value(spark):
     }
     df = spark.createDataFrame([(p,) for p in pages], "html string")
     assert [r[0] for r in df.select(markup(F.col("html"))).collect()] == list(pages.values())
+
+
+def test_references_are_found_without_a_walk_over_all(spark):
+    """The names travel as one text, not as thousands of literals of a map; each is found, and nothing else is."""
+    pages = spark.createDataFrame([(f"&{name};", text) for name, text in ENTITIES.items()] + [
+        ("&amp;lt;&lt;&gt;&#61;", "&lt;<>="), ("&amp;#61; &lt&#61; &#129;&#128;", "&#61; <= \x81€"), ("&;&#; &bogus; &", "&;&#; &bogus; &")],
+        "s string, want string")
+    read = pages.select("*", decode_references(F.col("s")).alias("got"))
+    assert [r for r in read.collect() if r.got != r.want] == []
+    assert "map(" not in read._jdf.queryExecution().analyzed().toString()

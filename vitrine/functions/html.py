@@ -16,7 +16,7 @@ from operator import or_
 from pyspark.sql import Column, functions as F
 
 from vitrine.functions.once import let, nonblank
-from vitrine.functions.text import BLANK_CHARS, decode_references, strip, visible_text
+from vitrine.functions.text import BLANK_CHARS, MARK, RAW, decode_references, strip, visible_text
 
 _ANY_TAG = r"[a-zA-Z][\w-]*+"
 _TAG_END = "[^>]*+>"
@@ -156,8 +156,36 @@ def attributes(html: Column, selector: Selector, name: str) -> Column:
     body = selector.pattern.removesuffix(_TAG_END)
     found = F.regexp_extract_all(html, F.lit(rf"{body}(?:(?=[^>]*?{value})|){_TAG_END}"), F.lit(1))
     values = F.when(hinted(html, selector), found).otherwise(F.array().cast("array<string>"))
-    return let(values, lambda v: F.when(
-        F.exists(v, lambda x: F.contains(x, F.lit("&"))), F.transform(v, decode_references)).otherwise(v))
+    return let(values, _decoded)
+
+
+def _decoded(values: Column) -> Column:
+    return F.when(F.exists(values, lambda x: F.contains(x, F.lit("&"))), F.transform(values, decode_references)).otherwise(values)
+
+
+# What a tidy page is made of: text, raw elements, comments, and tags whose quotes are closed. Quoted values without "<", and without
+# what looks like a value in the other quotes, can't be taken for anything else, wherever the page is read from.
+_DOUBLE = r"""\s*+"[^"<=]*+(?:=(?!\s*+')[^"<=]*+)*+\""""
+_SINGLE = r"""\s*+'[^'<=]*+(?:=(?!\s*+")[^'<=]*+)*+'"""
+_INSIDE = rf"""[^<>=]*+(?:=(?:{_DOUBLE}|{_SINGLE}|(?!\s*+["']))[^<>=]*+)*+"""
+_TEXT = r"""[^<=]++|=(?!\s*+["'<])"""
+
+
+def tidy_attributes(html: Column, tag_name: str, name: str) -> Column:
+    """As ``attributes(markup(html), ...)`` of all opening tags with the name, for tidy pages; null for others.
+
+    One pass over the page as it is stored, which leaves the values alone behind marks; a page that isn't tidy leaves more.
+    """
+    wanted = _named(tag_name)
+    quoted = rf"""(?:{_DOUBLE}|{_SINGLE}|(?!\s*+["']))"""
+    value = rf"""\s{name}\s*+(?=={quoted})=\s*+["']?+((?<=")[^"]*+|(?<=')[^']*+|(?<=[=\s])[^\s"'<>]++)"""
+    before = rf"(?:[^<>=\s]++|\s(?!{name}\s*+=\s*+[^\s>])|={quoted})*+"
+    # The pattern's first group is the name of a raw element.
+    passed = rf"(?:{_TEXT}|<(?=[sStT!]){RAW.format(1)}|<(?!{wanted}){_INSIDE}>)*+"
+    pattern = rf"(?s)\G{passed}(?:<{wanted}{before}(?:{value})?+{_INSIDE}>|(?!\G)\z)"
+    left = F.regexp_replace(F.concat(html, F.lit(" ")), pattern, f"{MARK[0]}$2")
+    return let(left, lambda x: F.when(F.endswith(x, F.lit(MARK[0])), let(
+        F.split(x, MARK[0], -1), lambda v: _decoded(F.slice(v, F.lit(2), F.size(v) - 2)))))
 
 
 def meta(html: Column, prop: str) -> Column:
@@ -241,7 +269,7 @@ def list_texts(html: Column, zone: Selector, item: str) -> Column:
     """Texts of the ``item`` elements inside all ``zone`` elements, in page order."""
     inside = F.array_join(elements(html, zone), " ")
     found = F.regexp_extract_all(
-        inside, F.lit(rf"(?is)<{item}(?![\w-])[^>]*+>(.*?)(?=</{item}\s*>|<{item}(?![\w-])|\z)"), F.lit(1)
+        inside, F.lit(rf"(?i)<{item}(?![\w-])[^>]*+>((?:[^<]++|<(?!/{item}\s*>|{item}(?![\w-])))*+)"), F.lit(1)
     )
     return F.transform(found, lambda x: decode_references(_joined(x)))
 

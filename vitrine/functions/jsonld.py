@@ -9,7 +9,7 @@ from vitrine.functions.once import keep_if, let, nonblank
 from vitrine.functions.text import strip, without_comments
 
 _OPENING = any_of(tag(equals("type", "application/ld+json"), name="script"))
-_SCRIPT = rf"(?s){_OPENING.pattern}(.*?)</(?i:script)\s*+>"
+_SCRIPT = rf"{_OPENING.pattern}((?:[^<]++|<(?!/(?i:script)\s*+>))*+)</(?i:script)\s*+>"
 
 
 def _is_object(value: Column) -> Column:

@@ -496,7 +496,8 @@ def all_shops_report(s, d):
     """Three shops of pages and one of feeds, united, with one vocabulary and brand groups, compared."""
     shops = [_shop(kind, s, d, extras=("volume_unit",)).withColumn("source", F.lit(kind)) for kind in v.PROFILES]
     feed = feed_products(s, d).withColumns({"source": F.lit("feed"), "volume_unit": F.lit("ml")})
-    master = v.harmonise(v.build_master([*shops, feed]), v.VOCABULARY)
+    # Written before it is compared: the plans that parse the pages are analysed and run once, not with every step on top.
+    master = v.harmonise(stored(v.build_master([*shops, feed]), "master"), v.VOCABULARY)
     groups = v.group_table(s, {"Brand#1": "Groupe", "Brand#2": "Groupe", "Maison": "Maison"})
     return v.brand_report(v.brand_group(master, groups), by="brand_group")
 
@@ -505,7 +506,6 @@ def all_shops_labels(s, d):
     """The common labels of the same master table."""
     shops = [_shop(kind, s, d).withColumn("source", F.lit(kind)) for kind in v.PROFILES]
     feed = feed_products(s, d).withColumn("source", F.lit("feed"))
-    # Written before it is counted: the plans that parse the pages are analysed and run once, not with every step on top.
     master = v.harmonise(stored(v.build_master([*shops, feed]), "master"), v.VOCABULARY)
     return v.count_by(master, ["source", "finish_type", "coverage_level", "availability"])
 

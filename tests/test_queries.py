@@ -62,7 +62,7 @@ def test_links_are_first_seen_by_hash(spark):
         assert "SortAggregate" not in QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["all_shops_labels"])
+@pytest.mark.parametrize("name", ["all_shops_labels", "all_shops_report"])
 def test_pages_are_parsed_before_shops_are_compared(spark, name):
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "regexp_extract_all" not in plan and "LeftSemi" not in plan
